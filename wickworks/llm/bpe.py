@@ -206,11 +206,6 @@ class Coder:
             out.append((ids.count(",") + 1 if ids else 0, ids, b"".join(map(raw_of, x)).decode("utf-8", "replace")))
         return out
 
-    def digests(self, texts: list[str]) -> list[tuple[int, str, str]]:
-        """(number of tokens, sha256 of the ids, sha256 of the decoded text) of texts."""
-        sha = hashlib.sha256
-        return [(n, sha(ids.encode()).hexdigest(), sha(decoded.encode()).hexdigest()) for n, ids, decoded in self.code(texts)]
-
     def decode(self, ids: list[int]) -> str:
         return b"".join(self.bytes[i] for i in ids).decode("utf-8", "replace")
 
@@ -238,24 +233,27 @@ def _parts(texts: pa.Array) -> Iterator[list[str]]:
         yield part
 
 
-def digest(text: Column, vocabulary: str = "byte_bpe_50k.json") -> Column:
-    """n_tokens, ids_sha256 and decoded_sha256 of a text, as a struct."""
+def coded(text: Column, vocabulary: str = "byte_bpe_50k.json", ids: bool = True) -> Column:
+    """A struct of a text's n_tokens, ids_sha256 and decoded_sha256, and its token ids if asked for."""
 
     def run(texts: pa.Array) -> pa.Array:
-        found = [x for part in _parts(texts) for x in coder(vocabulary).digests(part)]
-        cols = list(zip(*found, strict=True)) or [[], [], []]
-        return pa.StructArray.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string())], ["n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return F.arrow_udf(run, "n_tokens long, ids_sha256 string, decoded_sha256 string")(text)
-
-
-def encode(text: Column, vocabulary: str = "byte_bpe_50k.json") -> Column:
-    """The token ids of a text as an array of ints."""
-
-    def run(texts: pa.Array) -> pa.Array:
-        return pa.array([[int(x) for x in ids.split(",")] if ids else [] for part in _parts(texts) for _, ids, _ in coder(vocabulary).code(part)], pa.list_(pa.int32()))
-
-    return F.arrow_udf(run, "array<int>")(text)
+        sha = hashlib.sha256
+        counts, first, second, parts = [], [], [], []
+        for part in _parts(texts):
+            for n, text_ids, decoded in coder(vocabulary).code(part):
+                counts.append(n)
+                first.append(sha(text_ids.encode()).hexdigest())
+                second.append(sha(decoded.encode()).hexdigest())
+                if ids:
+                    parts.append(np.fromstring(text_ids, np.int32, sep=",") if n else np.zeros(0, np.int32))
+        cols, names = [pa.array(counts, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())], ["n_tokens", "ids_sha256", "decoded_sha256"]
+        if ids:
+            flat = pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32))
+            cols.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), flat))
+            names.append("ids")
+        return pa.StructArray.from_arrays(cols, names)
+
+    return F.arrow_udf(run, "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids)(text)
 
 
 def decode(ids: Column, vocabulary: str = "byte_bpe_50k.json") -> Column:
@@ -269,4 +267,9 @@ def decode(ids: Column, vocabulary: str = "byte_bpe_50k.json") -> Column:
 
 def digests(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
     """doc_id with the digests of the encoding and the decoding of every row."""
-    return docs.select("doc_id", digest(F.col("text"), vocabulary).alias("v")).select("doc_id", "v.*")
+    return docs.select("doc_id", coded(F.col("text"), vocabulary, ids=False).alias("v")).select("doc_id", "v.*")
+
+
+def encoded(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
+    """doc_id with the token ids and the digests of every row."""
+    return docs.select("doc_id", coded(F.col("text"), vocabulary).alias("v")).select("doc_id", "v.*")

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wickworks.llm import bpe, compression, quality, simhash, toxicity
+import corpus_pipeline
+from wickworks.llm import bpe, compression, decontam, quality, simhash, templates, toxicity
 from wickworks.llm.common import documents
 
 
@@ -30,6 +31,18 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.report(documents(spark, sf_dir))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
@@ -37,8 +50,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_bpe": op4_bpe,
         "op5_simhash": op5_simhash,
         "op6_toxicity": op6_toxicity,
+        "op7_decontamination": op7_decontamination,
+        "op10_line_templates": op10_line_templates,
+        "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op7_decontamination": decontam.REPORT_SQL,
+        "op10_line_templates": templates.REPORT_SQL,
+    }
