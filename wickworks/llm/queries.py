@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from wickworks.llm import bpe, compression, decontam, quality, simhash, templates, toxicity
+from wickworks.llm import bpe, compression, decontam, langid, pii, quality, simhash, templates, toxicity, urlfilter
 from wickworks.llm.common import documents
 
 
@@ -35,6 +35,18 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(spark.read.parquet(f"{sf_dir}/pages.parquet"), documents(spark, sf_dir))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(documents(spark, sf_dir))
+
+
 def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.report(documents(spark, sf_dir))
 
@@ -47,10 +59,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
         "op2_compression_bands": op2_compression_bands,
+        "op3_language": op3_language,
         "op4_bpe": op4_bpe,
         "op5_simhash": op5_simhash,
         "op6_toxicity": op6_toxicity,
         "op7_decontamination": op7_decontamination,
+        "op8_url_filter": op8_url_filter,
+        "op9_pii": op9_pii,
         "op10_line_templates": op10_line_templates,
         "pipeline": pipeline,
     }
@@ -59,5 +74,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op7_decontamination": decontam.REPORT_SQL,
+        "op8_url_filter": urlfilter.JUDGE_SQL,
         "op10_line_templates": templates.REPORT_SQL,
     }
