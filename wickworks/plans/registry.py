@@ -1,15 +1,289 @@
-"""Registered queries over the reference's operators."""
+"""Registered queries over the operators, and their DuckDB equivalents on the same tables."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from wickworks.functions.catalogue import FAMILIES, NAMES
+from wickworks.operators import candles as cd
+from wickworks.operators import features, names, quality, segments, ticks, validate
+from wickworks.plans import feature_sql as fs
+from wickworks.plans import fixtures as fx
 
-def queries():
-    return {}
+KEYS = ["symbol"]
+_EVENTS = fx.candles_sql(fx.EVENT_TICKS, "'ALL'", fx.HOUR)
+_BY_TYPE = fx.candles_sql(fx.EVENT_TICKS, "event_type", fx.HOUR)
+_ORDERS = fx.candles_sql(fx.ORDER_TICKS, "'ALL'", fx.DAY)
+_BY_PRIORITY = fx.candles_sql(fx.ORDER_TICKS, "o_orderpriority", fx.DAY)
 
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_ORACLE: dict[str, str] = {}
 
-def oracle_sql():
-    return {}
+
+def query(sql: str | None = None, name: str | None = None):
+    def add(f):
+        _QUERIES[name or f.__name__] = f
+        if sql:
+            _ORACLE[name or f.__name__] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_ORACLE)
+
+
+def r6(x, digits: int = 6):
+    """Rounded, with minus zero as zero."""
+    x = F.col(x) if isinstance(x, str) else x
+    return F.round(x, digits) + 0.0
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features_full_130(spark, sf_dir)
+
+
+# Ticks, candles, reconciliation ----------------------------------------------------------------------------------------------
+
+_TICK_AGG = """buckets AS (SELECT symbol, time_ms - time_ms % {step} AS open_ms, count(*) AS agg_trade_count, CAST(sum(quantity) AS DOUBLE) AS agg_base_volume, CAST(sum(price * quantity) AS DOUBLE) AS agg_quote_volume,
+  CAST(sum(CASE WHEN NOT buyer_is_maker THEN quantity ELSE 0 END) AS DOUBLE) AS agg_taker_buy_base_volume, CAST(sum(CASE WHEN buyer_is_maker THEN quantity ELSE 0 END) AS DOUBLE) AS agg_taker_sell_base_volume,
+  CAST(sum(CASE WHEN NOT buyer_is_maker THEN price * quantity ELSE 0.0 END) AS DOUBLE) AS agg_taker_buy_quote_volume, CAST(sum(CASE WHEN buyer_is_maker THEN price * quantity ELSE 0.0 END) AS DOUBLE) AS agg_taker_sell_quote_volume,
+  arg_min(price, tick_id) AS agg_open, max(price) AS agg_high, min(price) AS agg_low, arg_max(price, tick_id) AS agg_close FROM ticks GROUP BY ALL)"""
+_AGG_NUMBERS = ("agg_base_volume", "agg_quote_volume", "agg_taker_buy_base_volume", "agg_taker_sell_base_volume", "agg_taker_buy_quote_volume", "agg_taker_sell_quote_volume", "agg_open", "agg_high", "agg_low", "agg_close")
+
+
+@query(f"""WITH {fx.EVENT_TICKS.format(symbol="event_type")}, {_TICK_AGG.format(step=fx.HOUR)}
+SELECT symbol, open_ms, agg_trade_count, {", ".join(f"round({c}, 4) AS {c}" for c in _AGG_NUMBERS)}, round(agg_quote_volume / nullif(agg_base_volume, 0), 9) + 0.0 AS agg_vwap,
+  round(agg_taker_buy_base_volume / nullif(agg_base_volume, 0), 9) + 0.0 AS agg_buy_volume_fraction, round((agg_taker_buy_base_volume - agg_taker_sell_base_volume) / nullif(agg_base_volume, 0), 9) + 0.0 AS agg_volume_imbalance FROM buckets""")
+def tick_hourly_agg(spark, sf_dir):
+    out = ticks.aggregate(fx.ticks(spark, sf_dir, by_type=True), KEYS, fx.HOUR)
+    return out.select("symbol", "open_ms", "agg_trade_count", *[F.round(c, 4).alias(c) for c in _AGG_NUMBERS], *[r6(c, 9).alias(c) for c in ("agg_vwap", "agg_buy_volume_fraction", "agg_volume_imbalance")])
+
+
+def _perturbed(spark, sf_dir):
+    """Hourly candles against their own ticks, with volume and close changed in every seventh hour, so that some rows fail."""
+    odd = F.pmod(F.floor(F.col("open_ms") / fx.HOUR), F.lit(7)) == 0
+    c = fx.hourly(spark, sf_dir).withColumns({"volume": F.when(odd, F.col("volume") * 1.01).otherwise(F.col("volume")), "close": F.when(odd, F.col("close") + 1).otherwise(F.col("close"))})
+    return ticks.reconcile(c, ticks.aggregate(fx.ticks(spark, sf_dir), KEYS, fx.HOUR), KEYS)
+
+
+_ISCLOSE = "abs({a} - {b}) <= greatest(1e-8 * greatest(abs({a}), abs({b})), 1e-6)"
+_RECONCILE = f"""WITH {_EVENTS}, {_TICK_AGG.format(step=fx.HOUR)},
+changed AS (SELECT * REPLACE (CASE WHEN (open_ms // {fx.HOUR}) % 7 = 0 THEN volume * 1.01 ELSE volume END AS volume, CASE WHEN (open_ms // {fx.HOUR}) % 7 = 0 THEN close + 1 ELSE close END AS close) FROM candles),
+joined AS (SELECT c.*, b.* EXCLUDE (symbol, open_ms) FROM changed c LEFT JOIN buckets b ON c.symbol = b.symbol AND c.open_ms = b.open_ms),
+flags AS (SELECT symbol, open_ms, agg_trade_count, agg_base_volume - volume AS base_volume_difference, agg_quote_volume - quote_volume AS quote_volume_difference, {_ISCLOSE.format(a="agg_base_volume", b="volume")} AS base_volume_matches,
+  {_ISCLOSE.format(a="agg_quote_volume", b="quote_volume")} AS quote_volume_matches, {_ISCLOSE.format(a="agg_taker_buy_base_volume", b="taker_buy_base_volume")} AS taker_buy_base_volume_matches,
+  {_ISCLOSE.format(a="agg_taker_buy_quote_volume", b="taker_buy_quote_volume")} AS taker_buy_quote_volume_matches,
+  {" AND ".join(_ISCLOSE.format(a=f"agg_{k}", b=k) for k in ("open", "high", "low", "close"))} AS ohlc_matches FROM joined),
+final AS (SELECT *, {" AND ".join(ticks.MATCHES)} AS all_metrics_match FROM flags)"""
+
+
+@query(f"{_RECONCILE} SELECT symbol, open_ms, agg_trade_count, round(base_volume_difference, 4) + 0.0 AS base_volume_difference, round(quote_volume_difference, 4) + 0.0 AS quote_volume_difference, {', '.join(ticks.MATCHES)}, all_metrics_match FROM final")
+def tick_candle_reconcile(spark, sf_dir):
+    return _perturbed(spark, sf_dir).select("symbol", "open_ms", "agg_trade_count", r6("base_volume_difference", 4).alias("base_volume_difference"), r6("quote_volume_difference", 4).alias("quote_volume_difference"), *ticks.MATCHES, "all_metrics_match")
+
+
+@query(f"""{_RECONCILE} SELECT count(*) AS rows, CAST(sum(agg_trade_count) AS BIGINT) AS agg_trade_records, count(*) FILTER (agg_trade_count = 0) AS hours_without_agg_trades, count(*) FILTER (NOT all_metrics_match) AS mismatched_hours,
+{", ".join(f"count(*) FILTER (NOT {c}) AS failed_{c}" for c in ticks.MATCHES)} FROM final""")
+def mismatch_report(spark, sf_dir):
+    return ticks.report(_perturbed(spark, sf_dir))
+
+
+@query(f"""{_RECONCILE} SELECT symbol, open_ms, array_to_string(list_filter([{", ".join(f"CASE WHEN NOT {c} THEN '{c}' END" for c in ticks.MATCHES)}], lambda x: x IS NOT NULL), ',') AS failed,
+round(base_volume_difference, 4) + 0.0 AS base_volume_difference, round(quote_volume_difference, 4) + 0.0 AS quote_volume_difference FROM final WHERE NOT all_metrics_match ORDER BY open_ms, symbol LIMIT 20""")
+def mismatch_examples_top20(spark, sf_dir):
+    return ticks.examples(_perturbed(spark, sf_dir), KEYS).withColumns({c: r6(c, 4) for c in ("base_volume_difference", "quote_volume_difference")})
+
+
+_OHLCV = "symbol, open_ms, end_ms, open, high, low, close, round(volume, 4) AS volume, trade_count, round(taker_buy_base_volume, 4) AS taker_buy_base_volume"
+
+
+def _ohlcv(c):
+    return c.select("symbol", "open_ms", "end_ms", "open", "high", "low", "close", F.round("volume", 4).alias("volume"), "trade_count", F.round("taker_buy_base_volume", 4).alias("taker_buy_base_volume"))
+
+
+for _label, _step in (("15m", 900_000), ("1h", fx.HOUR)):
+    query(f"WITH {fx.candles_sql(fx.EVENT_TICKS, 'event_type', _step)} SELECT {_OHLCV} FROM candles", f"interval_resample_{_label}")(
+        lambda spark, sf_dir, _step=_step: _ohlcv(cd.resample(cd.from_ticks(fx.ticks(spark, sf_dir, by_type=True), KEYS, 300_000), KEYS, _step))
+    )
+query(f"WITH {_BY_PRIORITY} SELECT {_OHLCV} FROM candles", "interval_resample_1d")(lambda spark, sf_dir: _ohlcv(fx.daily(spark, sf_dir, by_priority=True)))
+
+
+@query(f"WITH {fx.EVENT_TICKS.format(symbol='event_type')} SELECT symbol, max(tick_id) AS last_tick_id, max(time_ms) AS last_time_ms FROM ticks GROUP BY symbol")
+def last_tick(spark, sf_dir):
+    return ticks.last_tick(fx.ticks(spark, sf_dir, by_type=True), KEYS)
+
+
+# Segments and checks ---------------------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {_BY_PRIORITY}, {fx.segmented_sql(fx.DAY)} SELECT symbol, end_ms, gap, segment_id FROM s")
+def candle_gap_segments(spark, sf_dir):
+    return segments.segment(fx.daily(spark, sf_dir, True), KEYS, fx.DAY).select("symbol", "end_ms", "gap", "segment_id")
+
+
+@query(f"""WITH {_BY_PRIORITY}, {fx.segmented_sql(fx.DAY)}, p AS (SELECT symbol, segment_id, count(*) AS n, CAST(sum(CAST(gap AS BIGINT)) AS BIGINT) AS gaps FROM s GROUP BY ALL)
+SELECT symbol, CAST(sum(n) AS BIGINT) AS rows, CAST(sum(gaps) AS BIGINT) AS gap_count, count(*) AS segments, max(n) AS longest_segment FROM p GROUP BY symbol""")
+def segment_summary(spark, sf_dir):
+    return segments.summary(segments.segment(fx.daily(spark, sf_dir, True), KEYS, fx.DAY), KEYS)
+
+
+@query(f"""WITH {_BY_PRIORITY}, span AS (SELECT symbol, min(open_ms) AS lo, max(open_ms) AS hi FROM candles GROUP BY symbol), expected AS (SELECT symbol, unnest(generate_series(lo, hi, {fx.DAY})) AS open_ms FROM span)
+SELECT e.symbol, e.open_ms FROM expected e ANTI JOIN candles c ON e.symbol = c.symbol AND e.open_ms = c.open_ms""")
+def missing_candles_antijoin(spark, sf_dir):
+    return validate.missing_times(fx.daily(spark, sf_dir, True), KEYS, fx.DAY)
+
+
+@query("SELECT symbol, time_ms, n FROM (SELECT o_orderpriority AS symbol, epoch_us(o_orderdate) // 1000 AS time_ms, count(*) AS n FROM orders WHERE o_totalprice > 0 GROUP BY ALL) WHERE n > 1")
+def duplicate_keys(spark, sf_dir):
+    return validate.duplicates(fx.order_ticks(spark, sf_dir, True), ["symbol", "time_ms"])
+
+
+def _broken(spark, sf_dir):
+    """Hourly candles of which some break each rule, by hour."""
+    hour = F.floor(F.col("open_ms") / fx.HOUR)
+    at = lambda k: F.pmod(hour, F.lit(11)) == k
+    c = fx.hourly(spark, sf_dir).withColumn("close_ms", F.when(at(1), F.col("end_ms")).otherwise(F.col("end_ms") - 1))
+    return c.withColumns({"low": F.when(at(2), F.col("high") + 1).otherwise(F.col("low")), "volume": F.when(at(3), -1.0).otherwise(F.col("volume")), "taker_buy_base_volume": F.when(at(4), F.col("volume") + 1).otherwise(F.col("taker_buy_base_volume")), "open": F.when(at(5), 0.0).otherwise(F.col("open"))})
+
+
+_BROKEN = f"""WITH {_EVENTS}, broken AS (SELECT symbol, open_ms, end_ms, CASE WHEN h = 1 THEN end_ms ELSE end_ms - 1 END AS close_ms, CASE WHEN h = 5 THEN 0.0 ELSE open END AS open, high, CASE WHEN h = 2 THEN high + 1 ELSE low END AS low, close,
+  CASE WHEN h = 3 THEN -1.0 ELSE volume END AS volume, CASE WHEN h = 4 THEN volume + 1 ELSE taker_buy_base_volume END AS taker_buy_base_volume, trade_count FROM (SELECT *, (open_ms // {fx.HOUR}) % 11 AS h FROM candles))"""
+_RULES = {
+    "open time on its boundary": f"open_ms % {fx.HOUR} = 0",
+    "close time one millisecond before the end": f"close_ms = open_ms + {fx.HOUR} - 1",
+    "availability at the end": f"end_ms = open_ms + {fx.HOUR}",
+    "prices finite and positive": "least(open, high, low, close) > 0",
+    "volume finite and not negative": "volume >= 0",
+    "low <= open, close <= high": "low <= least(open, close) AND greatest(open, close) <= high",
+    "trade count whole and not negative": "trade_count >= 0",
+    "taker buy volume within the volume": "taker_buy_base_volume >= 0 AND taker_buy_base_volume <= volume",
+}
+
+
+@query(_BROKEN + " UNION ALL ".join(f" SELECT '{name}' AS rule, count(*) FILTER (NOT ({ok})) AS violations FROM broken" for name, ok in _RULES.items()))
+def candle_rule_violations(spark, sf_dir):
+    return validate.violations(_broken(spark, sf_dir), validate.candle_rules(fx.HOUR))
+
+
+@query(f"{_BROKEN} SELECT symbol, open_ms, open, high, low, close FROM broken WHERE NOT (low <= least(open, close) AND greatest(open, close) <= high)")
+def ohlc_violations(spark, sf_dir):
+    return _broken(spark, sf_dir).where(~validate.ohlc_consistent()).select("symbol", "open_ms", "open", "high", "low", "close")
+
+
+@query("""WITH t AS (SELECT event_type AS symbol, event_id, epoch_us(ts) // 1000 AS time_ms, (event_id * 7919) % 1009 AS shuffled FROM events),
+o AS (SELECT *, lag(time_ms) OVER (PARTITION BY symbol ORDER BY shuffled, event_id) AS before_ FROM t)
+SELECT symbol, count(*) FILTER (NOT (before_ IS NULL OR time_ms > before_)) AS violations FROM o GROUP BY symbol""")
+def order_violations(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_type").alias("symbol"), "event_id", cd.epoch_ms(F.col("ts")).alias("time_ms"), ((F.col("event_id") * 7919) % 1009).alias("shuffled"))
+    checked, rules = validate.order_rules(rows, KEYS, "time_ms", ["shuffled", "event_id"])
+    return checked.groupBy("symbol").agg(F.count_if(~rules["times strictly increasing"]).alias("violations"))
+
+
+@query(f"WITH {_BY_TYPE} SELECT DISTINCT symbol FROM candles")
+def series_keys_distinct(spark, sf_dir):
+    return validate.series(cd.from_ticks(fx.ticks(spark, sf_dir, True), KEYS, fx.HOUR), KEYS)
+
+
+@query("SELECT symbol, count(*) AS series FROM (SELECT DISTINCT o_orderpriority AS symbol, o_orderstatus AS market FROM orders) GROUP BY symbol HAVING count(*) > 1")
+def single_series_check(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderpriority").alias("symbol"), F.col("o_orderstatus").alias("market"))
+    return validate.crowded_symbols(orders, ["symbol", "market"])
+
+
+@query("SELECT * FROM (VALUES ('click'), ('nothing'), ('purchase')) r(symbol) WHERE symbol NOT IN (SELECT event_type FROM events)")
+def requested_symbols_antijoin(spark, sf_dir):
+    return validate.missing_keys(["click", "nothing", "purchase"], spark.read.parquet(f"{sf_dir}/events.parquet").withColumnRenamed("event_type", "symbol"))
+
+
+@query("""WITH t AS (SELECT trim(x) AS x FROM (SELECT p_name AS x FROM part UNION ALL SELECT CAST(p_retailprice AS VARCHAR) FROM part UNION ALL SELECT CAST(p_partkey AS VARCHAR) FROM part))
+SELECT count(*) FILTER (regexp_matches(x, '^[0-9]+$') AND TRY_CAST(x AS BIGINT) IS NOT NULL) AS integers, count(*) FILTER (regexp_matches(x, '^[+-]?([0-9]+(\\.[0-9]*)?|\\.[0-9]+)([eE][+-]?[0-9]+)?$') AND TRY_CAST(x AS DOUBLE) >= 0) AS numbers, count(*) AS rows FROM t""")
+def numeric_text_checks(spark, sf_dir):
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    t = part.select(F.trim("p_name").alias("x")).union(part.select(F.col("p_retailprice").cast("string"))).union(part.select(F.col("p_partkey").cast("string")))
+    return t.agg(F.count_if(validate.is_integer(F.col("x"))).alias("integers"), F.count_if(validate.is_number(F.col("x"))).alias("numbers"), F.count("*").alias("rows"))
+
+
+# Features --------------------------------------------------------------------------------------------------------------------
+
+
+def _family(family: str):
+    return lambda spark, sf_dir: _rounded(features.compute(segments.segment(fx.hourly(spark, sf_dir), KEYS, fx.HOUR), KEYS, FAMILIES[family]), FAMILIES[family])
+
+
+def _rounded(df: DataFrame, cols) -> DataFrame:
+    return df.select("symbol", "segment_id", "end_ms", *[r6(c).alias(c) for c in cols])
+
+
+for _name in FAMILIES:
+    query(fs.family_sql(_name, _EVENTS, fx.HOUR), f"feature_{_name}")(_family(_name))
+
+
+def _daily_features(names_):
+    return lambda spark, sf_dir: _rounded(features.compute(segments.segment(fx.daily(spark, sf_dir, True), KEYS, fx.DAY), KEYS, names_), names_)
+
+
+for _name in ("ema_distance", "rsi", "obv", "relative_volume", "stochastic"):
+    query(fs.family_sql(_name, _BY_PRIORITY, fx.DAY), f"feature_{_name}_daily_reset")(_daily_features(FAMILIES[_name]))
+
+
+@query()
+def features_full_130(spark, sf_dir):
+    """All features of hourly candles, with the end as a timestamp and the symbol: 130 columns."""
+    out = features.compute(segments.segment(fx.hourly(spark, sf_dir), KEYS, fx.HOUR), KEYS)
+    return out.select(F.timestamp_millis("end_ms").alias("candle_end_utc"), "symbol", *NAMES)
+
+
+_REPORTED = (*FAMILIES["log_return"], *FAMILIES["sma_distance"], *FAMILIES["relative_volume"], *FAMILIES["candle_shape"])
+_REPORT_COLS = {**fs.columns("log_return"), **fs.columns("sma_distance"), **fs.columns("relative_volume"), **fs.columns("candle_shape")}
+
+
+@query(f"""WITH {_BY_PRIORITY}, {fx.segmented_sql(fx.DAY)}, f AS (SELECT symbol, segment_id, end_ms, {", ".join(f"{e} AS {n}" for n, e in _REPORT_COLS.items())} FROM c)
+""" + " UNION ALL ".join(f"SELECT symbol, '{n}' AS feature, count(*) - count({n}) AS missing, coalesce(min({n}) = max({n}), false) AS constant FROM f GROUP BY symbol" for n in _REPORTED))
+def feature_quality_report(spark, sf_dir):
+    return quality.by_feature(features.compute(segments.segment(fx.daily(spark, sf_dir, True), KEYS, fx.DAY), KEYS, _REPORTED), KEYS, _REPORTED)
+
+
+_READY = " AND ".join(f"{n} IS NOT NULL" for n in _REPORTED)
+
+
+@query(f"""WITH {_BY_PRIORITY}, {fx.segmented_sql(fx.DAY)}, f AS (SELECT symbol, segment_id, end_ms, {", ".join(f"{e} AS {n}" for n, e in _REPORT_COLS.items())} FROM c)
+SELECT symbol, count(*) AS rows, min(end_ms) AS first_end_ms, max(end_ms) AS last_end_ms, count(DISTINCT segment_id) AS segments, count(*) FILTER ({_READY}) AS complete_all, min(end_ms) FILTER ({_READY}) AS first_complete_end_ms FROM f GROUP BY symbol""")
+def feature_run_report(spark, sf_dir):
+    out = quality.wide(features.compute(segments.segment(fx.daily(spark, sf_dir, True), KEYS, fx.DAY), KEYS, _REPORTED), KEYS, _REPORTED)
+    return out.select("symbol", "rows", "first_end_ms", "last_end_ms", "segments", "complete_all", "first_complete_end_ms")
+
+
+# Names and text --------------------------------------------------------------------------------------------------------------
+
+
+@query("""WITH s AS (SELECT DISTINCT n_name AS symbol FROM nation UNION SELECT DISTINCT lower(n_name) FROM nation WHERE n_nationkey % 3 = 0 UNION SELECT DISTINCT p_name FROM part),
+t AS (SELECT symbol, CASE WHEN regexp_matches(symbol, '^[A-Za-z0-9][A-Za-z0-9_-]{0,63}$') THEN symbol ELSE 'symbol-' || sha256(symbol) END AS stem FROM s)
+SELECT symbol, stem || CASE WHEN count(*) OVER (PARTITION BY lower(stem)) > 1 THEN '-' || sha256(symbol) ELSE '' END || '-features.parquet' AS file FROM t""")
+def symbol_filenames(spark, sf_dir):
+    nation, part = spark.read.parquet(f"{sf_dir}/nation.parquet"), spark.read.parquet(f"{sf_dir}/part.parquet")
+    return names.file_names(nation.select(F.col("n_name").alias("symbol")).union(nation.where("n_nationkey % 3 = 0").select(F.lower("n_name"))).union(part.select("p_name")))
+
+
+@query("""SELECT n_nationkey, substr(sha256('["binance", "um", "' || n_name || '", "1h", "trade"]'), 1, 24) AS series_id FROM nation""")
+def series_ids(spark, sf_dir):
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    return nation.select("n_nationkey", names.series_id(F.lit("binance"), F.lit("um"), F.col("n_name"), F.lit("1h"), F.lit("trade")).alias("series_id"))
+
+
+@query(r"SELECT p_partkey, lower(regexp_replace(trim('  ' || p_name || '- ' || p_type || ' '), '[\s-]+', '_', 'g')) AS name FROM part")
+def name_normalise(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", names.normal(F.concat(F.lit("  "), "p_name", F.lit("- "), "p_type", F.lit(" "))).alias("name"))
+
+
+@query("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S.') || lpad(CAST(epoch_us(ts) // 1000 % 1000 AS VARCHAR), 3, '0') || 'Z' AS text FROM events""")
+def json_text_timestamps(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"), cd.utc_text(cd.epoch_ms(F.col("ts"))).alias("text"))
