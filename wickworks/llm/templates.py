@@ -53,14 +53,14 @@ def dropped_lines(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
     spark = docs.sparkSession
     keyed = _keyed(docs)
     least = tree.bands[0][0]
-    all_lines = _lines(keyed).withColumn("tokens", tokens(F.col("line"))).withColumn("n", F.size("tokens")).where((F.col("n") >= least) & (F.btrim("line", F.lit(" \t\x0b\f\r")) != ""))
-    lead = F.slice("tokens", 1, tree.lead)
-    hashed = all_lines.select("id", "text_hash", "no", "n", F.xxhash64("n", lead).alias("leaf"), F.xxhash64("tokens").alias("whole"))
+    hash_of = lambda t: F.struct(F.size(t).alias("n"), F.xxhash64(F.size(t), F.slice(t, 1, tree.lead)).alias("leaf"), F.xxhash64(t).alias("whole"), (t[0] == "").alias("blank"))
+    # As an element of an array the tokens are made once, whatever reads them; a filter on them here would make them again.
+    hashed = _lines(keyed).select("id", "text_hash", "no", F.transform(F.array(tokens(F.col("line"))), hash_of).alias("h")).select("id", "text_hash", "no", F.inline("h"))
     lines, lines_at = table(hashed, "lines")
+    lines = lines.where((F.col("n") >= least) & ~F.col("blank")).drop("blank")
 
-    each = lines.groupBy("id", "text_hash", "leaf", "whole", "n").agg(F.min("no").alias("no"))
-    distinct = each.groupBy("leaf", "whole", "n").agg(F.min(F.struct("id", "text_hash", "no")).alias("first"))
-    distinct, distinct_at = table(distinct.where(F.col("n") >= tree.general), "distinct")
+    distinct = lines.where(F.col("n") >= tree.general).groupBy("leaf", "whole", "n").agg(F.min(F.struct("id", "text_hash", "no")).alias("first"))
+    distinct, distinct_at = table(distinct, "distinct")
     many = distinct.groupBy("leaf").count().where("count > 1").select("leaf")
     asked = distinct.join(many, "leaf").select("leaf", "whole", "n", "first.*")
     wanted = asked.groupBy("id", "text_hash").agg(F.collect_list(F.struct("no", "leaf", "whole")).alias("asked"))
