@@ -7,7 +7,7 @@ import pytest
 from wickworks.functions import catalogue as cat
 from wickworks.functions import smoothing
 from wickworks.operators import candles as cd
-from wickworks.operators import features, names, quality, segments, ticks, validate
+from wickworks.operators import chunked, features, names, quality, segments, ticks, validate
 
 HOUR = 3_600_000
 RTOL, ATOL = 2e-8, 2e-9
@@ -241,6 +241,24 @@ def test_smoothing_over_many_blocks(spark):
     np.testing.assert_allclose((r["s42"].to_numpy(float)[41:44_000] / live)[live > 1e-280], 3, rtol=1e-9)
 
 
+def test_chunks_equal_the_whole(spark):
+    parts = [walk(900, 5, 701).assign(symbol="A"), walk(420, 6).assign(symbol="B"), walk(300, 7, 100).assign(symbol="C"), walk(1, 8).assign(symbol="D")]
+    parts[0].loc[300:, "end_ms"] += 57 * HOUR
+    df = spark.createDataFrame(pd.concat(parts))
+    order = ["symbol", "end_ms"]
+    rows = segments.segment(df, ["symbol"], HOUR).toPandas().sort_values(order).reset_index(drop=True)
+    found = chunked.indexed(df, ["symbol"], HOUR, 200).toPandas().sort_values(order).reset_index(drop=True)
+    assert found.gap.equals(rows.gap) and found.segment_id.equals(rows.segment_id)
+    assert (found[features.ROW] == rows.groupby(["symbol", "segment_id"]).cumcount()).all()
+    wanted = [n for f in ("ema_distance", "macd", "rsi", "log_slope", "regime", "autocorr", "stochastic", "obv") for n in cat.FAMILIES[f]]
+    whole = features.compute(segments.segment(df, ["symbol"], HOUR), ["symbol"], wanted).toPandas().sort_values(order).reset_index(drop=True)
+    cut = chunked.compute(df, ["symbol"], HOUR, wanted, chunk_rows=200).toPandas().sort_values(order).reset_index(drop=True)
+    for n in wanted:
+        same(cut[n], whole[n].to_numpy(float))
+    with pytest.raises(ValueError):
+        chunked.compute(df, ["symbol"], HOUR, wanted, chunk_rows=100)
+
+
 def test_quality_report(spark):
     df = spark.createDataFrame(walk(60, gap_at=30))
     out = features.compute(segments.segment(df, ["symbol"], HOUR), ["symbol"], ("log_return_5", "time_of_day_sin"))

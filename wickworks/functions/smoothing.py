@@ -14,7 +14,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCKS = (1600, 6400, 25600)
@@ -49,9 +49,15 @@ def rma(out: str, x: str, period: int, start: int = 0) -> Scan:
     return Scan(out, x, period, 1 / period, start)
 
 
-def smooth(df: DataFrame, scans: Sequence[Scan], keys: Sequence[str], row: str) -> DataFrame:
-    """Adds each scan's column. row counts a segment's rows from 0 in order."""
-    at, ordered = F.col(row), Window.partitionBy(*keys).orderBy(row)
+def smooth(df: DataFrame, scans: Sequence[Scan], keys: Sequence[str], row: str, at: str | None = None, live: Column | None = None, seeded: bool = False) -> DataFrame:
+    """Adds each scan's column. row counts a segment's rows from 0 in order.
+
+    For a part of a segment, at counts the part's rows and live tells them from the rows before it, which add nothing; the result then
+    is what the part's own rows add. seeded: the seeds are there, in __seed_<out>.
+    """
+    index, ordered = F.col(row), Window.partitionBy(*keys).orderBy(row)
+    at = F.col(at or row)
+    live = F.lit(True) if live is None else live
     temp: list[str] = []
 
     def add(cols: dict) -> None:
@@ -59,13 +65,14 @@ def smooth(df: DataFrame, scans: Sequence[Scan], keys: Sequence[str], row: str)
         df = df.withColumns(cols)
         temp.extend(c for c in cols if c.startswith("__"))
 
-    add({f"__seed_{s.out}": F.when(at == s.seed_row, F.avg(s.x).over(ordered.rowsBetween(-(s.period - 1), 0))) for s in scans})
+    if not seeded:
+        add({f"__seed_{s.out}": F.when(index == s.seed_row, F.avg(s.x).over(ordered.rowsBetween(-(s.period - 1), 0))) for s in scans})
     sizes = sorted({s.block for s in scans})
     add({f"__b_{b}": F.floor(at / b) for b in sizes} | {f"__o_{b}": F.pmod(at, F.lit(b)) for b in sizes})
     local = {}
     for s in scans:
         q, o = F.lit(1 - s.alpha), F.col(f"__o_{s.block}")
-        y = F.when(at < s.seed_row, 0.0).when(at == s.seed_row, F.col(f"__seed_{s.out}")).otherwise(s.alpha * F.col(s.x))
+        y = F.when(~live | (index < s.seed_row), 0.0).when(index == s.seed_row, F.col(f"__seed_{s.out}")).otherwise(s.alpha * F.col(s.x))
         inside = Window.partitionBy(*keys, f"__b_{s.block}").orderBy(row).rowsBetween(Window.unboundedPreceding, 0)
         local[f"__l_{s.out}"] = F.pow(q, o) * F.sum(y * F.pow(q, -o)).over(inside)
     add(local)
@@ -76,7 +83,7 @@ def smooth(df: DataFrame, scans: Sequence[Scan], keys: Sequence[str], row: str)
             ends = F.col(f"__l_{s.out}")
             if level > 1:
                 ends = ends + (1 - s.alpha) ** s.block * F.col(f"__c{level - 1}_{s.out}")
-            carry[f"__c{level}_{s.out}"] = F.coalesce(F.last(F.when(F.col(f"__o_{s.block}") == s.block - 1, ends), ignorenulls=True).over(past), F.lit(0.0))
+            carry[f"__c{level}_{s.out}"] = F.coalesce(F.last(F.when(live & (F.col(f"__o_{s.block}") == s.block - 1), ends), ignorenulls=True).over(past), F.lit(0.0))
         add(carry)
-    df = df.withColumns({s.out: F.when(at >= s.seed_row, F.col(f"__l_{s.out}") + F.pow(F.lit(1 - s.alpha), F.col(f"__o_{s.block}") + 1) * F.col(f"__c3_{s.out}")) for s in scans})
+    df = df.withColumns({s.out: F.when(index >= s.seed_row, F.col(f"__l_{s.out}") + F.pow(F.lit(1 - s.alpha), F.col(f"__o_{s.block}") + 1) * F.col(f"__c3_{s.out}")) for s in scans})
     return df.drop(*temp)

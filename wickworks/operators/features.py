@@ -22,9 +22,9 @@ ROW = "__row"
 class Plan:
     """Columns by stage: a stage's window functions may use what earlier stages made."""
 
-    def __init__(self, keys: Sequence[str], names: Iterable[str]):
-        self.frames = Frames([*keys, "segment_id"], "end_ms", ROW)
-        self.keys = [*keys, "segment_id"]
+    def __init__(self, partition: Sequence[str], names: Iterable[str]):
+        self.frames = Frames(partition, "end_ms", ROW)
+        self.keys = list(partition)
         self.wanted = set(names)
         self.stages: list[dict[str, Column]] = [{}, {}, {}, {}, {}, {}]
         self.scans: list[smoothing.Scan] = []
@@ -91,7 +91,7 @@ def _momentum(p: Plan) -> None:
         name = f"{fast}_{slow}_{signal}"
         if p.wants(f"macd_line_{name}", f"macd_hist_{name}"):
             p.scans += [smoothing.ema(f"__fast_{fast}", "close", fast), smoothing.ema(f"__slow_{slow}", "close", slow)]
-            p.put(4, f"__macd_{name}", F.col(f"__fast_{fast}") - F.col(f"__slow_{slow}"))
+            p.put(1, f"__macd_{name}", F.col(f"__fast_{fast}") - F.col(f"__slow_{slow}"))
             p.signals.append(smoothing.ema(f"__signal_{name}", f"__macd_{name}", signal, slow - 1))
             p.put(5, f"macd_line_{name}", F.col(f"__macd_{name}") / close)
             p.put(5, f"macd_hist_{name}", (F.col(f"__macd_{name}") - F.col(f"__signal_{name}")) / close)
@@ -176,6 +176,17 @@ def _flow_and_calendar(p: Plan) -> None:
 
 def compute(candles: DataFrame, keys: Sequence[str], names: Sequence[str] = cat.NAMES) -> DataFrame:
     """keys, segment_id, end_ms and the features asked for, in the order asked."""
+    partition = [*keys, "segment_id"]
+    ordered = Frames(partition, "end_ms", ROW).ordered
+    indexed = candles.withColumn(ROW, F.row_number().over(ordered).cast("long") - 1)
+    return compute_over(indexed, keys, partition, names, smoothing.smooth)
+
+
+def compute_over(candles: DataFrame, keys: Sequence[str], partition: Sequence[str], names: Sequence[str], smooth, keep: Column | None = None) -> DataFrame:
+    """compute() for rows that have their index in the segment in ROW, with windows over the given partition of them.
+
+    smooth(df, scans, partition, row) adds the recursive columns; rows where keep is false only serve as history.
+    """
     unknown = sorted(set(names) - set(cat.NAMES))
     if unknown:
         raise ValueError(f"unknown features: {unknown}")
@@ -183,12 +194,12 @@ def compute(candles: DataFrame, keys: Sequence[str], names: Sequence[str] = cat.
     for optional in ("trade_count", "taker_buy_base_volume"):
         if optional not in df.columns:
             df = df.withColumn(optional, F.lit(None).cast("double"))
-    p = Plan(keys, names)
+    p = Plan(partition, names)
     for family in (_price_and_shape, _trend, _momentum, _volatility, _activity, _distribution, _flow_and_calendar):
         family(p)
     f, close, high, low, volume = p.frames, *(F.col(c) for c in ("close", "high", "low", "volume"))
     tp = (high + low + close) / 3
-    df = df.withColumns({ROW: F.row_number().over(f.ordered).cast("long") - 1, "__pc": f.lag(close), "__tp": tp, "__ln": F.log(close), "__ptp": f.lag(tp)})
+    df = df.withColumns({"__pc": f.lag(close), "__tp": tp, "__ln": F.log(close), "__ptp": f.lag(tp)})
     change, span = close - F.col("__pc"), high - low
     pc = F.col("__pc")
     df = df.withColumns({
@@ -201,13 +212,15 @@ def compute(candles: DataFrame, keys: Sequence[str], names: Sequence[str] = cat.
         "__down": F.when(F.col("__ptp").isNotNull(), F.when(F.col("__tp") < F.col("__ptp"), F.col("__tp") * volume).otherwise(0.0)),
         "__placed": F.coalesce(div0(2 * close - high - low, span), F.lit(0.0)) * volume,
     })
-    public = lambda c: not c.startswith("__")
-    for stage in (2, 3):
-        df = df.withColumns({k: v for k, v in p.stages[stage].items() if not public(k) or k in p.wanted or k.replace("stoch_k", "stoch_d") in p.wanted})
+    # Recursions first, while the rows are narrow.
     if p.scans:
-        df = smoothing.smooth(df, p.scans, p.keys, ROW)
-    df = df.withColumns({k: v for k, v in p.stages[4].items() if not public(k) or k in p.wanted})
+        df = smooth(df, p.scans, p.keys, ROW)
+    df = df.withColumns(p.stages[1])
     if p.signals:
-        df = smoothing.smooth(df, p.signals, p.keys, ROW)
+        df = smooth(df, p.signals, p.keys, ROW)
+    public = lambda c: not c.startswith("__")
+    for stage in (2, 3, 4):
+        df = df.withColumns({k: v for k, v in p.stages[stage].items() if not public(k) or k in p.wanted or k.replace("stoch_k", "stoch_d") in p.wanted})
     df = df.withColumns({k: v for k, v in p.stages[5].items() if k in p.wanted})
+    df = df if keep is None else df.where(keep)
     return df.select(*keys, "segment_id", "end_ms", *[finite(F.col(n)).alias(n) for n in names])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wickworks.functions.catalogue import FAMILIES, NAMES
 from wickworks.operators import candles as cd
-from wickworks.operators import features, names, quality, segments, ticks, validate
+from wickworks.operators import chunked, features, names, quality, segments, ticks, validate
 from wickworks.plans import feature_sql as fs
 from wickworks.plans import fixtures as fx
 
@@ -235,6 +235,14 @@ for _name in ("ema_distance", "rsi", "obv", "relative_volume", "stochastic"):
     query(fs.family_sql(_name, _BY_PRIORITY, fx.DAY), f"feature_{_name}_daily_reset")(_daily_features(FAMILIES[_name]))
 
 
+def _chunked(family: str):
+    return lambda spark, sf_dir: _rounded(chunked.compute(fx.daily(spark, sf_dir), KEYS, fx.DAY, FAMILIES[family], chunk_rows=512), FAMILIES[family])
+
+
+for _name in ("ema_distance", "macd", "relative_volume"):
+    query(fs.family_sql(_name, _ORDERS, fx.DAY), f"feature_{_name}_daily_chunked")(_chunked(_name))
+
+
 @query()
 def features_full_130(spark, sf_dir):
     """All features of hourly candles, with the end as a timestamp and the symbol: 130 columns."""
