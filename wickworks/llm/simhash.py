@@ -12,9 +12,11 @@ zero and link like any other. Each row returns a row, repeated rows included; ro
 fingerprint's other rows, or null.
 
 near_duplicates: the same comparison for a similarity of sets of five-word shingles. Four times as many bits let a radius hold every
-pair at or over the similarity (mean distance 39 of 256 at 0.8, deviation 6; the radius 60 is over three deviations further, and
-unrelated texts are at 128). Tiles are bands of set sizes, of which only neighbours can reach the similarity. The forest's edges are
-then verified exactly on the shingle sets. Texts with no words are copies of each other.
+pair at or over the similarity: at 0.8 the mean distance is 39 of 256 with a deviation of 6, up to 48 for sets of a few shingles, the
+radius is 76, and unrelated texts are at 128 with a deviation of 8. All pairs of two tiles are compared on the first half of the bits
+(mean 19 to 24, deviation 4; radius 44), and those that are left on the rest. Tiles are narrow bands of set sizes, of which only those
+within the similarity's ratio can hold a pair. The forest's edges are then verified exactly on the shingle sets. Texts with no words
+are copies of each other. The comparison of a band is quadratic in its distinct texts: that is the method's price.
 """
 
 from __future__ import annotations
@@ -47,7 +49,9 @@ class Near:
 
     words: int = 5
     similarity: float = 0.8
-    radius: int = 60
+    radius: int = 76
+    half_radius: int = 44
+    bands: int = 3  # bands of sizes in a ratio of the similarity
 
 
 def shingle_hashes(text: str, k: int) -> np.ndarray:
@@ -125,24 +129,28 @@ def forest(i: np.ndarray, j: np.ndarray, distance: np.ndarray, n: int) -> list[i
     return out
 
 
-def near_pairs(a: list[np.ndarray], b: list[np.ndarray], radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All (place in a, place in b, distance) within the radius; a and b are lists of words of the fingerprints."""
+def near_pairs(a: list[np.ndarray], b: list[np.ndarray], radius: int, dense: int = 1, dense_radius: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All (place in a, place in b, distance) within the radius; a and b are lists of words of the fingerprints.
+
+    The first `dense` words of all pairs are compared, and the others' of the pairs within dense_radius on those.
+    """
     found = []
-    step = max(1, (1 << 18) // max(1, len(b[0])))
+    step = max(1, (1 << 17) // max(1, len(b[0])))
     for at in range(0, len(a[0]), step):
-        d = np.bitwise_count(a[0][at : at + step, None] ^ b[0][None, :])
-        i, j = np.nonzero(d <= radius)
-        d = d[i, j].astype(np.int64)
+        far = np.bitwise_count(a[0][at : at + step, None] ^ b[0][None, :])
+        for x, y in zip(a[1:dense], b[1:dense], strict=True):
+            far += np.bitwise_count(x[at : at + step, None] ^ y[None, :])
+        i, j = np.divmod(np.flatnonzero(far.ravel() <= (radius if dense_radius is None else dense_radius)), len(b[0]))
+        d = far[i, j].astype(np.int64)
         i = i + at
-        for x, y in zip(a[1:], b[1:], strict=True):
+        for x, y in zip(a[dense:], b[dense:], strict=True):
             d = d + np.bitwise_count(x[i] ^ y[j])
-            near = d <= radius
-            i, j, d = i[near], j[near], d[near]
-        found.append((i, j, d))
+        near = d <= radius
+        found.append((i[near], j[near], d[near]))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
 
 
-def _compare(words: int, radius: int):
+def _compare(words: int, radius: int, dense: int, dense_radius: int | None):
     """The tile comparison for mapInArrow: rows (same, a, b) of two tiles to links (src, dst, distance)."""
 
     def lists(col: pa.Array) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
@@ -155,7 +163,7 @@ def _compare(words: int, radius: int):
         for batch in batches:
             src, dst, far = [], [], []
             for same, (na, a), (nb, b) in zip(batch.column("same").to_pylist(), lists(batch.column("a")), lists(batch.column("b")), strict=True):
-                i, j, d = near_pairs(a, b, radius)
+                i, j, d = near_pairs(a, b, radius, dense, dense_radius)
                 if same:
                     once = i < j
                     i, j, d = i[once], j[once], d[once]
@@ -178,7 +186,7 @@ def _offsets(radius: int) -> list[int]:
     return [x for x in codes if x >= 0]
 
 
-def links(nodes: DataFrame, words: int, radius: int, cell: Column, offsets: list[int]) -> DataFrame:
+def links(nodes: DataFrame, words: int, radius: int, cell: Column, offsets: list[int], dense: int = 1, dense_radius: int | None = None) -> DataFrame:
     """(src, dst, distance): a spanning forest of each tile pair's links between the distinct rows (node, w0, ...) of nodes.
 
     cell is an integer of a small range (its distinct values are broadcast: 17^4 counts or some dozens of bands), and a row can only
@@ -193,7 +201,7 @@ def links(nodes: DataFrame, words: int, radius: int, cell: Column, offsets: list
     left = left.withColumn("cell", F.col("cell_a") + F.col("step")).join(F.broadcast(sizes), "cell")
     left = left.select("cell", "cell_a", "part_a", "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).where("cell > cell_a or part >= part_a")
     pairs = left.join(tiles.select("cell", "part", F.col("tile").alias("b")), ["cell", "part"]).select((F.col("cell") == F.col("cell_a")).__and__(F.col("part") == F.col("part_a")).alias("same"), "a", "b")
-    return pairs.mapInArrow(_compare(words, radius), "src long, dst long, distance long")
+    return pairs.mapInArrow(_compare(words, radius, dense, dense_radius), "src long, dst long, distance long")
 
 
 def components(docs: DataFrame, k: int = 3, radius: int = RADIUS) -> DataFrame:
@@ -235,8 +243,8 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
     sketches, _ = table(rows.select("id", "text_hash", sketch(F.col("text"), near.words).alias("s")).select("id", "text_hash", "s.*"), "sketches")
     words = [f"w{i}" for i in range(4)]
     reps, _ = table(sketches.groupBy("key").agg(F.min(F.struct("id", "text_hash")).alias("first"), F.first("n").alias("n"), *[F.first(w).alias(w) for w in words]), "reps")
-    band = F.floor(F.log(F.greatest("n", F.lit(1))) / -np.log(near.similarity))
-    found, found_at = table(links(reps.select(F.col("key").alias("node"), "n", *words), 4, near.radius, band, [0, 1]).select("src", "dst").distinct(), "links")
+    band = F.floor(F.log(F.greatest("n", F.lit(1))) / -np.log(near.similarity) * near.bands)
+    found, found_at = table(links(reps.select(F.col("key").alias("node"), "n", *words), 4, near.radius, band, list(range(near.bands + 1)), 2, near.half_radius).select("src", "dst").distinct(), "links")
     ends = found.select(F.col("src").alias("key")).union(found.select("dst")).distinct().join(reps, "key").select("key", "first.*")
     sets = rows.join(ends, ["id", "text_hash"]).groupBy("key").agg(F.min("text").alias("text")).select("key", _sets(near.words)(F.col("text")).alias("set"))
     sets, sets_at = table(sets, "sets")
