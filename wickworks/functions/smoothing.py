@@ -49,13 +49,14 @@ def rma(out: str, x: str, period: int, start: int = 0) -> Scan:
     return Scan(out, x, period, 1 / period, start)
 
 
-def smooth(df: DataFrame, scans: Sequence[Scan], keys: Sequence[str], row: str, at: str | None = None, live: Column | None = None, seeded: bool = False) -> DataFrame:
-    """Adds each scan's column. row counts a segment's rows from 0 in order.
+def smooth(df: DataFrame, scans: Sequence[Scan], keys: Sequence[str], row: str, order: str | None = None, at: str | None = None, live: Column | None = None, seeded: bool = False) -> DataFrame:
+    """Adds each scan's column. row counts a segment's rows from 0; order is a column of the same order that other windows sort by.
 
     For a part of a segment, at counts the part's rows and live tells them from the rows before it, which add nothing; the result then
     is what the part's own rows add. seeded: the seeds are there, in __seed_<out>.
     """
-    index, ordered = F.col(row), Window.partitionBy(*keys).orderBy(row)
+    order = order or row
+    index, ordered = F.col(row), Window.partitionBy(*keys).orderBy(order)
     at = F.col(at or row)
     live = F.lit(True) if live is None else live
     temp: list[str] = []
@@ -73,7 +74,7 @@ def smooth(df: DataFrame, scans: Sequence[Scan], keys: Sequence[str], row: str,
     for s in scans:
         q, o = F.lit(1 - s.alpha), F.col(f"__o_{s.block}")
         y = F.when(~live | (index < s.seed_row), 0.0).when(index == s.seed_row, F.col(f"__seed_{s.out}")).otherwise(s.alpha * F.col(s.x))
-        inside = Window.partitionBy(*keys, f"__b_{s.block}").orderBy(row).rowsBetween(Window.unboundedPreceding, 0)
+        inside = Window.partitionBy(*keys, f"__b_{s.block}").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         local[f"__l_{s.out}"] = F.pow(q, o) * F.sum(y * F.pow(q, -o)).over(inside)
     add(local)
     past = ordered.rowsBetween(Window.unboundedPreceding, -1)

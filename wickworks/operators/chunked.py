@@ -52,7 +52,7 @@ def indexed(candles: DataFrame, keys: Sequence[str], step_ms: int, chunk_rows: i
 
 
 def _smooth(keys: Sequence[str]):
-    def run(df: DataFrame, scans: Sequence[smoothing.Scan], partition: Sequence[str], row: str) -> DataFrame:
+    def run(df: DataFrame, scans: Sequence[smoothing.Scan], partition: Sequence[str], row: str, order: str) -> DataFrame:
         """Inside each chunk over its own rows from zero, then the carry of the chunks before."""
         segment = [*keys, "segment_id"]
         df = scratch.table(df, "chunks")  # each join below would make its input again
@@ -62,7 +62,7 @@ def _smooth(keys: Sequence[str]):
         df = df.join(seeds, [*segment, CHUNK])
         own = Window.partitionBy(*partition).orderBy("end_ms")
         df = df.withColumn("__pos", F.sum(F.col(OWN).cast("long")).over(own.rowsBetween(Window.unboundedPreceding, 0)) - 1)
-        df = smoothing.smooth(df, scans, partition, row, at="__pos", live=F.col(OWN), seeded=True)
+        df = smoothing.smooth(df, scans, partition, row, order, at="__pos", live=F.col(OWN), seeded=True)
         df = scratch.table(df, "smoothed")
         ends = df.where(OWN).groupBy(*segment, CHUNK).agg(F.count("*").alias("__len"), *[F.max_by(s.out, "end_ms").alias(f"__end_{s.out}") for s in scans])
         before = Window.partitionBy(*segment).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)

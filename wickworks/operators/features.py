@@ -185,7 +185,7 @@ def compute(candles: DataFrame, keys: Sequence[str], names: Sequence[str] = cat.
 def compute_over(candles: DataFrame, keys: Sequence[str], partition: Sequence[str], names: Sequence[str], smooth, keep: Column | None = None) -> DataFrame:
     """compute() for rows that have their index in the segment in ROW, with windows over the given partition of them.
 
-    smooth(df, scans, partition, row) adds the recursive columns; rows where keep is false only serve as history.
+    smooth(df, scans, partition, row, order) adds the recursive columns; rows where keep is false only serve as history.
     """
     unknown = sorted(set(names) - set(cat.NAMES))
     if unknown:
@@ -214,10 +214,10 @@ def compute_over(candles: DataFrame, keys: Sequence[str], partition: Sequence[st
     })
     # Recursions first, while the rows are narrow.
     if p.scans:
-        df = smooth(df, p.scans, p.keys, ROW)
+        df = smooth(df, p.scans, p.keys, ROW, "end_ms")
     df = df.withColumns(p.stages[1])
     if p.signals:
-        df = smooth(df, p.signals, p.keys, ROW)
+        df = smooth(df, p.signals, p.keys, ROW, "end_ms")
     public = lambda c: not c.startswith("__")
     for stage in (2, 3, 4):
         df = df.withColumns({k: v for k, v in p.stages[stage].items() if not public(k) or k in p.wanted or k.replace("stoch_k", "stoch_d") in p.wanted})
