@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +46,18 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def bounded_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> tuple[pa.Array, list]:
+    """Whole texts and labels of at most max_rows documents: those with a label, first by a hash of the id, the least label of several.
+
+    Only ids are sorted and cut; the texts come by a join with those ids, which max_rows bounds, so they are broadcast.
+    """
+    ids = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("__ww_id")).agg(F.min(label).alias("__ww_label"))
+    ids = ids.orderBy(F.xxhash64("__ww_id"), "__ww_id").limit(max_rows)
+    found = docs.select(F.col("doc_id").alias("__ww_id"), F.col("text").alias("__ww_text")).where(F.col("__ww_text").isNotNull()).join(F.broadcast(ids), "__ww_id")
+    found = found.groupBy("__ww_id", "__ww_label").agg(F.min("__ww_text").alias("__ww_text")).toArrow().sort_by("__ww_id")
+    return found["__ww_text"].combine_chunks(), found["__ww_label"].to_pylist()
+
+
 def connected_components(edges: DataFrame, name: str = "cc") -> DataFrame:
     """Components of an undirected graph: (src long, dst long) to (node, component = its smallest node).
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from wickworks.llm import textbytes as tb
 from wickworks.llm import urlfilter
-from wickworks.llm.common import table
+from wickworks.llm.common import bounded_sample, table
 
 
 @dataclass(frozen=True)
@@ -88,8 +88,7 @@ def declared(html: Column) -> Column:
 
 def identify(pages: DataFrame, labelled: DataFrame, s: Settings = Settings()) -> DataFrame:
     """page_id, lang, confidence, text_lang, declared and host of every row. labelled has doc_id, text and lang."""
-    known = labelled.where("text is not null and lang is not null").select("doc_id", "text", "lang").orderBy(F.xxhash64("doc_id"), "doc_id").limit(s.max_rows).toArrow()
-    names, model = train(known["text"].combine_chunks(), known["lang"].to_pylist(), s)
+    names, model = train(*bounded_sample(labelled, labelled, "lang", s.max_rows), s)
     if not names:
         names, model = ["und"], np.zeros((1, 1 << s.bits), np.float32)
     score = F.arrow_udf(lambda texts: pa.array(list(likelihoods(texts, model, s)), pa.list_(pa.float64())), "array<double>")

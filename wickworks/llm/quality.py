@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wickworks.llm import textbytes as tb
-from wickworks.llm.common import held_out
+from wickworks.llm.common import bounded_sample, held_out
 
 
 @dataclass(frozen=True)
@@ -113,13 +113,9 @@ def scores(texts: pa.Array, w: np.ndarray, s: Settings = Settings()) -> np.ndarr
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> tuple[pa.Array, np.ndarray]:
-    """Whole texts and labels of at most max_rows documents that aren't held out, first by a hash of the id."""
-    ids = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).where(~held_out(F.col("doc_id")))
-    ids = ids.groupBy(F.col("doc_id").alias("__ww_id")).agg(F.min(label).alias("__ww_label"))
-    ids = ids.orderBy(F.xxhash64("__ww_id"), "__ww_id").limit(max_rows)
-    found = docs.select(F.col("doc_id").alias("__ww_id"), F.col("text").alias("__ww_text")).join(F.broadcast(ids), "__ww_id")
-    found = found.groupBy("__ww_id", "__ww_label").agg(F.min("__ww_text").alias("__ww_text")).toArrow().sort_by("__ww_id")
-    return found["__ww_text"].combine_chunks(), found["__ww_label"].to_numpy().astype(float)
+    """Texts and labels of a bounded sample of documents that aren't held out."""
+    texts, y = bounded_sample(docs, labels.where(~held_out(F.col("doc_id"))), label, max_rows)
+    return texts, np.array(y, float)
 
 
 def score(text: Column, w: np.ndarray, s: Settings = Settings()) -> Column:
