@@ -54,6 +54,11 @@ def test_extract_then_features(spark, tmp_path):
     (report,) = runs.extract(spark, cfg(tmp_path))
     assert report["status"] == "passed" and report["rows"] == report["expected_rows"] == 48
     assert json.loads((tmp_path / "out/um/ABCUSDT/1h/ABCUSDT-1h-2024-01-01-2024-01-02-klines.validation.json").read_text())["rows"] == 48
+    zips = sorted((tmp_path / "raw/um/ABCUSDT/1h").glob("*.zip"))
+    assert [(x["rows"], x["sha256"]) for x in report["sources"]] == [(24, hashlib.sha256(z.read_bytes()).hexdigest()) for z in zips]
+    csv_file = archives.unpack(spark, str(zips[0]))
+    with zipfile.ZipFile(zips[0]) as z:
+        assert open(csv_file, "rb").read() == z.read(z.namelist()[0])
     with pytest.raises(FileExistsError):
         runs.extract(spark, cfg(tmp_path))
     summary = runs.generate_dataset(spark, config.FeatureConfig(str(tmp_path / "out"), str(tmp_path / "features")))
@@ -165,6 +170,9 @@ def test_generic_files(spark, tmp_path):
     assert [r["end_ms"] for r in out.orderBy("end_ms").collect()] == [D0 + HOUR, D0 + 2 * HOUR] and "trade_count" in out.columns
     with pytest.raises(ValueError, match="unit"):
         tables.read_generic(spark, str(tmp_path / "a.csv"))
+    (tmp_path / "b.csv").write_text("time,open,high,low,close,volume,symbol\n1,1,1,1,1,1,A\n2,1,1,1,1,1,B\n")
+    with pytest.raises(ValueError, match="more than one instrument"):
+        tables.read_generic(spark, str(tmp_path / "b.csv"), unit="s")
     with pytest.raises(ValueError, match="role"):
         tables.ends(out, HOUR, "start", 5)
     with pytest.raises(ValueError, match="several columns"):

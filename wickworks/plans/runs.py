@@ -80,6 +80,8 @@ def extract(spark: SparkSession, config: ExtractConfig, overwrite: bool = False)
         else:
             checked = archives.klines(archives.read(spark, paths, archives.KLINE, "aliases"), config.market, symbol, config.interval)
             span = checked.agg(F.count("*").alias("rows"), F.min("open_ms").alias("first_open_ms"), F.max("open_ms").alias("last_open_ms")).first().asDict()
+            per_file = checked.groupBy(F.regexp_extract("file", "([^/]+)$", 1).alias("file")).agg(F.count("*").alias("rows"))
+            report |= {"sources": [r.asDict() for r in archives.sources(spark, paths).join(per_file, "file").sort("file").collect()]}
             report |= span | {"status": "passed", "expected_rows": len(paths) * cd.DAY_MS // cd.interval_ms(config.interval)}
             if config.output_format == "parquet":
                 publish.candles_parquet(archives.candles_of(checked), target, mode, report)

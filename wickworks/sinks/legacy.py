@@ -63,3 +63,20 @@ def merge_csv(spark: SparkSession, folder: str, target: str) -> list[str]:
         text_csv(rows.select("file", "__at", *columns), f"{target}/{name}", ["file", "__at"], "overwrite")
         out.append(name)
     return out
+
+
+def merge_xlsx(spark: SparkSession, folder: str, target: str) -> int:
+    """One workbook of all daily rows in yearly order, streamed to the driver; needs openpyxl. Returns the number of rows."""
+    try:
+        from openpyxl import Workbook
+    except ImportError as e:
+        raise RuntimeError("Excel output needs openpyxl") from e
+    rows = yearly(spark, folder).drop("file", "file_coin", "file_interval", "file_year")
+    book = Workbook(write_only=True)
+    sheet = book.create_sheet("candles")
+    sheet.append(rows.columns)
+    n = 0
+    for n, r in enumerate(rows.toLocalIterator(prefetchPartitions=True), 1):
+        sheet.append(list(r))
+    book.save(target)
+    return n

@@ -94,6 +94,26 @@ def read(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str]
     return files.select("path", "content").mapInArrow(unpack, "file string, line long, " + ", ".join(f"`{c}` string" for c in columns))
 
 
+def sources(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(file, bytes, sha256) of archives."""
+    return spark.read.format("binaryFile").load(list(paths)).select(F.regexp_extract("path", "([^/]+)$", 1).alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+def unpack(spark: SparkSession, path: str) -> str:
+    """Writes an archive's CSV beside it, byte for byte, and returns its path."""
+    from wickworks.sinks.publish import Store
+
+    content = bytes(spark.read.format("binaryFile").load(path).first()["content"])
+    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        members = [m for m in archive.infolist() if not m.is_dir()]
+        if len(members) != 1:
+            raise ValueError(f"{path}: expected one member")
+        text = archive.read(members[0]).decode("utf-8")
+    target = path.rsplit(".", 1)[0] + ".csv"
+    Store(spark, target).write_text(target, text)
+    return target
+
+
 def daily_paths(folder: str, symbol: str, kind: str, start: date, end: date) -> list[str]:
     """The archives of each day from start to end, both in."""
     return [f"{folder.rstrip('/')}/{symbol}-{kind}-{start + timedelta(days=i)}.zip" for i in range((end - start).days + 1)]

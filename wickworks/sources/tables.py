@@ -50,6 +50,9 @@ def read_generic(spark: SparkSession, path: str, timestamp: str | None = None, u
     else:
         raw = spark.read.option("header", "true").option("inferSchema", "true").option("sep", "\t" if ".tsv" in low else ",").csv(path)
     found = names.resolve(raw.columns)
+    for c in (c for c in raw.columns if names.normal_text(c) in ("symbol", "pair", "ticker")):
+        if raw.select(F.coalesce(F.col(c).cast("string"), F.lit("\0"))).distinct().limit(2).count() > 1:
+            raise ValueError(f"more than one instrument in {c}")
     stamps = [timestamp] if timestamp else [c for c in raw.columns if names.normal_text(c) in names.TIMES]
     if len(stamps) != 1:
         raise ValueError(f"name the timestamp column; candidates: {stamps}")
