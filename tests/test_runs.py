@@ -209,7 +209,7 @@ def test_intervals_and_layouts():
 
 
 def test_legacy_layout_text(spark):
-    row = ("binance", "um", "A", "1h", "trade", D0, D0 + HOUR - 1, D0 + HOUR, "1.5", "2", "1", "1.7", "10", 3, "4")
+    row = ("venue", "um", "A", "1h", "trade", D0, D0 + HOUR - 1, D0 + HOUR, "1.5", "2", "1", "1.7", "10", 3, "4")
     df = spark.createDataFrame([row], ", ".join(f"`{c}` {'long' if c.endswith('_ms') or c == 'trade_count' else 'string'}" for c in cd.LEGACY_COLUMNS))
     out, interval = tables.checked(cd.canonical(df))
     assert interval == "1h" and out.first()["close"] == 1.7

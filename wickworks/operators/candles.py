@@ -85,11 +85,14 @@ def resample(candles: DataFrame, keys: Sequence[str], step_ms: int) -> DataFrame
     ).withColumn("end_ms", F.col("open_ms") + step_ms)
 
 
-def from_extractor(candles: DataFrame) -> DataFrame:
-    """Extractor layout to the canonical columns: exchange and price family are constants, times become milliseconds."""
+def from_extractor(candles: DataFrame, exchange: str = "venue") -> DataFrame:
+    """Extractor layout to the canonical columns: exchange and price family are constants, times become milliseconds.
+
+    The files don't name their exchange; its name is part of series ids, so give the one that other runs use.
+    """
     ms = lambda c: F.unix_millis(F.col(c).cast("timestamp"))
     return candles.select(
-        F.lit("binance").alias("exchange"), F.col("market").alias("product"), "symbol", "interval", F.lit("trade").alias("price_family"),
+        F.lit(exchange).alias("exchange"), F.col("market").alias("product"), "symbol", "interval", F.lit("trade").alias("price_family"),
         ms("open_time").alias("open_ms"), ms("close_time").alias("close_ms"), ms("feature_available_at").alias("end_ms"),
         "open", "high", "low", "close", "volume", "trade_count", "taker_buy_base_volume",
         (F.unix_micros(F.col("open_time").cast("timestamp")) % 1000 != 0).alias("below_ms"),
@@ -107,9 +110,9 @@ def from_legacy(candles: DataFrame) -> DataFrame:
     )
 
 
-def canonical(candles: DataFrame) -> DataFrame:
+def canonical(candles: DataFrame, exchange: str = "venue") -> DataFrame:
     """Either layout in canonical columns."""
-    return from_legacy(candles) if layout(candles.columns) == "legacy" else from_extractor(candles)
+    return from_legacy(candles) if layout(candles.columns) == "legacy" else from_extractor(candles, exchange)
 
 
 def utc_text(ms: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wickworks.operators.candles import DAY_MS, MARKETS
 
+# The syntax of whole and decimal numbers in archives.
 DIGITS = "^[0-9]+$"
 NUMBER = r"^[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 MAX_LONG = 2**63 - 1

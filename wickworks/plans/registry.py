@@ -281,10 +281,10 @@ def symbol_filenames(spark, sf_dir):
     return names.file_names(nation.select(F.col("n_name").alias("symbol")).union(nation.where("n_nationkey % 3 = 0").select(F.lower("n_name"))).union(part.select("p_name")))
 
 
-@query("""SELECT n_nationkey, substr(sha256('["binance", "um", "' || n_name || '", "1h", "trade"]'), 1, 24) AS series_id FROM nation""")
+@query("""SELECT n_nationkey, substr(sha256('["venue", "um", "' || n_name || '", "1h", "trade"]'), 1, 24) AS series_id FROM nation""")
 def series_ids(spark, sf_dir):
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    return nation.select("n_nationkey", names.series_id(F.lit("binance"), F.lit("um"), F.col("n_name"), F.lit("1h"), F.lit("trade")).alias("series_id"))
+    return nation.select("n_nationkey", names.series_id(F.lit("venue"), F.lit("um"), F.col("n_name"), F.lit("1h"), F.lit("trade")).alias("series_id"))
 
 
 @query(r"SELECT p_partkey, lower(regexp_replace(trim('  ' || p_name || '- ' || p_type || ' '), '[\s-]+', '_', 'g')) AS name FROM part")

@@ -11,7 +11,7 @@ from wickworks.operators import candles as cd
 from wickworks.operators import names, validate
 
 
-def read_candles(spark: SparkSession, path: str | Sequence[str], symbols: Sequence[str] = ()) -> DataFrame:
+def read_candles(spark: SparkSession, path: str | Sequence[str], symbols: Sequence[str] = (), exchange: str = "venue") -> DataFrame:
     """Canonical candles of a Parquet file or folder; the symbol filter reaches the scan. Unknown symbols are an error."""
     paths = [path] if isinstance(path, str) else list(path)
     raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").option("mergeSchema", "true").parquet(*paths)
@@ -20,7 +20,7 @@ def read_candles(spark: SparkSession, path: str | Sequence[str], symbols: Sequen
         if missing:
             raise ValueError(f"symbols not in the input: {sorted(missing)}")
         raw = raw.where(F.col("symbol").isin(*symbols))
-    return cd.canonical(raw)
+    return cd.canonical(raw, exchange)
 
 
 def checked(candles: DataFrame) -> tuple[DataFrame, str]:
