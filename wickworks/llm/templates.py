@@ -79,9 +79,10 @@ def dropped_lines(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
     for at_least, docs_needed in tree.bands[1:]:
         enough = F.when(F.col("n") >= at_least, docs_needed).otherwise(enough)
     recurring = once.groupBy("template", "n").agg(F.count("*").alias("documents"), F.min(F.struct("id", "text_hash", "no")).alias("first")).where(F.col("documents") >= enough)
+    recurring, recurring_at = table(recurring, "recurring")  # so that the join below can split a template of very many lines
     later = named.join(recurring, ["template", "n"]).where(F.struct("id", "text_hash", "no") != F.col("first"))
     out, _ = table(later.groupBy("id", "text_hash").agg(F.collect_set("no").alias("dropped")), "dropped")
-    for at in (lines_at, distinct_at, places_at, members_at, named_at):
+    for at in (lines_at, distinct_at, places_at, members_at, named_at, recurring_at):
         drop_table(spark, at)
     return out
 
