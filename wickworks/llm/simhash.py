@@ -37,6 +37,8 @@ from wickworks.llm.common import NO_ID, connected_components, drop_table, table
 SEED = 42
 RADIUS = 2
 TILE = 2048
+#: Pairs compared at a time, and links held before they are cut down to a forest.
+STEP_PAIRS, HELD_LINKS = 1 << 17, 1 << 17
 #: Shingles whose bits are counted at a time, so that a very long text takes bounded memory.
 COUNT_ROWS = 1 << 15
 
@@ -129,13 +131,12 @@ def forest(i: np.ndarray, j: np.ndarray, distance: np.ndarray, n: int) -> list[i
     return out
 
 
-def near_pairs(a: list[np.ndarray], b: list[np.ndarray], radius: int, dense: int = 1, dense_radius: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All (place in a, place in b, distance) within the radius; a and b are lists of words of the fingerprints.
+def near_pairs(a: list[np.ndarray], b: list[np.ndarray], radius: int, dense: int = 1, dense_radius: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """All (place in a, place in b, distance) within the radius, some rows of a at a time; a and b are lists of words of fingerprints.
 
     The first `dense` words of all pairs are compared, and the others' of the pairs within dense_radius on those.
     """
-    found = []
-    step = max(1, (1 << 17) // max(1, len(b[0])))
+    step = max(1, STEP_PAIRS // max(1, len(b[0])))
     for at in range(0, len(a[0]), step):
         far = np.bitwise_count(a[0][at : at + step, None] ^ b[0][None, :])
         for x, y in zip(a[1:dense], b[1:dense], strict=True):
@@ -146,8 +147,32 @@ def near_pairs(a: list[np.ndarray], b: list[np.ndarray], radius: int, dense: int
         for x, y in zip(a[dense:], b[dense:], strict=True):
             d = d + np.bitwise_count(x[i] ^ y[j])
         near = d <= radius
-        found.append((i[near], j[near], d[near]))
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+        yield i[near], j[near], d[near]
+
+
+def near_forest(a: list[np.ndarray], b: list[np.ndarray], same: bool, *limits) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A spanning forest of the nearest of near_pairs' links. Links are cut down to a forest whenever HELD_LINKS have gathered, which
+    changes nothing in the end, so a crowd of copies takes no more memory than one step's links."""
+    n = len(a[0]) + (0 if same else len(b[0]))
+    none = np.zeros(0, np.int64)
+    parts, size = [], 0
+
+    def reduced() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        i, j, d = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (none, none, none)
+        picked = forest(i, j if same else j + len(a[0]), d, n)
+        return i[picked], j[picked], d[picked]
+
+    for i, j, d in near_pairs(a, b, *limits):
+        if same:
+            once = i < j
+            i, j, d = i[once], j[once], d[once]
+        if len(i):
+            parts.append((i, j, d))
+            size += len(i)
+            if size > HELD_LINKS:
+                parts = [reduced()]
+                size = len(parts[0][0])
+    return reduced()
 
 
 def _compare(words: int, radius: int, dense: int, dense_radius: int | None):
@@ -163,15 +188,10 @@ def _compare(words: int, radius: int, dense: int, dense_radius: int | None):
         for batch in batches:
             src, dst, far = [], [], []
             for same, (na, a), (nb, b) in zip(batch.column("same").to_pylist(), lists(batch.column("a")), lists(batch.column("b")), strict=True):
-                i, j, d = near_pairs(a, b, radius, dense, dense_radius)
-                if same:
-                    once = i < j
-                    i, j, d = i[once], j[once], d[once]
-                if len(i):
-                    picked = forest(i, j if same else j + len(na), d, len(na) + (0 if same else len(nb)))
-                    src.append(na[i[picked]])
-                    dst.append(nb[j[picked]])
-                    far.append(d[picked])
+                i, j, d = near_forest(a, b, same, radius, dense, dense_radius)
+                src.append(na[i])
+                dst.append(nb[j])
+                far.append(d)
             cat = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(cat(x), pa.int64()) for x in (src, dst, far)], ["src", "dst", "distance"])
 
@@ -214,7 +234,8 @@ def components(docs: DataFrame, k: int = 3, radius: int = RADIUS) -> DataFrame:
     linked = connected_components(links(nodes, 1, radius, cell, _offsets(radius)), "simhash")
     least = reps.join(linked, reps.fp == linked.node).groupBy("component").agg(F.min("least").alias("joint"))
     joint = linked.join(least, "component").select(F.col("node").alias("fp"), "joint")
-    to = reps.join(joint, "fp", "left").select("fp", F.coalesce("joint", "least").alias("component_id"))
+    # As a table of its own it meets the rows in a join that can split a fingerprint with very many of them.
+    to, _ = table(reps.join(joint, "fp", "left").select("fp", F.coalesce("joint", "least").alias("component_id")), "members")
     return prints.join(to, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -256,6 +277,7 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
     joined = reps.join(linked, reps.key == linked.node, "left").select("key", "first", F.coalesce("component", "key").alias("component"))
     firsts = joined.groupBy("component").agg(F.min("first").alias("group_first"))
     to = joined.join(firsts, "component").select("key", F.col("group_first.id").alias("first_id"), F.col("group_first.text_hash").alias("first_hash"))
+    to, _ = table(to, "firsts")  # so that the join below can split a set that very many rows have
     return sketches.join(to, "key").select("id", "text_hash", "first_id", "first_hash")
 
 
