@@ -44,10 +44,38 @@ def shingles(w: Column, k: int) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(w) - (k - 1)), lambda i: F.xxhash64(F.slice(w, i, k)))
 
 
+PLANES = 12
+
+
 def simhash(hashes: Column) -> Column:
-    """The 64 bits set in over half the hashes, in one pass with eight counts a long, summed by bytes."""
+    """The 64 bits set in over half the hashes.
+
+    The 64 counts are kept at once in binary, a long for each binary digit: adding a hash is a ripple of exclusive-or and and, and the
+    comparison with half the number of hashes goes digit by digit from the highest. Arrays too long for the digits are counted bit by bit.
+    """
+    zero, ones = F.lit(0).cast("long"), F.lit(-1).cast("long")
+
+    def add(acc: Column, h: Column) -> Column:
+        carry, out = h, []
+        for i in range(PLANES):
+            out.append(acc[f"p{i}"].bitwiseXOR(carry).alias(f"p{i}"))
+            carry = acc[f"p{i}"].bitwiseAND(carry)
+        return F.struct(*out)
+
+    def over_half(acc: Column) -> Column:
+        more, same = zero, ones
+        for i in reversed(range(PLANES)):
+            half = F.when(F.floor(F.size(hashes) / 2).cast("long").bitwiseAND(F.lit(1 << i).cast("long")) != 0, ones).otherwise(zero)
+            plane = acc[f"p{i}"]
+            more, same = more.bitwiseOR(same.bitwiseAND(plane).bitwiseAND(F.bitwise_not(half))), same.bitwiseAND(F.bitwise_not(plane.bitwiseXOR(half)))
+        return more
+
+    planes = F.aggregate(hashes, F.struct(*[zero.alias(f"p{i}") for i in range(PLANES)]), add)
+    # Bound to a lambda's variable, the digits are made once.
+    short = F.transform(F.array(planes), over_half)[0]
     bit = lambda b: F.size(F.filter(hashes, lambda h: F.call_function("getbit", h, b) == 1)) * 2 > F.size(hashes)
-    return F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("long"), lambda acc, b: F.when(bit(b), acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), b))).otherwise(acc))
+    long = F.aggregate(F.sequence(F.lit(0), F.lit(63)), zero, lambda acc, b: F.when(bit(b), acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), b))).otherwise(acc))
+    return F.when(F.size(hashes) < (1 << PLANES), short).otherwise(long)
 
 
 def blocks(fp: Column, radius: int) -> Column:
@@ -85,7 +113,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, m: Match = Match()) -> DataFr
             seen = at.withColumn("h", h).join(F.broadcast(part), "h").select("id", "text_hash", "w", "i", F.explode("uses").alias("u"))
             seen = seen.select("id", "text_hash", "w", "i", "u.place", "u.size").select("id", "text_hash", F.greatest(F.col("i") - F.col("place"), F.lit(0)).alias("start"), "size", window.alias("window"))
             windows = seen.groupBy("id", "text_hash", "start", "size").agg(F.first("window").alias("window")).withColumn("shingles", shingles(F.col("window"), k))
-            windows = windows.where(F.size("window") >= k).withColumn("fp", simhash(F.col("shingles")))
+            windows = windows.where(F.size("window") >= k).select("id", "text_hash", "start", "size", "shingles", simhash(F.col("shingles")).alias("fp"))
+            windows, _ = table(windows, "windows")  # else the join's null filter would make the fingerprints once more
             left = windows.select("id", "text_hash", "start", "size", "shingles", "fp", F.inline(blocks(F.col("fp"), m.radius)))
             right = own.select("item_id", "size", F.col("shingles").alias("item_shingles"), F.col("fp").alias("item_fp"), F.inline(blocks(F.col("fp"), m.radius)))
             near = left.join(right, ["size", "block", "bits"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= m.radius)
