@@ -6,8 +6,8 @@ the table of P(declared | language) comes from the pages' text posteriors. Prior
 all pages, the address's suffix, the registered name, the host; each level is smoothed by the one above with a fixed weight, and a
 page's own posterior is taken out of its host's counts. The posterior is the product of text, declaration and host prior.
 
-The trigram model is trained on a bounded sample, max_rows documents with a known lang, first by a hash of their ids. Null url or html
-count as empty; a page without text, declaration or host gets the overall prior. Host counts are joined by salted keys, so a host with
+The trigram model is trained on a bounded sample, max_rows documents with a known lang, first by a hash of their ids. Null url, html
+or text counts as empty; a page without text, declaration or host gets the overall prior. Host counts are joined by salted keys, so a host with
 a third of all pages is spread over tasks.
 """
 
@@ -86,15 +86,30 @@ def declared(html: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(html, F.lit("")), r"""(?is)<html\b[^>]*?\s(?:xml:)?lang\s*=\s*["']?\s*([a-z]+)""", 1))
 
 
-def identify(pages: DataFrame, labelled: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """page_id, lang, confidence, text_lang, declared and host of every row. labelled has doc_id, text and lang."""
+def _of_pages(pages: DataFrame) -> DataFrame:
+    host = urlfilter.host(F.col("url"))
+    parts = F.split(F.regexp_replace(host, ":[0-9]*$", ""), "\\.")
+    name = F.array_join(F.slice(parts, F.greatest(F.size(parts) - 1, F.lit(1)), F.lit(2)), ".")
+    return pages.select("page_id", F.lit(None).cast("long").alias("doc_id"), host.alias("host"), F.element_at(parts, -1).alias("suffix"), name.alias("name"), declared(F.col("html")).alias("declared"), visible(F.col("html")).alias("plain"))
+
+
+def _of_documents(docs: DataFrame) -> DataFrame:
+    """Documents have no address and no markup: their source stands for the host, under a suffix and a name of their own."""
+    own = F.lit("(document)")
+    return docs.select(F.lit(None).cast("long").alias("page_id"), "doc_id", F.coalesce("source", F.lit("")).alias("host"), own.alias("suffix"), own.alias("name"), F.lit("").alias("declared"), F.coalesce("text", F.lit("")).alias("plain"))
+
+
+def identify(pages: DataFrame, labelled: DataFrame, docs: DataFrame | None = None, s: Settings = Settings()) -> DataFrame:
+    """page_id, doc_id, lang, confidence, text_lang, declared and host of every row of pages and, if given, of docs.
+
+    labelled has doc_id, text and lang and serves to train; lang is never evidence for a row.
+    """
     names, model = train(*bounded_sample(labelled, labelled, "lang", s.max_rows), s)
     if not names:
         names, model = ["und"], np.zeros((1, 1 << s.bits), np.float32)
     score = F.arrow_udf(lambda texts: pa.array(list(likelihoods(texts, model, s)), pa.list_(pa.float64())), "array<double>")
-    host = urlfilter.host(F.col("url"))
-    parts = F.split(F.regexp_replace(host, ":[0-9]*$", ""), "\\.")
-    read = pages.select("page_id", host.alias("host"), F.element_at(parts, -1).alias("suffix"), F.array_join(F.slice(parts, F.greatest(F.size(parts) - 1, F.lit(1)), F.lit(2)), ".").alias("name"), declared(F.col("html")).alias("declared"), score(visible(F.col("html"))).alias("text_ll"))
+    rows = _of_pages(pages) if docs is None else _of_pages(pages).unionByName(_of_documents(docs))
+    read = rows.select("page_id", "doc_id", "host", "suffix", "name", "declared", score(F.col("plain")).alias("text_ll"))
     read, _ = table(read, "evidence")
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x)
     odds = F.transform("text_ll", lambda x: F.exp(x))
@@ -116,7 +131,7 @@ def identify(pages: DataFrame, labelled: DataFrame, s: Settings = Settings()) ->
     suffixes = suffixes.select("suffix", smoothed("x", [F.lit(b) for b in base]).alias("suffix_prior"))
     registered = hosts.groupBy("name", "suffix").agg(*again).alias("x").join(suffixes, "suffix")
     registered = registered.select("name", "suffix", smoothed("x", F.col("suffix_prior")).alias("name_prior"))
-    per_host = hosts.join(registered, ["name", "suffix"]).select("host", F.array(*[f"c{k}" for k in ks]).alias("counts"), "name_prior", F.explode(F.sequence(F.lit(0), F.lit(s.salts - 1))).alias("salt"))
+    per_host = hosts.join(registered, ["name", "suffix"]).select("host", "name", "suffix", F.array(*[f"c{k}" for k in ks]).alias("counts"), "name_prior", F.explode(F.sequence(F.lit(0), F.lit(s.salts - 1))).alias("salt"))
 
     trust = {}
     for r in read.groupBy(F.when(F.col("declared").isin(names), F.col("declared")).when(F.col("declared") == "", "none").otherwise("other").alias("said")).agg(*sums).collect():
@@ -129,13 +144,13 @@ def identify(pages: DataFrame, labelled: DataFrame, s: Settings = Settings()) ->
         claim = F.when(F.col("declared") == ("" if w == "none" else w), row).otherwise(claim) if w != "other" else claim
     claim = F.coalesce(claim, F.array(*[F.lit(float(np.log(x))) for x in table_["other"]]))
 
-    both = read.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(s.salts)).cast("int")).join(per_host, ["host", "salt"])
+    both = read.withColumn("salt", F.pmod(F.xxhash64("page_id", "doc_id"), F.lit(s.salts)).cast("int")).join(per_host, ["host", "name", "suffix", "salt"])
     n = F.greatest(total(F.col("counts")) - 1, F.lit(0.0))
     prior = F.array(*[(F.greatest(F.col("counts")[k] - F.col("post")[k], F.lit(0.0)) + s.prior_weight * F.col("name_prior")[k]) / (n + s.prior_weight) for k in ks])
-    both = both.select("page_id", "host", "declared", "text_ll", claim.alias("claim"), prior.alias("prior"))
-    fused = both.select("page_id", "host", "declared", "text_ll", F.array(*[F.col("text_ll")[k] + F.col("claim")[k] + F.log(F.col("prior")[k]) for k in ks]).alias("sum"))
+    both = both.select("page_id", "doc_id", "host", "declared", "text_ll", claim.alias("claim"), prior.alias("prior"))
+    fused = both.select("page_id", "doc_id", "host", "declared", "text_ll", F.array(*[F.col("text_ll")[k] + F.col("claim")[k] + F.log(F.col("prior")[k]) for k in ks]).alias("sum"))
     top = F.array_max("sum")
     lang = F.array(*[F.lit(x) for x in names])
     best = lambda a: F.get(lang, (F.array_position(a, F.array_max(a)) - 1).cast("int"))
     confidence = 1 / F.aggregate("sum", F.lit(0.0), lambda acc, x: acc + F.exp(x - top))
-    return fused.select("page_id", best(F.col("sum")).alias("lang"), confidence.alias("confidence"), best(F.col("text_ll")).alias("text_lang"), "declared", "host")
+    return fused.select("page_id", "doc_id", best(F.col("sum")).alias("lang"), confidence.alias("confidence"), best(F.col("text_ll")).alias("text_lang"), "declared", "host")

@@ -36,7 +36,8 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return langid.identify(spark.read.parquet(f"{sf_dir}/pages.parquet"), documents(spark, sf_dir))
+    docs = documents(spark, sf_dir)
+    return langid.identify(spark.read.parquet(f"{sf_dir}/pages.parquet"), docs, docs)
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
