@@ -205,6 +205,11 @@ def test_language_fuses_evidence(spark):
     assert by[500]["lang"] == "de" and by[501]["lang"] == "en" and by[502]["lang"] == "de", "host, suffix and declaration decide without text"
     assert by[503]["lang"] == "de", "enough text overrules declaration and host"
     assert langid.identify(pages.limit(0), labelled_langs(spark)).count() == 0
+    both = langid.identify(pages, labelled_langs(spark), nasty(spark).union(nasty(spark).limit(0)))
+    assert Counter(r["doc_id"] for r in both.where("page_id is null and doc_id is not null").collect()) == Counter(d for d, _ in nasty_rows() if d is not None)
+    assert both.count() == len(rows) + len(nasty_rows())
+    texts = langid.identify(pages.limit(0), labelled_langs(spark), labelled_langs(spark).withColumn("source", F.lit(None).cast("string")))
+    assert all(r["lang"] == ("en" if r["doc_id"] % 2 else "de") for r in texts.collect())
     assert {r["lang"] for r in langid.identify(pages, labelled_langs(spark).limit(0)).collect()} == {"und"}
 
 
@@ -309,6 +314,20 @@ def test_tile_comparison_finds_every_close_pair(spark):
     assert components_by_hand(links) == components_by_hand(every)
 
 
+def test_forest_of_a_crowd_in_bounded_steps(monkeypatch):
+    rng = np.random.default_rng(3)
+    base = np.uint64(0x123456789ABCDEF0)
+    crowd = np.array([base ^ np.uint64(sum(1 << int(k) for k in rng.choice(64, rng.integers(0, 5), replace=False))) for _ in range(300)], np.uint64)
+    other = crowd[::-1].copy()[:100]
+    whole = [simhash.near_forest([crowd], [b], same, 3) for same, b in ((True, crowd), (False, other))]
+    monkeypatch.setattr(simhash, "STEP_PAIRS", 900)
+    monkeypatch.setattr(simhash, "HELD_LINKS", 50)
+    for (same, b), (i, j, d) in zip(((True, crowd), (False, other)), whole, strict=True):
+        x, y, z = simhash.near_forest([crowd], [b], same, 3)
+        assert components_by_hand([(int(p), int(q) + 300 * (not same)) for p, q in zip(i, j, strict=True)]) == components_by_hand([(int(p), int(q) + 300 * (not same)) for p, q in zip(x, y, strict=True)])
+        assert d.sum() == z.sum() and all((crowd[p] ^ b[q]).bit_count() == r <= 3 for p, q, r in zip(x, y, z, strict=True))
+
+
 def test_tiles_split_crowded_cells(spark, monkeypatch):
     monkeypatch.setattr(simhash, "TILE", 5)
     test_simhash_components_equal_brute_force(spark)
@@ -451,7 +470,7 @@ def test_radius_holds_similar_windows():
 
 def test_simhash_column_equals_numpy(spark):
     rng = np.random.default_rng(1)
-    arrays = [[int(x) for x in rng.integers(-(2**63), 2**63, n, dtype=np.int64)] for n in (1, 2, 7, 40)]
+    arrays = [[int(x) for x in rng.integers(-(2**63), 2**63, n, dtype=np.int64)] for n in (1, 2, 7, 40, 4095, 4096, 5000)]
     df = spark.createDataFrame([(a,) for a in arrays], "h array<long>")
     got = [r["s"] for r in df.select(decontam.simhash(F.col("h")).alias("s")).collect()]
     assert got == [simhash.majority(np.array(a, np.int64).view(np.uint64)) for a in arrays]
