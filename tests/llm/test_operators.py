@@ -344,6 +344,24 @@ def test_near_duplicates_equal_brute_force(spark):
     assert {r["doc_id"] for r in simhash.keep_one(docs).collect()} == set(want)
 
 
+@pytest.mark.parametrize("set_bytes", [1 << 17, 8000])
+def test_links_are_verified_before_they_are_cut_to_a_forest(spark, monkeypatch, set_bytes):
+    """Texts about the similarity from each other: the nearest candidates are often under it, and must not displace links over it."""
+    monkeypatch.setattr(simhash, "SET_BYTES", (set_bytes, set_bytes))
+    rng, rows = random.Random(41), []
+    for g in range(3):
+        base = prose(rng, 150).split(" ")
+        for k in range(30):
+            words = list(base)
+            for at in rng.sample(range(0, 150, 6), rng.randint(1, 3)):
+                words[at] = f"v{k}x{at}"
+            rows.append((100 * g + k, " ".join(words)))
+    sets = [set(shingles(t, 5)) for _, t in rows]
+    want = grouped(rows, lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]))
+    got = {r["id"]: r["first_id"] for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[d] for d, _ in rows] == want
+
+
 def test_keep_one_on_odd_tables(spark):
     docs = nasty(spark)
     out = simhash.keep_one(docs)

@@ -15,8 +15,10 @@ near_duplicates: the same comparison for a similarity of sets of five-word shing
 pair at or over the similarity: at 0.8 the mean distance is 39 of 256 with a deviation of 6, up to 48 for sets of a few shingles, the
 radius is 76, and unrelated texts are at 128 with a deviation of 8. All pairs of two tiles are compared on the first half of the bits
 (mean 19 to 24, deviation 4; radius 44), and those that are left on the rest. Tiles are narrow bands of set sizes, of which only those
-within the similarity's ratio can hold a pair. The forest's edges are then verified exactly on the shingle sets. Texts with no words
-are copies of each other. The comparison of a band is quadratic in its distinct texts: that is the method's price.
+within the similarity's ratio can hold a pair. The forest only tells which texts hang together by candidates: of each such group all
+pairs within the radius are then verified exactly on the shingle sets, again tile against tile, and a forest is made of the links that
+passed. Texts with no words are copies of each other. The comparison of a band, and of a group, is quadratic in its distinct texts:
+that is the method's price.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ RADIUS = 2
 TILE = 2048
 #: Pairs compared at a time, and links held before they are cut down to a forest.
 STEP_PAIRS, HELD_LINKS = 1 << 17, 1 << 17
+#: Bytes of shingle sets in a tile: a share of the group's, within these bounds (a set that is longer is a tile by itself).
+SET_BYTES, SET_SHARE = (1 << 17, 1 << 22), 16
 #: Shingles whose bits are counted at a time, so that a very long text takes bounded memory.
 COUNT_ROWS = 1 << 15
 
@@ -150,9 +154,35 @@ def near_pairs(a: list[np.ndarray], b: list[np.ndarray], radius: int, dense: int
         yield i[near], j[near], d[near]
 
 
-def near_forest(a: list[np.ndarray], b: list[np.ndarray], same: bool, *limits) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A spanning forest of the nearest of near_pairs' links. Links are cut down to a forest whenever HELD_LINKS have gathered, which
-    changes nothing in the end, so a crowd of copies takes no more memory than one step's links."""
+def alike(a: list[np.ndarray], b: list[np.ndarray], similarity: float):
+    """A check of pairs (places in a, ascending, and in b) of sets of hashes: whether their similarity is so much or more."""
+    vocabulary = np.unique(np.concatenate([*b, np.zeros(0, np.uint64)]))
+    ids_b = [np.searchsorted(vocabulary, x) for x in b]
+    na, nb = np.array([len(x) for x in a], np.int64), np.array([len(x) for x in b], np.int64)
+    mark = np.zeros(len(vocabulary), bool)
+
+    def check(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        out = np.minimum(na[i], nb[j]) / np.maximum(1, np.maximum(na[i], nb[j])) >= similarity
+        at = np.flatnonzero(out)
+        for places in np.split(at, np.flatnonzero(np.diff(i[at])) + 1) if len(at) else ():
+            x, others = i[places[0]], j[places]
+            ids = np.searchsorted(vocabulary, a[x])
+            ids = ids[ids < len(vocabulary)]
+            ids = ids[np.isin(vocabulary[ids], a[x], assume_unique=True)]
+            mark[ids] = True
+            starts = np.cumsum(nb[others]) - nb[others]
+            both = np.add.reduceat(mark[np.concatenate([ids_b[y] for y in others])], starts, dtype=np.int64)
+            mark[ids] = False
+            out[places] = both / (na[x] + nb[others] - both) >= similarity
+        return out
+
+    return check
+
+
+def near_forest(a: list[np.ndarray], b: list[np.ndarray], same: bool, *limits, check=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A spanning forest of the nearest of near_pairs' links, of those that pass the check if there is one. Links are cut down to a
+    forest whenever HELD_LINKS have gathered, which changes nothing in the end, so a crowd of copies takes no more memory than one
+    step's links."""
     n = len(a[0]) + (0 if same else len(b[0]))
     none = np.zeros(0, np.int64)
     parts, size = [], 0
@@ -166,6 +196,9 @@ def near_forest(a: list[np.ndarray], b: list[np.ndarray], same: bool, *limits) -
         if same:
             once = i < j
             i, j, d = i[once], j[once], d[once]
+        if check:
+            passed = check(i, j)
+            i, j, d = i[passed], j[passed], d[passed]
         if len(i):
             parts.append((i, j, d))
             size += len(i)
@@ -175,20 +208,23 @@ def near_forest(a: list[np.ndarray], b: list[np.ndarray], same: bool, *limits) -
     return reduced()
 
 
-def _compare(words: int, radius: int, dense: int, dense_radius: int | None):
-    """The tile comparison for mapInArrow: rows (same, a, b) of two tiles to links (src, dst, distance)."""
+def _compare(words: int, radius: int, dense: int, dense_radius: int | None, similarity: float | None = None):
+    """The tile comparison for mapInArrow: rows (same, a, b) of two tiles to links (src, dst, distance).
 
-    def lists(col: pa.Array) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    With a similarity tiles have the rows' sets too, and links are those whose sets are as similar as that.
+    """
+
+    def lists(col: pa.Array) -> Iterator[tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]]:
         col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
         for x in col:
             v = x.values
-            yield np.asarray(v.field("node")), [np.asarray(v.field(f"w{k}")).view(np.uint64) for k in range(words)]
+            yield np.asarray(v.field("node")), [np.asarray(v.field(f"w{k}")).view(np.uint64) for k in range(words)], [np.frombuffer(s.as_py(), np.uint64) for s in v.field("set")] if similarity else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             src, dst, far = [], [], []
-            for same, (na, a), (nb, b) in zip(batch.column("same").to_pylist(), lists(batch.column("a")), lists(batch.column("b")), strict=True):
-                i, j, d = near_forest(a, b, same, radius, dense, dense_radius)
+            for same, (na, a, sets_a), (nb, b, sets_b) in zip(batch.column("same").to_pylist(), lists(batch.column("a")), lists(batch.column("b")), strict=True):
+                i, j, d = near_forest(a, b, same, radius, dense, dense_radius, check=alike(sets_a, sets_b, similarity) if similarity else None)
                 src.append(na[i])
                 dst.append(nb[j])
                 far.append(d)
@@ -246,16 +282,24 @@ def _sets(k: int):
     return F.arrow_udf(run, "binary")
 
 
-def _jaccard():
-    def run(a: pa.Array, b: pa.Array) -> pa.Array:
-        out = []
-        for x, y in zip(a, b, strict=True):
-            x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(both / max(1, len(x) + len(y) - both))
-        return pa.array(out, pa.float64())
-
-    return F.arrow_udf(run, "double")
+def verified(found: DataFrame, reps: DataFrame, sets: DataFrame, near: Near) -> DataFrame:
+    """(src, dst, distance): a forest of the links at or over the similarity between the reps (key, n, w0 to w3) that found's
+    candidate links (src, dst) join, directly or by others. sets has the (key, set) of all ends of found's links."""
+    words = [f"w{i}" for i in range(4)]
+    groups = connected_components(found, "candidates").withColumnsRenamed({"node": "key", "component": "group"})
+    members, members_at = table(groups.join(reps.select("key", "n", *words), "key"), "candidates")
+    size = F.sum("n") * 8
+    sizes, sizes_at = table(members.groupBy("group").agg(F.ceil(size / F.greatest(F.lit(SET_BYTES[0]), F.least(F.lit(SET_BYTES[1]), size / SET_SHARE))).cast("int").alias("parts")), "groups")
+    dealt = members.join(sizes, "group").withColumn("part", F.pmod(F.xxhash64("key"), F.greatest(F.col("parts"), F.lit(1))).cast("int"))
+    dealt, dealt_at = table(dealt, "dealt")  # so that the join above can split a large group
+    rows = F.struct(F.col("key").alias("node"), *words, "set")
+    tiles, tiles_at = table(dealt.join(sets, "key").groupBy("group", "part").agg(F.first("parts").alias("parts"), F.collect_list(rows).alias("tile")), "set-tiles")
+    left = tiles.select("group", F.col("part").alias("part_a"), F.col("tile").alias("a"), F.explode(F.sequence(F.col("part"), F.greatest(F.col("parts") - 1, F.col("part")))).alias("part"))
+    pairs = left.join(tiles.select("group", "part", F.col("tile").alias("b")), ["group", "part"]).select((F.col("part") == F.col("part_a")).alias("same"), "a", "b")
+    out, _ = table(pairs.mapInArrow(_compare(4, near.radius, 2, near.half_radius, near.similarity), "src long, dst long, distance long"), "verified")
+    for at in (members_at, sizes_at, dealt_at, tiles_at):
+        drop_table(found.sparkSession, at)
+    return out
 
 
 def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
@@ -269,9 +313,7 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
     ends = found.select(F.col("src").alias("key")).union(found.select("dst")).distinct().join(reps, "key").select("key", "first.*")
     sets = rows.join(ends, ["id", "text_hash"]).groupBy("key").agg(F.min("text").alias("text")).select("key", _sets(near.words)(F.col("text")).alias("set"))
     sets, sets_at = table(sets, "sets")
-    both = found.join(sets.select(F.col("key").alias("src"), F.col("set").alias("a")), "src").join(sets.select(F.col("key").alias("dst"), F.col("set").alias("b")), "dst")
-    same = both.withColumn("similarity", _jaccard()(F.col("a"), F.col("b"))).where(F.col("similarity") >= near.similarity).select("src", "dst")
-    linked = connected_components(same, "near")
+    linked = connected_components(verified(found, reps, sets, near).select("src", "dst"), "near")
     drop_table(docs.sparkSession, sets_at)
     drop_table(docs.sparkSession, found_at)
     joined = reps.join(linked, reps.key == linked.node, "left").select("key", "first", F.coalesce("component", "key").alias("component"))
