@@ -611,6 +611,19 @@ def test_line_templates_equal_sql(spark):
     assert text[40] == text[41] == "" or all(x not in text[40] for x in rows[3][1].split("\n") if len(x.split()) >= 8)
 
 
+@pytest.mark.parametrize("others", [0, 60])
+def test_a_leaf_holds_several_templates(spark, others):
+    """Templates with the same opening and length are all found, among unrelated lines of that opening too."""
+    rng = random.Random(7)
+    lines = [f"This page was last edited by {x} during the weekly site review" for x in ("anna", "boris", "carla")]
+    lines += [f"This page was last printed for {x} at our local branch desk" for x in ("dora", "emil")]
+    unrelated = [f"This page was last {prose(rng, 8)}" for _ in range(others)]
+    docs = spark.createDataFrame(list(enumerate(lines + unrelated)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in templates.report(docs).collect()}
+    assert [got[i] for i in range(5)] == [lines[0], "", "", lines[3], ""]
+    assert all(got[5 + i] == x for i, x in enumerate(unrelated))
+
+
 def test_line_templates_on_odd_tables(spark):
     docs = nasty(spark)
     out = templates.clean(docs)

@@ -2,7 +2,10 @@
 
 A line's tokens are its words; tokens with a digit count as <*>. The tree's levels are the number of tokens and the leading tokens;
 a leaf's template has, at each further place, the token that most of the leaf's distinct lines have there, and generalises the rest.
-Lines that agree with it at enough of those places are one template; other lines are templates by themselves. A template that recurs
+Lines that agree with it at enough of those places are one template. The leaf's other lines are dealt by the blocks of places that they
+have in common (two lines that agree at enough places share a block, as there are more blocks than places to differ at), each block's
+lines have their own commonest tokens, and so on with the lines left until none are admitted; then lines are templates by themselves.
+The SQL below knows only a leaf's first template, and gives the same where no leaf holds a second. A template that recurs
 in enough documents is dropped everywhere but at its first occurrence (the least doc_id, then line), so that no content leaves the
 corpus altogether. How many documents are enough depends on the number of tokens, as short lines recur by chance.
 
@@ -48,6 +51,44 @@ def _lines(keyed: DataFrame) -> DataFrame:
     return keyed.select("id", "text_hash", F.posexplode(F.split("text", "\n")).alias("no", "line"))
 
 
+def _agreeing(places: DataFrame, group: str, tree: Tree) -> DataFrame:
+    """(leaf, whole, and the group if it is another) of the lines that agree with their group's commonest tokens at enough places."""
+    most = places.groupBy(group, "place", "token").count().groupBy(group, "place").agg(F.max(F.struct("count", "token")).alias("most"))
+    line = list(dict.fromkeys([group, "leaf", "whole"]))
+    agree = places.join(most, [group, "place"]).groupBy(*line).agg(F.avg((F.col("token") == F.col("most.token")).cast("int")).alias("share"))
+    return agree.where(F.col("share") >= tree.similarity).select(*line)
+
+
+def _further(places: DataFrame, members: DataFrame, tree: Tree) -> tuple[DataFrame, list[str]]:
+    """(leaf, whole, joint: the template) of the lines in the further templates of leaves, and the tables behind it.
+
+    A leaf's only member counts as not admitted. In each round a line goes to the block where most lines agree.
+    """
+    first = members.join(members.groupBy("leaf").count().where("count > 1").select("leaf"), "leaf")
+    block = F.floor(F.col("place") * (F.floor(F.col("of") * (1 - tree.similarity) + 1e-9) + 1) / F.col("of"))
+    left = places.join(first, ["leaf", "whole"], "left_anti").groupBy("leaf", "whole", block.alias("block")).agg(F.bit_xor(F.xxhash64("place", "token")).alias("h"))
+    left, left_at = table(left.select("leaf", "whole", F.xxhash64("leaf", "block", "h").alias("sub")), "blocks")
+    out, made = None, [left_at]
+    while True:
+        shared = left.groupBy("sub").count().where("count > 1").select("sub")
+        asked, asked_at = table(left.join(shared, "sub"), "shared")
+        made.append(asked_at)
+        agree, agree_at = table(_agreeing(asked.join(places, ["leaf", "whole"]), "sub", tree), "agreeing")
+        made.append(agree_at)
+        sizes = agree.groupBy("sub").count().where("count > 1")
+        best = agree.join(sizes, "sub").groupBy("leaf", "whole").agg(F.max(F.struct("count", "sub")).alias("best")).select("leaf", "whole", F.col("best.sub").alias("sub"))
+        best, best_at = table(best, "best")
+        made.append(best_at)
+        several = best.groupBy("sub").count().where("count > 1").select("sub")
+        found, found_at = table(best.join(several, "sub").select("leaf", "whole", F.xxhash64(F.lit("sub"), "sub").alias("joint")), "further")
+        made.append(found_at)
+        out = found if out is None else out.union(found)
+        if found.isEmpty():
+            return out, made
+        left, left_at = table(asked.join(found.select("leaf", "whole"), ["leaf", "whole"], "left_anti"), "blocks")
+        made.append(left_at)
+
+
 def dropped_lines(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
     """(id, text_hash, dropped: array of line numbers from 0) of the documents that lose lines."""
     spark = docs.sparkSession
@@ -65,14 +106,15 @@ def dropped_lines(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
     asked = distinct.join(many, "leaf").select("leaf", "whole", "n", "first.*")
     wanted = asked.groupBy("id", "text_hash").agg(F.collect_list(F.struct("no", "leaf", "whole")).alias("asked"))
     found = keyed.join(wanted, ["id", "text_hash"]).dropDuplicates(["id", "text_hash"]).select(F.split("text", "\n").alias("split"), F.explode("asked").alias("a"))
-    found = found.select("a.leaf", "a.whole", tokens(F.col("split")[F.col("a.no")]).alias("tokens"))
-    places = found.select("leaf", "whole", F.posexplode(F.slice("tokens", tree.lead + 1, F.size("tokens"))).alias("place", "token"))
+    found = found.select("a.leaf", "a.whole", F.slice(tokens(F.col("split")[F.col("a.no")]), tree.lead + 1, 1 << 30).alias("rest"))
+    places = found.select("leaf", "whole", F.size("rest").alias("of"), F.posexplode("rest").alias("place", "token"))
     places, places_at = table(places, "places")
-    most = places.groupBy("leaf", "place", "token").count().groupBy("leaf", "place").agg(F.max(F.struct("count", "token")).alias("most"))
-    agree = places.join(most, ["leaf", "place"]).groupBy("leaf", "whole").agg(F.avg((F.col("token") == F.col("most.token")).cast("int")).alias("share"))
-    members, members_at = table(agree.where(F.col("share") >= tree.similarity).select("leaf", "whole", F.lit(True).alias("member")), "members")
+    drop_table(spark, distinct_at)
+    members, members_at = table(_agreeing(places, "leaf", tree), "members")
+    more, more_at = _further(places, members, tree)
 
-    named = lines.join(members, ["leaf", "whole"], "left").select("id", "text_hash", "no", "n", F.when(F.col("member"), F.xxhash64(F.lit("leaf"), "leaf")).otherwise(F.col("whole")).alias("template"))
+    joined = members.select("leaf", "whole", F.xxhash64(F.lit("leaf"), "leaf").alias("joint")).join(more.select("leaf", "whole"), ["leaf", "whole"], "left_anti").union(more)
+    named = lines.join(joined, ["leaf", "whole"], "left").select("id", "text_hash", "no", "n", F.coalesce("joint", "whole").alias("template"))
     named, named_at = table(named, "named")
     once = named.groupBy("template", "n", "id", "text_hash").agg(F.min("no").alias("no"))
     enough = F.lit(tree.bands[0][1])
@@ -82,7 +124,7 @@ def dropped_lines(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
     recurring, recurring_at = table(recurring, "recurring")  # so that the join below can split a template of very many lines
     later = named.join(recurring, ["template", "n"]).where(F.struct("id", "text_hash", "no") != F.col("first"))
     out, _ = table(later.groupBy("id", "text_hash").agg(F.collect_set("no").alias("dropped")), "dropped")
-    for at in (lines_at, distinct_at, places_at, members_at, named_at, recurring_at):
+    for at in (lines_at, places_at, members_at, *more_at, named_at, recurring_at):
         drop_table(spark, at)
     return out
 
