@@ -1,17 +1,24 @@
 """Line dedup by a log-template tree of fixed depth, in DataFrame operations only.
 
 A line's tokens are its words; tokens with a digit count as <*>. The tree's levels are the number of tokens and the leading tokens;
-a leaf's template has, at each further place, the token that most of the leaf's distinct lines have there, and generalises the rest.
-Lines that agree with it at enough of those places are one template. The leaf's other lines are dealt by the blocks of places that they
-have in common (two lines that agree at enough places share a block, as there are more blocks than places to differ at), each block's
-lines have their own commonest tokens, and so on with the lines left until none are admitted; then lines are templates by themselves.
-The SQL below knows only a leaf's first template, and gives the same where no leaf holds a second. A template that recurs
-in enough documents is dropped everywhere but at its first occurrence (the least doc_id, then line), so that no content leaves the
-corpus altogether. How many documents are enough depends on the number of tokens, as short lines recur by chance.
+a leaf's template has, at each further place, the token that most of the leaf's distinct lines have there (of equal counts the
+greatest token), and generalises the rest. Lines that agree with it at enough of those places are one template. Lines of at least
+`general` tokens take part in this; shorter ones generalise tokens with digits only.
+
+A leaf can hold further templates. Its lines that the first one leaves are dealt by the blocks of places that they have in common:
+two lines that agree at enough places share a block, as there are more blocks than places to differ at. Blocks that the same lines
+share are one. Each block's lines have their own commonest tokens, a line that agrees with several blocks' goes where most lines
+agree, and leaves where that found a template are looked through again until none is found; then lines are templates by themselves.
+The SQL below knows only a leaf's first template, and gives the same where no leaf holds a second.
+
+A template that recurs in enough documents is dropped, but for its first occurrence (the least doc_id, then line): Tree.first_stays
+keeps that one, so that no content leaves the corpus altogether, and without it every occurrence goes. How many documents are enough
+depends on the number of tokens, as short lines recur by chance.
 
 Lines split at \\n. Lines of fewer tokens than the least band stay. Null text stays null, an empty one empty; a document that loses
 every line stays with an empty text. Rows repeated whole count as one document and are all treated alike. A missing doc_id sorts
-last. Only hashes of lines are shuffled, and texts where lines are fetched or filtered.
+last. Other columns pass as they are, whatever their names. Only hashes of lines are shuffled, and texts where lines are fetched or
+filtered.
 """
 
 from __future__ import annotations
@@ -32,120 +39,137 @@ class Tree:
     lead: int = 4
     general: int = 8  # tokens that a line needs for fields other than digits to be generalised
     similarity: float = 0.7  # of the places after the lead
+    first_stays: bool = True
+
 
+#: A word with a digit, where words are parted by blanks only.
+FIELD = "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+"
 
-SPACES = "[ \\t\\x0B\\f\\r]+"
+
+def _lines_of(text: Column) -> Column:
+    """A text's lines, with blanks for other white space."""
+    other = F.contains(text, F.lit("\t")) | F.contains(text, F.lit("\r")) | F.contains(text, F.lit("\x0b")) | F.contains(text, F.lit("\f"))
+    return F.split(F.when(other, F.regexp_replace(text, "[\\t\\x0B\\f\\r]", " ")).otherwise(text), "\n")
 
 
 def tokens(line: Column) -> Column:
-    """A line's words, those with a digit as <*>."""
-    words = F.split(F.btrim(line, F.lit(" \t\x0b\f\r")), SPACES)
-    return F.when(line.rlike("[0-9]"), F.transform(words, lambda w: F.when(w.rlike("[0-9]"), "<*>").otherwise(w))).otherwise(words)
+    """The words of one of _lines_of's lines, those with a digit as <*>."""
+    return F.array_remove(F.split(F.when(line.rlike("[0-9]"), F.regexp_replace(line, FIELD, "<*>")).otherwise(line), " "), "")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("text_hash"), F.col("text")).where("text <> ''")
 
 
-def _lines(keyed: DataFrame) -> DataFrame:
-    return keyed.select("id", "text_hash", F.posexplode(F.split("text", "\n")).alias("no", "line"))
+def _hashed_lines(docs: DataFrame, tree: Tree) -> DataFrame:
+    """(id, text_hash, no, n, leaf, whole) of the lines with enough tokens for the least band."""
+    least = tree.bands[0][0]
+
+    def one(line: Column, no: Column) -> Column:
+        # As an element of an array the tokens are made once, whatever reads them.
+        of = lambda t: F.struct(no.alias("no"), F.size(t).alias("n"), F.xxhash64(F.size(t), F.slice(t, 1, tree.lead)).alias("leaf"), F.xxhash64(t).alias("whole"))
+        return F.transform(F.array(tokens(line)), of)[0]
 
+    return _keyed(docs).select("id", "text_hash", F.inline(F.filter(F.transform(_lines_of(F.col("text")), one), lambda x: x["n"] >= least)))
 
-def _agreeing(places: DataFrame, group: str, tree: Tree) -> DataFrame:
-    """(leaf, whole, and the group if it is another) of the lines that agree with their group's commonest tokens at enough places."""
-    most = places.groupBy(group, "place", "token").count().groupBy(group, "place").agg(F.max(F.struct("count", "token")).alias("most"))
-    line = list(dict.fromkeys([group, "leaf", "whole"]))
-    agree = places.join(most, [group, "place"]).groupBy(*line).agg(F.avg((F.col("token") == F.col("most.token")).cast("int")).alias("share"))
-    return agree.where(F.col("share") >= tree.similarity).select(*line)
 
+def _agreeing(lines: DataFrame, group: str, tree: Tree) -> DataFrame:
+    """lines (group, rest: array of tokens, and what else) that agree with their group's commonest tokens at enough places."""
+    counts = lines.select(group, F.posexplode("rest").alias("place", "token")).groupBy(group, "place", "token").count()
+    most = counts.groupBy(group, "place").agg(F.max(F.struct("count", "token")).alias("most"))
+    modes = most.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "most.token"))), lambda x: x["token"]).alias("mode"))
+    same = F.size(F.filter(F.zip_with("rest", "mode", lambda a, b: a == b), lambda x: x))
+    return lines.join(modes, group).where(same / F.size("rest") >= tree.similarity).drop("mode")
 
-def _further(places: DataFrame, members: DataFrame, tree: Tree) -> tuple[DataFrame, list[str]]:
+
+def _further(lines: DataFrame, members: DataFrame, tree: Tree) -> tuple[DataFrame, list[str]]:
     """(leaf, whole, joint: the template) of the lines in the further templates of leaves, and the tables behind it.
 
-    A leaf's only member counts as not admitted. In each round a line goes to the block where most lines agree.
+    lines has (leaf, whole, rest); a leaf's only member counts as not admitted.
     """
     first = members.join(members.groupBy("leaf").count().where("count > 1").select("leaf"), "leaf")
-    block = F.floor(F.col("place") * (F.floor(F.col("of") * (1 - tree.similarity) + 1e-9) + 1) / F.col("of"))
-    left = places.join(first, ["leaf", "whole"], "left_anti").groupBy("leaf", "whole", block.alias("block")).agg(F.bit_xor(F.xxhash64("place", "token")).alias("h"))
-    left, left_at = table(left.select("leaf", "whole", F.xxhash64("leaf", "block", "h").alias("sub")), "blocks")
+    n = F.floor(F.size("rest") * (1 - tree.similarity) + 1e-9).cast("int") + 1
+    cut = lambda i, n: F.ceil(i * F.size("rest") / n).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), n - 1), lambda b: F.xxhash64(F.col("leaf"), b, F.slice("rest", cut(b, n) + 1, cut(b + 1, n) - cut(b, n))))
+    left, left_at = table(lines.join(first, ["leaf", "whole"], "left_anti").where(F.size("rest") > 0).select("leaf", "whole", F.explode(blocks).alias("sub")), "blocks")
     out, made = None, [left_at]
     while True:
-        shared = left.groupBy("sub").count().where("count > 1").select("sub")
+        shared = left.groupBy("sub").agg(F.count("*").alias("n"), F.min("leaf").alias("leaf"), F.bit_xor(F.xxhash64("whole")).alias("which")).where("n > 1")
+        shared = shared.groupBy("leaf", "n", "which").agg(F.min("sub").alias("sub")).select("sub")
         asked, asked_at = table(left.join(shared, "sub"), "shared")
-        made.append(asked_at)
-        agree, agree_at = table(_agreeing(asked.join(places, ["leaf", "whole"]), "sub", tree), "agreeing")
-        made.append(agree_at)
+        agree, agree_at = table(_agreeing(asked.join(lines, ["leaf", "whole"]), "sub", tree).select("sub", "leaf", "whole"), "agreeing")
         sizes = agree.groupBy("sub").count().where("count > 1")
         best = agree.join(sizes, "sub").groupBy("leaf", "whole").agg(F.max(F.struct("count", "sub")).alias("best")).select("leaf", "whole", F.col("best.sub").alias("sub"))
         best, best_at = table(best, "best")
-        made.append(best_at)
         several = best.groupBy("sub").count().where("count > 1").select("sub")
         found, found_at = table(best.join(several, "sub").select("leaf", "whole", F.xxhash64(F.lit("sub"), "sub").alias("joint")), "further")
-        made.append(found_at)
+        made += [asked_at, agree_at, best_at, found_at]
         out = found if out is None else out.union(found)
         if found.isEmpty():
             return out, made
-        left, left_at = table(asked.join(found.select("leaf", "whole"), ["leaf", "whole"], "left_anti"), "blocks")
+        again = left.join(found.select("leaf").distinct(), "leaf", "left_semi").join(found.select("leaf", "whole"), ["leaf", "whole"], "left_anti")
+        left, left_at = table(again, "blocks")
         made.append(left_at)
 
 
 def dropped_lines(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
     """(id, text_hash, dropped: array of line numbers from 0) of the documents that lose lines."""
     spark = docs.sparkSession
-    keyed = _keyed(docs)
-    least = tree.bands[0][0]
-    hash_of = lambda t: F.struct(F.size(t).alias("n"), F.xxhash64(F.size(t), F.slice(t, 1, tree.lead)).alias("leaf"), F.xxhash64(t).alias("whole"), (t[0] == "").alias("blank"))
-    # As an element of an array the tokens are made once, whatever reads them; a filter on them here would make them again.
-    hashed = _lines(keyed).select("id", "text_hash", "no", F.transform(F.array(tokens(F.col("line"))), hash_of).alias("h")).select("id", "text_hash", "no", F.inline("h"))
-    lines, lines_at = table(hashed, "lines")
-    lines = lines.where((F.col("n") >= least) & ~F.col("blank")).drop("blank")
-
-    distinct = lines.where(F.col("n") >= tree.general).groupBy("leaf", "whole", "n").agg(F.min(F.struct("id", "text_hash", "no")).alias("first"))
-    distinct, distinct_at = table(distinct, "distinct")
+    lines, lines_at = table(_hashed_lines(docs, tree), "lines")
+    long = lines.where(F.col("n") >= tree.general)
+    row = F.xxhash64("id", "text_hash")
+
+    distinct, distinct_at = table(long.select("leaf", "whole", row.alias("row"), "no").groupBy("leaf", "whole").agg(F.min("row").alias("row"), F.min_by("no", "row").alias("no")), "distinct")
     many = distinct.groupBy("leaf").count().where("count > 1").select("leaf")
-    asked = distinct.join(many, "leaf").select("leaf", "whole", "n", "first.*")
-    wanted = asked.groupBy("id", "text_hash").agg(F.collect_list(F.struct("no", "leaf", "whole")).alias("asked"))
-    found = keyed.join(wanted, ["id", "text_hash"]).dropDuplicates(["id", "text_hash"]).select(F.split("text", "\n").alias("split"), F.explode("asked").alias("a"))
-    found = found.select("a.leaf", "a.whole", F.slice(tokens(F.col("split")[F.col("a.no")]), tree.lead + 1, 1 << 30).alias("rest"))
-    places = found.select("leaf", "whole", F.size("rest").alias("of"), F.posexplode("rest").alias("place", "token"))
-    places, places_at = table(places, "places")
+    wanted = distinct.join(many, "leaf").groupBy("row").agg(F.collect_list(F.struct("no", "leaf", "whole")).alias("asked"))
+    texts = _keyed(docs).select(row.alias("row"), "text")
+    found = texts.join(wanted, "row").dropDuplicates(["row"]).select(_lines_of(F.col("text")).alias("split"), F.explode("asked").alias("a"))
+    asked, asked_at = table(found.select("a.leaf", "a.whole", F.slice(tokens(F.col("split")[F.col("a.no")]), tree.lead + 1, 1 << 30).alias("rest")), "asked")
     drop_table(spark, distinct_at)
-    members, members_at = table(_agreeing(places, "leaf", tree), "members")
-    more, more_at = _further(places, members, tree)
+    members, members_at = table(_agreeing(asked, "leaf", tree).select("leaf", "whole"), "members")
+    more, more_at = _further(asked, members, tree)
 
     joined = members.select("leaf", "whole", F.xxhash64(F.lit("leaf"), "leaf").alias("joint")).join(more.select("leaf", "whole"), ["leaf", "whole"], "left_anti").union(more)
-    named = lines.join(joined, ["leaf", "whole"], "left").select("id", "text_hash", "no", "n", F.coalesce("joint", "whole").alias("template"))
-    named, named_at = table(named, "named")
+    joined, joined_at = table(joined, "joined")  # so that the join below can split a line that very many documents have
+    named = long.join(joined, ["leaf", "whole"], "left").select("id", "text_hash", "no", "n", F.coalesce("joint", "whole").alias("template"))
+    named, named_at = table(named.union(lines.where(F.col("n") < tree.general).select("id", "text_hash", "no", "n", "whole")), "named")
     once = named.groupBy("template", "n", "id", "text_hash").agg(F.min("no").alias("no"))
     enough = F.lit(tree.bands[0][1])
     for at_least, docs_needed in tree.bands[1:]:
         enough = F.when(F.col("n") >= at_least, docs_needed).otherwise(enough)
     recurring = once.groupBy("template", "n").agg(F.count("*").alias("documents"), F.min(F.struct("id", "text_hash", "no")).alias("first")).where(F.col("documents") >= enough)
     recurring, recurring_at = table(recurring, "recurring")  # so that the join below can split a template of very many lines
-    later = named.join(recurring, ["template", "n"]).where(F.struct("id", "text_hash", "no") != F.col("first"))
-    out, _ = table(later.groupBy("id", "text_hash").agg(F.collect_set("no").alias("dropped")), "dropped")
-    for at in (lines_at, places_at, members_at, *more_at, named_at, recurring_at):
+    gone = named.join(recurring, ["template", "n"])
+    if tree.first_stays:
+        gone = gone.where(F.struct("id", "text_hash", "no") != F.col("first"))
+    out, _ = table(gone.groupBy("id", "text_hash").agg(F.collect_set("no").alias("dropped")), "dropped")
+    for at in (lines_at, asked_at, members_at, *more_at, joined_at, named_at, recurring_at):
         drop_table(spark, at)
     return out
 
 
+def _cleaned(docs: DataFrame, tree: Tree) -> DataFrame:
+    """(row: a row of docs, text: what is left of it, lines, dropped: the numbers of lines before and dropped)."""
+    keyed = docs.select(F.struct("*").alias("row")).select("row", F.coalesce("row.doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64("row.text").alias("text_hash"))
+    both = keyed.join(dropped_lines(docs, tree), ["id", "text_hash"], "left")
+    split = F.split("row.text", "\n")
+    kept = F.array_join(F.filter(split, lambda _, i: ~F.array_contains(F.col("dropped"), i)), "\n")
+    return both.select(
+        "row",
+        F.when(F.col("dropped").isNull(), F.col("row.text")).otherwise(kept).alias("text"),
+        F.when(F.col("row.text").isNull(), 0).otherwise(F.size(split)).cast("long").alias("lines"),
+        F.when(F.col("dropped").isNull(), 0).otherwise(F.size("dropped")).cast("long").alias("dropped"),
+    )
+
+
 def clean(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
-    """docs with the dropped lines taken out of text, and __ww_lines and __ww_dropped, the numbers of lines before and dropped."""
-    dropped = dropped_lines(docs, tree).withColumnsRenamed({"id": "__ww_id", "text_hash": "__ww_hash", "dropped": "__ww_out"})
-    keyed = docs.withColumns({"__ww_id": F.coalesce("doc_id", F.lit(NO_ID)), "__ww_hash": F.xxhash64("text")})
-    both = keyed.join(dropped, ["__ww_id", "__ww_hash"], "left").withColumn("__ww_split", F.split("text", "\n"))
-    kept = F.array_join(F.filter("__ww_split", lambda _, i: ~F.array_contains(F.col("__ww_out"), i)), "\n")
-    out = both.withColumns({
-        "text": F.when(F.col("__ww_out").isNull(), F.col("text")).otherwise(kept),
-        "__ww_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size("__ww_split")).cast("long"),
-        "__ww_dropped": F.when(F.col("__ww_out").isNull(), 0).otherwise(F.size("__ww_out")).cast("long"),
-    })
-    return out.select(*docs.columns, "__ww_lines", "__ww_dropped")
+    """docs, with its own columns, the dropped lines taken out of text."""
+    return _cleaned(docs, tree).select(F.col("row").withField("text", F.col("text")).alias("row")).select("row.*")
 
 
 def report(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
     """doc_id, the text left, and the numbers of lines before and dropped, of every row."""
-    return clean(docs, tree).select("doc_id", "text", F.col("__ww_lines").alias("n_lines"), F.col("__ww_dropped").alias("n_dropped"))
+    return _cleaned(docs, tree).select("row.doc_id", "text", F.col("lines").alias("n_lines"), F.col("dropped").alias("n_dropped"))
 
 
 #: report() in DuckDB SQL, over a table named documents, for the default tree.
