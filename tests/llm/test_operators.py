@@ -430,6 +430,7 @@ def test_toxicity_on_odd_tables(spark):
 
 
 def leaky(spark):
+    """Passages whole, changed at a word, in other letters; then, in odd orders: halves swapped, cut off at the end, with repeats."""
     rng = random.Random(21)
     items = [(i, prose(rng, n, "abcdefgh")) for i, n in enumerate((15, 30, 30, 59, 3, 5, 8))]
     docs = [(i, prose(rng, rng.randint(0, 200), "abcdefgh")) for i in range(30)]
@@ -442,9 +443,35 @@ def leaky(spark):
         d, w = docs[i][0], docs[i][1].split()
         at = rng.randrange(len(w) + 1)
         docs[i] = (d, " ".join(w[:at] + passage + w[at:]))
+    items += [(20, prose(rng, 60, "abcdefgh")), (21, "a b c d e f " * 6 + prose(rng, 9)), (22, prose(rng, 60, "abcdefgh"))]
+    long, tune = items[-3][1].split(), items[-2][1].split()
+    pad = lambda n: prose(rng, n).split()
+    docs += [(100 + i, " ".join(x)) for i, x in enumerate((
+        pad(40) + long[30:] + long[:30] + pad(40), long[30:] + long[:30], pad(10) + long[:48], pad(30) + long[:50], long[8:] + pad(40), pad(20) + long[:54] + pad(20), long[:20] + pad(1) + long[20:],
+        pad(20) + tune + tune[:30] + pad(9), tune[6:] + tune[:6], tune[:36] * 3, long[20:40] + long[:20] + long[40:] + pad(7), items[-1][1].split()[30:] + long[:30] + pad(12), long[4:] + long[:4] + long,
+    ))]
     return docs, items
 
 
+def windows_by_hand(docs, items):
+    """The best similarity of each document and item over every window."""
+    clean = lambda t: t.translate({ord(c): None for c in decontam.PUNCTUATION}).lower().split()
+    out = {}
+    for d, text in docs:
+        w = clean(text)
+        for item, passage in items:
+            v = clean(passage)
+            k = min(5, len(v))
+            bag = lambda x: Counter(tuple(x[i : i + k]) for i in range(len(x) - k + 1))  # noqa: B023, E731
+            a = bag(v)
+            for at in range(len(w) - k + 1):
+                b = bag(w[at : at + len(v)])
+                s = (a & b).total() / (a | b).total()
+                if s >= 0.8:
+                    out[d, item] = max(out.get((d, item), 0), round(s, 6))
+    return sorted((*k, v) for k, v in out.items())
+
+
 def test_decontamination_equals_sql(spark):
     docs, items = leaky(spark)
     con = duckdb.connect()
@@ -453,7 +480,8 @@ def test_decontamination_equals_sql(spark):
     con.execute("CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
     con.executemany("INSERT INTO benchmark VALUES (?, ?)", items)
     want = sorted(con.execute(decontam.REPORT_SQL).fetchall())
-    assert len(want) > 20
+    assert len(want) > 20 and want == windows_by_hand(docs, items)
+    assert {100, 101, 103, 105, 106, 107, 108, 112} <= {x for x, item, _ in want if item in (20, 21)}, "halves swapped, cut off or repeated"
     d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     got = decontam.report(d, b).select("doc_id", "item_id", "similarity")
     assert sorted(tuple(r) for r in got.collect()) == want
@@ -483,6 +511,8 @@ def test_radius_holds_similar_windows():
             if most:
                 g[rng.choice(n, most, replace=False)] = rng.integers(0, 2**64, most, dtype=np.uint64)
             worst = max(worst, ((simhash.majority(h) ^ simhash.majority(g)) & (2**64 - 1)).bit_count())
+            cut = h[: -(-4 * n // 5)]  # a window at the end of a document
+            worst = max(worst, ((simhash.majority(h) ^ simhash.majority(cut)) & (2**64 - 1)).bit_count())
     assert worst <= decontam.Match.radius
 
 
@@ -494,6 +524,13 @@ def test_simhash_column_equals_numpy(spark):
     assert got == [simhash.majority(np.array(a, np.int64).view(np.uint64)) for a in arrays]
 
 
+def test_counted_arrays_meet_as_often_as_both_have_an_element(spark):
+    rng = random.Random(4)
+    rows = [([rng.randrange(6) for _ in range(rng.randint(0, 12))], [rng.randrange(6) for _ in range(rng.randint(0, 12))]) for _ in range(200)]
+    df = spark.createDataFrame(rows, "a array<long>, b array<long>").select(F.size(F.array_intersect(decontam.counted(F.col("a")), decontam.counted(F.col("b")))).alias("n"))
+    assert [r["n"] for r in df.collect()] == [(Counter(a) & Counter(b)).total() for a, b in rows]
+
+
 def test_decontamination_on_odd_tables(spark):
     docs = nasty(spark)
     for b in (benchmark_of(spark), benchmark_of(spark, True)):
