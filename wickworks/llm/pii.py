@@ -4,12 +4,15 @@ Base kinds are email, ip, card and phone, leftmost and non-overlapping for each;
 patterns are written with possessive repeats and start where a run starts or the last match ended, which finds the same matches in
 linear time and without deep recursion on very long texts.
 
-Bootstrapping: words with a digit or an at sign are instances. Their contexts are lexical patterns: the two words before, and the word
-before with the word after. Instances in base spans are seeds. In each round a pattern's score is the mean score of its distinct
-instances, if enough of them are good, and an instance's is the noisy-or of its patterns' damped scores; seeds stay at 1. Patterns
-with a high score in the end find identifiers that no base pattern matched, of the kind that most of their seeds have. Scores come
+Bootstrapping: words with a digit or an at sign are instances, and so are runs of up to eight words of short digit groups, which may be
+joined by hyphens or set in brackets and are parted by single blanks, as phones and cards are written. Their contexts are lexical
+patterns: the two words before, and the word before with the word after, whole words of any length, where another instance counts as
+the word 0. Instances in base spans are seeds. In each round a pattern's score is the mean score of its distinct instances, if enough of
+them are good, and an instance's is the noisy-or of its patterns' damped scores; seeds stay at 1. Patterns with a high score in the end
+find identifiers that no base pattern matched, of the kind that most of their seeds have (of equal scores the greater name). Scores come
 from grouped sums over distinct (pattern, instance) edges of all documents, so copies of a document add nothing.
 
+A text's matches are placed by running totals in as many passes as their number has binary digits, so the cost follows their number.
 Null text is empty and has no spans. Offsets are code points, ends exclusive. Every row returns a row, repeated rows included.
 """
 
@@ -34,8 +37,10 @@ PATTERNS = {
 _HINT = {"email": "@", "ip": "[0-9]\\.[0-9]", "card": "[0-9](?:[ -]?[0-9]){11}", "phone": "\\+[0-9]"}
 _IP = r"^0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})){3}$"
 _S, _W = " \\t-\\r", "[^ \\t-\\r]"
-#: A word with a digit or an at sign; group 1 is the word after it.
-INSTANCE = rf"(?<!{_W})[^{_S}0-9@]*+[0-9@]{_W}*+(?:(?=[{_S}]++({_W}++)))?"
+_GROUP = r"[(+]{0,2}+[0-9]{1,6}+(?:[()-]{1,2}+[0-9]{1,6}+)*+\)?+"
+_LAST = "[.,;:!?\"'\\]}>]*+"
+#: A run of words of digit groups, or a word with a digit or an at sign.
+INSTANCE = rf"(?<!{_W})(?:{_GROUP}(?: {_GROUP}(?={_LAST}(?:[{_S}]|$))){{1,7}}+{_LAST}|[^{_S}0-9@]*+[0-9@]{_W}*+)"
 MARKS = ".,;:!?()[]{}\"'<>#*$%&|"
 
 
@@ -49,20 +54,30 @@ class Bootstrap:
     least_chars: int = 5
 
 
-def _spans(text: Column, pattern: str, group: int | None = None) -> Column:
-    """(start, end, value, left, right) of each match: left is the text since the match before, right the group's text."""
-    kind = "array<struct<start:int,end:int,value:string,left:string,right:string>>"
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    right = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else hits
-    rows = F.zip_with(F.zip_with(hits, right, lambda h, r: F.struct(h.alias("hit"), r.alias("right"))), F.split(text, pattern), lambda h, p: F.struct(h["hit"].alias("hit"), h["right"].alias("right"), p.alias("piece")))
+def _running(values: Column, add) -> Column:
+    """Running totals of an array of numbers of 0 or more, by steps of 1, 2, 4 and so on."""
+    steps = F.transform(F.sequence(F.lit(0), F.ceil(F.log2(F.size(values))).cast("int") - 1), lambda i: F.call_function("shiftleft", F.lit(1), i))
+    moved = lambda acc, by: F.concat(F.array_repeat(F.lit(0), by), F.slice(acc, F.lit(1), F.size(acc) - by))
+    return F.when(F.size(values) > 1, F.aggregate(steps, values, lambda acc, by: F.zip_with(acc, moved(acc, by), add))).otherwise(values)
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["piece"])
-        end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
-        span = F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("value"), x["piece"].alias("left"), x["right"].alias("right"))
-        return F.struct(end.alias("at"), F.when(x["hit"].isNull(), acc["found"]).otherwise(F.array_append(acc["found"], span)).alias("found"))
 
-    return F.aggregate(rows, F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("found")), step, lambda acc: acc["found"])
+def _bound(value: Column, use) -> Column:
+    """use(value) with the value made once, however often it is read."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _spans(text: Column, pattern: str) -> Column:
+    """(start, end, value, left, right) of each match: left and right are the texts between it and the matches beside it."""
+    parts = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"), F.split(text, pattern).alias("pieces"))
+
+    def placed(p: Column) -> Column:
+        def at(ends: Column) -> Column:
+            return F.transform(p["hits"], lambda h, i: F.struct((F.get(ends, i) - F.length(h)).alias("start"), F.get(ends, i).alias("end"), h.alias("value"), F.get(p["pieces"], i).alias("left"), F.get(p["pieces"], i + 1).alias("right")))
+
+        lengths = F.zip_with(p["hits"], p["pieces"], lambda h, x: F.coalesce(F.length(h), F.lit(0)) + F.length(x))
+        return _bound(_running(lengths, lambda x, y: x + y), at)
+
+    return _bound(parts, placed)
 
 
 def _luhn(digits: Column) -> Column:
@@ -105,23 +120,36 @@ def _word(text: Column) -> Column:
 
 def _instances(text: Column, base: Column) -> Column:
     """struct(base, instances): each instance has start, end, value, kind (of a base span that it touches) and patterns."""
-    found = F.when(text.rlike("[0-9@]"), _spans(text, INSTANCE, 1)).otherwise(F.array()).cast("array<struct<start:int,end:int,value:string,left:string,right:string>>")
-
-    def one(s: Column, x: Column) -> Column:
-        bare = F.btrim(x["value"], F.lit(MARKS))
-        start = x["start"] + F.length(x["value"]) - F.length(F.ltrim(x["value"], F.lit(MARKS)))
-        seed = F.get(F.filter(s["base"], lambda b: (b["start"] < x["end"]) & (b["end"] > x["start"])), F.lit(0))
-        near = F.right(x["left"], F.lit(100))
-        before = F.regexp_extract(near, rf"({_W}+)[{_S}]+$", 1)
-        two = F.regexp_extract(near, rf"({_W}+)[{_S}]+{_W}+[{_S}]+$", 1)
+    found = F.when(text.rlike("[0-9@]"), _spans(text, INSTANCE)).otherwise(F.array()).cast("array<struct<start:int,end:int,value:string,left:string,right:string>>")
+
+    def one(s: Column, x: Column, i: Column) -> Column:
+        marks = F.when(x["value"].rlike(r"^\([0-9]+\)[ 0-9-]"), MARKS.replace("(", "")).otherwise(MARKS)
+        bare = F.rtrim(F.ltrim(x["value"], marks), F.lit(MARKS))
+        start = x["start"] + F.length(x["value"]) - F.length(F.ltrim(x["value"], marks))
+        # Base spans are sorted by start: the first that starts at or after the instance, and whether one before it reaches into it.
+        seed = F.get(s["base"], F.get(s["before"], i))
+        seed = F.when(seed["start"] < x["end"], seed)
+        into = F.coalesce(F.get(s["reach"], F.get(s["before"], i) - 1) > x["start"], F.lit(False))
+        ahead = F.reverse(F.concat(F.when(i > 0, "0").otherwise(""), x["left"]))
+        before = F.reverse(F.regexp_extract(ahead, rf"^[{_S}]++({_W}++)", 1))
+        two = F.reverse(F.regexp_extract(ahead, rf"^[{_S}]++{_W}++[{_S}]++({_W}++)", 1))
+        after = F.regexp_extract(F.concat(x["right"], F.when(i + 1 < F.size(s["found"]), "0").otherwise("")), rf"^[{_S}]++({_W}++)", 1)
         first = F.when((before != "") & (two != ""), F.concat(F.lit("2:"), _word(two), F.lit(" "), _word(before)))
-        second = F.when((before != "") & (x["right"] != "") & F.coalesce(seed["end"] <= x["end"], F.lit(True)), F.concat(F.lit("1:"), _word(before), F.lit(" _ "), _word(x["right"])))
+        second = F.when((before != "") & (after != "") & F.coalesce(seed["end"] <= x["end"], F.lit(True)), F.concat(F.lit("1:"), _word(before), F.lit(" _ "), _word(after)))
         whole = F.substr(s["text"], seed["start"] + 1, seed["end"] - seed["start"])
-        value = F.when(seed["start"].isNull(), bare).when(seed["start"] >= x["start"], whole).otherwise("")  # a span's later words are no instances
-        return F.struct(start.alias("start"), (start + F.length(bare)).alias("end"), F.lower(value).alias("value"), seed["kind"].alias("kind"), F.array_compact(F.array(first, second)).alias("patterns"))
-
-    both = F.array(F.struct(base.alias("base"), found.alias("found"), text.alias("text")))
-    return F.transform(both, lambda s: F.struct(s["base"].alias("base"), F.transform(s["found"], lambda x: one(s, x)).alias("instances")))[0]
+        value = F.when(into, "").when(seed["start"].isNull(), bare).otherwise(whole)  # a span's later words are no instances
+        kind = F.when(into, F.get(s["base"], F.get(s["before"], i) - 1)["kind"]).otherwise(seed["kind"])
+        return F.struct(start.alias("start"), (start + F.length(bare)).alias("end"), F.lower(value).alias("value"), kind.alias("kind"), F.array_compact(F.array(first, second)).alias("patterns"))
+
+    def placed(s: Column) -> Column:
+        """With the number of base spans that start before each instance, and how far the spans up to each reach."""
+        marks = F.concat(F.transform(s["base"], lambda b: F.struct(b["start"].alias("at"), F.lit(1).alias("span"))), F.transform(s["found"], lambda x: F.struct(x["start"].alias("at"), F.lit(0).alias("span"))))
+        before = F.transform(F.filter(F.transform(F.array_sort(marks), lambda m, i: F.struct(m["span"].alias("span"), i.alias("i"))), lambda m: m["span"] == 0), lambda m, j: m["i"] - j)
+        reach = _running(F.transform(s["base"], lambda b: b["end"]), lambda x, y: F.greatest(x, y))
+        return F.struct(s["base"].alias("base"), s["found"].alias("found"), s["text"].alias("text"), before.alias("before"), reach.alias("reach"))
+
+    both = _bound(F.struct(base.alias("base"), found.alias("found"), text.alias("text")), placed)
+    return _bound(both, lambda s: F.struct(s["base"].alias("base"), F.transform(s["found"], lambda x, i: one(s, x, i)).alias("instances")))
 
 
 def confident_patterns(instances: DataFrame, b: Bootstrap = Bootstrap()) -> DataFrame:
