@@ -7,6 +7,8 @@ the radius are skipped. Equal fingerprints are one row before any comparison, ti
 two tiles only a spanning forest of the nearest is emitted, which loses no component. A tile meets each of its partners in a row of
 its own, dealt by the partner, so a crowded count makes more rows and no larger task.
 
+Rows meet their group's id in a join on fingerprint and a salt, so a fingerprint that a third of all rows have is no single task.
+
 fingerprint query: three-word shingles, repeats included, 64 bits, radius 2. Null text is empty; texts without words have fingerprint
 zero and link like any other. Each row returns a row, repeated rows included; rows without doc_id take the component of their
 fingerprint's other rows, or null.
@@ -252,27 +254,44 @@ def links(nodes: DataFrame, words: int, radius: int, cell: Column, offsets: list
     sizes, sizes_at = table(nodes.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(TILE)).cast("int").alias("parts")), "cells")
     fields = F.struct("node", *[f"w{k}" for k in range(words)])
     tiles = nodes.join(F.broadcast(sizes), "cell").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    tiles, _ = table(tiles.groupBy("cell", "part").agg(F.collect_list(fields).alias("tile")), "tiles")
+    tiles, tiles_at = table(tiles.groupBy("cell", "part").agg(F.collect_list(fields).alias("tile")), "tiles")
     left = tiles.select(F.col("cell").alias("cell_a"), F.col("part").alias("part_a"), F.col("tile").alias("a"), F.explode(F.array(*[F.lit(x) for x in offsets]).cast("array<long>")).alias("step"))
     left = left.withColumn("cell", F.col("cell_a") + F.col("step")).join(F.broadcast(sizes), "cell")
     left = left.select("cell", "cell_a", "part_a", "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).where("cell > cell_a or part >= part_a")
     pairs = left.join(tiles.select("cell", "part", F.col("tile").alias("b")), ["cell", "part"]).select((F.col("cell") == F.col("cell_a")).__and__(F.col("part") == F.col("part_a")).alias("same"), "a", "b")
-    return pairs.mapInArrow(_compare(words, radius, dense, dense_radius), "src long, dst long, distance long")
+    out, _ = table(pairs.mapInArrow(_compare(words, radius, dense, dense_radius), "src long, dst long, distance long"), "forest")
+    drop_table(nodes.sparkSession, tiles_at)
+    drop_table(nodes.sparkSession, sizes_at)
+    return out
+
+
+#: Tasks that the rows of one fingerprint or set are dealt to.
+SALTS = 64
+
+
+def _attach(rows: DataFrame, to: DataFrame, key: str) -> DataFrame:
+    """rows (key, salt) with their key's columns of to (key, salts: those that its rows have): a key with very many rows is dealt to SALTS tasks."""
+    to, _ = table(to.withColumn("salt", F.explode("salts")).drop("salts"), "members")
+    return rows.join(to, [key, "salt"])
+
+
+def _salt() -> Column:
+    return F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
 
 
 def components(docs: DataFrame, k: int = 3, radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint (hex) and component_id of every row."""
-    prints, _ = table(docs.select("doc_id", fingerprint(F.col("text"), k).alias("fp")), "prints")
-    reps = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    prints, _ = table(docs.select("doc_id", fingerprint(F.col("text"), k).alias("fp"), _salt().alias("salt")), "prints")
+    reps, reps_at = table(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.collect_set("salt").alias("salts")), "reps")
     nodes = reps.select(F.col("fp").alias("node"), F.col("fp").alias("w0"))
     quarter = lambda i: F.bit_count(F.shiftrightunsigned("w0", 16 * i).bitwiseAND(F.lit(0xFFFF).cast("long")))
     cell = ((quarter(3) * 64 + quarter(2)) * 64 + quarter(1)) * 64 + quarter(0)
     linked = connected_components(links(nodes, 1, radius, cell, _offsets(radius)), "simhash")
     least = reps.join(linked, reps.fp == linked.node).groupBy("component").agg(F.min("least").alias("joint"))
     joint = linked.join(least, "component").select(F.col("node").alias("fp"), "joint")
-    # As a table of its own it meets the rows in a join that can split a fingerprint with very many of them.
-    to, _ = table(reps.join(joint, "fp", "left").select("fp", F.coalesce("joint", "least").alias("component_id")), "members")
-    return prints.join(to, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    found = _attach(prints, reps.join(joint, "fp", "left").select("fp", "salts", F.coalesce("joint", "least").alias("component_id")), "fp")
+    drop_table(docs.sparkSession, reps_at)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def _sets(k: int):
@@ -304,31 +323,33 @@ def verified(found: DataFrame, reps: DataFrame, sets: DataFrame, near: Near) ->
 
 def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
     """Of every row its identity (id, a missing one as NO_ID, and text_hash) and the group's first row's (first_id, first_hash)."""
+    spark = docs.sparkSession
     rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), F.col("text"))
-    sketches, _ = table(rows.select("id", "text_hash", sketch(F.col("text"), near.words).alias("s")).select("id", "text_hash", "s.*"), "sketches")
+    sketches, _ = table(rows.select("id", "text_hash", sketch(F.col("text"), near.words).alias("s"), _salt().alias("salt")).select("id", "text_hash", "s.*", "salt"), "sketches")
     words = [f"w{i}" for i in range(4)]
-    reps, _ = table(sketches.groupBy("key").agg(F.min(F.struct("id", "text_hash")).alias("first"), F.first("n").alias("n"), *[F.first(w).alias(w) for w in words]), "reps")
+    reps, reps_at = table(sketches.groupBy("key").agg(F.min(F.struct("id", "text_hash")).alias("first"), F.first("n").alias("n"), F.collect_set("salt").alias("salts"), *[F.first(w).alias(w) for w in words]), "reps")
     band = F.floor(F.log(F.greatest("n", F.lit(1))) / -np.log(near.similarity) * near.bands)
     found, found_at = table(links(reps.select(F.col("key").alias("node"), "n", *words), 4, near.radius, band, list(range(near.bands + 1)), 2, near.half_radius).select("src", "dst").distinct(), "links")
     ends = found.select(F.col("src").alias("key")).union(found.select("dst")).distinct().join(reps, "key").select("key", "first.*")
     sets = rows.join(ends, ["id", "text_hash"]).groupBy("key").agg(F.min("text").alias("text")).select("key", _sets(near.words)(F.col("text")).alias("set"))
     sets, sets_at = table(sets, "sets")
     linked = connected_components(verified(found, reps, sets, near).select("src", "dst"), "near")
-    drop_table(docs.sparkSession, sets_at)
-    drop_table(docs.sparkSession, found_at)
-    joined = reps.join(linked, reps.key == linked.node, "left").select("key", "first", F.coalesce("component", "key").alias("component"))
+    drop_table(spark, sets_at)
+    drop_table(spark, found_at)
+    joined = reps.join(linked, reps.key == linked.node, "left").select("key", "first", "salts", F.coalesce("component", "key").alias("component"))
     firsts = joined.groupBy("component").agg(F.min("first").alias("group_first"))
-    to = joined.join(firsts, "component").select("key", F.col("group_first.id").alias("first_id"), F.col("group_first.text_hash").alias("first_hash"))
-    to, _ = table(to, "firsts")  # so that the join below can split a set that very many rows have
-    return sketches.join(to, "key").select("id", "text_hash", "first_id", "first_hash")
+    to = joined.join(firsts, "component").select("key", "salts", F.col("group_first.id").alias("first_id"), F.col("group_first.text_hash").alias("first_hash"))
+    out = _attach(sketches.select("id", "text_hash", "key", "salt"), to, "key")
+    drop_table(spark, reps_at)
+    return out.select("id", "text_hash", "first_id", "first_hash")
 
 
 def keep_one(docs: DataFrame, near: Near = Near()) -> DataFrame:
     """The rows of docs that come first in their group of near-duplicates, with their own columns; of rows repeated whole, one stays."""
     members, _ = table(near_duplicates(docs, near), "members")
-    later = members.where("id <> first_id or text_hash <> first_hash").select(F.col("id").alias("__ww_id"), F.col("text_hash").alias("__ww_hash")).distinct()
-    keyed = docs.withColumns({"__ww_id": F.coalesce("doc_id", F.lit(NO_ID)), "__ww_hash": F.xxhash64(F.coalesce("text", F.lit("")))})
-    kept = keyed.join(later, ["__ww_id", "__ww_hash"], "left_anti")
+    later = members.where("id <> first_id or text_hash <> first_hash").select("id", "text_hash").distinct()
+    keyed = docs.select(F.struct("*").alias("row")).select("row", F.coalesce("row.doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64(F.coalesce("row.text", F.lit(""))).alias("text_hash"))
+    kept = keyed.join(later, ["id", "text_hash"], "left_anti")
     if not members.groupBy("id", "text_hash").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["__ww_id", "__ww_hash"])
-    return kept.select(*docs.columns)
+        kept = kept.dropDuplicates(["id", "text_hash"])
+    return kept.select("row.*")
