@@ -14,10 +14,12 @@ NO_ID = 9223372036854775807
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, or, where that is unset (tests), one made on this machine."""
+    """The folder in spark.checkpoint.dir, or, where that is unset and all runs on this machine (tests), one made here."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not named:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="wickworks-shared-")
         sc.setCheckpointDir(named)
     return named.rstrip("/")
@@ -46,16 +48,26 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def bounded_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> tuple[pa.Array, list]:
+def bounded_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, max_bytes: int = 1 << 28) -> tuple[pa.Array, list]:
     """Whole texts and labels of at most max_rows documents: those with a label, first by a hash of the id, the least label of several.
 
-    Only ids are sorted and cut; the texts come by a join with those ids, which max_rows bounds, so they are broadcast.
+    Of these the texts come up to max_bytes in that order; a text that doesn't fit is left out whole. Only ids are sorted and cut; the
+    texts come by a join with those ids, which max_rows bounds, so they are broadcast.
     """
+    spark = docs.sparkSession
     ids = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("__ww_id")).agg(F.min(label).alias("__ww_label"))
     ids = ids.orderBy(F.xxhash64("__ww_id"), "__ww_id").limit(max_rows)
     found = docs.select(F.col("doc_id").alias("__ww_id"), F.col("text").alias("__ww_text")).where(F.col("__ww_text").isNotNull()).join(F.broadcast(ids), "__ww_id")
-    found = found.groupBy("__ww_id", "__ww_label").agg(F.min("__ww_text").alias("__ww_text")).toArrow().sort_by("__ww_id")
-    return found["__ww_text"].combine_chunks(), found["__ww_label"].to_pylist()
+    found, at = table(found.groupBy("__ww_id", "__ww_label").agg(F.min("__ww_text").alias("__ww_text")), "sample")
+    room, left = max_bytes, []
+    for r in sorted(found.select("__ww_id", F.xxhash64("__ww_id").alias("h"), F.octet_length("__ww_text").alias("size")).collect(), key=lambda r: (r["h"], r["__ww_id"])):
+        if r["size"] <= room:
+            room -= r["size"]
+        else:
+            left.append(r["__ww_id"])
+    chosen = (found.where(~F.col("__ww_id").isin(left)) if left else found).toArrow().sort_by("__ww_id")
+    drop_table(spark, at)
+    return chosen["__ww_text"].combine_chunks(), chosen["__ww_label"].to_pylist()
 
 
 def connected_components(edges: DataFrame, name: str = "cc") -> DataFrame:
