@@ -1,14 +1,16 @@
 """Toxicity: a linear-chain conditional random field tags toxic spans, and its marginals make document scores.
 
-Tokens are runs of letters and digits in small letters. Labelled tokens come from labelled documents: words and beginnings of words
-that stand in toxic documents and in next to no others are picked greedily, each for the toxic documents that those before it leave
-unexplained, and tokens that have one of them are labelled toxic. The field has two states; it is trained on chains of at most CHAIN
+Tokens are runs of letters and digits in small letters. Labelled tokens come from labelled documents: words and beginnings of longer
+words that stand in toxic documents and in next to no others, or in a share of the toxic ones that is many times that of the others (labels
+err), are picked greedily, each for the toxic documents that those before it leave unexplained; then those join that mark nearly as many
+toxic documents as the strongest, explained or not. If none qualifies, the words that tell toxic documents best serve. Tokens that have
+one of these are labelled toxic. The field has two states; it is trained on chains of at most CHAIN
 tokens by gradient ascent on its likelihood, with features of the token, its beginnings and end and its neighbours, hashed. Scoring
 runs forward and backward over all chains of a batch at once. A document's score is a calibrated function of its highest marginal
 and of the number of toxic tokens expected; tokens with a marginal of half or more make the offending spans.
 
 Training takes at most max_rows labelled documents, first by a hash of their ids. Null text is empty; texts without tokens get the
-score of no evidence. Rows are scored one by one; with no labels at all every score is 0.
+score of no evidence. Rows are scored one by one; with no words in documents labelled toxic every score is 0.
 """
 
 from __future__ import annotations
@@ -25,7 +27,8 @@ from wickworks.llm.common import held_out
 from wickworks.llm.quality import sample
 
 CHAIN = 64
-BEGINNINGS = (4, 5, 6)
+#: Bytes of the beginnings of longer tokens that are features.
+BEGINNINGS = (4, 5, 6, 7, 8)
 
 
 @dataclass(frozen=True)
@@ -37,7 +40,10 @@ class Settings:
     l2: float = 1e-5
     clean_chains: int = 4  # for each chain with a toxic token
     least_gain: int = 3  # documents that a word must explain
-    most_clean: float = 0.0005  # share of clean documents that may have it
+    most_clean: float = 0.0005  # share of clean documents that may have it,
+    ratio: float = 25.0  # or its share of toxic documents is so many times that
+    alike: float = 0.5  # words join that mark this share of what the strongest marks
+    at_least: int = 4  # words that serve where none qualifies
 
 
 @dataclass(frozen=True)
@@ -65,10 +71,10 @@ def _tokens(data: np.ndarray, offsets: np.ndarray):
 
 
 def _own(low, starts, ends) -> list[np.ndarray]:
-    """Hashes of a token itself and of its beginnings; 0 where it is shorter."""
+    """Hashes of a token itself and of its beginnings; 0 where it is no longer."""
     out = [tb.mix(tb.spans_hash(low, starts, ends), 20)]
     for k in BEGINNINGS:
-        long = ends - starts >= k
+        long = ends - starts > k
         out.append(np.where(long, tb.mix(tb.spans_hash(low, starts, np.where(long, starts + k, ends)), 20 + k), np.uint64(0)))
     return out
 
@@ -153,7 +159,9 @@ def _mark(texts: pa.Array, toxic: np.ndarray, s: Settings) -> np.ndarray:
     clean = np.zeros(len(keys), np.int64)
     for _, other in _held(texts.filter(pa.array(~toxic)), keys):
         clean += np.bincount(np.searchsorted(keys, other), minlength=len(keys))
-    fit = clean <= s.most_clean * max(1, (~toxic).sum())
+    held, n_toxic, n_clean = np.bincount(back, minlength=len(keys)), max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
+    fit = (clean <= s.most_clean * n_clean) | (held / n_toxic >= s.ratio * clean / n_clean)
+    strength = np.where(fit, held, 0)
     use = fit[back]
     back, of = back[use], of[use]
     picked = []
@@ -162,14 +170,19 @@ def _mark(texts: pa.Array, toxic: np.ndarray, s: Settings) -> np.ndarray:
         best = int(np.argmax(gain - 0.5 * (clean > 0)))
         if gain[best] < s.least_gain:
             break
-        picked.append(keys[best])
+        picked.append(best)
         left = ~np.isin(of, of[back == best])
         back, of = back[left], of[left]
-    return np.array(picked, np.uint64)
+    if picked:
+        picked += np.flatnonzero(strength >= max(s.least_gain, s.alike * strength[picked].max())).tolist()
+    else:
+        lift = np.log((held + 0.5) / n_toxic) - np.log((clean + 0.5) / n_clean)
+        picked = np.argsort(-lift * np.sqrt(held), kind="stable")[: s.at_least].tolist()
+    return np.unique(keys[picked])
 
 
 def train(texts: pa.Array, toxic: np.ndarray, s: Settings = Settings()) -> Model | None:
-    """Labels tokens, fits the field and calibrates document scores; None without toxic documents."""
+    """Labels tokens, fits the field and calibrates document scores; None if no toxic document has a word."""
     toxic = toxic > 0
     marks = _mark(texts, toxic, s)
     if not len(marks):
