@@ -2,7 +2,9 @@
 
 Text that repeats itself compresses far better than prose, and random text far worse. How well prose compresses depends on its
 length, so each limit holds for a range of sizes. A text is kept if it has enough words, not too many of them stand in repeated
-windows, its whole ratio lies in its length's band, and no more than a share of its fixed chunks leave the chunks' band.
+windows, its whole ratio lies in its length's band, and no more than a share of its fixed chunks leave the chunks' band. The last chunk
+ends where the text does and may overlap the one before it, so no byte of a text of a chunk or more is in none; a text shorter than a
+chunk has only its whole ratio.
 
 Null text counts as empty. An empty or blank text has no words, fails the base rules and isn't kept. Rows stay as they are: repeated
 rows get equal results, and other columns aren't read.
@@ -104,7 +106,8 @@ def assess(texts: pa.Array, bands: Bands = PRODUCTION) -> pa.Array:
             raw = data[a:b].tobytes()
             ratio = size / len(press.compress(raw)) if size else 0.0
             out = n = 0
-            for i in range(0, size - bands.chunk_bytes + 1, bands.chunk_bytes):
+            at = list(range(0, size - bands.chunk_bytes + 1, bands.chunk_bytes))
+            for i in at + [size - bands.chunk_bytes] * bool(at and size % bands.chunk_bytes):
                 r = bands.chunk_bytes / len(press.compress(raw[i : i + bands.chunk_bytes]))
                 out, n = out + (not bands.chunk[0] <= r <= bands.chunk[1]), n + 1
             share = out / n if n else 0.0
