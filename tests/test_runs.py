@@ -1,8 +1,10 @@
 """Whole runs over small archives made here, sources, sinks, configuration and streaming."""
 
 import hashlib
+import http.server
 import io
 import json
+import threading
 import zipfile
 from datetime import date, datetime, timedelta
 
@@ -13,7 +15,7 @@ from wickworks.operators import candles as cd
 from wickworks.operators import names, validate
 from wickworks.plans import runs
 from wickworks.sinks import legacy, publish
-from wickworks.sources import archives, config, manifest, tables
+from wickworks.sources import archives, config, fetch, manifest, tables
 from wickworks.streaming import candles as stream
 
 HOUR = 3_600_000
@@ -164,6 +166,60 @@ def test_manifest(spark, tmp_path):
     assert {r["status"]: r["files"] for r in manifest.totals(manifest.verify(planned, str(tmp_path))).collect()} == {"ok": 1, "mismatch": 1, "missing": 1}
 
 
+@pytest.fixture
+def server(tmp_path):
+    """Serves a folder; the first answers to some paths are errors or broken off."""
+    folder, troubles = tmp_path / "served", {}
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            path = folder / self.path.lstrip("/")
+            kind = troubles[self.path].pop(0) if troubles.get(self.path) else None
+            if kind == "busy" or not path.exists():
+                self.send_error(503 if kind else 404)
+                return
+            body = path.read_bytes()
+            self.send_response(200)
+            self.send_header("Content-Length", str(len(body)))
+            self.end_headers()
+            self.wfile.write(body[:-9] if kind == "short" else b"\0" * len(body) if kind == "wrong" else body)
+
+        def log_message(self, *args):
+            pass
+
+    made = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=made.serve_forever, daemon=True).start()
+    yield folder, troubles, f"http://127.0.0.1:{made.server_port}"
+    made.shutdown()
+
+
+def test_fetch(spark, tmp_path, server):
+    folder, troubles, url = server
+    for d in (1, 2, 3):
+        z = folder / f"klines/ABCUSDT/1h/ABCUSDT-1h-2024-01-0{d}.zip"
+        write_zip(z, day_rows(d - 1), member="other.csv" if d == 3 else None)
+        z.with_name(z.name + ".CHECKSUM").write_text(f"{hashlib.sha256(z.read_bytes()).hexdigest()}  {z.name}\n")
+    paths = [f"/klines/ABCUSDT/1h/ABCUSDT-1h-2024-01-0{d}.zip" for d in (1, 2, 3)]
+    troubles |= {paths[0]: ["busy", "short"], f"{paths[0]}.CHECKSUM": ["busy"], paths[1]: ["wrong"]}
+    waits = []
+    go = lambda days: fetch.fetch(spark, manifest.plan(spark, "um", ["ABCUSDT"], "1h", date(2024, 1, 1), date(2024, 1, days)), url, str(tmp_path / "raw"), str(tmp_path / "raw/manifest.json"), 2, 3, wait=waits.append)
+    done = go(2)
+    assert done["status"] == "complete" and done["downloaded"] == 2 and sorted(waits) == [1.0, 1.0, 1.0, 2.0]
+    assert manifest.verify(manifest.plan(spark, "um", ["ABCUSDT"], "1h", date(2024, 1, 1), date(2024, 1, 2)), str(tmp_path / "raw")).where("status = 'ok'").count() == 2
+    assert archives.read(spark, str(tmp_path / "raw"), archives.KLINE).count() == 48
+    (tmp_path / "raw/um/ABCUSDT/1h/ABCUSDT-1h-2024-01-02.zip").write_bytes(b"half")
+    for x in (tmp_path / "raw/um/ABCUSDT/1h").glob(".*.crc"):
+        x.unlink()
+    again = go(2)
+    assert (again["skipped"], again["downloaded"]) == (1, 1)
+    with pytest.raises(fetch.FetchError, match="one plain member"):
+        go(3)
+    with pytest.raises(fetch.FetchError, match="404"):
+        fetch.fetch_one(publish.Store(spark, str(tmp_path)), f"{url}/nothing.zip", str(tmp_path / "nothing.zip"), wait=waits.append)
+    state = json.loads((tmp_path / "raw/manifest.json").read_text())
+    assert state["status"] == "incomplete" and len(state["objects"]) == 2 and len(state["errors"]) == 1
+
+
 def test_generic_files(spark, tmp_path):
     (tmp_path / "a.csv").write_text("Open Time,Open,HIGH,low,close,Base-Asset Volume,trades\n1704067200000,1,2,1,2,5,3\n1704070800000,2,3,2,3,6,4\n")
     out = tables.ends(tables.read_generic(spark, str(tmp_path / "a.csv"), unit="ms"), HOUR, "start")
@@ -173,6 +229,17 @@ def test_generic_files(spark, tmp_path):
     (tmp_path / "b.csv").write_text("time,open,high,low,close,volume,symbol\n1,1,1,1,1,1,A\n2,1,1,1,1,1,B\n")
     with pytest.raises(ValueError, match="more than one instrument"):
         tables.read_generic(spark, str(tmp_path / "b.csv"), unit="s")
+    (tmp_path / "c.csv").write_text("time,open,high,low,close,volume,Asset\n1,1,1,1,1,1,A\n2,1,1,1,1,1,B\n")
+    with pytest.raises(ValueError, match="more than one instrument"):
+        tables.read_generic(spark, str(tmp_path / "c.csv"), unit="s")
+    (tmp_path / "d.csv").write_text("time,open,high,low,close,volume\n")
+    with pytest.raises(ValueError, match="no rows"):
+        tables.read_generic(spark, str(tmp_path / "d.csv"), unit="s")
+    (tmp_path / "e.csv").write_text("time,Open ,high,low,close,volume,x-y,x y\n1,1,1,1,1,1,1,1\n")
+    with pytest.raises(ValueError, match="several columns"):
+        tables.read_generic(spark, str(tmp_path / "e.csv"), unit="s")
+    with pytest.raises(ValueError, match="the file is"):
+        tables.read_generic(spark, str(tmp_path / "f.txt"), unit="s")
     with pytest.raises(ValueError, match="role"):
         tables.ends(out, HOUR, "start", 5)
     with pytest.raises(ValueError, match="several columns"):
@@ -235,3 +302,31 @@ def test_stream_equals_batch(spark, tmp_path):
     want = {r["open_time"]: r for r in stream.build(df, ["symbol"]).collect()}
     assert len(got) >= len(want) - 2 and all(got[t] == want[t] for t in got)
     assert stream.sessions(df, ["symbol"], "5 minutes").count() == 200
+
+
+def test_strict_stream_fails_on_order(spark, tmp_path):
+    start = datetime(2024, 1, 1)
+    schema = "symbol string, tick_id long, ts timestamp, price double"
+    batch = lambda rows: spark.createDataFrame([("A", i, start + timedelta(seconds=s), 1.0) for i, s in rows], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def run():
+        live = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        q = stream.strict(live, ["symbol"]).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        q.awaitTermination(120)
+        return q
+
+    batch([(1, 0), (2, 5), (3, 5)])
+    run()
+    batch([(4, 6), (5, 9)])
+    run()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+    batch([(5, 9)])
+    with pytest.raises(Exception, match="strictly increasing"):
+        run()
+
+
+def test_long_series_are_computed_in_chunks(spark):
+    rows = [("A", D0 + (i + 1 + 3 * (i > 700)) * HOUR, *kline(0, 100 + (i * 37) % 11)[1:6], 2, 4.0) for i in range(900)]
+    df = spark.createDataFrame([(s, e, float(o), float(h), float(x), float(c), float(v), n, t) for s, e, o, h, x, c, v, n, t in rows], "symbol string, end_ms long, open double, high double, low double, close double, volume double, trade_count long, taker_buy_base_volume double")
+    whole, cut = (runs.calculate(df, ["symbol"], HOUR, chunk_rows=n).select("end_ms", "segment_id", *[F.round(x, 6).alias(x) for x in ("ema_distance_160", "log_return_80", "relative_volume_20")]) for n in (16_384, 300))
+    assert whole.exceptAll(cut).count() == cut.exceptAll(whole).count() == 0 and whole.count() == 900

@@ -25,6 +25,8 @@ CANDLE_SCHEMA = T.StructType(
     + [T.StructField(c, T.DoubleType(), False) for c in ("taker_buy_base_volume", "taker_buy_quote_volume", "kline_ignore")]
 )
 EXTRACTOR_COLUMNS = tuple(f.name for f in CANDLE_SCHEMA)
+#: Columns of that layout that features don't read; they may be absent.
+NOT_READ = {"quote_volume", "taker_buy_quote_volume", "kline_ignore"}
 
 
 def interval_ms(text: str) -> int:
@@ -38,7 +40,7 @@ def interval_ms(text: str) -> int:
 def layout(columns: Sequence[str]) -> str:
     """'legacy' or 'extractor', by which layout's columns are all there; both or neither is an error."""
     have = set(columns)
-    legacy, extractor = set(LEGACY_COLUMNS) <= have, set(EXTRACTOR_COLUMNS[:3] + EXTRACTOR_COLUMNS[3:11] + EXTRACTOR_COLUMNS[12:14]) <= have
+    legacy, extractor = set(LEGACY_COLUMNS) <= have, set(EXTRACTOR_COLUMNS) - NOT_READ <= have
     if legacy and {"market", "open_time"} & have:
         raise ValueError("the columns of two candle layouts are mixed")
     if legacy or extractor:

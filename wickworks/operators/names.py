@@ -17,6 +17,7 @@ ALIASES = {
 }
 TIMES = ("timestamp", "datetime", "date", "time", "open_time", "close_time")
 REQUIRED = ("open", "high", "low", "close", "volume")
+INSTRUMENTS = ("symbol", "ticker", "asset")
 
 
 def normal(name: Column) -> Column:
@@ -30,6 +31,9 @@ def normal_text(name: str) -> str:
 
 def resolve(columns: Sequence[str]) -> dict[str, str]:
     """Field to column by alias; two columns for a field, or a required field without one, are errors."""
+    normal_names = [normal_text(c) for c in columns]
+    if len(set(normal_names)) != len(normal_names):
+        raise ValueError("columns that are several columns for one name after trimming, case and blanks")
     out = {}
     for field, names in ALIASES.items():
         found = [c for c in columns if normal_text(c) in names]

@@ -9,14 +9,22 @@ from pyspark.sql import functions as F
 
 from wickworks.functions.catalogue import NAMES
 from wickworks.operators import candles as cd
-from wickworks.operators import features, names, quality, segments, ticks
+from wickworks.operators import chunked, features, names, quality, segments, ticks
 from wickworks.sinks import publish
 from wickworks.sources import archives, tables
 from wickworks.sources.config import ExtractConfig, FeatureConfig
 
 
-def calculate(candles: DataFrame, keys: Sequence[str], step_ms: int, gap_policy: str = "reset") -> DataFrame:
-    """All 128 features of checked candles (keys, end_ms, OHLCV and optional columns)."""
+def calculate(candles: DataFrame, keys: Sequence[str], step_ms: int, gap_policy: str = "reset", chunk_rows: int = 16_384) -> DataFrame:
+    """All 128 features of checked candles (keys, end_ms, OHLCV and optional columns).
+
+    Where gaps start segments, a series longer than a chunk is computed in chunks, with equal results; shorter ones, and any under the
+    rows policy, whose windows reach across gaps of any length, are a task each.
+    """
+    if gap_policy == "reset":
+        longest = candles.groupBy(*keys).count().agg(F.max("count").alias("n")).first()["n"] or 0
+        if longest > chunk_rows:
+            return chunked.compute(candles, keys, step_ms, chunk_rows=chunk_rows)
     return features.compute(segments.segment(candles, keys, step_ms, gap_policy), keys)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wickworks.operators import candles as cd
-from wickworks.sinks.publish import text_csv
+from wickworks.sinks.publish import many_files
 from wickworks.sources import archives
 
 _NAME = r"([A-Za-z0-9_]+)-([A-Za-z0-9]+)-([0-9]{4})-([0-9]{2})-([0-9]{2})\.csv"
@@ -21,14 +21,10 @@ def enrich(lines: DataFrame) -> DataFrame:
 
 
 def daily_csv(spark: SparkSession, source: str, target: str, mode: str = "ignore") -> list[str]:
-    """One CSV for each archive under source, in one pass; files that are there stay unless mode is overwrite."""
+    """One CSV for each archive under source, by one job; files that are there stay unless mode is overwrite."""
     enriched = enrich(archives.read(spark, source, archives.KLINE, "first", exact_member=False))
-    out = []
-    for r in enriched.select("file").distinct().sort("file").collect():
-        name = r["file"].rsplit("/", 1)[-1].rsplit(".", 1)[0] + ".csv"
-        text_csv(enriched.where(F.col("file") == r["file"]).drop("file"), f"{target}/{name}", ["line"], mode)
-        out.append(name)
-    return out
+    named = enriched.withColumn("__file", F.concat(F.regexp_extract("file", r"([^/]+)\.[^./]*$", 1), F.lit(".csv"))).drop("file")
+    return many_files(named, "__file", target, ["line"], mode)
 
 
 def read_daily(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,14 +51,9 @@ def merge_parquet(spark: SparkSession, folder: str, target: str) -> None:
 def merge_csv(spark: SparkSession, folder: str, target: str) -> list[str]:
     """One CSV a (coin, interval, year), files in the order of their names, values untouched."""
     daily = read_daily(spark, folder).withColumn("__at", F.monotonically_increasing_id())
-    out = []
-    for r in daily.select("file_coin", "file_interval", "file_year").distinct().sort("file_coin", "file_interval", "file_year").collect():
-        name = f"{r['file_coin']}-{r['file_interval']}-{r['file_year']}.csv"
-        rows = daily.where((F.col("file_coin") == r["file_coin"]) & (F.col("file_interval") == r["file_interval"]) & (F.col("file_year") == r["file_year"]))
-        columns = [c for c in daily.columns if c not in ("file", "file_coin", "file_interval", "file_year", "__at")]
-        text_csv(rows.select("file", "__at", *columns), f"{target}/{name}", ["file", "__at"], "overwrite")
-        out.append(name)
-    return out
+    name = F.concat(F.concat_ws("-", "file_coin", "file_interval", "file_year"), F.lit(".csv"))
+    columns = [c for c in daily.columns if c not in ("file", "file_coin", "file_interval", "file_year", "__at")]
+    return many_files(daily.select("file", "__at", *columns, name.alias("__file")), "__file", target, ["file", "__at"])
 
 
 def merge_xlsx(spark: SparkSession, folder: str, target: str) -> int:

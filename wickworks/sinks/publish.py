@@ -50,6 +50,19 @@ class Store:
             self.delete(path)
         self.rename(part, path)
 
+    def write_file(self, path: str, source: str) -> None:
+        """A file of this machine, through a temporary name."""
+        part = f"{path}.{uuid.uuid4().hex}.tmp"
+        self.make(path.rsplit("/", 1)[0])
+        self._fs.copyFromLocalFile(False, True, self.at(source), self.at(part))
+        if self.exists(path):
+            self.delete(path)
+        self.rename(part, path)
+
+    def fetch(self, path: str, target: str) -> None:
+        """A copy on this machine."""
+        self._fs.copyToLocalFile(False, self.at(path), self.at(target), True)
+
     def write_json(self, path: str, value) -> None:
         self.write_text(path, json.dumps(value, indent=2, allow_nan=False) + "\n")
 
@@ -76,6 +89,33 @@ def _one_file(df: DataFrame, order: Sequence[str], target: str, mode: str, repor
     return True
 
 
+def many_files(df: DataFrame, name: str, folder: str, order: Sequence[str], mode: str = "overwrite") -> list[str]:
+    """One CSV file with a header for each value of the column name, ordered, all from one job; returns the names, sorted.
+
+    Files that are there stay under mode ignore. Each file's rows are one task's, whatever the number of files.
+    """
+    store = Store(df.sparkSession, folder)
+    wanted = sorted(r[0] for r in df.select(name).distinct().collect())
+    if mode == "error" and (there := [n for n in wanted if store.exists(f"{folder}/{n}")]):
+        raise FileExistsError(f"{folder}/{there[0]}")
+    new = [n for n in wanted if mode == "overwrite" or not store.exists(f"{folder}/{n}")]
+    if not new:
+        return wanted
+    staging = f"{folder.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    try:
+        rows = df if len(new) == len(wanted) else df.where(F.col(name).isin(new))
+        rows.repartition(name).sortWithinPartitions(name, *order).write.option("header", "true").option("emptyValue", "").partitionBy(name).csv(staging)
+        store.make(folder)
+        for n in new:
+            (part,) = [x for x in store.names(f"{staging}/{name}={n}") if x.startswith("part-")]
+            if store.exists(f"{folder}/{n}"):
+                store.delete(f"{folder}/{n}")
+            store.rename(f"{staging}/{name}={n}/{part}", f"{folder}/{n}")
+    finally:
+        store.delete(staging)
+    return wanted
+
+
 def candles_parquet(df: DataFrame, target: str, mode: str = "error", report=None) -> bool:
     """One zstd Parquet file of candles by open time; False if the target was there and mode is ignore."""
     return _one_file(df, ["open_time"], target, mode, report, lambda d, at: d.write.option("compression", "zstd").parquet(at))
@@ -102,7 +142,7 @@ def features(df: DataFrame, folder: str, summary: dict) -> list[str]:
     try:
         files = {r["symbol"]: r["file"] for r in names.file_names(df).collect()}
         lookup = spark.createDataFrame(list(files.items()), "symbol string, __file string")
-        out = df.join(F.broadcast(lookup), "symbol").select("candle_end_utc", "symbol", *[c for c in df.columns if c not in ("candle_end_utc", "symbol")], "__file")
+        out = df.join(lookup, "symbol").select("candle_end_utc", "symbol", *[c for c in df.columns if c not in ("candle_end_utc", "symbol")], "__file")
         out.repartition("__file").sortWithinPartitions("__file", "candle_end_utc").write.option("compression", "zstd").partitionBy("__file").parquet(staging)
         for symbol in sorted(files):
             found = [n for n in store.names(f"{staging}/__file={files[symbol]}") if n.startswith("part-")]

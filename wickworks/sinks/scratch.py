@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame
 
 
 def table(df: DataFrame, name: str) -> DataFrame:
-    """df, written and read again. Where no folder is named (tests), one on this machine is made."""
+    """df, written and read again. Where no folder is named and all runs on this machine (tests), one is made here."""
     sc = df.sparkSession.sparkContext
     folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not folder:
+        if sc.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="wickworks-scratch-")
         sc.setCheckpointDir(folder)
     path = f"{folder.rstrip('/')}/wickworks-{name}-{uuid.uuid4().hex}"

@@ -9,6 +9,8 @@ from __future__ import annotations
 import csv
 import io
 import re
+import shutil
+import tempfile
 import zipfile
 from collections.abc import Iterator, Sequence
 from datetime import date, timedelta
@@ -100,17 +102,20 @@ def sources(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def unpack(spark: SparkSession, path: str) -> str:
-    """Writes an archive's CSV beside it, byte for byte, and returns its path."""
+    """Writes an archive's CSV beside it, byte for byte and in blocks, and returns its path."""
     from wickworks.sinks.publish import Store
 
-    content = bytes(spark.read.format("binaryFile").load(path).first()["content"])
-    with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        members = [m for m in archive.infolist() if not m.is_dir()]
-        if len(members) != 1:
-            raise ValueError(f"{path}: expected one member")
-        text = archive.read(members[0]).decode("utf-8")
     target = path.rsplit(".", 1)[0] + ".csv"
-    Store(spark, target).write_text(target, text)
+    store = Store(spark, target)
+    with tempfile.TemporaryDirectory() as here:
+        store.fetch(path, f"{here}/archive.zip")
+        with zipfile.ZipFile(f"{here}/archive.zip") as archive:
+            members = [m for m in archive.infolist() if not m.is_dir()]
+            if len(members) != 1:
+                raise ValueError(f"{path}: expected one member")
+            with archive.open(members[0]) as source, open(f"{here}/member.csv", "wb") as out:
+                shutil.copyfileobj(source, out, 1 << 20)
+        store.write_file(target, f"{here}/member.csv")
     return target
 
 

@@ -1,4 +1,4 @@
-"""Archive manifests: which files a range needs, and whether those at hand are whole. Nothing is fetched here."""
+"""Archive manifests: which files a range needs, and whether those at hand are whole. fetch.py gets them."""
 
 from __future__ import annotations
 

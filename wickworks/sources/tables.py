@@ -39,18 +39,29 @@ def checked(candles: DataFrame) -> tuple[DataFrame, str]:
 
 
 def read_generic(spark: SparkSession, path: str, timestamp: str | None = None, unit: str | None = None, zone: str | None = None) -> DataFrame:
-    """(time_ms, canonical columns) of a Parquet, CSV, TSV, gzip or Excel file. Numeric times need unit; times without zone need one."""
+    """(time_ms, canonical columns) of a Parquet, CSV, TSV, gzip or Excel file. Numeric times need unit; times without zone need one.
+
+    Excel is read on the driver, as one workbook is no large table, and needs openpyxl; any other file is read by Spark. A file without rows,
+    names that are the same after trimming, case and blanks, and several instruments are errors.
+    """
     low = path.lower()
     if low.endswith((".xlsx", ".xls")):
-        import pandas as pd  # the reader itself needs openpyxl
+        import pandas as pd
 
-        raw = spark.createDataFrame(pd.read_excel(path))
+        try:
+            raw = spark.createDataFrame(pd.read_excel(path))
+        except ImportError as e:
+            raise RuntimeError("Excel input needs openpyxl") from e
     elif low.endswith(".parquet"):
         raw = spark.read.parquet(path)
+    elif not low.endswith((".csv", ".tsv", ".gz")):
+        raise ValueError("the file is Parquet, CSV, TSV, gzip or Excel")
     else:
         raw = spark.read.option("header", "true").option("inferSchema", "true").option("sep", "\t" if ".tsv" in low else ",").csv(path)
+    if raw.isEmpty():
+        raise ValueError(f"{path}: no rows")
     found = names.resolve(raw.columns)
-    for c in (c for c in raw.columns if names.normal_text(c) in ("symbol", "pair", "ticker")):
+    for c in (c for c in raw.columns if names.normal_text(c) in names.INSTRUMENTS):
         if raw.select(F.coalesce(F.col(c).cast("string"), F.lit("\0"))).distinct().limit(2).count() > 1:
             raise ValueError(f"more than one instrument in {c}")
     stamps = [timestamp] if timestamp else [c for c in raw.columns if names.normal_text(c) in names.TIMES]

@@ -1,9 +1,11 @@
-"""Candles from a live stream of ticks: watermark, tumbling windows, duplicates dropped within the watermark."""
+"""Candles from a live stream of ticks: watermark, tumbling windows, and duplicates that are dropped within the watermark or fatal."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,3 +25,24 @@ def build(ticks: DataFrame, keys: Sequence[str], step: str = "1 hour", late: str
 def sessions(ticks: DataFrame, keys: Sequence[str], gap: str = "30 minutes", late: str = "10 minutes") -> DataFrame:
     """Runs of ticks without a pause of the gap: the streaming counterpart of gap segments."""
     return ticks.withWatermark("ts", late).groupBy(*keys, F.session_window("ts", gap).alias("s")).agg(F.count("*").alias("ticks"), F.min("tick_id").alias("first_id"), F.max("tick_id").alias("last_id")).select(*keys, F.col("s.start").alias("start"), F.col("s.end").alias("end"), "ticks", "first_id", "last_id")
+
+
+def strict(ticks: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The ticks (keys, tick_id, ts and others) of a stream, which fails where an id comes twice or is no greater than those of earlier
+    batches, or where times fall as ids rise. Kept per key: the last id and time. A batch's ticks of a key are one group, which the
+    source's limit of files or offsets a trigger bounds."""
+
+    def check(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(batches)).sort_values("tick_id", kind="stable")
+        ids, times = rows["tick_id"].to_numpy(), rows["ts"].to_numpy("datetime64[us]").astype("int64")
+        if state.exists:
+            last_id, last_time = state.get
+            ids, times = np.append(last_id, ids), np.append(last_time, times)
+        if (np.diff(ids) <= 0).any():
+            raise ValueError(f"{key}: tick ids strictly increasing")
+        if (np.diff(times) < 0).any():
+            raise ValueError(f"{key}: times not falling")
+        state.update((int(ids[-1]), int(times[-1])))
+        yield rows
+
+    return ticks.groupBy(*keys).applyInPandasWithState(check, ticks.schema, "tick_id long, time_us long", "append", "NoTimeout")
