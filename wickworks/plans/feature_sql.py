@@ -171,3 +171,11 @@ def family_sql(family: str, base: str, step: int) -> str:
             return f"{head} SELECT {keys}, {rounded(out)} FROM m LEFT JOIN vw USING (symbol, segment_id, i)"
         return f"{head} SELECT {keys}, {rounded(out)} FROM c {join}"
     return f"{head} SELECT {keys}, {rounded(columns(family))} FROM c"
+
+
+def every_family_sql(base: str, step: int, before: str = "symbol, segment_id, end_ms") -> str:
+    """All families joined by row, in the order of the catalogue."""
+    keys = "symbol, segment_id, end_ms"
+    first, *others = cat.FAMILIES
+    joined = "".join(f" JOIN ({family_sql(f, base, step)}) f_{f} USING ({keys})" for f in others)
+    return f"SELECT {before}, {', '.join(cat.NAMES)} FROM ({family_sql(first, base, step)}) f_{first}{joined}"

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import io
+import tempfile
+import zipfile
+from collections.abc import Sequence
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wickworks.operators import candles as cd
+from wickworks.sinks.publish import Store
+from wickworks.sources.archives import KLINE
 
 HOUR, DAY = 3_600_000, 86_400_000
 
@@ -43,6 +51,51 @@ def daily(spark: SparkSession, sf_dir: str, by_priority: bool = False) -> DataFr
     return cd.from_ticks(order_ticks(spark, sf_dir, by_priority), ["symbol"], DAY)
 
 
+def whole_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly candles of whole days: an hour without ticks is flat at the last close (at first, at the first open) and has no volume."""
+    c = hourly(spark, sf_dir)
+    span = c.agg((F.min("open_ms") - F.pmod(F.min("open_ms"), F.lit(DAY))).alias("lo"), (F.max("open_ms") - F.pmod(F.max("open_ms"), F.lit(DAY)) + DAY - HOUR).alias("hi"), F.min_by("open", "open_ms").alias("first"))
+    hours = span.select("first", F.explode(F.sequence("lo", "hi", F.lit(HOUR).cast("long"))).alias("open_ms"))
+    last = F.coalesce(F.last("close", ignorenulls=True).over(Window.orderBy("open_ms")), F.col("first"))
+    both = hours.join(c.drop("symbol", "end_ms"), "open_ms", "left").withColumn("__last", last)
+    prices = {x: F.coalesce(x, "__last") for x in ("open", "high", "low", "close")}
+    sums = {x: F.coalesce(x, F.lit(0)) for x in ("volume", "quote_volume", "trade_count", "taker_buy_base_volume", "taker_buy_quote_volume")}
+    return both.withColumns({**prices, **sums}).select(F.lit("ABC").alias("symbol"), "open_ms", *prices, *sums)
+
+
+def kline_cells(candles: DataFrame) -> DataFrame:
+    """(day, order, cells as text) of candles in the archives' columns."""
+    cells = [F.col("open_ms"), "open", "high", "low", "close", "volume", F.col("open_ms") + HOUR - 1, "quote_volume", "trade_count", "taker_buy_base_volume", "taker_buy_quote_volume", F.lit(0)]
+    return candles.select(F.to_date(F.timestamp_seconds(F.col("open_ms") / 1000)).cast("string").alias("day"), F.col("open_ms").alias("order"), F.array(*[F.col(c).cast("string") if isinstance(c, str) else c.cast("string") for c in cells]).alias("cells"))
+
+
+def trade_cells(ticks_: DataFrame) -> DataFrame:
+    cells = ["tick_id", "price", "quantity", "tick_id", "tick_id", "time_ms", "buyer_is_maker"]
+    return ticks_.select(F.to_date(F.timestamp_seconds(F.col("time_ms") / 1000)).cast("string").alias("day"), F.col("tick_id").alias("order"), F.array(*[F.col(c).cast("string") for c in cells]).alias("cells"))
+
+
+def zipped(rows: DataFrame, folder: str, symbol: str, kind: str, header: Sequence[str] = KLINE) -> list[str]:
+    """Writes one archive a day, as an exchange's server has them, and returns their paths. A day's lines are put together by the task that
+    has the day; the few archives come to the driver to be named."""
+
+    def archive(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        name = f"{symbol}-{kind}-{key[0]}"
+        text = "\n".join([",".join(header), *(",".join(c) for c in frame.sort_values("order")["cells"])]) + "\n"
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr(f"{name}.csv", text)
+        return pd.DataFrame({"name": [f"{name}.zip"], "content": [out.getvalue()]})
+
+    store, paths = Store(rows.sparkSession, folder), []
+    for r in rows.groupBy("day").applyInPandas(archive, "name string, content binary").sort("name").toLocalIterator():
+        with tempfile.NamedTemporaryFile() as f:
+            f.write(bytes(r["content"]))
+            f.flush()
+            store.write_file(f"{folder}/{r['name']}", f.name)
+        paths.append(f"{folder}/{r['name']}")
+    return paths
+
+
 EVENT_TICKS = """ticks AS (SELECT {symbol} AS symbol, event_id AS tick_id, epoch_us(ts) // 1000 AS time_ms, value AS price,
   CAST(json_extract_string(props, '$.k') AS BIGINT) AS quantity, event_type IN ('view', 'error') AS buyer_is_maker FROM events WHERE value > 0)"""
 ORDER_TICKS = """ticks AS (SELECT {symbol} AS symbol, o_orderkey AS tick_id, epoch_us(o_orderdate) // 1000 AS time_ms, o_totalprice AS price,
@@ -65,3 +118,14 @@ s AS (SELECT *, CAST(sum(CAST(gap AS BIGINT)) OVER (PARTITION BY symbol ORDER BY
 b AS (SELECT *, row_number() OVER o - 1 AS i, lag(close) OVER o AS pc, (high + low + close) / 3 AS tp, lag((high + low + close) / 3) OVER o AS ptp FROM s WINDOW o AS (PARTITION BY symbol, segment_id ORDER BY end_ms)),
 c AS (SELECT *, ln(close / pc) AS r, ln(close) AS lc, CASE WHEN pc IS NOT NULL THEN greatest(close - pc, 0) END AS gain, CASE WHEN pc IS NOT NULL THEN greatest(pc - close, 0) END AS loss,
   CASE WHEN pc IS NOT NULL THEN greatest(high - low, abs(high - pc), abs(low - pc)) END AS tr FROM b)"""
+
+
+#: CTEs ticks, candles and days: whole_days() in SQL.
+WHOLE_DAYS = f"""{candles_sql(EVENT_TICKS, "'ALL'", HOUR)},
+span AS (SELECT min(open_ms) - min(open_ms) % {DAY} AS lo, max(open_ms) - max(open_ms) % {DAY} + {DAY - HOUR} AS hi, arg_min(open, open_ms) AS first_ FROM candles),
+hours AS (SELECT first_, unnest(generate_series(lo, hi, {HOUR})) AS open_ms FROM span),
+filled AS (SELECT h.open_ms, c.* EXCLUDE (symbol, open_ms, end_ms), coalesce(last_value(c.close IGNORE NULLS) OVER (ORDER BY h.open_ms ROWS UNBOUNDED PRECEDING), h.first_) AS last_ FROM hours h LEFT JOIN candles c ON h.open_ms = c.open_ms),
+days AS (SELECT 'ABC' AS symbol, open_ms, coalesce(open, last_) AS open, coalesce(high, last_) AS high, coalesce(low, last_) AS low, coalesce(close, last_) AS close, coalesce(volume, 0) AS volume, coalesce(quote_volume, 0) AS quote_volume,
+  coalesce(trade_count, 0) AS trade_count, coalesce(taker_buy_base_volume, 0) AS taker_buy_base_volume, coalesce(taker_buy_quote_volume, 0) AS taker_buy_quote_volume FROM filled)"""
+#: A time in milliseconds as UTC text.
+UTC_TEXT = "strftime(make_timestamp({0} * 1000), '%Y-%m-%dT%H:%M:%S.') || lpad(CAST({0} % 1000 AS VARCHAR), 3, '0') || 'Z'"

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wickworks.functions.catalogue import FAMILIES, NAMES
@@ -12,6 +13,9 @@ from wickworks.operators import candles as cd
 from wickworks.operators import chunked, features, names, quality, segments, ticks, validate
 from wickworks.plans import feature_sql as fs
 from wickworks.plans import fixtures as fx
+from wickworks.plans import runs
+from wickworks.sinks import legacy, publish, scratch
+from wickworks.sources import archives, manifest, tables
 
 KEYS = ["symbol"]
 _EVENTS = fx.candles_sql(fx.EVENT_TICKS, "'ALL'", fx.HOUR)
@@ -47,10 +51,6 @@ def r6(x, digits: int = 6):
     return F.round(x, digits) + 0.0
 
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features_full_130(spark, sf_dir)
-
-
 # Ticks, candles, reconciliation ----------------------------------------------------------------------------------------------
 
 _TICK_AGG = """buckets AS (SELECT symbol, time_ms - time_ms % {step} AS open_ms, count(*) AS agg_trade_count, CAST(sum(quantity) AS DOUBLE) AS agg_base_volume, CAST(sum(price * quantity) AS DOUBLE) AS agg_quote_volume,
@@ -243,11 +243,32 @@ for _name in ("ema_distance", "macd", "relative_volume"):
     query(fs.family_sql(_name, _ORDERS, fx.DAY), f"feature_{_name}_daily_chunked")(_chunked(_name))
 
 
-@query()
-def features_full_130(spark, sf_dir):
+def _full(spark, sf_dir) -> DataFrame:
+    return features.compute(segments.segment(fx.hourly(spark, sf_dir), KEYS, fx.HOUR), KEYS)
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All features of hourly candles, with the end as a timestamp and the symbol: 130 columns."""
-    out = features.compute(segments.segment(fx.hourly(spark, sf_dir), KEYS, fx.HOUR), KEYS)
-    return out.select(F.timestamp_millis("end_ms").alias("candle_end_utc"), "symbol", *NAMES)
+    return _full(spark, sf_dir).select(F.timestamp_millis("end_ms").alias("candle_end_utc"), "symbol", *NAMES)
+
+
+@query(fs.every_family_sql(_EVENTS, fx.HOUR, "make_timestamp(end_ms * 1000) AS candle_end_utc, symbol"))
+def features_full_130(spark, sf_dir):
+    """The flagship's frame with rounded values."""
+    end = F.expr("timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, CAST(end_ms AS DECIMAL(18,3)) / 1000)")
+    return _full(spark, sf_dir).select(end.alias("candle_end_utc"), "symbol", *[r6(c).alias(c) for c in NAMES])
+
+
+@query(fs.every_family_sql(_ORDERS, fx.DAY))
+def features_full_daily_chunked(spark, sf_dir):
+    """All features of a history with gaps, computed in chunks as long series are."""
+    return _rounded(runs.calculate(fx.daily(spark, sf_dir), KEYS, fx.DAY, chunk_rows=512), NAMES)
+
+
+@query(fs.every_family_sql(_BY_PRIORITY, fx.DAY))
+def features_full_daily_reset(spark, sf_dir):
+    """All features of several series with many gaps."""
+    return _rounded(runs.calculate(fx.daily(spark, sf_dir, True), KEYS, fx.DAY), NAMES)
 
 
 _REPORTED = (*FAMILIES["log_return"], *FAMILIES["sma_distance"], *FAMILIES["relative_volume"], *FAMILIES["candle_shape"])
@@ -270,6 +291,154 @@ def feature_run_report(spark, sf_dir):
     return out.select("symbol", "rows", "first_end_ms", "last_end_ms", "segments", "complete_all", "first_complete_end_ms")
 
 
+# Files: written from the test tables and read again ----------------------------------------------------------------------------
+
+_TIME = fx.UTC_TEXT.format
+_DAY_NAME = "strftime(make_timestamp(open_ms * 1000), '%Y-%m-%d')"
+
+
+@query(f"""WITH {fx.WHOLE_DAYS} SELECT 'ABC-1h-' || {_DAY_NAME} || '.zip' AS file, 'um' AS market, symbol, '1h' AS "interval", {_TIME("open_ms")} AS open_time, {_TIME(f"(open_ms + {fx.HOUR - 1})")} AS close_time,
+  {_TIME(f"(open_ms + {fx.HOUR})")} AS feature_available_at, open, high, low, close, round(volume, 4) AS volume, round(quote_volume, 4) AS quote_volume, trade_count, round(taker_buy_base_volume, 4) AS taker_buy_base_volume,
+  round(taker_buy_quote_volume, 4) AS taker_buy_quote_volume, 0.0::DOUBLE AS kline_ignore FROM days""")
+def archive_klines(spark, sf_dir):
+    """Daily candle archives, with a header of other names, read, checked and typed."""
+    header = ["Open Time", "open", "HIGH", "low", "close", "volume", "close_time", "quote_asset_volume", "number of trades", "taker_buy_base_volume", "Taker Buy Quote Asset Volume", "ignore"]
+    paths = fx.zipped(fx.kline_cells(fx.whole_days(spark, sf_dir)), scratch.folder(spark, "klines"), "ABC", "1h", header)
+    out = archives.klines(archives.read(spark, paths, archives.KLINE, "aliases"), "um", "ABC", "1h")
+    times = {n: cd.utc_text(F.col(c)) for n, c in (("open_time", "open_ms"), ("close_time", "close_ms"), ("feature_available_at", "end_ms"))}
+    sums = {c: F.round(c, 4) for c in ("volume", "quote_volume", "taker_buy_base_volume", "taker_buy_quote_volume")}
+    return out.withColumns({**times, **sums, "file": F.regexp_extract("file", "([^/]+)$", 1)}).select("file", *cd.EXTRACTOR_COLUMNS)
+
+
+@query(f"""WITH {fx.WHOLE_DAYS}, {_TICK_AGG.format(step=fx.HOUR)}, joined AS (SELECT d.*, b.* EXCLUDE (symbol, open_ms) FROM days d LEFT JOIN buckets b ON d.open_ms = b.open_ms)
+SELECT symbol, open_ms, open, close, round(volume, 4) AS volume, coalesce(agg_trade_count, 0) AS agg_trade_count, round(coalesce(agg_base_volume, 0), 4) AS agg_base_volume, round(coalesce(agg_quote_volume, 0), 4) AS agg_quote_volume,
+  CASE WHEN agg_trade_count > 0 THEN true END AS ohlc_matches, true AS all_metrics_match FROM joined""")
+def archive_candles_and_trades(spark, sf_dir):
+    """Daily archives of candles and of trades, read, checked and reconciled: every hour agrees."""
+    at = scratch.folder(spark, "combined")
+    candles = fx.zipped(fx.kline_cells(fx.whole_days(spark, sf_dir)), f"{at}/1h", "ABC", "1h")
+    trades = fx.zipped(fx.trade_cells(fx.ticks(spark, sf_dir)), f"{at}/aggTrades", "ABC", "aggTrades", archives.TRADES)
+    out = archives.combined(spark, candles, trades, "um", "ABC")
+    some = F.when(F.col("agg_trade_count") > 0, F.col("ohlc_matches"))
+    return out.select("symbol", "open_ms", "open", "close", F.round("volume", 4).alias("volume"), "agg_trade_count", *[F.round(c, 4).alias(c) for c in ("agg_base_volume", "agg_quote_volume")], some.alias("ohlc_matches"), "all_metrics_match")
+
+
+@query(f"""WITH {fx.WHOLE_DAYS} SELECT {_DAY_NAME} AS date, 'ABC' AS coin, '1h' AS "interval", substr({_TIME("open_ms")}, 12) AS open_time, substr({_TIME(f"(open_ms + {fx.HOUR - 1})")}, 12) AS close_time, open, high, low, close, round(volume, 4) AS volume,
+  trade_count AS count, {_DAY_NAME}[1:4] AS year, row_number() OVER (PARTITION BY {_DAY_NAME}[1:4] ORDER BY open_ms) AS place FROM days""")
+def archive_daily_and_yearly_files(spark, sf_dir):
+    """Daily archives to daily CSV files, and these to yearly files, whose lines are in the order of days and times."""
+    at = scratch.folder(spark, "legacy")
+    fx.zipped(fx.kline_cells(fx.whole_days(spark, sf_dir)), f"{at}/raw", "ABC", "1h")
+    legacy.daily_csv(spark, f"{at}/raw", f"{at}/daily")
+    legacy.merge_csv(spark, f"{at}/daily", f"{at}/yearly")
+    legacy.merge_parquet(spark, f"{at}/daily", f"{at}/parquet")
+    texts = spark.read.option("header", "true").csv(f"{at}/yearly")
+    place = F.row_number().over(Window.partitionBy("year").orderBy("__at")).cast("long")
+    lines = texts.select("date", "coin", "interval", "open_time", F.substring(F.col("_metadata.file_name"), -8, 4).alias("year"), F.monotonically_increasing_id().alias("__at")).withColumn("place", place).drop("__at")
+    typed = spark.read.parquet(f"{at}/parquet").withColumn("date", F.col("date").cast("string"))
+    both = lines.join(typed.drop("coin", "interval"), ["date", "open_time"])
+    return both.select("date", "coin", "interval", "open_time", "close_time", "open", "high", "low", "close", F.round("volume", 4).alias("volume"), "count", "year", "place")
+
+
+def _extractor(candles: DataFrame) -> DataFrame:
+    """Candles by symbol in the extractor's columns."""
+    named = candles.withColumns({"market": F.lit("um"), "interval": F.lit("1h"), "open_time": F.timestamp_millis("open_ms"), "close_time": F.timestamp_millis(F.col("end_ms") - 1), "feature_available_at": F.timestamp_millis("end_ms"), "kline_ignore": F.lit(0.0)})
+    return named.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in cd.CANDLE_SCHEMA])
+
+
+@query(f"""WITH {_BY_TYPE} SELECT substr(sha256('["venue", "um", "' || symbol || '", "1h", "trade"]'), 1, 24) AS series_id, symbol, open_ms, end_ms - 1 AS close_ms, end_ms, open, high, low, close, round(volume, 4) AS volume, trade_count,
+  round(taker_buy_base_volume, 4) AS taker_buy_base_volume FROM candles WHERE symbol IN ('click', 'error', 'purchase')""")
+def candle_files(spark, sf_dir):
+    """Candle files of several symbols, published, then read with a symbol filter, checked and made canonical."""
+    at = scratch.folder(spark, "candles")
+    made = _extractor(cd.from_ticks(fx.ticks(spark, sf_dir, True), KEYS, fx.HOUR))
+    for symbol in ("click", "error", "purchase", "view"):
+        publish.candles_parquet(made.where(F.col("symbol") == symbol), f"{at}/um/{symbol}/{symbol}-1h.parquet", report={"symbol": symbol})
+    found, _ = tables.checked(tables.read_candles(spark, at, ["click", "error", "purchase"]))
+    return found.select(names.series_id(*[F.col(k) for k in cd.SERIES_KEYS]).alias("series_id"), "symbol", "open_ms", "close_ms", "end_ms", "open", "high", "low", "close", F.round("volume", 4).alias("volume"), "trade_count", F.round("taker_buy_base_volume", 4).alias("taker_buy_base_volume"))
+
+
+@query(f"""WITH {_EVENTS} SELECT {_TIME("open_ms")} AS open_time, open, high, low, close, volume, row_number() OVER (ORDER BY open_ms) AS place FROM candles""")
+def candle_csv_file(spark, sf_dir):
+    """One CSV file of candles with ISO times, in the order of times."""
+    at = scratch.folder(spark, "csv")
+    c = fx.hourly(spark, sf_dir)
+    publish.text_csv(c.select(cd.utc_text(F.col("open_ms")).alias("open_time"), "open", "high", "low", "close", "volume"), f"{at}/candles.csv", ["open_time"])
+    lines = spark.read.schema("open_time string, open double, high double, low double, close double, volume double").option("header", "true").csv(f"{at}/candles.csv").withColumn("__at", F.monotonically_increasing_id())
+    return lines.withColumn("place", F.row_number().over(Window.orderBy("__at")).cast("long")).drop("__at")
+
+
+@query(f"""WITH {_EVENTS} SELECT open_ms AS time_ms, end_ms, open, high, low, close, volume, CAST(trade_count AS DOUBLE) AS trade_count, taker_buy_base_volume FROM candles""")
+def generic_candle_file(spark, sf_dir):
+    """A CSV of candles under other names, with its times in milliseconds at the candles' starts."""
+    at = scratch.folder(spark, "generic")
+    c = fx.hourly(spark, sf_dir).select(F.col("open_ms").alias("Open Time"), F.col("open").alias(" Open"), F.col("high").alias("HIGH"), "low", "close", F.col("volume").alias("Base-Asset Volume"), F.col("trade_count").alias("number of trades"), F.col("taker_buy_base_volume").alias("taker buy base-volume"), F.lit("ABC").alias("ticker"))
+    publish.text_csv(c, f"{at}/generic.csv", ["Open Time"])
+    out = tables.ends(tables.read_generic(spark, f"{at}/generic.csv", unit="ms"), fx.HOUR, "start")
+    return out.select("time_ms", "end_ms", "open", "high", "low", "close", "volume", "trade_count", "taker_buy_base_volume")
+
+
+@query(f"""WITH {_BY_PRIORITY}, {fx.segmented_sql(fx.DAY)}, f AS (SELECT symbol, end_ms, {fs.columns("log_return")["log_return_1"]} AS r FROM c),
+n AS (SELECT DISTINCT symbol, CASE WHEN regexp_matches(symbol, '^[A-Za-z0-9][A-Za-z0-9_-]{{0,63}}$') THEN symbol ELSE 'symbol-' || sha256(symbol) END || '-features.parquet' AS file FROM f)
+SELECT f.symbol, n.file, row_number() OVER (PARTITION BY f.symbol ORDER BY end_ms) AS place, end_ms, round(r, 6) + 0.0 AS log_return_1 FROM f JOIN n ON f.symbol = n.symbol""")
+def feature_files(spark, sf_dir):
+    """Features published as a file a symbol, under safe names and in the order of times, and read again."""
+    at = scratch.folder(spark, "features")
+    made = features.compute(segments.segment(fx.daily(spark, sf_dir, True), KEYS, fx.DAY), KEYS, ["log_return_1"])
+    publish.features(made.select(F.timestamp_millis("end_ms").alias("candle_end_utc"), "symbol", "log_return_1"), at, {})
+    back = spark.read.option("pathGlobFilter", "*.parquet").parquet(at).select("symbol", F.col("_metadata.file_name").alias("file"), F.unix_millis("candle_end_utc").alias("end_ms"), r6("log_return_1").alias("log_return_1"), F.monotonically_increasing_id().alias("__at"))
+    return back.withColumn("place", F.row_number().over(Window.partitionBy("symbol").orderBy("__at")).cast("long")).drop("__at")
+
+
+@query(f"""WITH {fx.WHOLE_DAYS}, d AS (SELECT DISTINCT make_timestamp(open_ms * 1000)::DATE AS day FROM days), p AS (SELECT day, day - (SELECT min(day) FROM d) AS n FROM d UNION ALL SELECT max(day) + 1, max(day) + 1 - min(day) FROM d)
+SELECT 'ABC' AS symbol, 'klines' AS dataset, strftime(day, '%Y-%m-%d') AS day, 'um/ABC/1h/ABC-1h-' || strftime(day, '%Y-%m-%d') || '.zip' AS path, CASE WHEN day > (SELECT max(day) FROM d) THEN 'missing' WHEN n % 3 = 1 THEN 'mismatch' WHEN n % 3 = 2 THEN 'no checksum' ELSE 'ok' END AS status FROM p""")
+def archive_manifest(spark, sf_dir):
+    """A range's plan against the archives at hand: some without checksum, some with another's, one day missing."""
+    at = scratch.folder(spark, "manifest")
+    paths = fx.zipped(fx.kline_cells(fx.whole_days(spark, sf_dir)), f"{at}/um/ABC/1h", "ABC", "1h")
+    store = publish.Store(spark, at)
+    sums = {r["file"]: r["sha256"] for r in archives.sources(spark, paths).collect()}
+    for i, p in enumerate(paths):
+        name = p.rsplit("/", 1)[-1]
+        if i % 3 != 2:
+            store.write_text(f"{p}.CHECKSUM", f"{sums[name] if i % 3 == 0 else '0' * 64}  {name}\n")
+    first, last = (date.fromisoformat(p[-14:-4]) for p in (paths[0], paths[-1]))
+    planned = manifest.plan(spark, "um", ["ABC"], "1h", first, last + timedelta(days=1))
+    return manifest.verify(planned, at).select("symbol", "dataset", F.col("day").cast("string").alias("day"), "path", "status")
+
+
+def _odd(k: int) -> str:
+    return f"event_id % 13 = {k}"
+
+
+_TICK_RULES = {
+    "ids strictly increasing": "before_id IS NULL OR tick_id > before_id",
+    "times not falling": "before_ms IS NULL OR time_ms >= before_ms",
+    "first trade id at most the last": "first_trade_id <= last_trade_id",
+    "price finite and positive": "price > 0",
+    "quantity finite and not negative": "quantity >= 0",
+    "price times quantity finite": "true",
+    "maker flag known": "buyer_is_maker IS NOT NULL",
+    "time inside its day": f"time_ms BETWEEN day_ms AND day_ms + {fx.DAY - 1}",
+}
+
+
+@query(f"""WITH t AS (SELECT event_type AS symbol, CASE WHEN {_odd(1)} THEN 0 ELSE event_id END AS tick_id, event_id AS line, epoch_us(ts) // 1000 - CASE WHEN {_odd(2)} THEN {10 * fx.DAY} ELSE 0 END AS time_ms, epoch_us(ts) // 1000 // {fx.DAY} * {fx.DAY} AS day_ms,
+  CASE WHEN {_odd(3)} THEN event_id + 1 ELSE event_id END AS first_trade_id, event_id AS last_trade_id, CASE WHEN {_odd(4)} THEN -value ELSE value END AS price, CASE WHEN {_odd(5)} THEN -1.0 ELSE 1.0 END AS quantity, CASE WHEN {_odd(6)} THEN NULL ELSE true END AS buyer_is_maker FROM events WHERE value > 0),
+o AS (SELECT *, lag(tick_id) OVER w AS before_id, lag(time_ms) OVER w AS before_ms FROM t WINDOW w AS (PARTITION BY symbol ORDER BY line))
+""" + " UNION ALL ".join(f"SELECT '{name}' AS rule, count(*) FILTER (NOT coalesce({ok}, false)) AS violations FROM o" for name, ok in _TICK_RULES.items()))
+def tick_rule_violations(spark, sf_dir):
+    """Trades of which some break each rule, in the source's order."""
+    at = lambda k: F.expr(_odd(k))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").where("value > 0")
+    ms = cd.epoch_ms(F.col("ts"))
+    rows = events.select(
+        F.col("event_type").alias("symbol"), F.when(at(1), 0).otherwise(F.col("event_id")).alias("tick_id"), F.col("event_id").alias("line"), (ms - F.when(at(2), 10 * fx.DAY).otherwise(0)).alias("time_ms"), cd.bucket(ms, fx.DAY).alias("day_ms"),
+        F.when(at(3), F.col("event_id") + 1).otherwise(F.col("event_id")).alias("first_trade_id"), F.col("event_id").alias("last_trade_id"), F.when(at(4), -F.col("value")).otherwise(F.col("value")).alias("price"), F.when(at(5), -1.0).otherwise(1.0).alias("quantity"), F.when(~at(6), True).alias("buyer_is_maker"),
+    )
+    return validate.violations(*validate.tick_rules(rows, KEYS, ["line"]))
+
+
 # Names and text --------------------------------------------------------------------------------------------------------------
 
 

@@ -5,18 +5,23 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def table(df: DataFrame, name: str) -> DataFrame:
-    """df, written and read again. Where no folder is named and all runs on this machine (tests), one is made here."""
-    sc = df.sparkSession.sparkContext
-    folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not folder:
+def folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path. Where no folder is named and all runs on this machine (tests), one is made here."""
+    sc = spark.sparkContext
+    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not named:
         if sc.master.split("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="wickworks-scratch-")
-        sc.setCheckpointDir(folder)
-    path = f"{folder.rstrip('/')}/wickworks-{name}-{uuid.uuid4().hex}"
+        named = "file://" + tempfile.mkdtemp(prefix="wickworks-scratch-")
+        sc.setCheckpointDir(named)
+    return f"{named.rstrip('/')}/wickworks-{name}-{uuid.uuid4().hex}"
+
+
+def table(df: DataFrame, name: str) -> DataFrame:
+    """df, written and read again."""
+    path = folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
