@@ -550,6 +550,7 @@ PAGES = [
     (9, "https://e.io/1", '<link rel=canonical href="https://b.org/es/4">'), (10, "https://e.io/1?x", '<link rel=canonical href="https://e.io/1"><meta http-equiv="refresh" content="1;url=https://y.net/de/3">'),
     (11, "https://f.io", '<link rel=canonical href="g?a=1&amp;b=2">'), (12, "https://f.io/g?a=1&b=2", '<link rel=canonical href="http://sub.EXAMPLE.net/de/8x">'), (12, "https://f.io/g?a=1&b=2", '<link rel=canonical href="http://sub.EXAMPLE.net/de/8x">'),
     (None, "http://Example.com/en/77", None), (14, "x://notexample.com/en/7", None), (15, "http://example.com?/en/7", None), (16, "://", ""), (17, "http://com/en/", "<p>"),
+    (18, "https://a.org/es", '<meta http-equiv=refresh content="0;url=https://a.org/es/">'), (19, "https://q.io/1", '<link rel=canonical href="https://h.org/es">'), (20, "https://h.org/es/", ""), (21, "https://self.io", '<link rel=canonical href="https://self.io/">'),
 ]
 
 
@@ -563,6 +564,7 @@ def test_url_filter_equals_sql(spark):
     assert sorted(str(tuple(r)) for r in got.collect()) == want
     by = {r["page_id"]: r for r in got.collect()}
     assert by[1]["verdict"] == "block" and by[9]["verdict"] == "allow" and by[10]["verdict"] == "allow", "an explicit allow in the component wins"
+    assert by[18]["verdict"] == by[19]["verdict"] == by[20]["verdict"] == "block" and by[21]["verdict"] == "allow", "addresses that differ by a last slash are one"
     assert by[None]["rule"] == "example.com/en/7" and by[14]["rule"] == "com/en/" and by[15]["rule"] is None
     assert urlfilter.judge(pages.limit(0)).count() == 0
 

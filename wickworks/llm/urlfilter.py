@@ -6,7 +6,8 @@ make edges between addresses, distributed connected components join them, and a
 allowed, one with a blocked and no allowed address is blocked, any other is allowed.
 
 An address's node is its host and path without a last slash and its query, without fragment and scheme, as a 64-bit hash (at 10^10
-addresses some three pairs would share one). Null urls and urls without :// have empty host and path, fit no rule, make no edges and
+addresses some three pairs would share one). A node has the decisions of all addresses of pages and links that it stands for, so an
+address that redirects to itself with a slash, or links to one that differs by a slash from a page's, takes that page's. Null urls and urls without :// have empty host and path, fit no rule, make no edges and
 are allowed; null or empty html makes no edges. Repeated rows are judged alike.
 """
 
@@ -86,9 +87,11 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     goto = F.regexp_extract(F.regexp_extract(html, REFRESH, 0), GOTO, 1)
     linked = pages.where(url.contains("://")).select("url", F.explode(F.filter(F.array(canonical, goto), lambda x: x != "")).alias("link"))
     linked, _ = table(linked.withColumn("to", absolute(url, F.col("link"))).select("url", "to"), "links")
+    ends = linked.select("url").union(linked.select("to"))
     edges = linked.select(node(url).alias("src"), node(F.col("to")).alias("dst")).where("src is not null and dst is not null")
-    components = connected_components(edges, "aliases")
-    known = linked.select("url").union(linked.select("to")).distinct().select(node(url).alias("node"), ruled(url, rules)["verdict"].alias("verdict")).where("verdict is not null")
+    # A node whose only links are to itself is a component too.
+    components = ends.select(node(url).alias("node")).where("node is not null").distinct().join(connected_components(edges, "aliases"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    known = ends.union(pages.select("url")).select(node(url).alias("node"), ruled(url, rules)["verdict"].alias("verdict")).where("verdict is not null and node is not null").distinct()
     decided = components.join(known, "node").groupBy("component").agg(F.max(F.col("verdict") == "allow").alias("allowed"))
     aliases = components.join(decided.where(~F.col("allowed")), "component").select("node", F.lit("block").alias("alias"))
     own = pages.select("page_id", host(url).alias("host"), path(url).alias("path"), ruled(url, rules).alias("own"), node(url).alias("node"))
@@ -125,8 +128,8 @@ known_ AS (SELECT url, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_UPPER
 nodes_ AS (SELECT url, host, path, CASE WHEN host <> '' THEN host || regexp_replace(path, '/$', '') || query END AS node, {_case(2)} AS rule, {_case(1)} AS own FROM known_),
 edges_ AS (SELECT a.node AS src, b.node AS dst FROM to_ t JOIN nodes_ a ON t.url = a.url JOIN nodes_ b ON t.target = b.url WHERE a.node <> b.node),
 both_ AS (SELECT src, dst FROM edges_ UNION SELECT dst, src FROM edges_),
-reach_ AS (SELECT DISTINCT src AS node, src AS at_ FROM both_ UNION SELECT r.node, b.dst FROM reach_ r JOIN both_ b ON r.at_ = b.src),
-alias_ AS (SELECT r.node, bool_or(n.own = 'allow') AS allowed, bool_or(n.own = 'block') AS blocked FROM reach_ r JOIN nodes_ n ON r.at_ = n.node JOIN (SELECT url FROM to_ UNION SELECT target FROM to_) u ON n.url = u.url GROUP BY r.node)
+reach_ AS (SELECT DISTINCT n.node, n.node AS at_ FROM nodes_ n JOIN (SELECT url FROM to_ UNION SELECT target FROM to_) u ON n.url = u.url WHERE n.node IS NOT NULL UNION SELECT r.node, b.dst FROM reach_ r JOIN both_ b ON r.at_ = b.src),
+alias_ AS (SELECT r.node, bool_or(n.own = 'allow') AS allowed, bool_or(n.own = 'block') AS blocked FROM reach_ r JOIN nodes_ n ON r.at_ = n.node GROUP BY r.node)
 SELECT p.page_id, coalesce(n.host, '') AS host, coalesce(n.path, '') AS path, n.rule, coalesce(n.own, CASE WHEN a.blocked AND NOT a.allowed THEN 'block' END, 'allow') AS verdict
 FROM parsed_ p LEFT JOIN nodes_ n ON p.url = n.url LEFT JOIN alias_ a ON n.node = a.node
 """
