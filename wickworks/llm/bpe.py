@@ -28,7 +28,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: The same for texts of ASCII and Latin letters only, where the standard library's classes agree and are faster.
 PLAIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
 NOT_PLAIN = "[^\x00-\x1b\x20-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]"
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 #: A word of more bytes goes straight to exact merging and isn't cached.
 LONG_WORD = 256
 #: Up to so many bytes merging scans instead of keeping a heap.
@@ -78,8 +78,8 @@ class Coder:
         # Two generations of words: when the younger is full it becomes the older, whose words come back as they are used.
         self.cache: dict[str, str] = {}
         self.older: dict[str, str] = {}
-        self.cache_raw: dict[str, bytes] = {}
-        self.older_raw: dict[str, bytes] = {}
+        # What the ids of a word decode to, where that isn't the word itself: the marks of added tokens.
+        self.odd: dict[str, bytes] = {}
 
     def merge(self, word: bytes) -> list[int]:
         """The exact encoding of a word: always the adjacent pair of the least rank, the leftmost of equals."""
@@ -166,7 +166,7 @@ class Coder:
         return found
 
     def learn(self, words: set[str]) -> None:
-        """Puts the decimal ids, joined by commas, and the decoded bytes of words in the cache."""
+        """Puts the decimal ids of words, joined by commas, in the cache, and decodes them to see whether that gives the word."""
         new = [w for w in words if w not in self.cache]
         raw = [w.encode() for w in new]
         short = [i for i, b in enumerate(raw) if len(b) <= LONG_WORD]
@@ -177,9 +177,10 @@ class Coder:
             if len(b) > LONG_WORD:
                 ids[i] = self.merge(b)
         decimal, raw_of = self.decimal, self.bytes
-        for w, x in zip(new, ids, strict=True):
+        for w, b, x in zip(new, raw, ids, strict=True):
             self.cache[w] = ",".join([decimal[t] for t in x])
-            self.cache_raw[w] = b"".join([raw_of[t] for t in x])
+            if (decoded := b"".join([raw_of[t] for t in x])) != b:
+                self.odd[w] = decoded
 
     def pieces(self, text: str) -> list[str]:
         """A text's words, with the strings of added tokens as words of their own, marked by a leading NUL pair."""
@@ -198,20 +199,21 @@ class Coder:
         words = [self.pieces(t) for t in texts]
         wanted = set().union(*words)
         if len(self.cache) > CACHE_WORDS:  # what the last generation had and these texts use stays
-            self.older, self.older_raw, self.cache, self.cache_raw = self.cache, self.cache_raw, {}, {}
+            self.older, self.cache = self.cache, {}
         back = [w for w in wanted.difference(self.cache) if w in self.older]
         self.cache.update(zip(back, map(self.older.__getitem__, back), strict=True))
-        self.cache_raw.update(zip(back, map(self.older_raw.__getitem__, back), strict=True))
         missing = wanted.difference(self.cache)
         if missing:
             marks = {w for w in missing if w[:2] == "\0\0" and w[2:] in self.added}
             for w in marks:
-                self.cache[w], self.cache_raw[w] = str(self.added[w[2:]]), w[2:].encode()
+                self.cache[w], self.odd[w] = str(self.added[w[2:]]), w[2:].encode()
             self.learn(missing - marks)
-        out, ids_of, raw_of = [], self.cache.__getitem__, self.cache_raw.__getitem__
+        out, ids_of, odd = [], self.cache.__getitem__, self.odd
         for x in words:
             ids = ",".join(map(ids_of, x))
-            out.append((ids.count(",") + 1 if ids else 0, ids, b"".join(map(raw_of, x)).decode("utf-8", "replace")))
+            same = not odd or odd.keys().isdisjoint(x)
+            decoded = "".join(x) if same else b"".join([odd[w] if w in odd else w.encode() for w in x]).decode("utf-8", "replace")
+            out.append((ids.count(",") + 1 if ids else 0, ids, decoded))
         return out
 
     def decode(self, ids: list[int]) -> str:
