@@ -8,7 +8,7 @@ page's own posterior is taken out of its host's counts. The posterior is the pro
 
 The trigram model is trained on a bounded sample, max_rows documents with a known lang, first by a hash of their ids. Null url, html
 or text counts as empty; a page without text, declaration or host gets the overall prior. Host counts are joined by salted keys, so a host with
-a third of all pages is spread over tasks.
+a third of all pages is spread over tasks. Of languages with equal posteriors the first by name is given.
 """
 
 from __future__ import annotations
