@@ -5,7 +5,8 @@ range of a double, so a running sum of alpha x q^-o, times q^o, is the block's o
 q^(o+1) times the value at their end. Block sizes come in three classes, so that q^block lies between 1e-300 and 1e-100 and three
 blocks back reach beyond the range of doubles: nothing is truncated that a double could hold.
 
-The seed is the mean of the first `period` values, put in at its row as seed / alpha; rows before it are null.
+The seed is the mean of the first `period` values, put in at its row as seed / alpha; rows before it are null. Checked candles have no
+missing value after a segment's first, so a segment has one seed.
 """
 
 from __future__ import annotations
