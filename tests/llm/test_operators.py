@@ -663,6 +663,51 @@ def test_a_leaf_holds_several_templates(spark, others):
     assert all(got[5 + i] == x for i, x in enumerate(unrelated))
 
 
+def rows_generated(spark, run):
+    """The most rows that one Generate made while run() ran."""
+    bus, store = spark.sparkContext._jsc.sc().listenerBus(), spark._jsparkSession.sharedState().statusStore()
+    bus.waitUntilEmpty()
+    before, most = store.executionsCount(), 0
+    run()
+    bus.waitUntilEmpty()
+    executions = store.executionsList()
+    for i in range(before, executions.size()):
+        at = executions.apply(i).executionId()
+        made, nodes = store.executionMetrics(at), store.planGraph(at).allNodes()
+        for node in (nodes.apply(j) for j in range(nodes.size())):
+            for metric in (node.metrics().apply(k) for k in range(node.metrics().size())):
+                if node.name() == "Generate" and metric.name() == "number of output rows" and made.get(metric.accumulatorId()).isDefined():
+                    most = max(most, int(made.get(metric.accumulatorId()).get().replace(",", "")))
+    return most
+
+
+def test_shared_blocks_make_no_row_of_each_token(spark):
+    """A leaf of lines that share many blocks makes rows of lines and blocks; the tokens of a block are counted as arrays."""
+    rng = random.Random(43)
+    base, tree = prose(rng, 40).split(), templates.Tree()
+    rows = [(1, i, [prose(rng, 1) if rng.random() < 0.4 else w for w in base]) for i in range(60)]
+    lines = spark.createDataFrame(rows, "leaf long, whole long, rest array<string>").persist()
+    lines.count()
+    blocks = 13  # of 40 places at most 12 differ
+    assert 0 < rows_generated(spark, lambda: templates._further(lines, lines.limit(0).select("leaf", "whole"), tree)) <= len(rows) * blocks
+    lines.unpersist()
+
+
+def test_blocks_counted_as_arrays_equal_those_counted_in_rows(spark):
+    """Ties and single lines too, and whole leaves with every block counted in rows."""
+    rng = random.Random(44)
+    rows = [(g, g, 100 * g + i, [rng.choice(["a", "b", "B", "é", "😀", "ﬀ"][: rng.randint(2, 6)]) for _ in range(g % 7 + 1)]) for g in range(60) for i in range(g % 9 + 1)]
+    lines = spark.createDataFrame(rows, "sub long, leaf long, whole long, rest array<string>")
+    tree = templates.Tree(similarity=0.5)
+    want = sorted(map(tuple, templates._agreeing(lines, "sub", tree).select("sub", "leaf", "whole").collect()))
+    assert want and sorted(map(tuple, templates._agreeing_together(lines, "sub", tree).collect())) == want
+    base = prose(rng, 30).split()
+    texts = [" ".join(base[:4] + [prose(rng, 1) if rng.random() < q else w for w in base[4 + s :] + base[4 : 4 + s]]) for s in range(3) for q in (0.1, 0.3, 0.5) for _ in range(4)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    one, other = (sorted(map(str, templates.report(docs, templates.Tree(together=n)).collect())) for n in (templates.Tree().together, 100))
+    assert one == other and sum("n_dropped=1" in r for r in one) > 4
+
+
 def test_line_templates_on_odd_tables(spark):
     docs = nasty(spark)
     out = templates.clean(docs)

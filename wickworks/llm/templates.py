@@ -9,6 +9,8 @@ A leaf can hold further templates. Its lines that the first one leaves are dealt
 two lines that agree at enough places share a block, as there are more blocks than places to differ at. Blocks that the same lines
 share are one. Each block's lines have their own commonest tokens, a line that agrees with several blocks' goes where most lines
 agree, and leaves where that found a template are looked through again until none is found; then lines are templates by themselves.
+A line is in as many blocks as it shares, up to 0.3 x places + 1, which grows with the leaf until all are shared. So a block's tokens are
+counted in one task, as arrays, and rows are made of lines and blocks only; a block too large for that is counted in rows of tokens.
 The SQL below knows only a leaf's first template, and gives the same where no leaf holds a second.
 
 A template that recurs in enough documents is dropped, but for its first occurrence (the least doc_id, then line): Tree.first_stays
@@ -40,6 +42,7 @@ class Tree:
     general: int = 8  # tokens that a line needs for fields other than digits to be generalised
     similarity: float = 0.7  # of the places after the lead
     first_stays: bool = True
+    together: int = 1 << 17  # tokens (lines x places) of a block that one task counts at once; larger blocks are counted in rows
 
 
 #: A word with a digit, where words are parted by blanks only.
@@ -82,6 +85,32 @@ def _agreeing(lines: DataFrame, group: str, tree: Tree) -> DataFrame:
     return lines.join(modes, group).where(same / F.size("rest") >= tree.similarity).drop("mode")
 
 
+def _commonest(words: Column) -> Column:
+    """The commonest of an array's words, of equal counts the greatest."""
+    start = F.struct(F.lit("").alias("word"), F.lit(0).alias("run"), F.lit("").alias("most"), F.lit(0).alias("count"))
+
+    def step(seen: Column, word: Column) -> Column:
+        run = F.when(word == seen["word"], seen["run"] + 1).otherwise(1)
+        more = run >= seen["count"]
+        return F.struct(word.alias("word"), run.alias("run"), F.when(more, word).otherwise(seen["most"]).alias("most"), F.when(more, run).otherwise(seen["count"]).alias("count"))
+
+    return F.aggregate(F.sort_array(words), start, step, lambda seen: seen["most"])
+
+
+def _agreeing_together(lines: DataFrame, group: str, tree: Tree) -> DataFrame:
+    """(group, leaf, whole) of the rows that _agreeing gives, each group as one row of arrays."""
+    held = lines.groupBy(group).agg(F.collect_list(F.struct("leaf", "whole", "rest")).alias("held"))
+    places = F.sequence(F.lit(0), F.size(F.col("held")[0]["rest"]) - 1)
+    modes = F.transform(places, lambda place: _commonest(F.transform("held", lambda line: line["rest"][place])))
+
+    def agrees(line: Column, mode: Column) -> Column:
+        return F.size(F.filter(F.zip_with(line["rest"], mode, lambda a, b: a == b), lambda x: x)) / F.size(line["rest"]) >= tree.similarity
+
+    # As an element of an array the modes are made once, whatever reads them.
+    agree = F.transform(F.array(modes), lambda mode: F.filter("held", lambda line: agrees(line, mode)))[0]
+    return held.select(group, F.explode(F.transform(agree, lambda line: F.struct(line["leaf"], line["whole"]))).alias("a")).select(group, "a.leaf", "a.whole")
+
+
 def _further(lines: DataFrame, members: DataFrame, tree: Tree) -> tuple[DataFrame, list[str]]:
     """(leaf, whole, joint: the template) of the lines in the further templates of leaves, and the tables behind it.
 
@@ -91,13 +120,14 @@ def _further(lines: DataFrame, members: DataFrame, tree: Tree) -> tuple[DataFram
     n = F.floor(F.size("rest") * (1 - tree.similarity) + 1e-9).cast("int") + 1
     cut = lambda i, n: F.ceil(i * F.size("rest") / n).cast("int")
     blocks = F.transform(F.sequence(F.lit(0), n - 1), lambda b: F.xxhash64(F.col("leaf"), b, F.slice("rest", cut(b, n) + 1, cut(b + 1, n) - cut(b, n))))
-    left, left_at = table(lines.join(first, ["leaf", "whole"], "left_anti").where(F.size("rest") > 0).select("leaf", "whole", F.explode(blocks).alias("sub")), "blocks")
+    left, left_at = table(lines.join(first, ["leaf", "whole"], "left_anti").where(F.size("rest") > 0).select("leaf", "whole", F.size("rest").alias("places"), F.explode(blocks).alias("sub")), "blocks")
     out, made = None, [left_at]
     while True:
-        shared = left.groupBy("sub").agg(F.count("*").alias("n"), F.min("leaf").alias("leaf"), F.bit_xor(F.xxhash64("whole")).alias("which")).where("n > 1")
-        shared = shared.groupBy("leaf", "n", "which").agg(F.min("sub").alias("sub")).select("sub")
+        shared = left.groupBy("sub").agg(F.count("*").alias("n"), F.min("leaf").alias("leaf"), F.max("places").alias("most"), F.bit_xor(F.xxhash64("whole")).alias("which")).where("n > 1")
+        shared = shared.groupBy("leaf", "n", "which").agg(F.min("sub").alias("sub"), F.max("most").alias("most")).select("sub", (F.col("n") * F.col("most") <= tree.together).alias("small"))
         asked, asked_at = table(left.join(shared, "sub"), "shared")
-        agree, agree_at = table(_agreeing(asked.join(lines, ["leaf", "whole"]), "sub", tree).select("sub", "leaf", "whole"), "agreeing")
+        small, large = (asked.where(which).join(lines, ["leaf", "whole"]) for which in (F.col("small"), ~F.col("small")))
+        agree, agree_at = table(_agreeing_together(small, "sub", tree).union(_agreeing(large, "sub", tree).select("sub", "leaf", "whole")), "agreeing")
         sizes = agree.groupBy("sub").count().where("count > 1")
         best = agree.join(sizes, "sub").groupBy("leaf", "whole").agg(F.max(F.struct("count", "sub")).alias("best")).select("leaf", "whole", F.col("best.sub").alias("sub"))
         best, best_at = table(best, "best")
