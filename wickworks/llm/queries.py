@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from wickworks.llm import bpe, compression, decontam, langid, pii, quality, simhash, templates, toxicity, urlfilter
+from wickworks.llm import bpe, collocations, compression, decontam, langid, lexical, licences, pii, quality, simhash, templates, toxicity, urlfilter
 from wickworks.llm.common import documents
 
 
@@ -52,6 +52,19 @@ def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.report(documents(spark, sf_dir))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(documents(spark, sf_dir))
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.report(documents(spark, sf_dir))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    postings, _ = lexical.index(documents(spark, sf_dir))
+    return lexical.search(postings, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -68,6 +81,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filter": op8_url_filter,
         "op9_pii": op9_pii,
         "op10_line_templates": op10_line_templates,
+        "op11_collocations": op11_collocations,
+        "op12_licenses": op12_licenses,
+        "op13_lexical_search": op13_lexical_search,
         "pipeline": pipeline,
     }
 
@@ -77,4 +93,7 @@ def oracle_sql() -> dict[str, str]:
         "op7_decontamination": decontam.REPORT_SQL,
         "op8_url_filter": urlfilter.JUDGE_SQL,
         "op10_line_templates": templates.REPORT_SQL,
+        "op11_collocations": collocations.MINE_SQL,
+        "op12_licenses": licences.REPORT_SQL,
+        "op13_lexical_search": lexical.SEARCH_SQL,
     }
