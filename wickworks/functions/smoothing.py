@@ -5,15 +5,16 @@ range of a double, so a running sum of alpha x q^-o, times q^o, is the block's o
 q^(o+1) times the value at their end. Block sizes come in three classes, so that q^block lies between 1e-300 and 1e-100 and three
 blocks back reach beyond the range of doubles: nothing is truncated that a double could hold.
 
-The seed is the mean of the first `period` values, put in at its row as seed / alpha; rows before it are null. Checked candles have no
-missing value after a segment's first, so a segment has one seed.
+The seed is the mean of the first `period` values, put in at its row as seed / alpha; rows before it are null. smooth() takes a segment
+whose values are all there from its scan's start on, as those of checked candles are. smooth_runs() takes any column: a value that is
+missing or not finite ends a run, the next one starts another with a seed of its own, and a run shorter than the period gives nothing.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,3 +90,33 @@ def smooth(df: DataFrame, scans: Sequence[Scan], keys: Sequence[str], row: str,
         add(carry)
     df = df.withColumns({s.out: F.when(index >= s.seed_row, F.col(f"__l_{s.out}") + F.pow(F.lit(1 - s.alpha), F.col(f"__o_{s.block}") + 1) * F.col(f"__c3_{s.out}")) for s in scans})
     return df.drop(*temp)
+
+
+def present(x: str) -> Column:
+    """Whether a value is there and finite."""
+    return F.coalesce(F.abs(F.col(x)) < float("inf"), F.lit(False))
+
+
+def run_starts(df: DataFrame, x: str, keys: Sequence[str], row: str, order: str, own: Column | None = None) -> DataFrame:
+    """Adds __run_<x>, the row that starts the run of present values that a row is in or after, among the rows of keys."""
+    ordered = Window.partitionBy(*keys).orderBy(order)
+    starts = present(x) & ~F.coalesce(F.lag(present(x)).over(ordered), F.lit(False))
+    starts = starts if own is None else starts & own
+    df = df.withColumn("__starts", F.when(starts, F.col(row)))
+    return df.withColumn(f"__run_{x}", F.last("__starts", ignorenulls=True).over(ordered.rowsBetween(Window.unboundedPreceding, 0))).drop("__starts")
+
+
+def each_column(df: DataFrame, scans: Sequence[Scan], row: str, runs, within) -> DataFrame:
+    """Smooths the runs of each scanned column apart: runs(df, x) finds them, within(df, scans, run, at) smooths by place in the run."""
+    for x in dict.fromkeys(s.x for s in scans):
+        mine = [replace(s, start=0) for s in scans if s.x == x]
+        df = runs(df, x).withColumn(f"__value_{x}", F.when(present(x), F.col(x))).withColumn(f"__at_{x}", F.when(present(x), F.col(row) - F.col(f"__run_{x}")))
+        df = within(df, [replace(s, x=f"__value_{x}") for s in mine], f"__run_{x}", f"__at_{x}")
+        df = df.withColumns({s.out: F.when(present(x), F.col(s.out)) for s in mine}).drop(f"__run_{x}", f"__value_{x}", f"__at_{x}")
+    return df
+
+
+def smooth_runs(df: DataFrame, scans: Sequence[Scan], keys: Sequence[str], row: str, order: str | None = None) -> DataFrame:
+    """smooth() for columns with breaks, seeded anew after each. A scan's start is not needed: its runs tell."""
+    order = order or row
+    return each_column(df, scans, row, lambda d, x: run_starts(d, x, keys, row, order), lambda d, mine, run, at: smooth(d, mine, [*keys, run], at, order))

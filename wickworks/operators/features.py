@@ -174,12 +174,12 @@ def _flow_and_calendar(p: Plan) -> None:
         p.put(2, f"time_of_{name}_cos", F.cos(2 * F.pi() * turn))
 
 
-def compute(candles: DataFrame, keys: Sequence[str], names: Sequence[str] = cat.NAMES) -> DataFrame:
-    """keys, segment_id, end_ms and the features asked for, in the order asked."""
+def compute(candles: DataFrame, keys: Sequence[str], names: Sequence[str] = cat.NAMES, reseed: bool = False) -> DataFrame:
+    """keys, segment_id, end_ms and the features asked for, in the order asked. reseed: recursions start anew after values that aren't finite."""
     partition = [*keys, "segment_id"]
     ordered = Frames(partition, "end_ms", ROW).ordered
     indexed = candles.withColumn(ROW, F.row_number().over(ordered).cast("long") - 1)
-    return compute_over(indexed, keys, partition, names, smoothing.smooth)
+    return compute_over(indexed, keys, partition, names, smoothing.smooth_runs if reseed else smoothing.smooth)
 
 
 def compute_over(candles: DataFrame, keys: Sequence[str], partition: Sequence[str], names: Sequence[str], smooth, keep: Column | None = None) -> DataFrame:

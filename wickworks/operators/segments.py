@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wickworks.operators import order
+
 POLICIES = ("reset", "rows")
 
 
@@ -29,3 +31,8 @@ def summary(segmented: DataFrame, keys: Sequence[str], at: str = "end_ms") -> Da
     """Rows, gaps, segments and the longest segment of each series."""
     per = segmented.groupBy(*keys, "segment_id").agg(F.count("*").alias("n"), F.sum(F.col("gap").cast("long")).alias("gaps"))
     return per.groupBy(*keys).agg(F.sum("n").alias("rows"), F.sum("gaps").alias("gap_count"), F.count("*").alias("segments"), F.max("n").alias("longest_segment"))
+
+
+def gap_counts(candles: DataFrame, keys: Sequence[str], step_ms: int, at: str = "end_ms", block: int = order.BLOCK) -> DataFrame:
+    """keys, rows and gap_count, from summaries of blocks of time: no window over a whole series."""
+    return order.summaries(candles, keys, [at], [order.steps("gap_count", at, step_ms)], block=step_ms * block)

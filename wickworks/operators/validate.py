@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wickworks.operators import order
 from wickworks.operators.candles import DAY_MS, MARKETS
 
 # The syntax of whole and decimal numbers in archives.
@@ -64,19 +65,14 @@ def key_rules(keys: Sequence[str]) -> dict[str, Column]:
     return rules
 
 
-def order_rules(rows: DataFrame, keys: Sequence[str], at: str, order: Sequence[str] = ()) -> tuple[DataFrame, dict[str, Column]]:
-    """Strictly increasing times within keys, in the source's order if one is given; adds the column that the rule reads."""
-    ordered = Window.partitionBy(*keys).orderBy(*(order or [at]))
-    return rows.withColumn("__before", F.lag(at).over(ordered)), {"times strictly increasing": F.col("__before").isNull() | (F.col(at) > F.col("__before"))}
+def tick_order() -> list[order.Check]:
+    """Ids strictly increasing and times not falling, in the source's order."""
+    return [order.rising("ids strictly increasing", "tick_id"), order.not_falling("times not falling", "time_ms")]
 
 
-def tick_rules(ticks: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, dict[str, Column]]:
-    """Ids strictly increasing and times not falling in the source's order, across files and days; domains of the other fields."""
-    ordered = Window.partitionBy(*keys).orderBy(*order)
-    out = ticks.withColumns({"__id_before": F.lag("tick_id").over(ordered), "__time_before": F.lag("time_ms").over(ordered)})
-    return out, {
-        "ids strictly increasing": F.col("__id_before").isNull() | (F.col("tick_id") > F.col("__id_before")),
-        "times not falling": F.col("__time_before").isNull() | (F.col("time_ms") >= F.col("__time_before")),
+def tick_rules() -> dict[str, Column]:
+    """Domains of a tick's fields."""
+    return {
         "first trade id at most the last": F.col("first_trade_id") <= F.col("last_trade_id"),
         "price finite and positive": finite(F.col("price")) & (F.col("price") > 0),
         "quantity finite and not negative": finite(F.col("quantity")) & (F.col("quantity") >= 0),
@@ -86,19 +82,29 @@ def tick_rules(ticks: DataFrame, keys: Sequence[str], order: Sequence[str]) -> t
     }
 
 
+def tick_violations(ticks: DataFrame, keys: Sequence[str], source: Sequence[str], block: int = order.BLOCK) -> DataFrame:
+    """(rule, violations) of ticks whose source order is given by columns, the last one a line number; across files and days."""
+    return order.violations(ticks, keys, source, tick_order(), tick_rules(), block)
+
+
 def violations(rows: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """(rule, violations) of every rule, from one pass."""
     counts = rows.agg(*[F.count_if(~F.coalesce(ok, F.lit(False))).alias(f"r{i}") for i, ok in enumerate(rules.values())])
     return counts.select(F.inline(F.array(*[F.struct(F.lit(name).alias("rule"), F.col(f"r{i}").alias("violations")) for i, name in enumerate(rules)])))
 
 
-def require(rows: DataFrame, rules: Mapping[str, Column]) -> None:
-    """Raises ValidationError if any rule has violations."""
-    found = {r["rule"]: r["violations"] for r in violations(rows, rules).where("violations > 0").collect()}
+def require_none(counted: DataFrame) -> None:
+    """Raises ValidationError if any rule of (rule, violations) has violations."""
+    found = {r["rule"]: r["violations"] for r in counted.where("violations > 0").collect()}
     if found:
         raise ValidationError(found)
 
 
+def require(rows: DataFrame, rules: Mapping[str, Column]) -> None:
+    """Raises ValidationError if any rule has violations."""
+    require_none(violations(rows, rules))
+
+
 def duplicates(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
 

@@ -112,8 +112,9 @@ candles AS (SELECT symbol, time_ms - time_ms % {step} AS open_ms, time_ms - time
 
 
 def segmented_sql(step: int) -> str:
-    """CTEs g, s and c: gaps, segments, and rows with index, previous values and returns. Needs candles."""
-    return f"""g AS (SELECT *, coalesce(end_ms - lag(end_ms) OVER (PARTITION BY symbol ORDER BY end_ms) <> {step}, false) AS gap FROM candles),
+    """CTEs g, s and c: gaps, segments, and rows with index, previous values and returns. Needs candles. Without a step a series is one segment."""
+    gap = f"coalesce(end_ms - lag(end_ms) OVER (PARTITION BY symbol ORDER BY end_ms) <> {step}, false)" if step else "false"
+    return f"""g AS (SELECT *, {gap} AS gap FROM candles),
 s AS (SELECT *, CAST(sum(CAST(gap AS BIGINT)) OVER (PARTITION BY symbol ORDER BY end_ms ROWS UNBOUNDED PRECEDING) AS BIGINT) AS segment_id FROM g),
 b AS (SELECT *, row_number() OVER o - 1 AS i, lag(close) OVER o AS pc, (high + low + close) / 3 AS tp, lag((high + low + close) / 3) OVER o AS ptp FROM s WINDOW o AS (PARTITION BY symbol, segment_id ORDER BY end_ms)),
 c AS (SELECT *, ln(close / pc) AS r, ln(close) AS lc, CASE WHEN pc IS NOT NULL THEN greatest(close - pc, 0) END AS gain, CASE WHEN pc IS NOT NULL THEN greatest(pc - close, 0) END AS loss,

@@ -8,9 +8,10 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wickworks.functions import smoothing
 from wickworks.functions.catalogue import FAMILIES, NAMES
 from wickworks.operators import candles as cd
-from wickworks.operators import chunked, features, names, quality, segments, ticks, validate
+from wickworks.operators import chunked, features, names, order, quality, segments, ticks, validate
 from wickworks.plans import feature_sql as fs
 from wickworks.plans import fixtures as fx
 from wickworks.plans import runs
@@ -184,8 +185,8 @@ o AS (SELECT *, lag(time_ms) OVER (PARTITION BY symbol ORDER BY shuffled, event_
 SELECT symbol, count(*) FILTER (NOT (before_ IS NULL OR time_ms > before_)) AS violations FROM o GROUP BY symbol""")
 def order_violations(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_type").alias("symbol"), "event_id", cd.epoch_ms(F.col("ts")).alias("time_ms"), ((F.col("event_id") * 7919) % 1009).alias("shuffled"))
-    checked, rules = validate.order_rules(rows, KEYS, "time_ms", ["shuffled", "event_id"])
-    return checked.groupBy("symbol").agg(F.count_if(~rules["times strictly increasing"]).alias("violations"))
+    checks = [order.rising("violations", "time_ms")]
+    return order.summaries(rows, KEYS, ["shuffled", "event_id"], checks).select("symbol", "violations")
 
 
 @query(f"WITH {_BY_TYPE} SELECT DISTINCT symbol FROM candles")
@@ -271,6 +272,64 @@ def features_full_daily_reset(spark, sf_dir):
     return _rounded(runs.calculate(fx.daily(spark, sf_dir, True), KEYS, fx.DAY), NAMES)
 
 
+@query(fs.every_family_sql(_ORDERS, 0))
+def features_full_daily_rows_chunked(spark, sf_dir):
+    """All features over observed rows, whatever the gaps between them, in chunks of rows."""
+    return _rounded(runs.calculate(fx.daily(spark, sf_dir), KEYS, fx.DAY, "rows", chunk_rows=512), NAMES)
+
+
+for _name in ("rsi", "macd"):
+    query(fs.family_sql(_name, _BY_PRIORITY, 0), f"feature_{_name}_daily_rows_chunked")(
+        lambda spark, sf_dir, _name=_name: _rounded(chunked.compute(fx.daily(spark, sf_dir, True), KEYS, fx.DAY, FAMILIES[_name], 256, "rows"), FAMILIES[_name])
+    )
+
+_SCANS = (smoothing.ema("ema_9", "x", 9), smoothing.rma("rma_14", "x", 14), smoothing.ema("volume_ema_5", "y", 5))
+_HOLES = {"x": "(end_ms // 86400000) % 41 IN (0, 1)", "y": "(end_ms // 86400000) % 7 = 3"}
+
+
+def _run_sql(k: str, x: str, period: int, alpha: float) -> str:
+    """CTEs that end in {k}_e: (symbol, i, e), a recursion over each run of values of x."""
+    return f"""{k}_f AS (SELECT symbol, i, {x} AS v, {x} IS NOT NULL AND lag({x}) OVER (PARTITION BY symbol ORDER BY i) IS NULL AS starts FROM h),
+{k}_r AS (SELECT symbol, i, v, sum(CAST(starts AS INT)) OVER (PARTITION BY symbol ORDER BY i) AS run FROM {k}_f),
+{k}_p AS (SELECT *, row_number() OVER (PARTITION BY symbol, run ORDER BY i) - 1 AS at_ FROM {k}_r WHERE v IS NOT NULL),
+{k}_e AS (SELECT symbol, run, {period - 1} AS at_, avg(v) AS e FROM {k}_p WHERE at_ < {period} GROUP BY symbol, run HAVING count(*) = {period}
+  UNION ALL SELECT p.symbol, p.run, p.at_, {alpha!r} * p.v + {1 - alpha!r} * e.e FROM {k}_e e JOIN {k}_p p ON p.symbol = e.symbol AND p.run = e.run AND p.at_ = e.at_ + 1),
+{k}_o AS (SELECT p.symbol, p.i, e.e FROM {k}_p p JOIN {k}_e e ON p.symbol = e.symbol AND p.run = e.run AND p.at_ = e.at_)"""
+
+
+def _runs_sql(base: str) -> str:
+    parts = ", ".join(_run_sql(s.out, s.x, s.period, s.alpha) for s in _SCANS)
+    out = ", ".join(f"round({s.out}_o.e, 6) + 0.0 AS {s.out}" for s in _SCANS)
+    joins = " ".join(f"LEFT JOIN {s.out}_o ON {s.out}_o.symbol = h.symbol AND {s.out}_o.i = h.i" for s in _SCANS)
+    return f"""WITH RECURSIVE {base}, h AS (SELECT symbol, end_ms, row_number() OVER (PARTITION BY symbol ORDER BY end_ms) AS i, CASE WHEN NOT {_HOLES["x"]} THEN close END AS x, CASE WHEN NOT {_HOLES["y"]} THEN volume END AS y FROM candles), {parts}
+SELECT h.symbol, h.end_ms, {out} FROM h {joins}"""
+
+
+def _with_holes(candles: DataFrame) -> DataFrame:
+    """Values that are missing or not numbers on some days."""
+    day = F.floor(F.col("end_ms") / fx.DAY)
+    return candles.withColumns({"x": F.when(F.pmod(day, F.lit(41)) > 1, F.col("close")).when(F.pmod(day, F.lit(41)) == 1, F.lit(float("nan"))), "y": F.when(F.pmod(day, F.lit(7)) != 3, F.col("volume"))})
+
+
+@query(_runs_sql(_BY_PRIORITY))
+def smoothing_reseeded(spark, sf_dir):
+    """Recursions that start anew, with a seed of their own, after each missing value."""
+    df = segments.segment(_with_holes(fx.daily(spark, sf_dir, True)), KEYS, fx.DAY, "rows").withColumn("row", F.row_number().over(Window.partitionBy("symbol").orderBy("end_ms")) - 1)
+    return smoothing.smooth_runs(df, _SCANS, KEYS, "row", "end_ms").select("symbol", "end_ms", *[r6(s.out).alias(s.out) for s in _SCANS])
+
+
+@query(_runs_sql(_ORDERS))
+def smoothing_reseeded_chunked(spark, sf_dir):
+    """The same in chunks of rows, over which runs go on."""
+    return chunked.smoothed(_with_holes(fx.daily(spark, sf_dir)), _SCANS, KEYS, fx.DAY, 256, "rows").select("symbol", "end_ms", *[r6(s.out).alias(s.out) for s in _SCANS])
+
+
+@query(f"""WITH {_BY_PRIORITY}, {fx.segmented_sql(fx.DAY)} SELECT symbol, count(*) AS rows, CAST(sum(CAST(gap AS BIGINT)) AS BIGINT) AS gap_count FROM s GROUP BY symbol""")
+def gap_counts(spark, sf_dir):
+    """Gaps of each series from summaries of blocks of time."""
+    return segments.gap_counts(fx.daily(spark, sf_dir, True), KEYS, fx.DAY, block=100)
+
+
 _REPORTED = (*FAMILIES["log_return"], *FAMILIES["sma_distance"], *FAMILIES["relative_volume"], *FAMILIES["candle_shape"])
 _REPORT_COLS = {**fs.columns("log_return"), **fs.columns("sma_distance"), **fs.columns("relative_volume"), **fs.columns("candle_shape")}
 
@@ -436,7 +495,7 @@ def tick_rule_violations(spark, sf_dir):
         F.col("event_type").alias("symbol"), F.when(at(1), 0).otherwise(F.col("event_id")).alias("tick_id"), F.col("event_id").alias("line"), (ms - F.when(at(2), 10 * fx.DAY).otherwise(0)).alias("time_ms"), cd.bucket(ms, fx.DAY).alias("day_ms"),
         F.when(at(3), F.col("event_id") + 1).otherwise(F.col("event_id")).alias("first_trade_id"), F.col("event_id").alias("last_trade_id"), F.when(at(4), -F.col("value")).otherwise(F.col("value")).alias("price"), F.when(at(5), -1.0).otherwise(1.0).alias("quantity"), F.when(~at(6), True).alias("buyer_is_maker"),
     )
-    return validate.violations(*validate.tick_rules(rows, KEYS, ["line"]))
+    return validate.tick_violations(rows, KEYS, ["line"], block=256)
 
 
 # Names and text --------------------------------------------------------------------------------------------------------------

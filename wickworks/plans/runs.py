@@ -18,20 +18,18 @@ from wickworks.sources.config import ExtractConfig, FeatureConfig
 def calculate(candles: DataFrame, keys: Sequence[str], step_ms: int, gap_policy: str = "reset", chunk_rows: int = 16_384) -> DataFrame:
     """All 128 features of checked candles (keys, end_ms, OHLCV and optional columns).
 
-    Where gaps start segments, a series longer than a chunk is computed in chunks, with equal results; shorter ones, and any under the
-    rows policy, whose windows reach across gaps of any length, are a task each.
+    A series longer than a chunk is computed in chunks, with equal results; shorter ones are a task each.
     """
-    if gap_policy == "reset":
-        longest = candles.groupBy(*keys).count().agg(F.max("count").alias("n")).first()["n"] or 0
-        if longest > chunk_rows:
-            return chunked.compute(candles, keys, step_ms, chunk_rows=chunk_rows)
+    longest = candles.groupBy(*keys).count().agg(F.max("count").alias("n")).first()["n"] or 0
+    if longest > chunk_rows:
+        return chunked.compute(candles, keys, step_ms, chunk_rows=chunk_rows, policy=gap_policy)
     return features.compute(segments.segment(candles, keys, step_ms, gap_policy), keys)
 
 
 def series_reports(computed: DataFrame, candles: DataFrame, keys: Sequence[str], step_ms: int, gap_policy: str) -> list[dict]:
     """A report for each series, from one wide aggregation."""
     missing = quality.unavailable_inputs(candles)
-    gaps = {tuple(r[k] for k in keys): r["gap_count"] for r in segments.summary(segments.segment(candles, keys, step_ms, "reset"), keys).collect()}
+    gaps = {tuple(r[k] for k in keys): r["gap_count"] for r in segments.gap_counts(candles, keys, step_ms).collect()}
     out = []
     for r in quality.wide(computed, keys, NAMES, missing).collect():
         iso = lambda ms: None if ms is None else f"{ms}ms"

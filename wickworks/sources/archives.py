@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wickworks.operators import candles as cd
-from wickworks.operators import ticks, validate
+from wickworks.operators import order, ticks, validate
 
 BATCH = 65_536
 # Columns of the sources, and the names that a header may use for each candle column.
@@ -142,18 +142,17 @@ def klines(lines: DataFrame, market: str, symbol: str, interval: str, taker_tole
         F.col("open_time").cast("long").alias("open_ms"), F.col("close_time").cast("long").alias("close_ms"), (F.col("open_time").cast("long") + step).alias("end_ms"),
         *[F.col(c).cast("double").alias(OUTPUT_OF.get(c, c)) for c in numbers], F.col("count").cast("long").alias("trade_count"), *[F.col(c).alias(f"raw_{OUTPUT_OF.get(c, c)}") for c in numbers],
     )
-    ordered, order = validate.order_rules(typed, ["file"], "open_ms", ["line"])
     exact = F.col("raw_taker_buy_base_volume").cast("decimal(38,18)") <= F.col("raw_volume").cast("decimal(38,18)") if not taker_tolerance else F.lit(True)
-    rules = validate.candle_rules(step, taker_tolerance) | order | {
+    rules = validate.candle_rules(step, taker_tolerance) | {
         "open time inside its day": F.col("open_ms").between(F.col("day_ms"), F.col("day_ms") + cd.DAY_MS - 1),
         "taker buy quote volume within the quote volume": F.col("taker_buy_quote_volume") <= F.col("quote_volume") + taker_tolerance,
         "taker buy volume within the volume, exactly": exact,
     }
-    validate.require(ordered, rules)
+    validate.require_none(order.violations(typed, ["file"], ["line"], [order.rising("times strictly increasing", "open_ms")], rules))
     if complete:
         days = typed.groupBy("file").agg(F.count("*").alias("n")).where(F.col("n") != cd.DAY_MS // step)
         validate.require(days, {f"{cd.DAY_MS // step} candles a day": F.lit(False)})
-    return ordered.drop("__before")
+    return typed
 
 
 def candles_of(checked: DataFrame) -> DataFrame:
@@ -180,8 +179,7 @@ def trades(lines: DataFrame, symbol: str) -> DataFrame:
         F.lit(symbol).alias("symbol"), "file", "line", _day_ms(F.col("file")).alias("day_ms"), F.col("agg_trade_id").cast("long").alias("tick_id"), F.col("transact_time").cast("long").alias("time_ms"),
         F.col("price").try_cast("double").alias("price"), F.col("quantity").try_cast("double").alias("quantity"), F.col("first_trade_id").cast("long").alias("first_trade_id"), F.col("last_trade_id").cast("long").alias("last_trade_id"), (maker == "true").alias("buyer_is_maker"),
     )
-    checked, rules = validate.tick_rules(typed, ["symbol"], ["day_ms", "line"])
-    validate.require(checked, rules)
+    validate.require_none(validate.tick_violations(typed, ["symbol"], ["day_ms", "line"]))
     return typed
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wickworks.operators import candles as cd
-from wickworks.operators import names, validate
+from wickworks.operators import names, order, validate
 
 
 def read_candles(spark: SparkSession, path: str | Sequence[str], symbols: Sequence[str] = (), exchange: str = "venue") -> DataFrame:
@@ -33,8 +33,9 @@ def checked(candles: DataFrame) -> tuple[DataFrame, str]:
     intervals = [r["interval"] for r in candles.select("interval").distinct().limit(2).collect()]
     if len(intervals) != 1:
         raise ValueError("no candles" if not intervals else f"more than one interval: {intervals}")
-    ordered, order = validate.order_rules(candles, keys, "end_ms")
-    validate.require(ordered, validate.candle_rules(cd.interval_ms(intervals[0])) | order | {"times in whole milliseconds": ~F.col("below_ms"), "optional columns given": F.col("trade_count").isNotNull() & F.col("taker_buy_base_volume").isNotNull()})
+    step = cd.interval_ms(intervals[0])
+    rules = validate.candle_rules(step) | {"times in whole milliseconds": ~F.col("below_ms"), "optional columns given": F.col("trade_count").isNotNull() & F.col("taker_buy_base_volume").isNotNull()}
+    validate.require_none(order.violations(candles, keys, ["end_ms"], [order.rising("times strictly increasing", "end_ms")], rules, step * order.BLOCK))
     return candles, intervals[0]
 
 
