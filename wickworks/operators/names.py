@@ -46,10 +46,24 @@ def resolve(columns: Sequence[str]) -> dict[str, str]:
     return out
 
 
+def json_text(text: Column) -> Column:
+    """A text as a JSON string of printable ASCII: other characters are the \\uXXXX of their UTF-16 units, line ends and the like in short."""
+    short = {"0008": "\\b", "0009": "\\t", "000A": "\\n", "000C": "\\f", "000D": "\\r", "0022": '\\"', "005C": "\\\\"}
+    units = F.regexp_extract_all(F.hex(F.encode(text, "UTF-16BE")), F.lit("[0-9A-F]{4}"), F.lit(0))
+
+    def one(u: Column) -> Column:
+        out = F.when(u.between("0020", "007E"), F.chr(F.conv(u, 16, 10).cast("int"))).otherwise(F.concat(F.lit("\\u"), F.lower(u)))
+        for code, escape in short.items():
+            out = F.when(u == code, F.lit(escape)).otherwise(out)
+        return out
+
+    plain = text.rlike(r"^[ !#-\[\]-~]*$")
+    return F.concat(F.lit('"'), F.when(plain, text).otherwise(F.array_join(F.transform(units, one), "")), F.lit('"'))
+
+
 def series_id(*keys: Column) -> Column:
-    """First 24 hex digits of the SHA-256 of the keys as a JSON list of ASCII strings."""
-    escaped = [F.concat(F.lit('"'), F.regexp_replace(F.regexp_replace(k, r"\\", r"\\\\"), '"', r'\\"'), F.lit('"')) for k in keys]
-    return F.substring(F.sha2(F.concat(F.lit("["), F.concat_ws(", ", *escaped), F.lit("]")), 256), 1, 24)
+    """First 24 hex digits of the SHA-256 of the keys as a JSON list of ASCII strings, whatever characters they have."""
+    return F.substring(F.sha2(F.concat(F.lit("["), F.concat_ws(", ", *[json_text(k) for k in keys]), F.lit("]")), 256), 1, 24)
 
 
 def file_names(symbols: DataFrame, symbol: str = "symbol") -> DataFrame:

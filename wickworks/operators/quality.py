@@ -21,10 +21,11 @@ def _all_there(names: Sequence[str]):
 
 
 def wide(features: DataFrame, keys: Sequence[str], names: Sequence[str] = NAMES, unavailable: Sequence[str] = ()) -> DataFrame:
-    """A row for each series: rows, first and last end, complete rows, and each feature's missing count and whether it is constant."""
+    """A row for each series: rows, first and last end, segments if numbered, complete rows, each feature's missing count and whether it is constant."""
     ready, ready_all = _all_there([n for n in names if n not in unavailable]), _all_there(names)
+    segments = [F.count_distinct("segment_id").alias("segments")] if "segment_id" in features.columns else []
     return features.groupBy(*keys).agg(
-        F.count("*").alias("rows"), F.min("end_ms").alias("first_end_ms"), F.max("end_ms").alias("last_end_ms"), F.count_distinct("segment_id").alias("segments"),
+        F.count("*").alias("rows"), F.min("end_ms").alias("first_end_ms"), F.max("end_ms").alias("last_end_ms"), *segments,
         F.count_if(ready).alias("complete_supported"), F.min(F.when(ready, F.col("end_ms"))).alias("first_complete_end_ms"), F.count_if(ready_all).alias("complete_all"),
         *[(F.count("*") - F.count(n)).alias(f"missing_{n}") for n in names], *[F.coalesce(F.min(n) == F.max(n), F.lit(False)).alias(f"constant_{n}") for n in names],
     )

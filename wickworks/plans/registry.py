@@ -16,7 +16,7 @@ from wickworks.plans import feature_sql as fs
 from wickworks.plans import fixtures as fx
 from wickworks.plans import runs
 from wickworks.sinks import legacy, publish, scratch
-from wickworks.sources import archives, manifest, tables
+from wickworks.sources import archives, manifest, tables, times
 
 KEYS = ["symbol"]
 _EVENTS = fx.candles_sql(fx.EVENT_TICKS, "'ALL'", fx.HOUR)
@@ -383,7 +383,8 @@ def archive_candles_and_trades(spark, sf_dir):
 
 
 @query(f"""WITH {fx.WHOLE_DAYS} SELECT {_DAY_NAME} AS date, 'ABC' AS coin, '1h' AS "interval", substr({_TIME("open_ms")}, 12) AS open_time, substr({_TIME(f"(open_ms + {fx.HOUR - 1})")}, 12) AS close_time, open, high, low, close, round(volume, 4) AS volume,
-  trade_count AS count, {_DAY_NAME}[1:4] AS year, row_number() OVER (PARTITION BY {_DAY_NAME}[1:4] ORDER BY open_ms) AS place FROM days""")
+  trade_count AS count, {_DAY_NAME}[1:4] AS year, row_number() OVER (PARTITION BY {_DAY_NAME}[1:4] ORDER BY open_ms) AS place,
+  'date,coin,interval,{",".join(archives.KLINE)}' AS daily_header, 'date,coin,interval,{",".join(archives.KLINE)}' AS yearly_header FROM days""")
 def archive_daily_and_yearly_files(spark, sf_dir):
     """Daily archives to daily CSV files, and these to yearly files, whose lines are in the order of days and times."""
     at = scratch.folder(spark, "legacy")
@@ -395,8 +396,10 @@ def archive_daily_and_yearly_files(spark, sf_dir):
     place = F.row_number().over(Window.partitionBy("year").orderBy("__at")).cast("long")
     lines = texts.select("date", "coin", "interval", "open_time", F.substring(F.col("_metadata.file_name"), -8, 4).alias("year"), F.monotonically_increasing_id().alias("__at")).withColumn("place", place).drop("__at")
     typed = spark.read.parquet(f"{at}/parquet").withColumn("date", F.col("date").cast("string"))
-    both = lines.join(typed.drop("coin", "interval"), ["date", "open_time"])
-    return both.select("date", "coin", "interval", "open_time", "close_time", "open", "high", "low", "close", F.round("volume", 4).alias("volume"), "count", "year", "place")
+    year = F.col("file_year")
+    whole = {k: legacy.headers(spark, f"{at}/{k}").select(year.alias("year"), F.col("header").alias(f"{k}_header")).distinct() if k == "daily" else spark.read.text(f"{at}/{k}").where(F.startswith("value", F.lit("date,"))).select(F.col("value").alias(f"{k}_header"), F.substring(F.col("_metadata.file_name"), -8, 4).alias("year")) for k in ("daily", "yearly")}
+    both = lines.join(typed.drop("coin", "interval"), ["date", "open_time"]).join(whole["daily"], "year").join(whole["yearly"], "year")
+    return both.select("date", "coin", "interval", "open_time", "close_time", "open", "high", "low", "close", F.round("volume", 4).alias("volume"), "count", "year", "place", "daily_header", "yearly_header")
 
 
 def _extractor(candles: DataFrame) -> DataFrame:
@@ -437,6 +440,37 @@ def generic_candle_file(spark, sf_dir):
     return out.select("time_ms", "end_ms", "open", "high", "low", "close", "volume", "trade_count", "taker_buy_base_volume")
 
 
+@query(f"""WITH {_EVENTS} SELECT kind, open_ms AS time_ms, open, close FROM candles, (VALUES ('ns'), ('us'), ('s'), ('offset'), ('utc')) k(kind)
+UNION ALL SELECT 'new york', epoch_ms(timezone('America/New_York', make_timestamp(open_ms * 1000))), open, close FROM candles""")
+def generic_times(spark, sf_dir):
+    """Candle files whose times are nanoseconds, microseconds, seconds, texts with an offset, and local texts of two zones."""
+    at, c = scratch.folder(spark, "times"), fx.hourly(spark, sf_dir)
+    local = F.date_format(F.to_timestamp_ntz(F.substring(cd.utc_text(F.col("open_ms")), 1, 19), F.lit("yyyy-MM-dd'T'HH:mm:ss")), "yyyy-MM-dd HH:mm:ss")
+    stamps = {
+        "ns": (F.col("open_ms") * 1_000_000, "ns", None), "us": (F.col("open_ms") * 1000, "us", None), "s": ((F.col("open_ms") / 1000).cast("long"), "s", None),
+        "offset": (F.concat(local, F.lit("+00:00")), None, None), "utc": (local, None, "UTC"), "new york": (local, None, "America/New_York"),
+    }
+    out = None
+    for kind, (stamp, unit, zone) in stamps.items():
+        path = f"{at}/{kind.replace(' ', '-')}.csv"
+        publish.text_csv(c.select(stamp.alias("Time"), "open", "high", "low", "close", "volume"), path, ["Time"])
+        mine = tables.read_generic(spark, path, unit=unit, zone=zone).select(F.lit(kind).alias("kind"), "time_ms", "open", "close")
+        out = mine if out is None else out.union(mine)
+    return out
+
+
+@query(f"""WITH {fx.EVENT_TICKS.format(symbol="'ALL'")}, l AS (SELECT DISTINCT time_ms // 900000 * 900000 AS local_ms FROM ticks UNION SELECT unnest(generate_series(1710028800000, 1710060000000, 900000)) UNION SELECT unnest(generate_series(1730592000000, 1730620800000, 900000))),
+t AS (SELECT local_ms, [u FOR u IN [local_ms + 14400000, local_ms + 18000000] IF epoch_ms(timezone('America/New_York', make_timestamp(u * 1000) AT TIME ZONE 'UTC')) = local_ms] AS u FROM l)
+SELECT local_ms, len(u)::INTEGER AS instants, u[1] AS first_ms FROM t""")
+def local_time_instants(spark, sf_dir):
+    """How many instants a zone's clocks show as each local quarter of an hour, over a spring and an autumn change too."""
+    quarters = fx.ticks(spark, sf_dir).select(cd.bucket(F.col("time_ms"), 900_000).alias("local_ms"))
+    for first, last in ((1710028800000, 1710060000000), (1730592000000, 1730620800000)):
+        quarters = quarters.union(spark.range(first, last + 1, 900_000).select(F.col("id").alias("local_ms")))
+    found = times.instants(F.col("local_ms"), "America/New_York")
+    return quarters.distinct().select("local_ms", F.size(found).alias("instants"), F.array_min(found).alias("first_ms"))
+
+
 @query(f"""WITH {_BY_PRIORITY}, {fx.segmented_sql(fx.DAY)}, f AS (SELECT symbol, end_ms, {fs.columns("log_return")["log_return_1"]} AS r FROM c),
 n AS (SELECT DISTINCT symbol, CASE WHEN regexp_matches(symbol, '^[A-Za-z0-9][A-Za-z0-9_-]{{0,63}}$') THEN symbol ELSE 'symbol-' || sha256(symbol) END || '-features.parquet' AS file FROM f)
 SELECT f.symbol, n.file, row_number() OVER (PARTITION BY f.symbol ORDER BY end_ms) AS place, end_ms, round(r, 6) + 0.0 AS log_return_1 FROM f JOIN n ON f.symbol = n.symbol""")
@@ -515,6 +549,14 @@ def series_ids(spark, sf_dir):
     return nation.select("n_nationkey", names.series_id(F.lit("venue"), F.lit("um"), F.col("n_name"), F.lit("1h"), F.lit("trade")).alias("series_id"))
 
 
+@query("""WITH t AS (SELECT n_nationkey, n_name || chr(9) || '"' || chr(92) || chr(233) || chr(128512) || chr(127) AS name FROM nation)
+SELECT n_nationkey, substr(sha256('["um", "' || n_name || '\\t\\"\\\\\\u00e9\\ud83d\\ude00\\u007f"]'), 1, 24) AS series_id FROM t JOIN nation USING (n_nationkey)""")
+def series_ids_of_any_text(spark, sf_dir):
+    """Symbols with quotes, control characters and characters beyond ASCII and beyond 16 bits."""
+    odd = F.concat("n_name", F.lit('\t"\\\u00e9\U0001f600\x7f'))
+    return spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", names.series_id(F.lit("um"), odd).alias("series_id"))
+
+
 @query(r"SELECT p_partkey, lower(regexp_replace(trim('  ' || p_name || '- ' || p_type || ' '), '[\s-]+', '_', 'g')) AS name FROM part")
 def name_normalise(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", names.normal(F.concat(F.lit("  "), "p_name", F.lit("- "), "p_type", F.lit(" "))).alias("name"))

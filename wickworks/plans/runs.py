@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,36 +28,42 @@ def calculate(candles: DataFrame, keys: Sequence[str], step_ms: int, gap_policy:
 
 
 def series_reports(computed: DataFrame, candles: DataFrame, keys: Sequence[str], step_ms: int, gap_policy: str) -> list[dict]:
-    """A report for each series, from one wide aggregation."""
+    """A report for each series of (keys, end_ms, features), from one wide aggregation; gaps from summaries of blocks of candles."""
     missing = quality.unavailable_inputs(candles)
     gaps = {tuple(r[k] for k in keys): r["gap_count"] for r in segments.gap_counts(candles, keys, step_ms).collect()}
     out = []
     for r in quality.wide(computed, keys, NAMES, missing).collect():
         iso = lambda ms: None if ms is None else f"{ms}ms"
+        mine = gaps[tuple(r[k] for k in keys)]
         out.append({
             **{k: r[k] for k in keys}, "rows": r["rows"], "first_candle_end": iso(r["first_end_ms"]), "last_candle_end": iso(r["last_end_ms"]), "interval_ms": step_ms, "gap_policy": gap_policy,
-            "gap_count": gaps[tuple(r[k] for k in keys)], "calculation_segments": r["segments"], "feature_count": len(NAMES), "features_supported_by_supplied_inputs": len(NAMES) - len(missing),
+            "gap_count": mine, "calculation_segments": mine + 1 if gap_policy == "reset" else 1, "feature_count": len(NAMES), "features_supported_by_supplied_inputs": len(NAMES) - len(missing),
             "unavailable_due_to_missing_inputs": missing, "rows_complete_for_supported_features": r["complete_supported"], "first_complete_supported_row": iso(r["first_complete_end_ms"]), "rows_complete_for_all_128": r["complete_all"],
             "missing_values_by_feature": {n: r[f"missing_{n}"] for n in NAMES}, "constant_nonmissing_features": [n for n in NAMES if r[f"constant_{n}"]],
         })
     return out
 
 
-def generate_dataset(spark: SparkSession, config: FeatureConfig) -> dict:
-    """Checks, computes, reports and publishes; returns the summary."""
+def generate_dataset(spark: SparkSession, config: FeatureConfig, shard_ms: int | None = None) -> dict:
+    """Checks, computes, reports and publishes; returns the summary. The features are computed once: the report reads the staged files."""
+    if publish.Store(spark, config.output).exists(publish.journal_of(config.output)):
+        publish.recover(spark, config.output)
     if publish.Store(spark, config.output).exists(config.output):
         raise FileExistsError(f"the output folder must be new: {config.output}")
     candles, interval = tables.checked(tables.read_candles(spark, config.input, config.symbols))
     keys, step = list(cd.SERIES_KEYS), cd.interval_ms(interval)
     computed = calculate(candles, keys, step, config.gap_policy)
-    reports = series_reports(computed, candles, keys, step, config.gap_policy)
-    ids = {tuple(r[k] for k in keys): r["id"] for r in candles.select(*keys).distinct().withColumn("id", names.series_id(*[F.col(k) for k in keys])).collect()}
-    for r in reports:
-        r["series_id"] = ids[tuple(r[k] for k in keys)]
-    summary = {"input": config.input, "output": config.output, "gap_policy": config.gap_policy, "feature_count": len(NAMES), "series_count": len(reports), "rows": sum(r["rows"] for r in reports), "series": reports}
-    out = computed.select(F.timestamp_millis("end_ms").alias("candle_end_utc"), "symbol", *NAMES)
-    files = publish.features(out, config.output, summary)
-    return summary | {"status": "complete", "output_files": files}
+
+    def summary(staged: DataFrame) -> dict:
+        # A symbol has one series, so its report is by symbol; the other keys come from the few series.
+        reports = series_reports(staged.withColumn("end_ms", F.unix_millis("candle_end_utc")), candles, ["symbol"], step, config.gap_policy)
+        series = candles.select(*keys).distinct().withColumn("series_id", names.series_id(*[F.col(k) for k in keys]))
+        found = {r["symbol"]: r.asDict() for r in series.collect()}
+        reports = [found[r["symbol"]] | r for r in reports]
+        return {"input": config.input, "output": config.output, "gap_policy": config.gap_policy, "feature_count": len(NAMES), "series_count": len(reports), "rows": sum(r["rows"] for r in reports), "series": reports}
+
+    publish.features(computed.select(F.timestamp_millis("end_ms").alias("candle_end_utc"), "symbol", *NAMES), config.output, summary, shard_ms)
+    return json.loads(publish.Store(spark, config.output).read_text(f"{config.output.rstrip('/')}/summary.json"))
 
 
 def extract(spark: SparkSession, config: ExtractConfig, overwrite: bool = False) -> list[dict]:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wickworks.operators import candles as cd
 from wickworks.sinks.publish import many_files
@@ -21,17 +22,58 @@ def enrich(lines: DataFrame) -> DataFrame:
 
 
 def daily_csv(spark: SparkSession, source: str, target: str, mode: str = "ignore") -> list[str]:
-    """One CSV for each archive under source, by one job; files that are there stay unless mode is overwrite."""
+    """One CSV of date, coin, interval and the archive's columns for each archive under source, by one job; files that are there stay
+    unless mode is overwrite."""
     enriched = enrich(archives.read(spark, source, archives.KLINE, "first", exact_member=False))
     named = enriched.withColumn("__file", F.concat(F.regexp_extract("file", r"([^/]+)\.[^./]*$", 1), F.lit(".csv"))).drop("file")
-    return many_files(named, "__file", target, ["line"], mode)
+    return many_files(named, "__file", target, ["line"], mode, hidden=["line"])
+
+
+def headers(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, file, file_coin, file_interval, file_year, header) of the CSV files under a folder; header is null for an empty file.
+
+    The executors read the first lines. Names are trimmed; a header is one line.
+    """
+    options = {"recursiveFileLookup": "true", "pathGlobFilter": "*.csv"}
+    files = spark.read.format("binaryFile").options(**options).load(folder).select("path", F.regexp_extract("path", "([^/]+)$", 1).alias("file"))
+    lines = spark.read.options(**options).text(folder).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"))
+    first = lines.where("at = 0").groupBy("path").agg(F.min_by("value", "n").alias("value"))
+    names = F.transform(F.split(F.regexp_replace("value", "^\ufeff|\r$|\"", ""), ","), lambda c: F.trim(c))
+    found = files.join(first.select("path", F.array_join(names, ",").alias("header")), "path", "left")
+    return found.select("path", "file", *[F.regexp_extract("file", _NAME, i).alias(a) for i, a in ((1, "file_coin"), (2, "file_interval"), (3, "file_year"))], "header")
+
+
+def by_header(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """The daily files' cells as text, a table for each header, with the file's group and the line's place (__path, __block, __line).
+
+    A file without a header, and one whose header isn't that of its (coin, interval, year)'s first file, fail the run.
+    """
+    found = headers(spark, folder)
+    empty = [r["file"] for r in found.where("header is null").limit(3).collect()]
+    if empty:
+        raise ValueError(f"no header: {empty}")
+    group = Window.partitionBy("file_coin", "file_interval", "file_year").orderBy("path")
+    odd = [r["file"] for r in found.withColumn("first", F.first("header").over(group)).where("header <> first").orderBy("path").limit(3).collect()]
+    if odd:
+        raise ValueError(f"columns do not match in {odd}")
+    out = []
+    for r in found.groupBy("header").agg(F.collect_list("path").alias("paths")).orderBy("header").collect():  # as many paths as the listing has
+        columns = r["header"].split(",")
+        if len(set(columns)) != len(columns):
+            raise ValueError(f"a column comes twice: {r['header']}")
+        raw = spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns])).option("header", "true").option("escape", '"').csv(r["paths"])
+        name = F.col("_metadata.file_name")
+        group = [F.regexp_extract(name, _NAME, i).alias(a) for i, a in ((1, "file_coin"), (2, "file_interval"), (3, "file_year"))]
+        out.append(raw.select("*", *group, F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__line")))
+    return out
 
 
 def read_daily(spark: SparkSession, folder: str) -> DataFrame:
-    """Daily CSV files with their (coin, interval, year) from the name, cells as text."""
-    raw = spark.read.option("header", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").csv(folder)
-    name = F.col("_metadata.file_name")
-    return raw.select("*", name.alias("file"), *[F.regexp_extract(name, _NAME, i).alias(a) for i, a in ((1, "file_coin"), (2, "file_interval"), (3, "file_year"))])
+    """All daily CSV files with their (coin, interval, year) from the name, cells as text; columns that a file hasn't are null."""
+    first, *others = by_header(spark, folder)
+    for more in others:
+        first = first.unionByName(more, allowMissingColumns=True)
+    return first.drop("__path", "__block", "__line")
 
 
 def yearly(spark: SparkSession, folder: str) -> DataFrame:
@@ -49,11 +91,11 @@ def merge_parquet(spark: SparkSession, folder: str, target: str) -> None:
 
 
 def merge_csv(spark: SparkSession, folder: str, target: str) -> list[str]:
-    """One CSV a (coin, interval, year), files in the order of their names, values untouched."""
-    daily = read_daily(spark, folder).withColumn("__at", F.monotonically_increasing_id())
-    name = F.concat(F.concat_ws("-", "file_coin", "file_interval", "file_year"), F.lit(".csv"))
-    columns = [c for c in daily.columns if c not in ("file", "file_coin", "file_interval", "file_year", "__at")]
-    return many_files(daily.select("file", "__at", *columns, name.alias("__file")), "__file", target, ["file", "__at"])
+    """One CSV a (coin, interval, year): the files' header and their lines in the order of paths, values untouched."""
+    place, group = ["__path", "__block", "__line"], ["file_coin", "file_interval", "file_year"]
+    name = F.concat(F.concat_ws("-", *group), F.lit(".csv"))
+    written = [n for rows in by_header(spark, folder) for n in many_files(rows.withColumn("__file", name).drop(*group), "__file", target, place, hidden=place)]
+    return sorted(written)
 
 
 def merge_xlsx(spark: SparkSession, folder: str, target: str) -> int:
@@ -62,7 +104,7 @@ def merge_xlsx(spark: SparkSession, folder: str, target: str) -> int:
         from openpyxl import Workbook
     except ImportError as e:
         raise RuntimeError("Excel output needs openpyxl") from e
-    rows = yearly(spark, folder).drop("file", "file_coin", "file_interval", "file_year")
+    rows = yearly(spark, folder).drop("file_coin", "file_interval", "file_year")
     book = Workbook(write_only=True)
     sheet = book.create_sheet("candles")
     sheet.append(rows.columns)

@@ -1,17 +1,34 @@
-"""Publishing: everything is written to a staging folder beside the target and renamed when it is whole."""
+"""Publishing: everything is written to a staging folder beside the target and renamed when it is whole.
+
+A commit is a journal, then renames and texts, then the journal's removal. A driver that dies before the journal is there leaves the old
+files as they were; one that dies after it leaves all that recover() needs to finish, as each of its steps can be done again. Each
+publisher recovers its own target first. Staging folders that no journal names are left to recover().
+"""
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wickworks.operators import names
 
 
+CSV_AS_IS = {"header": "true", "emptyValue": "", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+#: Rows of a Parquet row group at most.
+ROW_GROUP = 32_768
+PARQUET = {"compression": "zstd", "parquet.block.row.count.limit": str(ROW_GROUP)}
+
+
+def _json(value) -> str:
+    return json.dumps(value, indent=2, allow_nan=False) + "\n"
+
+
 class Store:
     """The few calls of Hadoop's file system that publishing needs, on whatever store a path is in."""
 
@@ -64,13 +81,67 @@ class Store:
         self._fs.copyToLocalFile(False, self.at(path), self.at(target), True)
 
     def write_json(self, path: str, value) -> None:
-        self.write_text(path, json.dumps(value, indent=2, allow_nan=False) + "\n")
+        self.write_text(path, _json(value))
+
+    def read_text(self, path: str) -> str:
+        """A small file of UTF-8."""
+        stream = self._fs.open(self.at(path))
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+
+def journal_of(target: str) -> str:
+    return f"{target.rstrip('/')}.journal"
+
+
+def _finish(store: Store, journal: str) -> None:
+    """Does what is left of a journal's steps. Each step is a no-op once done, so any number of attempts may be cut off."""
+    plan = json.loads(store.read_text(journal))
+    for folder in plan["folders"]:
+        store.make(folder)
+    for source, target in plan["moves"]:
+        if store.exists(source):
+            if store.exists(target):
+                store.delete(target)
+            store.rename(source, target)
+    for path, text in plan["texts"]:
+        store.write_text(path, text)
+    if store.exists(plan["staging"]):
+        store.delete(plan["staging"])
+    store.delete(journal)
+
+
+def commit(store: Store, target: str, staging: str, moves: Sequence[tuple[str, str]], texts: Sequence[tuple[str, str]] = (), folders: Sequence[str] = ()) -> None:
+    """Renames staged files to their targets and writes texts, all of it or, if cut off, all of it by recover()."""
+    store.write_text(journal_of(target), json.dumps({"staging": staging, "moves": list(moves), "texts": list(texts), "folders": list(folders)}))
+    _finish(store, journal_of(target))
+
+
+def recover(spark: SparkSession, target: str) -> str:
+    """What a run on target left: finishes a commit that was cut off ("completed"), clears staged files that were never committed
+    ("cleared"), or finds "nothing". Not while a run on target is under way."""
+    store = Store(spark, target)
+    if store.exists(journal_of(target)):
+        _finish(store, journal_of(target))
+        return "completed"
+    folder, name = target.rstrip("/").rsplit("/", 1)
+    left = [n for n in (store.names(folder) if store.exists(folder) else []) if n.startswith(f"{name}.staging-")]
+    for n in left:
+        store.delete(f"{folder}/{n}")
+    summary = f"{target.rstrip('/')}/summary.json"
+    if left and store.exists(summary) and (said := json.loads(store.read_text(summary))).get("status") == "running":
+        store.write_json(summary, said | {"status": "interrupted"})
+    return "cleared" if left else "nothing"
 
 
 def _one_file(df: DataFrame, order: Sequence[str], target: str, mode: str, report, write) -> bool:
     store = Store(df.sparkSession, target)
     if mode not in ("error", "ignore", "overwrite"):
         raise ValueError("mode is error, ignore or overwrite")
+    if store.exists(journal_of(target)):
+        recover(df.sparkSession, target)
     if store.exists(target) and mode != "overwrite":
         if mode == "ignore":
             return False
@@ -79,22 +150,23 @@ def _one_file(df: DataFrame, order: Sequence[str], target: str, mode: str, repor
     try:
         write(df.repartition(1).sortWithinPartitions(*order), staging)
         part = next(n for n in store.names(staging) if n.startswith("part-"))
-        if report is not None:  # the report first: if it fails, the data that are there stay
-            store.write_json(target.rsplit(".", 1)[0] + ".validation.json", report)
-        if store.exists(target):
-            store.delete(target)
-        store.rename(f"{staging}/{part}", target)
-    finally:
+        texts = [] if report is None else [(target.rsplit(".", 1)[0] + ".validation.json", _json(report))]
+    except BaseException:
         store.delete(staging)
+        raise
+    commit(store, target, staging, [(f"{staging}/{part}", target)], texts)
     return True
 
 
-def many_files(df: DataFrame, name: str, folder: str, order: Sequence[str], mode: str = "overwrite") -> list[str]:
+def many_files(df: DataFrame, name: str, folder: str, order: Sequence[str], mode: str = "overwrite", hidden: Sequence[str] = ()) -> list[str]:
     """One CSV file with a header for each value of the column name, ordered, all from one job; returns the names, sorted.
 
-    Files that are there stay under mode ignore. Each file's rows are one task's, whatever the number of files.
+    Files that are there stay under mode ignore. Each file's rows are one task's, whatever the number of files. hidden columns only order
+    the rows and aren't written; cells are written as they are, blanks included.
     """
     store = Store(df.sparkSession, folder)
+    if store.exists(journal_of(folder)):
+        recover(df.sparkSession, folder)
     wanted = sorted(r[0] for r in df.select(name).distinct().collect())
     if mode == "error" and (there := [n for n in wanted if store.exists(f"{folder}/{n}")]):
         raise FileExistsError(f"{folder}/{there[0]}")
@@ -104,60 +176,78 @@ def many_files(df: DataFrame, name: str, folder: str, order: Sequence[str], mode
     staging = f"{folder.rstrip('/')}.staging-{uuid.uuid4().hex}"
     try:
         rows = df if len(new) == len(wanted) else df.where(F.col(name).isin(new))
-        rows.repartition(name).sortWithinPartitions(name, *order).write.option("header", "true").option("emptyValue", "").partitionBy(name).csv(staging)
-        store.make(folder)
+        # A name that can't be null keeps the writer from sorting again by name alone.
+        rows = rows.withColumn(name, F.coalesce(name, F.lit(""))).repartition(name).sortWithinPartitions(name, *order).drop(*hidden)
+        rows.write.options(**CSV_AS_IS).partitionBy(name).csv(staging)
+        moves = []
         for n in new:
             (part,) = [x for x in store.names(f"{staging}/{name}={n}") if x.startswith("part-")]
-            if store.exists(f"{folder}/{n}"):
-                store.delete(f"{folder}/{n}")
-            store.rename(f"{staging}/{name}={n}/{part}", f"{folder}/{n}")
-    finally:
+            moves.append((f"{staging}/{name}={n}/{part}", f"{folder}/{n}"))
+    except BaseException:
         store.delete(staging)
+        raise
+    commit(store, folder, staging, moves, folders=[folder])
     return wanted
 
 
 def candles_parquet(df: DataFrame, target: str, mode: str = "error", report=None) -> bool:
     """One zstd Parquet file of candles by open time; False if the target was there and mode is ignore."""
-    return _one_file(df, ["open_time"], target, mode, report, lambda d, at: d.write.option("compression", "zstd").parquet(at))
+    return _one_file(df, ["open_time"], target, mode, report, lambda d, at: d.write.options(**PARQUET).parquet(at))
 
 
 def text_csv(df: DataFrame, target: str, order: Sequence[str], mode: str = "error", report=None) -> bool:
     """One CSV file with a header, ordered."""
-    return _one_file(df, order, target, mode, report, lambda d, at: d.write.option("header", "true").option("emptyValue", "").csv(at))
+    return _one_file(df, order, target, mode, report, lambda d, at: d.write.options(**CSV_AS_IS).csv(at))
+
+
+def shards(df: DataFrame, shard_ms: int | None) -> DataFrame:
+    """(symbol, __shard, __file): a symbol's file name; with spans of shard_ms, a numbered file for each span that has rows, in order."""
+    span = F.floor(F.unix_millis("candle_end_utc") / shard_ms) if shard_ms else F.lit(0).cast("long")
+    found = df.select("symbol", span.alias("__shard")).distinct().join(names.file_names(df), "symbol")
+    number = F.row_number().over(Window.partitionBy("symbol").orderBy("__shard"))
+    many = F.count("*").over(Window.partitionBy("symbol")) > 1
+    return found.select("symbol", "__shard", F.when(many, F.format_string("%s-%05d.parquet", F.regexp_replace("file", "[.]parquet$", ""), number)).otherwise(F.col("file")).alias("__file"))
 
 
-def features(df: DataFrame, folder: str, summary: dict) -> list[str]:
+def features(df: DataFrame, folder: str, summary: dict | Callable[[DataFrame], dict], shard_ms: int | None = None) -> list[str]:
     """One zstd Parquet file a symbol, with candle_end_utc, symbol and the features, and summary.json; the folder must be new.
 
-    All symbols are written by one job into a staging folder; the summary says running, and complete only after the renames. If one
-    fails, what was published goes back and the summary says failed.
+    All symbols are written by one job into a staging folder beside it, in row groups of at most ROW_GROUP rows; a symbol whose history is
+    too long for one task is split by shard_ms into numbered files that follow one another. summary may be a function of the staged rows, so
+    that df is computed once. The summary says running, and complete only with the renames; failed or interrupted if they never began.
     """
     spark = df.sparkSession
     store = Store(spark, folder)
+    folder = folder.rstrip("/")
+    if store.exists(journal_of(folder)):
+        recover(spark, folder)
     if store.exists(folder):
         raise FileExistsError(f"the output folder must be new: {folder}")
     store.make(folder)
-    staging, published = f"{folder}/.staging", []
-    store.write_json(f"{folder}/summary.json", summary | {"status": "running"})
+    staging = f"{folder}.staging-{uuid.uuid4().hex}"
+    head = summary if isinstance(summary, dict) else {}
+    store.write_json(f"{folder}/summary.json", head | {"status": "running"})
+    columns = [c for c in df.columns if c not in ("candle_end_utc", "symbol")]
     try:
-        files = {r["symbol"]: r["file"] for r in names.file_names(df).collect()}
-        lookup = spark.createDataFrame(list(files.items()), "symbol string, __file string")
-        out = df.join(lookup, "symbol").select("candle_end_utc", "symbol", *[c for c in df.columns if c not in ("candle_end_utc", "symbol")], "__file")
-        out.repartition("__file").sortWithinPartitions("__file", "candle_end_utc").write.option("compression", "zstd").partitionBy("__file").parquet(staging)
-        for symbol in sorted(files):
-            found = [n for n in store.names(f"{staging}/__file={files[symbol]}") if n.startswith("part-")]
-            if len(found) != 1:
-                raise OSError(f"{symbol}: {len(found)} files")
-            store.rename(f"{staging}/__file={files[symbol]}/{found[0]}", f"{folder}/{files[symbol]}")
-            published.append(files[symbol])
-        store.write_json(f"{folder}/feature_columns.json", [c for c in df.columns if c not in ("candle_end_utc", "symbol")])
-        store.write_json(f"{folder}/summary.json", summary | {"status": "complete", "output_files": sorted(files.values())})
+        # The rows once, by symbol and span; the names of files follow from what is there.
+        span = F.floor(F.unix_millis("candle_end_utc") / shard_ms) if shard_ms else F.lit(0).cast("long")
+        keyed = df.select("candle_end_utc", "symbol", *columns, F.concat_ws("-", F.sha2("symbol", 256), span.cast("string")).alias("__key"))
+        keyed.withColumn("__key", F.coalesce("__key", F.lit(""))).repartition("__key").sortWithinPartitions("__key", "candle_end_utc").write.options(**PARQUET).partitionBy("__key").parquet(staging)
+        staged = spark.read.parquet(staging)
+        if not isinstance(summary, dict):
+            head = summary(staged.drop("__key"))
+        found = shards(staged, shard_ms).withColumn("__key", F.concat_ws("-", F.sha2("symbol", 256), F.col("__shard").cast("string"))).collect()
+        moves = []
+        for r in sorted(found, key=lambda r: r["__file"]):
+            parts = [n for n in store.names(f"{staging}/__key={r['__key']}") if n.startswith("part-")]
+            if len(parts) != 1:
+                raise OSError(f"{r['symbol']}: {len(parts)} files")
+            moves.append((f"{staging}/__key={r['__key']}/{parts[0]}", f"{folder}/{r['__file']}"))
+        files = sorted(r["__file"] for r in found)
     except BaseException as e:
-        for name in published:
-            store.rename(f"{folder}/{name}", f"{folder}/{name}.tmp")
         status = "interrupted" if isinstance(e, KeyboardInterrupt) else "failed"
-        store.write_json(f"{folder}/summary.json", summary | {"status": status, "error": f"{type(e).__name__}: {str(e)[:500]}"})
-        raise
-    finally:
+        store.write_json(f"{folder}/summary.json", head | {"status": status, "error": f"{type(e).__name__}: {str(e)[:500]}"})
         store.delete(staging)
-    return sorted(files.values())
+        raise
+    commit(store, folder, staging, moves, [(f"{folder}/feature_columns.json", _json(columns)), (f"{folder}/summary.json", _json(head | {"status": "complete", "output_files": files}))])
+    return files

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wickworks.operators import candles as cd
 from wickworks.operators import names, order, validate
+from wickworks.sources import times
 
 
 def read_candles(spark: SparkSession, path: str | Sequence[str], symbols: Sequence[str] = (), exchange: str = "venue") -> DataFrame:
@@ -42,8 +43,9 @@ def checked(candles: DataFrame) -> tuple[DataFrame, str]:
 def read_generic(spark: SparkSession, path: str, timestamp: str | None = None, unit: str | None = None, zone: str | None = None) -> DataFrame:
     """(time_ms, canonical columns) of a Parquet, CSV, TSV, gzip or Excel file. Numeric times need unit; times without zone need one.
 
-    Excel is read on the driver, as one workbook is no large table, and needs openpyxl; any other file is read by Spark. A file without rows,
-    names that are the same after trimming, case and blanks, and several instruments are errors.
+    Excel is read on the driver, as one workbook is no large table, and needs openpyxl; any other file is read by Spark, a text file's cells
+    as text, so that no type or session's zone is guessed. A file without rows, names that are the same after trimming, case and blanks,
+    several instruments, cells that are no numbers, and times that are missing, repeated, ambiguous or don't exist are errors.
     """
     low = path.lower()
     if low.endswith((".xlsx", ".xls")):
@@ -58,34 +60,37 @@ def read_generic(spark: SparkSession, path: str, timestamp: str | None = None, u
     elif not low.endswith((".csv", ".tsv", ".gz")):
         raise ValueError("the file is Parquet, CSV, TSV, gzip or Excel")
     else:
-        raw = spark.read.option("header", "true").option("inferSchema", "true").option("sep", "\t" if ".tsv" in low else ",").csv(path)
+        raw = spark.read.option("header", "true").option("sep", "\t" if ".tsv" in low else ",").csv(path)
     if raw.isEmpty():
         raise ValueError(f"{path}: no rows")
     found = names.resolve(raw.columns)
     for c in (c for c in raw.columns if names.normal_text(c) in names.INSTRUMENTS):
-        if raw.select(F.coalesce(F.col(c).cast("string"), F.lit("\0"))).distinct().limit(2).count() > 1:
+        if raw.select(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\0"))).distinct().limit(2).count() > 1:
             raise ValueError(f"more than one instrument in {c}")
-    stamps = [timestamp] if timestamp else [c for c in raw.columns if names.normal_text(c) in names.TIMES]
+    wanted = names.normal_text(timestamp) if timestamp else None
+    stamps = [c for c in raw.columns if names.normal_text(c) == wanted] if wanted else [c for c in raw.columns if names.normal_text(c) in names.TIMES]
     if len(stamps) != 1:
         raise ValueError(f"name the timestamp column; candidates: {stamps}")
-    kind = dict(raw.dtypes)[stamps[0]]
-    t = F.col(stamps[0])
-    if kind in ("bigint", "int", "double"):
-        scale = {"s": 1000, "ms": 1, "us": 1 / 1000, "ns": 1 / 1_000_000}.get(unit or "")
-        if scale is None:
-            raise ValueError("numeric times need a unit: s, ms, us or ns")
-        ms = F.floor(t * scale).cast("long")
-    elif zone:
-        ms = F.unix_millis(F.to_utc_timestamp(t.cast("timestamp_ntz").cast("timestamp"), zone)) if zone != "UTC" else cd.epoch_ms(t.cast("timestamp_ntz"))
-    elif kind == "timestamp":
-        ms = F.unix_millis(t)
-    else:
-        raise ValueError("times without a zone need one")
-    out = raw.select(ms.alias("time_ms"), *[F.col(c).cast("double").alias(f) for f, c in found.items()])
-    validate.require(out, {f"{f} finite": validate.finite(F.col(f)) for f in names.REQUIRED})
+    ms, rules = times.parse(raw, stamps[0], unit, zone)
+    cells = {f: F.col(f"`{c}`").try_cast("double") for f, c in found.items()}
+    for f, c in found.items():
+        rules[f"{f} is a number"] = F.col(f"`{c}`").isNull() | cells[f].isNotNull()
+    rules |= {f"{f} finite": validate.finite(cells[f]) for f in names.REQUIRED}
+    validate.require(raw, rules)
+    out = raw.select(ms.alias("time_ms"), *[c.alias(f) for f, c in cells.items()])
+    repeated = out.groupBy("time_ms").count().where("count > 1").agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n")).first()["n"]
+    if repeated:
+        raise validate.ValidationError({"times unique": repeated})
     return out
 
 
+def spaced(candles: DataFrame, step_ms: int, keys: Sequence[str] = (), at: str = "end_ms") -> DataFrame:
+    """candles, whose neighbours are a step apart at least; closer ones fail the run. Found from blocks of time, not by a window over all."""
+    rows = candles if keys else candles.withColumn("__all", F.lit(0))
+    validate.require_none(order.violations(rows, list(keys) or ["__all"], [at], [order.apart("candles a step apart at least", at, step_ms)], block=step_ms * order.BLOCK))
+    return candles
+
+
 def ends(candles: DataFrame, step_ms: int, role: str, offset_ms: int = 0) -> DataFrame:
     """end_ms of rows whose time_ms is a candle's start, or its end less an offset below the step."""
     if role not in ("start", "end") or not 0 <= offset_ms < step_ms or role == "start" and offset_ms:
