@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wickworks.operators import candles as cd
-from wickworks.sinks.publish import many_files
+from wickworks.sinks.publish import Store, many_files
 from wickworks.sources import archives
 
 _NAME = r"([A-Za-z0-9_]+)-([A-Za-z0-9]+)-([0-9]{4})-([0-9]{2})-([0-9]{2})\.csv"
@@ -30,16 +30,15 @@ def daily_csv(spark: SparkSession, source: str, target: str, mode: str = "ignore
 
 
 def headers(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, file, file_coin, file_interval, file_year, header) of the CSV files under a folder; header is null for an empty file.
+    """(path, file, file_coin, file_interval, file_year, header) of the CSV files under a folder that have a byte at least.
 
     The executors read the first lines. Names are trimmed; a header is one line.
     """
     options = {"recursiveFileLookup": "true", "pathGlobFilter": "*.csv"}
-    files = spark.read.format("binaryFile").options(**options).load(folder).select("path", F.regexp_extract("path", "([^/]+)$", 1).alias("file"))
     lines = spark.read.options(**options).text(folder).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"))
     first = lines.where("at = 0").groupBy("path").agg(F.min_by("value", "n").alias("value"))
     names = F.transform(F.split(F.regexp_replace("value", "^\ufeff|\r$|\"", ""), ","), lambda c: F.trim(c))
-    found = files.join(first.select("path", F.array_join(names, ",").alias("header")), "path", "left")
+    found = first.select("path", F.regexp_extract("path", "([^/]+)$", 1).alias("file"), F.array_join(names, ",").alias("header"))
     return found.select("path", "file", *[F.regexp_extract("file", _NAME, i).alias(a) for i, a in ((1, "file_coin"), (2, "file_interval"), (3, "file_year"))], "header")
 
 
@@ -49,7 +48,7 @@ def by_header(spark: SparkSession, folder: str) -> list[DataFrame]:
     A file without a header, and one whose header isn't that of its (coin, interval, year)'s first file, fail the run.
     """
     found = headers(spark, folder)
-    empty = [r["file"] for r in found.where("header is null").limit(3).collect()]
+    empty = [name for name, size in Store(spark, folder).files(folder, ".csv") if not size] or [r["file"] for r in found.where("header = ''").limit(3).collect()]
     if empty:
         raise ValueError(f"no header: {empty}")
     group = Window.partitionBy("file_coin", "file_interval", "file_year").orderBy("path")

@@ -55,6 +55,15 @@ class Store:
     def names(self, folder: str) -> list[str]:
         return [s.getPath().getName() for s in self._fs.listStatus(self.at(folder))]
 
+    def files(self, folder: str, suffix: str) -> list[tuple[str, int]]:
+        """(name, bytes) of the files under a folder, at any depth."""
+        found, it = [], self._fs.listFiles(self.at(folder), True)
+        while it.hasNext():
+            s = it.next()
+            if s.getPath().getName().endswith(suffix):
+                found.append((s.getPath().getName(), s.getLen()))
+        return found
+
     def write_text(self, path: str, text: str) -> None:
         """Through a temporary name, so that a reader never sees half a file."""
         part = f"{path}.{uuid.uuid4().hex}.tmp"
