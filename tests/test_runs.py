@@ -304,27 +304,6 @@ def test_stream_equals_batch(spark, tmp_path):
     assert stream.sessions(df, ["symbol"], "5 minutes").count() == 200
 
 
-def test_strict_stream_fails_on_order(spark, tmp_path):
-    start = datetime(2024, 1, 1)
-    schema = "symbol string, tick_id long, ts timestamp, price double"
-    batch = lambda rows: spark.createDataFrame([("A", i, start + timedelta(seconds=s), 1.0) for i, s in rows], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-
-    def run():
-        live = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-        q = stream.strict(live, ["symbol"]).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
-        q.awaitTermination(120)
-        return q
-
-    batch([(1, 0), (2, 5), (3, 5)])
-    run()
-    batch([(4, 6), (5, 9)])
-    run()
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 5
-    batch([(5, 9)])
-    with pytest.raises(Exception, match="strictly increasing"):
-        run()
-
-
 def test_long_series_are_computed_in_chunks(spark):
     rows = [("A", D0 + (i + 1 + 3 * (i > 700)) * HOUR, *kline(0, 100 + (i * 37) % 11)[1:6], 2, 4.0) for i in range(900)]
     df = spark.createDataFrame([(s, e, float(o), float(h), float(x), float(c), float(v), n, t) for s, e, o, h, x, c, v, n, t in rows], "symbol string, end_ms long, open double, high double, low double, close double, volume double, trade_count long, taker_buy_base_volume double")

@@ -54,21 +54,31 @@ def _merge(parts: DataFrame, by: Sequence[str], order: Sequence[str], checks: Se
     return parts.groupBy(*by).agg(*out, *[F.sum(s).alias(s) for s in sums])
 
 
-def summaries(rows: DataFrame, keys: Sequence[str], order: Sequence[str], checks: Sequence[Check], rules: Mapping[str, Column] | None = None, block: int = BLOCK) -> DataFrame:
-    """keys, rows and a count named as each check and each rule: breaks of order, and rows that break a rule, of each series.
-
-    The last order column is a whole number (a line, a time) and is cut into blocks of that many; those before it are merged as they are.
-    """
+def parts(rows: DataFrame, keys: Sequence[str], order: Sequence[str], checks: Sequence[Check], rules: Mapping[str, Column] | None = None, block: int = BLOCK) -> DataFrame:
+    """A part for each series: keys, first (__f), last (__l) and breaks (__b) of each check, violations (__r) of each rule, and __rows."""
     rules, source, line = dict(rules or {}), list(order[:-1]), order[-1]
     first = {f"__f{i}": F.col(c.column) for i, c in enumerate(checks)} | {f"__l{i}": F.col(c.column) for i, c in enumerate(checks)} | {f"__b{i}": F.lit(0).cast("long") for i in range(len(checks))}
     counts = {f"__r{i}": (~F.coalesce(ok, F.lit(False))).cast("long") for i, ok in enumerate(rules.values())} | {"__rows": F.lit(1).cast("long")}
-    parts = rows.select(*keys, *[F.col(c) for c in order if c not in keys], *[v.alias(k) for k, v in (first | counts).items()], F.floor(F.col(line) / block).alias("__block"))
+    found = rows.select(*keys, *[F.col(c) for c in order if c not in keys], *[v.alias(k) for k, v in (first | counts).items()], F.floor(F.col(line) / block).alias("__block"))
     levels = [([*keys, *source, "__block"], [line]), ([*keys, *source], ["__block"])]
     levels += [(list(keys), source)] if source else []
     for by, within in levels:
-        parts = _merge(parts, list(dict.fromkeys(by)), within, checks, list(counts))
-    names = {f"__b{i}": c.name for i, c in enumerate(checks)} | {f"__r{i}": n for i, n in enumerate(rules)} | {"__rows": "rows"}
-    return parts.select(*keys, *[F.col(k).alias(n) for k, n in names.items()])
+        found = _merge(found, list(dict.fromkeys(by)), within, checks, list(counts))
+    return found
+
+
+def joined(found: DataFrame, keys: Sequence[str], place: str, checks: Sequence[Check]) -> DataFrame:
+    """Parts of the same series, in the order of place, as one part each."""
+    return _merge(found, list(keys), [place], checks, [c for c in found.columns if c.startswith("__r")])
+
+
+def summaries(rows: DataFrame, keys: Sequence[str], order: Sequence[str], checks: Sequence[Check], rules: Mapping[str, Column] | None = None, block: int = BLOCK) -> DataFrame:
+    """keys, rows and a count named as each check and each rule: breaks of order, and rows that break a rule, of each series.
+
+    The last order column is a whole number (a line, a time) and is cut into blocks of that many; those before it are merged as they are.
+    """
+    names = {f"__b{i}": c.name for i, c in enumerate(checks)} | {f"__r{i}": n for i, n in enumerate(rules or {})} | {"__rows": "rows"}
+    return parts(rows, keys, order, checks, rules, block).select(*keys, *[F.col(k).alias(n) for k, n in names.items()])
 
 
 def violations(rows: DataFrame, keys: Sequence[str], order: Sequence[str], checks: Sequence[Check], rules: Mapping[str, Column] | None = None, block: int = BLOCK) -> DataFrame:
