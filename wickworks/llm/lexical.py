@@ -1,8 +1,8 @@
 """Ranked lexical search: an index of postings dealt by term, and integer scores of a set of items against all its documents.
 
-index() makes a posting of each distinct term of each document: (bucket, term, row, doc_id, tf, n), where n is the document's number of
-terms and row tells apart documents that share a doc_id. Postings are written partitioned by term bucket, a hash of the term, so a search
-reads only the buckets that its terms fall into; a bucket with a term that a third of all documents hold is split over tasks (rebalanced).
+index() makes a posting of each distinct term of each document, (bucket, term, row, tf), and a row without a term of each document, with its
+doc_id and, as tf, its number of terms; row tells apart documents that share a doc_id. All are written partitioned by term bucket, a hash of
+the term (documents' rows in one of their own), so a search reads only the buckets that its terms fall into; a bucket with a term that a third of all documents hold is split over tasks (rebalanced).
 
 search() joins the items' terms with the postings and scores each match in 64-bit integers. Scored postings are then dealt by document, so
 that a document's matches with all items are summed where they meet, by (item, document), and each item's first documents are picked by
@@ -43,12 +43,14 @@ class Ranking:
     norm_length: int = 90
 
 
-POSTING = "row long, doc_id long, n long, head boolean, term string, tf long"
-_ARROW = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("head", pa.bool_()), ("term", pa.string()), ("tf", pa.int64())])
+POSTING = "term string, row long, tf long, doc_id long"
+_ARROW = pa.schema([("term", pa.string()), ("row", pa.int64()), ("tf", pa.int64()), ("doc_id", pa.int64())])
+#: The bucket of documents' own rows.
+DOCUMENTS = -1
 
 
 def _postings(batches):
-    """Distinct terms of each row with their counts; head marks one posting of each row."""
+    """Distinct terms of each row with their counts, and for each row that has any one without a term, with its id and number of terms."""
     row, part = 0, TaskContext.get().partitionId() << 33
     for batch in batches:
         ids = batch.column("doc_id")
@@ -59,18 +61,14 @@ def _postings(batches):
             keys = pair(spans_hash(data, starts, ends), of.astype(np.uint64))
             kinds, at, tf = np.unique(keys, return_index=True, return_counts=True)
             order = np.argsort(at)
-            at, tf = at[order], tf[order]
-            texts = of[at]
-            n = np.bincount(of, minlength=len(offsets) - 1)[texts]
-            head = np.ones(len(at), bool)
-            head[1:] = texts[1:] != texts[:-1]
-            terms = _gather(data, starts[at], ends[at])
+            at, tf = at[order], tf[order].astype(np.int64)
+            terms, rows = _gather(data, starts[at], ends[at]), of[at] + (first + row + part)
             for i in range(0, len(at), 50_000):
                 cut = slice(i, i + 50_000)
-                rows = texts[cut] + first
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows + (row + part)), ids.take(pa.array(rows)), pa.array(n[cut].astype(np.int64)), pa.array(head[cut]), terms[cut].cast(pa.string()), pa.array(tf[cut].astype(np.int64))], schema=_ARROW
-                )
+                yield pa.RecordBatch.from_arrays([terms[cut].cast(pa.string()), pa.array(rows[cut]), pa.array(tf[cut]), pa.nulls(len(rows[cut]), pa.int64())], schema=_ARROW)
+            n = np.bincount(of, minlength=len(offsets) - 1)
+            some = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(some), pa.string()), pa.array(some + (first + row + part)), pa.array(n[some].astype(np.int64)), ids.take(pa.array(some + first))], schema=_ARROW)
         row += batch.num_rows
 
 
@@ -85,10 +83,10 @@ def bucket(term: Column, ranking: Ranking) -> Column:
 
 
 def index(docs: DataFrame, ranking: Ranking = Ranking()) -> tuple[DataFrame, str]:
-    """All postings, written by term bucket, and where they lie."""
+    """All postings and documents' rows, written by bucket, and where they lie."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).where("text <> ''")
-    found = texts.mapInArrow(_postings, POSTING).withColumn("bucket", bucket(F.col("term"), ranking))
+    found = texts.mapInArrow(_postings, POSTING).withColumn("bucket", F.coalesce(F.when(F.col("term").isNotNull(), bucket(F.col("term"), ranking)), F.lit(DOCUMENTS)))
     path = f"{shared_folder(spark)}/wickworks-postings-{uuid.uuid4().hex}"
     found.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
     return spark.read.schema(found.schema).parquet(path), path
@@ -96,20 +94,22 @@ def index(docs: DataFrame, ranking: Ranking = Ranking()) -> tuple[DataFrame, str
 
 def search(postings: DataFrame, items: DataFrame, ranking: Ranking = Ranking()) -> DataFrame:
     """item_id, rank, doc_id and score of each item's first documents."""
-    N, L = postings.where("head").agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    documents = postings.where(F.col("bucket") == DOCUMENTS).select("row", F.col("doc_id"), F.col("tf").alias("n"))
+    N, L = documents.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     wanted, _ = table(items.select("item_id", F.explode(terms(F.col("text"))).alias("term")).distinct(), "items")
     some = wanted.select("term").distinct()
     buckets = [r[0] for r in some.select(bucket(F.col("term"), ranking).alias("b")).distinct().collect()]  # ranking.buckets at most
-    hits = postings.where(F.col("bucket").isin(buckets)).join(some, "term", "left_semi")
+    hits = postings.where(F.col("bucket").isin(buckets)).select("term", "row", "tf").join(some, "term", "left_semi")
     df = hits.groupBy("term").agg(F.count("*").alias("df"))
     weights, _ = table(df.withColumn("w", F.floor(1000 * F.ln(F.lit(float(2 * N + 2)) / (2 * F.col("df") + 1))).cast("long")).where("w > 0").select("term", "w"), "weights")
     # 90 * n * N can pass 64 bits for a very long text among very many: then it is a decimal.
     most, per = (1 << 62) // max(ranking.norm_length * N, 1), ranking.norm_length
     share = f"CASE WHEN n <= {most}L THEN ({per}L * n * {N}L) div {max(L, 1)}L ELSE (cast({per}L * n AS decimal(20,0)) * cast({N}L AS decimal(18,0))) div cast({max(L, 1)}L AS decimal(20,0)) END"
-    scored = hits.join(weights, "term").withColumn("m", F.lit(ranking.norm_base) + F.expr(share))
-    scored = scored.withColumn("s", F.expr(f"w * ((1000000000L * tf) div ({ranking.k1_1000}L * tf + 8L * m))")).select("row", "doc_id", "term", "s")
-    matches = scored.repartition("row").join(wanted, "term")
-    sums = matches.groupBy("item_id", "row").agg(F.first("doc_id").alias("doc_id"), F.sum("s").alias("score")).where("score > 0")
+    sizes = documents.select("row", "doc_id", (F.lit(ranking.norm_base) + F.expr(share)).alias("m"))
+    # A document's matches meet once, narrow; all joins and sums after that leave them where they are.
+    scored = hits.repartition("row").join(weights, "term").join(sizes, "row")
+    scored = scored.select("row", "doc_id", "term", F.expr(f"w * ((1000000000L * tf) div ({ranking.k1_1000}L * tf + 8L * m))").alias("s"))
+    sums = scored.join(wanted, "term").groupBy("item_id", "row").agg(F.first("doc_id").alias("doc_id"), F.sum("s").alias("score")).where("score > 0")
     order = Window.partitionBy("item_id").orderBy(F.desc("score"), F.asc("doc_id"), F.asc("row"))
     return sums.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= ranking.top).select("item_id", "rank", "doc_id", "score")
 
