@@ -1,4 +1,10 @@
-"""Command line: python -m wickworks.cli features --config FILE, or extract --config FILE."""
+"""Command line: python -m wickworks.cli COMMAND.
+
+features --config FILE                                             features of a candle dataset
+extract --config FILE [--download-only | --process-only]          archives, fetched and made candles of
+daily --input FOLDER --output FOLDER                               daily CSV files of archives
+yearly --input FOLDER --output FOLDER --format csv|parquet|xlsx    yearly files of daily ones
+"""
 
 from __future__ import annotations
 
@@ -9,27 +15,59 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 from wickworks.plans import runs
+from wickworks.sinks import legacy
 from wickworks.sources import config as cf
 
 
+def _arguments(argv: list[str] | None) -> argparse.Namespace:
+    parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
+    commands = parser.add_subparsers(dest="run", required=True)
+    for name in ("features", "extract", "daily", "yearly"):
+        one = commands.add_parser(name)
+        one.add_argument("--overwrite", action="store_true", help="replace files that are there")
+        if name in ("features", "extract"):
+            one.add_argument("--config", type=Path, required=True)
+        else:
+            one.add_argument("--input", required=True)
+            one.add_argument("--output", required=True)
+        if name == "extract":
+            mode = one.add_mutually_exclusive_group()
+            mode.add_argument("--download-only", action="store_true")
+            mode.add_argument("--process-only", action="store_true", help="from archives that are there, without network requests")
+        if name == "yearly":
+            one.add_argument("--format", choices=("csv", "parquet", "xlsx"), default="parquet")
+    return parser.parse_args(argv)
+
+
+def _yearly(spark: SparkSession, args: argparse.Namespace) -> str:
+    mode = "overwrite" if args.overwrite else "ignore"
+    if args.format == "xlsx":
+        return f"{legacy.merge_xlsx(spark, args.input, args.output)} rows"
+    merge = legacy.merge_csv if args.format == "csv" else legacy.merge_years
+    return f"{len(merge(spark, args.input, args.output, mode))} yearly files"
+
+
 def main(argv: list[str] | None = None) -> int:
     """0: done, 1: failed, 2: bad settings, 130: interrupted."""
-    parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("run", choices=("features", "extract"))
-    parser.add_argument("--config", type=Path, required=True)
-    parser.add_argument("--overwrite", action="store_true")
-    args = parser.parse_args(argv)
+    args = _arguments(argv)
     try:
-        settings = cf.load_yaml(args.config)
-        base = args.config.resolve().parent
-        config = cf.feature_config(settings, base) if args.run == "features" else cf.extract_config(settings, base)
+        if args.run in ("features", "extract"):
+            settings, base = cf.load_yaml(args.config), args.config.resolve().parent
+            config = cf.feature_config(settings, base) if args.run == "features" else cf.extract_config(settings, base)
     except (OSError, ValueError) as e:
         print(f"Configuration error: {e}", file=sys.stderr)
         return 2
     spark = SparkSession.builder.appName("wickworks").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     try:
-        done = runs.generate_dataset(spark, config) if args.run == "features" else runs.extract(spark, config, args.overwrite)
-        print(f"done: {done['rows']} rows" if isinstance(done, dict) else "\n".join(f"{r['symbol']}: {r['status']}, {r['rows']} rows" for r in done))
+        if args.run == "features":
+            print(f"done: {runs.generate_dataset(spark, config)['rows']} rows")
+        elif args.run == "extract":
+            for r in runs.run_extractor(spark, config, args.download_only, args.process_only, args.overwrite):
+                print(f"{r['symbol']}: {r['status']}, " + (f"{r['rows']} rows" if "rows" in r else f"{r['archives']} archives"))
+        elif args.run == "daily":
+            print(f"{len(legacy.daily_csv(spark, args.input, args.output, 'overwrite' if args.overwrite else 'ignore'))} daily files")
+        else:
+            print(_yearly(spark, args))
         return 0
     except KeyboardInterrupt:
         return 130

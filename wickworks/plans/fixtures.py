@@ -74,16 +74,27 @@ def trade_cells(ticks_: DataFrame) -> DataFrame:
     return ticks_.select(F.to_date(F.timestamp_seconds(F.col("time_ms") / 1000)).cast("string").alias("day"), F.col("tick_id").alias("order"), F.array(*[F.col(c).cast("string") for c in cells]).alias("cells"))
 
 
-def zipped(rows: DataFrame, folder: str, symbol: str, kind: str, header: Sequence[str] = KLINE) -> list[str]:
+#: Faults of an archive, by the day's number in the month.
+FAULTS = ("sound", "two members", "folder", "link", "name", "empty", "no archive")
+
+
+def zipped(rows: DataFrame, folder: str, symbol: str, kind: str, header: Sequence[str] = KLINE, faulty: bool = False) -> list[str]:
     """Writes one archive a day, as an exchange's server has them, and returns their paths. A day's lines are put together by the task that
-    has the day; the few archives come to the driver to be named."""
+    has the day; the few archives come to the driver to be named. faulty: archives have each of FAULTS in turn."""
 
     def archive(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         name = f"{symbol}-{kind}-{key[0]}"
         text = "\n".join([",".join(header), *(",".join(c) for c in frame.sort_values("order")["cells"])]) + "\n"
         out = io.BytesIO()
+        fault = FAULTS[int(key[0][-2:]) % len(FAULTS)] if faulty else "sound"
+        member = zipfile.ZipInfo({"folder": f"{name}.csv/", "name": "other.csv"}.get(fault, f"{name}.csv"))
+        member.external_attr = (0o120777 if fault == "link" else 0o100644) << 16
         with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-            z.writestr(f"{name}.csv", text)
+            z.writestr(member, "" if fault in ("folder", "empty") else text)
+            if fault == "two members":
+                z.writestr("more.csv", text)
+        if fault == "no archive":
+            out = io.BytesIO(out.getvalue()[:10])
         return pd.DataFrame({"name": [f"{name}.zip"], "content": [out.getvalue()]})
 
     store, paths = Store(rows.sparkSession, folder), []

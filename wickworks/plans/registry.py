@@ -500,6 +500,14 @@ def archive_manifest(spark, sf_dir):
     return manifest.verify(planned, at).select("symbol", "dataset", F.col("day").cast("string").alias("day"), "path", "status")
 
 
+@query(f"""WITH {fx.WHOLE_DAYS}, d AS (SELECT DISTINCT make_timestamp(open_ms * 1000)::DATE AS day FROM days)
+SELECT 'ABC-1h-' || strftime(day, '%Y-%m-%d') || '.zip' AS file, CASE day(day) % 7 WHEN 1 THEN '2 members' WHEN 2 THEN 'a folder' WHEN 3 THEN 'a symbolic link' WHEN 4 THEN 'another name' WHEN 5 THEN 'empty' WHEN 6 THEN 'no archive' END AS fault FROM d""")
+def archive_faults(spark, sf_dir):
+    """Daily archives of which most are faulty, found by the tasks that read them, before anything is unpacked."""
+    paths = fx.zipped(fx.kline_cells(fx.whole_days(spark, sf_dir)), scratch.folder(spark, "faulty"), "ABC", "1h", faulty=True)
+    return archives.faults(spark, paths)
+
+
 def _odd(k: int) -> str:
     return f"event_id % 13 = {k}"
 

@@ -12,7 +12,7 @@ from wickworks.functions.catalogue import NAMES
 from wickworks.operators import candles as cd
 from wickworks.operators import chunked, features, names, quality, segments, ticks
 from wickworks.sinks import publish
-from wickworks.sources import archives, tables
+from wickworks.sources import archives, fetch, manifest, tables
 from wickworks.sources.config import ExtractConfig, FeatureConfig
 
 
@@ -66,6 +66,27 @@ def generate_dataset(spark: SparkSession, config: FeatureConfig, shard_ms: int |
     return json.loads(publish.Store(spark, config.output).read_text(f"{config.output.rstrip('/')}/summary.json"))
 
 
+def download(spark: SparkSession, config: ExtractConfig) -> list[dict]:
+    """Fetches the archives of every symbol and dataset from base_url into raw_folder; one manifest a symbol, as JSON beside its archives."""
+    if not config.base_url:
+        raise ValueError("a download needs the setting base_url")
+    out = []
+    for symbol in config.symbols:
+        planned = manifest.plan(spark, config.market, [symbol], config.interval, config.start_date, config.end_date, config.datasets)
+        at = f"{config.raw_folder}/{config.market}/{symbol}/{symbol}-{config.interval}-{config.start_date}-{config.end_date}.manifest.json"
+        done = fetch.fetch(spark, planned, config.base_url, config.raw_folder, at, config.download_workers, config.download_retries + 1)
+        out.append({"symbol": symbol, "status": done["status"], "archives": done["expected_objects"], "downloaded": done["downloaded"], "skipped": done["skipped"], "manifest": at})
+    return out
+
+
+def run_extractor(spark: SparkSession, config: ExtractConfig, download_only: bool = False, process_only: bool = False, overwrite: bool = False) -> list[dict]:
+    """Downloads and processes, or one of the two; processing alone makes no network request."""
+    if download_only and process_only:
+        raise ValueError("download_only and process_only exclude each other")
+    done = [] if process_only else download(spark, config)
+    return done if download_only else extract(spark, config, overwrite)
+
+
 def extract(spark: SparkSession, config: ExtractConfig, overwrite: bool = False) -> list[dict]:
     """Candles, or hourly candles with trades, of local archives; one file and one report a symbol."""
     out, mode = [], "overwrite" if overwrite else "error"

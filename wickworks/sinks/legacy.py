@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wickworks.operators import candles as cd
-from wickworks.sinks.publish import Store, many_files
+from wickworks.sinks.publish import Store, many_files, parquet
 from wickworks.sources import archives
 
 _NAME = r"([A-Za-z0-9_]+)-([A-Za-z0-9]+)-([0-9]{4})-([0-9]{2})-([0-9]{2})\.csv"
@@ -75,25 +75,46 @@ def read_daily(spark: SparkSession, folder: str) -> DataFrame:
     return first.drop("__path", "__block", "__line")
 
 
+_NUMBERS = ("open", "high", "low", "close", "volume", "quote_volume", "taker_buy_volume", "taker_buy_quote_volume", "ignore")
+_GROUP = ("file_coin", "file_interval", "file_year")
+
+
+def _typed(daily: DataFrame) -> DataFrame:
+    typed = {c: F.col(c).cast("double") for c in _NUMBERS if c in daily.columns} | {"count": F.col("count").cast("long"), "date": F.to_date("date")}
+    return daily.withColumns({k: v for k, v in typed.items() if k in daily.columns})
+
+
 def yearly(spark: SparkSession, folder: str) -> DataFrame:
     """All daily rows with typed numbers, the date as a date, by (coin, interval, year), date and open time."""
-    daily = read_daily(spark, folder)
-    numbers = ("open", "high", "low", "close", "volume", "quote_volume", "taker_buy_volume", "taker_buy_quote_volume", "ignore")
-    typed = {c: F.col(c).cast("double") for c in numbers if c in daily.columns} | {"count": F.col("count").cast("long"), "date": F.to_date("date")}
-    return daily.withColumns(typed).orderBy("file_coin", "file_interval", "file_year", "date", "open_time")
+    return _typed(read_daily(spark, folder)).orderBy(*_GROUP, "date", "open_time")
 
 
 def merge_parquet(spark: SparkSession, folder: str, target: str) -> None:
     """Yearly Parquet, partitioned by coin, interval and year and sorted inside."""
-    keys = ["file_coin", "file_interval", "file_year"]
-    yearly(spark, folder).repartition(*keys).sortWithinPartitions(*keys, "date", "open_time").write.mode("overwrite").partitionBy(*keys).parquet(target)
+    yearly(spark, folder).repartition(*_GROUP).sortWithinPartitions(*_GROUP, "date", "open_time").write.mode("overwrite").partitionBy(*_GROUP).parquet(target)
+
+
+def merge_csv(spark: SparkSession, folder: str, target: str, mode: str = "overwrite") -> list[str]:
+    """One CSV a (coin, interval, year): the files' header and their lines in the order of paths, values untouched. Yearly files that are
+    there stay under mode ignore."""
+    place = ["__path", "__block", "__line"]
+    name = F.concat(F.concat_ws("-", *_GROUP), F.lit(".csv"))
+    written = [n for rows in by_header(spark, folder) for n in many_files(rows.withColumn("__file", name).drop(*_GROUP), "__file", target, place, mode, hidden=place)]
+    return sorted(written)
 
 
-def merge_csv(spark: SparkSession, folder: str, target: str) -> list[str]:
-    """One CSV a (coin, interval, year): the files' header and their lines in the order of paths, values untouched."""
-    place, group = ["__path", "__block", "__line"], ["file_coin", "file_interval", "file_year"]
-    name = F.concat(F.concat_ws("-", *group), F.lit(".csv"))
-    written = [n for rows in by_header(spark, folder) for n in many_files(rows.withColumn("__file", name).drop(*group), "__file", target, place, hidden=place)]
+def merge_years(spark: SparkSession, folder: str, target: str, mode: str = "ignore") -> list[str]:
+    """One typed Parquet file a (coin, interval, year), with the daily files' columns, by date and open time. Files that are there stay under
+    mode ignore; each is published with its own commit."""
+    written, store = [], Store(spark, target)
+    for rows in by_header(spark, folder):
+        typed = _typed(rows.drop("__path", "__block", "__line"))
+        for r in typed.select(*_GROUP).distinct().orderBy(*_GROUP).collect():  # a file each
+            name = "-".join(r) + ".parquet"
+            mine = typed.where((F.col("file_coin") == r[0]) & (F.col("file_interval") == r[1]) & (F.col("file_year") == r[2])).drop(*_GROUP)
+            if mode == "overwrite" or not store.exists(f"{target}/{name}"):
+                parquet(mine, f"{target}/{name}", ["date", "open_time"], mode)
+            written.append(name)
     return sorted(written)
 
 

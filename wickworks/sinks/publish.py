@@ -201,7 +201,12 @@ def many_files(df: DataFrame, name: str, folder: str, order: Sequence[str], mode
 
 def candles_parquet(df: DataFrame, target: str, mode: str = "error", report=None) -> bool:
     """One zstd Parquet file of candles by open time; False if the target was there and mode is ignore."""
-    return _one_file(df, ["open_time"], target, mode, report, lambda d, at: d.write.options(**PARQUET).parquet(at))
+    return parquet(df, target, ["open_time"], mode, report)
+
+
+def parquet(df: DataFrame, target: str, order: Sequence[str], mode: str = "error", report=None) -> bool:
+    """One zstd Parquet file, ordered."""
+    return _one_file(df, order, target, mode, report, lambda d, at: d.write.options(**PARQUET).parquet(at))
 
 
 def text_csv(df: DataFrame, target: str, order: Sequence[str], mode: str = "error", report=None) -> bool:

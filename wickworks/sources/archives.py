@@ -51,14 +51,51 @@ def _is_header(cells: Sequence[str], columns: Sequence[str], mode: str, path: st
     return True
 
 
+def member_fault(archive: zipfile.ZipFile, expected: str) -> str | None:
+    """What keeps an archive's directory from being that of one plain file of the expected name, before anything is unpacked."""
+    members = archive.infolist()
+    if len(members) != 1:
+        return f"{len(members)} members"
+    m = members[0]
+    if m.is_dir():
+        return "a folder"
+    if m.external_attr >> 16 & 0o170000 == 0o120000:
+        return "a symbolic link"
+    if m.flag_bits & 1:
+        return "encrypted"
+    if m.filename != expected:
+        return "another name"
+    return None if m.file_size else "empty"
+
+
+def faults(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(file, fault) of archives, checked by the tasks that read them; fault is null for a sound one."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.zip").load(paths if isinstance(paths, str) else list(paths))
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            names, found = [p.as_py().rsplit("/", 1)[-1] for p in b.column("path")], []
+            for name, content in zip(names, b.column("content"), strict=True):
+                try:
+                    with zipfile.ZipFile(io.BytesIO(content.as_py())) as archive:
+                        found.append(member_fault(archive, name.rsplit(".", 1)[0] + ".csv"))
+                except (zipfile.BadZipFile, EOFError):
+                    found.append("no archive")
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(found, pa.string())], ["file", "fault"])
+
+    return files.select("path", "content").mapInArrow(check, "file string, fault string")
+
+
 def _lines(path: str, content: bytes, columns: Sequence[str], header: str, exact_member: bool) -> Iterator[tuple[int, list[str]]]:
     stem = path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        members = [m for m in archive.infolist() if not m.is_dir()]
-        if not exact_member:
-            members = [m for m in members if m.filename.lower().endswith(".csv")]
-        if len(members) != 1 or exact_member and members[0].filename != f"{stem}.csv" or members[0].flag_bits & 1:
-            raise ValueError(f"{path}: expected one plain member {stem}.csv")
+        if exact_member:
+            members, fault = archive.infolist(), member_fault(archive, f"{stem}.csv")
+        else:
+            members = [m for m in archive.infolist() if not m.is_dir() and m.filename.lower().endswith(".csv")]
+            fault = None if len(members) == 1 and not members[0].flag_bits & 1 else f"{len(members)} members"
+        if fault:
+            raise ValueError(f"{path}: expected one plain member {stem}.csv, found {fault}")
         with archive.open(members[0]) as raw:
             n = 0
             for n, cells in enumerate(csv.reader(io.TextIOWrapper(raw, encoding="utf-8-sig", newline="")), 1):

@@ -42,6 +42,7 @@ class ExtractConfig:
     download_workers: int = 4
     download_retries: int = 3
     trade_chunksize: int = 250_000
+    base_url: str = ""
 
 
 def load_yaml(path: str | Path) -> dict:
@@ -146,4 +147,7 @@ def extract_config(settings: dict, base: str | Path = ".", today: date | None =
             raise ConfigError(f"{name} must be a whole number of at least 1" + " and at most 4" * (name == "download_workers"))
         numbers[name] = value
     folders = {k: _path(settings.get(k, d), Path(base), k) for k, d in (("raw_folder", "data/raw"), ("preprocessed_folder", "data/pre_processed"))}
-    return ExtractConfig(symbols, settings["interval"], days["start_date"], days["end_date"], settings["output_format"], datasets=tuple(datasets), **folders, **numbers)
+    base_url = settings.get("base_url", "")
+    if not isinstance(base_url, str) or base_url and not re.match("https?://", base_url):
+        raise ConfigError("base_url must be an http address")
+    return ExtractConfig(symbols, settings["interval"], days["start_date"], days["end_date"], settings["output_format"], datasets=tuple(datasets), base_url=base_url, **folders, **numbers)
