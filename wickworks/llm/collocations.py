@@ -5,7 +5,7 @@ of k words is counted only if its bucket reached the support in the pass before
 words in it were frequent (Apriori). Both tests read bitmaps of `buckets` bits, which is all that is broadcast, however large the corpus:
 bits that several phrases share let more phrases be counted, never fewer, and the exact counts decide. Nothing is pruned that is frequent.
 
-Within a task numpy counts blocks of about 1 MB of text by a 64-bit hash of language and phrase (phrases of one task that share all 64
+Within a task numpy counts blocks of about 256 kB of text by a 64-bit hash of language and phrase (phrases of one task that share all 64
 bits would be counted as one); distinct phrases are put out whenever more than `held` are waiting. Bucket counts leave a task once, as the
 filled buckets of each run of 65,536, cut off at the support, and are summed run by run as they stream by. Spark sums the exact counts by
 language and phrase, joins each cut's parts by a salted key, and ranks within salts before it ranks within a language.
@@ -44,14 +44,15 @@ class Mining:
 
 
 RUN = 1 << 16
+SLICE, BLOCK = 512, 1 << 18  # rows and bytes looked at together
 PIECE_END = np.zeros(256, bool)
 PIECE_END[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 WORD = ~PIECE_END
 WORD[[0x20, 0x09]] = False
 SMALL = np.arange(256, dtype=np.uint8)
 SMALL[65:91] += 32
-SCHEMA = "lang string, phrase string, bucket int, n long, run int, at binary, counts binary"
-_ARROW = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("bucket", pa.int32()), ("n", pa.int64()), ("run", pa.int32()), ("at", pa.binary()), ("counts", pa.binary())])
+SCHEMA = "lang string, phrase string, n long, run int, at binary, counts binary"
+_ARROW = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64()), ("run", pa.int32()), ("at", pa.binary()), ("counts", pa.binary())])
 
 
 def _gather(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -66,14 +67,22 @@ def _lang_hash(lang: str) -> int:
     return int.from_bytes(blake2b(lang.encode(), digest_size=8).digest(), "little")
 
 
+def _keys(words: np.ndarray, salts: np.ndarray, longest: int) -> list[np.ndarray]:
+    """By length, the key of the phrase of that many words that starts at each place."""
+    keys = [pair(words, salts)]
+    for size in range(1, longest):
+        keys.append(pair(keys[-1][:-1], words[size:], size))
+    return keys
+
+
 class _Waiting:
-    """Counts of distinct phrases of a task: merged when many wait, put out when many are distinct."""
+    """Counts of distinct phrases of a task: merged when many wait, put out when many are distinct. langs are numbers of names."""
 
-    def __init__(self, held: int, buckets: int):
-        self.held, self.buckets, self.parts, self.size = held, buckets, [], 0
+    def __init__(self, held: int):
+        self.held, self.parts, self.size, self.names = held, [], 0, {}
 
     def add(self, keys, counts, langs, phrases) -> Iterator[pa.RecordBatch]:
-        self.parts.append((keys, counts, langs, phrases))
+        self.parts.append((keys, counts, langs, phrases.cast(pa.string())))
         self.size += len(keys)
         if self.size > self.held:
             self.merge()
@@ -81,21 +90,22 @@ class _Waiting:
                 yield from self.out()
 
     def merge(self) -> None:
-        keys, counts = (np.concatenate([p[i] for p in self.parts]) for i in (0, 1))
-        langs, phrases = (pa.chunked_array([p[i] for p in self.parts]) for i in (2, 3))
+        keys, counts, langs = (np.concatenate([p[i] for p in self.parts]) for i in (0, 1, 2))
+        phrases = pa.chunked_array([p[3] for p in self.parts])
+        self.parts = []
         kinds, first, of = np.unique(keys, return_index=True, return_inverse=True)
         counts = np.bincount(of, weights=counts, minlength=len(kinds)).astype(np.int64)
-        self.parts, self.size = [(kinds, counts, langs.take(first).combine_chunks(), phrases.take(first).combine_chunks())], len(kinds)
+        self.parts, self.size = [(kinds, counts, langs[first], phrases.take(first).combine_chunks())], len(kinds)
 
     def out(self) -> Iterator[pa.RecordBatch]:
         if self.size:
             self.merge()
             (keys, counts, langs, phrases), self.parts, self.size = self.parts[0], [], 0
-            bucket = (keys & np.uint64(self.buckets - 1)).astype(np.int32)
+            names = pa.array(list(self.names), pa.string())
             for i in range(0, len(keys), 50_000):
                 part = slice(i, i + 50_000)
                 n = len(keys[part])
-                yield pa.RecordBatch.from_arrays([langs[part], phrases[part].cast(pa.string()), pa.array(bucket[part]), pa.array(counts[part]), *(pa.nulls(n, f.type) for f in list(_ARROW)[4:])], schema=_ARROW)
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(langs[part])), phrases[part], pa.array(counts[part]), *(pa.nulls(n, f.type) for f in list(_ARROW)[3:])], schema=_ARROW)
 
 
 def _sparse(totals: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -104,7 +114,7 @@ def _sparse(totals: np.ndarray) -> Iterator[pa.RecordBatch]:
         counts = totals[run * RUN : (run + 1) * RUN]
         at = np.flatnonzero(counts)
         if len(at):
-            row = [None, None, None, None, run, at.astype(np.uint16).tobytes(), counts[at].tobytes()]
+            row = [None, None, None, run, at.astype(np.uint16).tobytes(), counts[at].tobytes()]
             yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _ARROW)], schema=_ARROW)
 
 
@@ -120,12 +130,13 @@ def _counter(k: int, mining: Mining, filters):
     def count(batches):
         next_totals = np.zeros(mining.buckets, kind) if k < mining.longest else None
         hashed, common = filters.value if filters is not None else (None, None)
-        waiting, lang_hashes = _Waiting(mining.held, mining.buckets), {}
-        for batch in batches:
+        waiting, lang_hashes = _Waiting(mining.held), {}
+        for batch in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
             langs = batch.column("lang").dictionary_encode()
+            numbers = np.array([waiting.names.setdefault(v, len(waiting.names)) for v in langs.dictionary.to_pylist()], np.int32)
             salts = np.array([lang_hashes.setdefault(v, _lang_hash(v)) for v in langs.dictionary.to_pylist()], np.uint64)
             lang_of = langs.indices.to_numpy()
-            for row, data, offsets in blocks(batch.column("text")):
+            for row, data, offsets in blocks(batch.column("text"), BLOCK):
                 data = SMALL[data]
                 starts, ends = runs(WORD[data], offsets)
                 if not len(starts):
@@ -134,11 +145,10 @@ def _counter(k: int, mining: Mining, filters):
                 piece = np.cumsum(PIECE_END[data])[starts]
                 joined = (piece[1:] == piece[:-1]) & (of[1:] == of[:-1])
                 words = spans_hash(data, starts, ends)
-                keys = [pair(words, salts[lang_of[row + of]])]  # by length of phrase; one key for each place where it may start
+                keys = _keys(words, salts[lang_of[row + of]], min(k + 1, mining.longest))
                 fits = [np.ones(len(words), bool)]
-                for size in range(1, min(k + 1, mining.longest)):
+                for size in range(1, len(keys)):
                     fits.append(fits[-1][:-1] & joined[size - 1 :])
-                    keys.append(pair(keys[-1][:-1], words[size:], size))
                 here = fits[k - 1]
                 if k > 1:
                     shorter = passes(keys[k - 2], common)
@@ -148,7 +158,7 @@ def _counter(k: int, mining: Mining, filters):
                     kinds, first, n = np.unique(keys[k - 1][at], return_index=True, return_counts=True)
                     first = at[first]
                     phrase = pc.binary_join_element_wise(*(_gather(data, starts[first + i], ends[first + i]) for i in range(k)), pa.scalar(" ", pa.large_string()))
-                    yield from waiting.add(kinds, n, langs.dictionary.take(pa.array(lang_of[row + of[first]])), phrase)
+                    yield from waiting.add(kinds, n, numbers[lang_of[row + of[first]]], phrase)
                 if next_totals is not None:
                     longer = fits[k] & here[:-1] & here[1:]
                     buckets, n = np.unique((keys[k][longer] & mask).astype(np.int64), return_counts=True)
@@ -191,9 +201,25 @@ def _hashed_bitmap(raw: DataFrame, mining: Mining) -> np.ndarray:
     return bits
 
 
-def _common_bitmap(frequent: DataFrame, mining: Mining) -> np.ndarray:
-    """The bitmap of the buckets that hold a frequent phrase."""
-    cells = frequent.groupBy(F.floor(F.col("bucket") / 64).cast("int").alias("cell")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bucket") % 64)).alias("bits"))
+def _bucket_of(k: int, mining: Mining):
+    """The bucket of each (lang, phrase of k words), as a pass counts it."""
+
+    def hashed(batches):
+        for batch in batches:
+            salts = np.array([_lang_hash(v) for v in batch.column("lang").to_pylist()], np.uint64)
+            for row, data, offsets in blocks(batch.column("phrase")):
+                starts, ends = runs(WORD[data], offsets)
+                words, of = spans_hash(data, starts, ends), texts_of(offsets, starts)
+                first = np.searchsorted(of, np.arange(len(offsets) - 1))
+                buckets = _keys(words, salts[row + of], k)[k - 1][first] & np.uint64(mining.buckets - 1)
+                yield pa.RecordBatch.from_pydict({"bucket": pa.array(buckets.astype(np.int32))})
+
+    return hashed
+
+
+def _common_bitmap(frequent: DataFrame, k: int, mining: Mining) -> np.ndarray:
+    """The bitmap of the buckets that hold a frequent phrase of k words."""
+    cells = frequent.select("lang", "phrase").mapInArrow(_bucket_of(k, mining), "bucket int").groupBy(F.floor(F.col("bucket") / 64).cast("int").alias("cell")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bucket") % 64)).alias("bits"))
     found, bits = cells.toArrow(), np.zeros(mining.buckets // 64, np.int64)  # buckets / 64 cells at most
     bits[found["cell"].to_numpy()] = found["bits"].to_numpy()
     return bits.view(np.uint8)
@@ -208,12 +234,12 @@ def frequent(docs: DataFrame, mining: Mining = Mining()) -> tuple[DataFrame, Dat
         raw, at = table(texts.mapInArrow(_counter(k, mining, filters), SCHEMA), f"phrases{k}")
         if filters is not None:
             filters.unpersist()
-        counted = raw.where("run is null").groupBy("lang", "phrase").agg(F.sum("n").alias("a"), F.first("bucket").alias("bucket"))
+        counted = raw.where("run is null").groupBy("lang", "phrase").agg(F.sum("n").alias("a"))
         common, _ = table(counted.where(F.col("a") >= mining.support), f"frequent{k}")
         if k == 1:
             words, _ = table(raw.where("run is null").groupBy("lang").agg(F.sum("n").alias("n")), "words")
         if k < mining.longest:
-            filters = spark.sparkContext.broadcast((_hashed_bitmap(raw, mining), _common_bitmap(common, mining)))
+            filters = spark.sparkContext.broadcast((_hashed_bitmap(raw, mining), _common_bitmap(common, k, mining)))
         drop_table(spark, at)
         out.append(common.select("lang", F.lit(k).alias("size"), "phrase", "a"))
     phrases = out[0]
@@ -227,12 +253,13 @@ def mine(docs: DataFrame, mining: Mining = Mining()) -> DataFrame:
     phrases, words = frequent(docs, mining)
     candidates = phrases.where("size > 1")
     part = lambda first, n: F.array_join(F.slice(F.split("phrase", " "), first, n), " ")
-    # Both parts of every cut, with their counts: a word may be a part of very many phrases, so the key has a salt.
-    salt = F.pmod(F.xxhash64("phrase"), F.lit(mining.salts)).cast("int")
-    cuts = candidates.withColumn("cut", F.explode(F.sequence(F.lit(1), F.col("size") - 1))).withColumn("salt", salt)
+    # Both parts of every cut, with their counts: a word may be a part of very many phrases, so its key has a salt.
+    cuts = candidates.withColumn("cut", F.explode(F.sequence(F.lit(1), F.col("size") - 1)))
     cuts = cuts.withColumn("left", part(F.lit(1), F.col("cut"))).withColumn("right", part(F.col("cut") + 1, F.col("size") - F.col("cut")))
-    parts = phrases.where(F.col("size") < mining.longest).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(mining.salts - 1))))
-    for side, count in (("left", "l"), ("right", "r")):
+    copies = F.when(F.col("size") == 1, F.sequence(F.lit(0), F.lit(mining.salts - 1))).otherwise(F.array(F.lit(0)))
+    parts = phrases.where(F.col("size") < mining.longest).withColumn("salt", F.explode(copies))
+    for side, count, words_in in (("left", "l", F.col("cut")), ("right", "r", F.col("size") - F.col("cut"))):
+        cuts = cuts.withColumn("salt", F.when(words_in == 1, F.pmod(F.xxhash64("phrase"), F.lit(mining.salts)).cast("int")).otherwise(0))
         cuts = cuts.join(parts.select("lang", "salt", F.col("phrase").alias(side), F.col("a").alias(count)), ["lang", "salt", side])
     # Products of two counts, times a million, are within 38 digits up to counts of 10^16; the quotient is a million at most.
     wide = lambda c: F.col(c).cast("decimal(16,0)")

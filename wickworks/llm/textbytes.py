@@ -44,8 +44,8 @@ def pair(a: np.ndarray, b: np.ndarray, salt: int = 0) -> np.ndarray:
         return mix(a * np.uint64(0xD6E8FEB86659FD93) + b, salt)
 
 
-def blocks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, offsets) of runs of rows with about BLOCK_BYTES; nulls are empty texts; a longer text is a run alone."""
+def blocks(texts: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, offsets) of runs of rows with about size bytes; nulls are empty texts; a longer text is a run alone."""
     texts = texts.cast(pa.large_string()).fill_null("")
     if not len(texts):
         return
@@ -54,7 +54,7 @@ def blocks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     row = 0
     while row < len(texts):
-        end = max(row + 1, int(np.searchsorted(at, at[row] + BLOCK_BYTES, "right")) - 1)
+        end = max(row + 1, int(np.searchsorted(at, at[row] + size, "right")) - 1)
         end = min(end, len(texts))
         yield row, data[at[row] : at[end]], at[row : end + 1] - at[row]
         row = end
