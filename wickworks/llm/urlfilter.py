@@ -5,7 +5,10 @@ fitting rule decides. Pages without a fitting rule take the decision of their al
 make edges between addresses, distributed connected components join them, and a component with an explicitly allowed address is
 allowed, one with a blocked and no allowed address is blocked, any other is allowed.
 
-An address's node is its host and path without a last slash and its query, without fragment and scheme, as a 64-bit hash (at 10^10
+A page's first canonical link and first refresh count; a link is resolved against the page's address as a relative reference (dot segments,
+query-only and fragment-only links included; a page's base element and entities but &amp; are not looked at).
+
+An address's node is its host and path without dot segments and a last slash and its query, without fragment and scheme, as a 64-bit hash (at 10^10
 addresses some three pairs would share one). A node has the decisions of all addresses of pages and links that it stands for, so an
 address that redirects to itself with a slash, or links to one that differs by a slash from a page's, takes that page's. Null urls and urls without :// have empty host and path, fit no rule, make no edges and
 are allowed; null or empty html makes no edges. Repeated rows are judged alike.
@@ -36,10 +39,10 @@ RULES = (
     Rule("block", "org", "/es/"),
 )
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-CANONICAL = r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
-REFRESH = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
-HREF = r"""(?is)\bhref\s*=\s*["']?([^"'\s>]+)"""
-GOTO = r"""(?is)\burl\s*=\s*["']?([^"'\s>]+)"""
+CANONICAL = r"""(?is)<link\s(?:[^>]*[\s"'])?rel\s*=\s*["']?canonical\b[^>]*>"""
+REFRESH = r"""(?is)<meta\s(?:[^>]*[\s"'])?http-equiv\s*=\s*["']?refresh\b[^>]*>"""
+HREF = r"""(?is)[\s"']href\s*=\s*["']?([^"'\s>]+)"""
+GOTO = r"""(?is)[\s"';,]url\s*=\s*["']?([^"'\s>]+)"""
 
 
 def _rest(url: Column) -> Column:
@@ -55,11 +58,24 @@ def path(url: Column) -> Column:
     return F.regexp_extract(_rest(url), "^[^/?#]*([^?#]*)", 1)
 
 
+def without_dots(path: Column) -> Column:
+    """A path without its segments . and .., as a link's target is resolved."""
+
+    def add(acc: Column, segment: Column) -> Column:
+        return F.when(segment == ".", acc).when(segment == "..", F.regexp_replace(acc, "/[^/]*$", "")).otherwise(F.concat(acc, F.lit("/"), segment))
+
+    segments = F.split(F.substr(path, F.lit(2)), "/")
+    kept = F.concat(F.aggregate(segments, F.lit(""), add), F.when(path.rlike(r"/\.\.?$"), F.lit("/")).otherwise(F.lit("")))
+    return F.when(path.rlike(r"^/(?:.*/)?\.\.?(?:/|$)"), kept).otherwise(path)
+
+
+def query(url: Column) -> Column:
+    return F.regexp_extract(_rest(url), r"^[^?#]*(\?[^#]*)", 1)
+
+
 def node(url: Column) -> Column:
-    """The 64-bit hash of an address without scheme, fragment and last slash; null for no address."""
-    rest = _rest(url)
-    query = F.regexp_extract(rest, r"^[^?#]*(\?[^#]*)", 1)
-    return F.when(host(url) != "", F.xxhash64(F.concat(host(url), F.regexp_replace(path(url), "/$", ""), query)))
+    """The 64-bit hash of an address without scheme, fragment, dot segments and last slash; null for no address."""
+    return F.when(host(url) != "", F.xxhash64(F.concat(host(url), F.regexp_replace(without_dots(path(url)), "/$", ""), query(url))))
 
 
 def ruled(url: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -72,12 +88,16 @@ def ruled(url: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 
 
 def absolute(url: Column, link: Column) -> Column:
-    """A link of a page as an address."""
+    """A link of a page as an address: a reference resolved against the page's own address, dot segments removed."""
     link = F.regexp_replace(link, "&amp;", "&")
     scheme, site = F.substring_index(url, "://", 1), F.regexp_extract(url, "^([^:]*://[^/?#]*)", 1)
-    folder = F.regexp_extract(url, r"^([^:]*://[^/?#]*(?:/[^?#]*)?)", 1)
-    folder = F.when(F.contains(F.substring_index(folder, "://", -1), F.lit("/")), F.regexp_replace(folder, "[^/]*$", "")).otherwise(F.concat(folder, F.lit("/")))
-    return F.when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), link).when(F.startswith(link, F.lit("//")), F.concat(scheme, F.lit(":"), link)).when(F.startswith(link, F.lit("/")), F.concat(site, link)).otherwise(F.concat(folder, link))
+    own = F.when(path(url) == "", F.lit("/")).otherwise(path(url))
+    folder = F.regexp_replace(own, "[^/]*$", "")
+    whole = (
+        F.when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), link).when(F.startswith(link, F.lit("//")), F.concat(scheme, F.lit(":"), link)).when(F.startswith(link, F.lit("/")), F.concat(site, link))
+        .when(F.startswith(link, F.lit("?")), F.concat(site, own, link)).when(F.startswith(link, F.lit("#")), F.concat(site, own, query(url))).otherwise(F.concat(site, folder, link))
+    )
+    return F.when(F.contains(whole, F.lit("://")), F.concat(F.regexp_extract(whole, "^([^:]*://[^/?#]*)", 1), without_dots(path(whole)), query(whole))).otherwise(whole)
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -113,19 +133,27 @@ def _case(pick: int) -> str:
     return re.sub(r"\{([^|}]*)\|([^}]*)\}", lambda m: f"'{m[pick]}'", _FITS)
 
 
+def _dots(path: str) -> str:
+    """without_dots() in DuckDB SQL."""
+    kept = f"list_reduce(list_prepend('', string_split({path}[2:], '/')), lambda acc, x: CASE x WHEN '.' THEN acc WHEN '..' THEN regexp_replace(acc, '/[^/]*$', '') ELSE acc || '/' || x END)"
+    return f"(CASE WHEN regexp_matches({path}, '^/(?:.*/)?\\.\\.?(?:/|$)') THEN {kept} || CASE WHEN regexp_matches({path}, '/\\.\\.?$') THEN '/' ELSE '' END ELSE {path} END)"
+
+
 #: judge() in DuckDB SQL over the default rules; components by a recursive walk.
 JUDGE_SQL = rf"""
 WITH RECURSIVE parsed_ AS (SELECT page_id, url, html, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 links_ AS (SELECT page_id, url, unnest([
-  regexp_extract(regexp_extract(coalesce(html, ''), '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1),
-  regexp_extract(regexp_extract(coalesce(html, ''), '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1)]) AS link FROM parsed_ WHERE strpos(url, '://') > 0),
-whole_ AS (SELECT url, replace(link, '&amp;', '&') AS link, split_part(url, '://', 1) AS scheme, regexp_extract(url, '^([^:]*://[^/?#]*)', 1) AS site, regexp_extract(url, '^([^:]*://[^/?#]*(?:/[^?#]*)?)', 1) AS page FROM links_ WHERE link <> ''),
-to_ AS (SELECT url, CASE WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link WHEN starts_with(link, '//') THEN scheme || ':' || link WHEN starts_with(link, '/') THEN site || link
-  WHEN page = site THEN page || '/' || link ELSE regexp_replace(page, '[^/]*$', '') || link END AS target FROM whole_),
+  regexp_extract(regexp_extract(coalesce(html, ''), '(?is)<link\s(?:[^>]*[\s"''])?rel\s*=\s*["'']?canonical\b[^>]*>'), '(?is)[\s"'']href\s*=\s*["'']?([^"''\s>]+)', 1),
+  regexp_extract(regexp_extract(coalesce(html, ''), '(?is)<meta\s(?:[^>]*[\s"''])?http-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?is)[\s"'';,]url\s*=\s*["'']?([^"''\s>]+)', 1)]) AS link FROM parsed_ WHERE strpos(url, '://') > 0),
+whole_ AS (SELECT url, replace(link, '&amp;', '&') AS link, split_part(url, '://', 1) AS scheme, regexp_extract(url, '^([^:]*://[^/?#]*)', 1) AS site, regexp_extract(url, '^[^:]*://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(url, '^[^?#]*(\?[^#]*)', 1) AS query FROM links_ WHERE link <> ''),
+joined_ AS (SELECT url, CASE WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN link WHEN link[1:2] = '//' THEN scheme || ':' || link WHEN link[1] = '/' THEN site || link WHEN link[1] = '?' THEN site || coalesce(nullif(path, ''), '/') || link
+  WHEN link[1] = '#' THEN site || coalesce(nullif(path, ''), '/') || query ELSE site || regexp_replace(coalesce(nullif(path, ''), '/'), '[^/]*$', '') || link END AS t FROM whole_),
+cut_ AS (SELECT url, t, regexp_extract(t, '^([^:]*://[^/?#]*)', 1) AS site, regexp_extract(t, '^[^:]*://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(t, '^[^:]*://[^?#]*(\?[^#]*)', 1) AS query FROM joined_),
+to_ AS (SELECT url, CASE WHEN strpos(t, '://') = 0 THEN t ELSE site || {_dots("path")} || query END AS target FROM cut_),
 urls_ AS (SELECT url FROM parsed_ WHERE url IS NOT NULL UNION SELECT target FROM to_),
 rests_ AS (SELECT url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM urls_),
 known_ AS (SELECT url, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^?#]*(\?[^#]*)', 1) AS query FROM rests_),
-nodes_ AS (SELECT url, host, path, CASE WHEN host <> '' THEN host || regexp_replace(path, '/$', '') || query END AS node, {_case(2)} AS rule, {_case(1)} AS own FROM known_),
+nodes_ AS (SELECT url, host, path, CASE WHEN host <> '' THEN host || regexp_replace({_dots("path")}, '/$', '') || query END AS node, {_case(2)} AS rule, {_case(1)} AS own FROM known_),
 edges_ AS (SELECT a.node AS src, b.node AS dst FROM to_ t JOIN nodes_ a ON t.url = a.url JOIN nodes_ b ON t.target = b.url WHERE a.node <> b.node),
 both_ AS (SELECT src, dst FROM edges_ UNION SELECT dst, src FROM edges_),
 reach_ AS (SELECT DISTINCT n.node, n.node AS at_ FROM nodes_ n JOIN (SELECT url FROM to_ UNION SELECT target FROM to_) u ON n.url = u.url WHERE n.node IS NOT NULL UNION SELECT r.node, b.dst FROM reach_ r JOIN both_ b ON r.at_ = b.src),
