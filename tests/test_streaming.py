@@ -10,7 +10,7 @@ from wickworks.streaming import candles as stream
 
 SCHEMA = "symbol string, part int, offset long, tick_id long, ts timestamp, price double, quantity long, buyer_is_maker boolean"
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 
 class Feed:
@@ -79,7 +79,7 @@ def test_falling_times_and_late_ticks_fail(spark, tmp_path):
 
 @pytest.fixture()
 def rocks(spark):
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", stream.ROCKS)
     yield
     spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
 

@@ -17,6 +17,8 @@ from wickworks.plans import fixtures as fx
 from wickworks.plans import runs
 from wickworks.sinks import legacy, publish, scratch
 from wickworks.sources import archives, manifest, tables, times
+from wickworks.sources.config import ExtractConfig
+from wickworks.streaming import candles as stream
 
 KEYS = ["symbol"]
 _EVENTS = fx.candles_sql(fx.EVENT_TICKS, "'ALL'", fx.HOUR)
@@ -540,6 +542,139 @@ def tick_rule_violations(spark, sf_dir):
     return validate.tick_violations(rows, KEYS, ["line"], block=256)
 
 
+# Streams and whole runs ------------------------------------------------------------------------------------------------------------
+
+
+def _fed(spark, sf_dir, at: str) -> tuple[DataFrame, str]:
+    """Ticks by type as a stream's files, written one after the other in the order of times; (their batch form, folder)."""
+    ms = F.col("time_ms")
+    rows = fx.ticks(spark, sf_dir, True).withColumns({"tick_id": ms * 1_000_000 + F.col("tick_id"), "ts": F.timestamp_millis(ms), "part": F.lit(0), "offset": ms * 1_000_000 + F.col("tick_id")}).drop("time_ms")
+    lo, hi = rows.agg(F.min(F.unix_millis("ts")), F.max(F.unix_millis("ts"))).first()
+    for i in range(3):
+        a, b = lo + (hi - lo) * i // 3, lo + (hi - lo) * (i + 1) // 3 + (i == 2)
+        rows.where((F.unix_millis("ts") >= a) & (F.unix_millis("ts") < b)).coalesce(1).write.mode("append").parquet(f"{at}/in")
+    return spark.read.parquet(f"{at}/in"), f"{at}/in"
+
+
+def _streamed(spark, at: str, schema, made, state: str | None = None) -> DataFrame:
+    """What a streaming query over the files makes, once it has taken them all, a file at a time."""
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting, None)
+    if state:
+        spark.conf.set(setting, state)
+    try:
+        live = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in")
+        made(live).trigger(availableNow=True).option("checkpointLocation", f"{at}/checkpoint").start().awaitTermination()
+    finally:
+        if state and before is not None:
+            spark.conf.set(setting, before)
+        elif state:
+            spark.conf.unset(setting)
+    return spark.read.parquet(f"{at}/out")
+
+
+_STREAM_OUT = "symbol, open_ms, end_ms, open, high, low, close, volume, trade_count, taker_buy_base_volume"
+
+
+def _stream_rows(df: DataFrame) -> DataFrame:
+    return df.select("symbol", F.unix_millis("open_time").alias("open_ms"), F.unix_millis("candle_end_utc").alias("end_ms"), "open", "high", "low", "close", "volume", "trade_count", "taker_buy_base_volume")
+
+
+_STREAM_TICKS = fx.EVENT_TICKS.format(symbol="event_type").replace("event_id AS tick_id", "epoch_us(ts) // 1000 * 1000000 + event_id AS tick_id")
+_STREAM_CANDLES = fx.candles_sql(_STREAM_TICKS.replace("{", "{{").replace("}", "}}"), "", fx.HOUR)
+
+
+@query(f"WITH {_STREAM_CANDLES} SELECT {_STREAM_OUT} FROM candles WHERE end_ms <= (SELECT max(time_ms) - 600000 FROM ticks)")
+def stream_candles(spark, sf_dir):
+    """Hourly candles of a stream of ticks, all that have closed."""
+    at = scratch.folder(spark, "stream")
+    rows, _ = _fed(spark, sf_dir, at)
+    return _stream_rows(_streamed(spark, at, rows.schema, lambda live: stream.build(live, KEYS).writeStream.format("parquet").option("path", f"{at}/out").outputMode("append")))
+
+
+@query(f"""WITH {_STREAM_CANDLES}, closed AS (SELECT (max(time_ms) - 600000) // {fx.HOUR} * {fx.HOUR} AS until FROM ticks), firsts AS (SELECT symbol, min(open_ms) AS first_ FROM candles GROUP BY symbol),
+steps AS (SELECT symbol, unnest(generate_series(first_, until - {fx.HOUR}, {fx.HOUR})) AS open_ms FROM firsts, closed)
+SELECT s.symbol, s.open_ms, s.open_ms + {fx.HOUR} AS end_ms, open, high, low, close, coalesce(volume, 0) AS volume, coalesce(trade_count, 0) AS trade_count, coalesce(taker_buy_base_volume, 0) AS taker_buy_base_volume
+FROM steps s LEFT JOIN candles c ON s.symbol = c.symbol AND s.open_ms = c.open_ms""")
+def stream_steps(spark, sf_dir):
+    """The same with the hours that had no tick, which state and timers add."""
+    at = scratch.folder(spark, "steps")
+    rows, _ = _fed(spark, sf_dir, at)
+    return _stream_rows(_streamed(spark, at, rows.schema, lambda live: stream.steps(live, KEYS, fx.HOUR).writeStream.format("parquet").option("path", f"{at}/out").outputMode("append"), stream.ROCKS))
+
+
+@query(f"WITH {_STREAM_TICKS} SELECT symbol, count(*) AS ticks, min(tick_id) AS first_id, max(tick_id) AS last_id, max(time_ms) AS last_ms FROM ticks GROUP BY symbol")
+def stream_guarded(spark, sf_dir):
+    """Ticks landed by a stream whose order is checked inside and over its batches."""
+    at = scratch.folder(spark, "guarded")
+    rows, _ = _fed(spark, sf_dir, at)
+    guard = stream.guard(KEYS, ["part", "offset"], f"{at}/past", lambda batch, n: batch.write.mode("append").parquet(f"{at}/out"), 600_000)
+    landed = _streamed(spark, at, rows.schema, lambda live: live.writeStream.foreachBatch(guard))
+    return landed.groupBy("symbol").agg(F.count("*").alias("ticks"), F.min("tick_id").alias("first_id"), F.max("tick_id").alias("last_id"), F.max(F.unix_millis("ts")).alias("last_ms"))
+
+
+def _extracted(spark, sf_dir, kinds: tuple[str, ...]) -> tuple[str, str]:
+    """Runs the extractor over archives made of the tables; (CSV file, report)."""
+    at = scratch.folder(spark, "extract")
+    days = [date.fromisoformat(p[-14:-4]) for p in fx.zipped(fx.kline_cells(fx.whole_days(spark, sf_dir)), f"{at}/raw/um/ABC/1h", "ABC", "1h")]
+    if "aggTrades" in kinds:
+        fx.zipped(fx.trade_cells(fx.ticks(spark, sf_dir)), f"{at}/raw/um/ABC/aggTrades", "ABC", "aggTrades", archives.TRADES)
+    config = ExtractConfig(("ABC",), "1h", days[0], days[-1], "csv", datasets=kinds, raw_folder=f"{at}/raw", preprocessed_folder=f"{at}/out")
+    (report,) = runs.run_extractor(spark, config, process_only=True)
+    return report["output"], report["output"].rsplit(".", 1)[0] + ".validation.json"
+
+
+@query(f"""WITH {fx.WHOLE_DAYS}, {_TICK_AGG.format(step=fx.HOUR)}, joined AS (SELECT d.*, b.* EXCLUDE (symbol, open_ms) FROM days d LEFT JOIN buckets b ON d.open_ms = b.open_ms)
+SELECT {_TIME("open_ms")} AS open_time, {_TIME(f"(open_ms + {fx.HOUR - 1})")} AS close_time, open, high, low, close, round(volume, 4) AS volume, coalesce(agg_trade_count, 0) AS agg_trade_count, round(coalesce(agg_base_volume, 0), 4) AS agg_base_volume, true AS all_metrics_match FROM joined""")
+def combined_csv_file(spark, sf_dir):
+    """A whole run over archives of candles and trades: its CSV, read again."""
+    at, _ = _extracted(spark, sf_dir, ("klines", "aggTrades"))
+    back = spark.read.option("header", "true").csv(at)
+    cells = {"open": "double", "high": "double", "low": "double", "close": "double", "agg_trade_count": "long", "all_metrics_match": "boolean"}
+    return back.select("open_time", "close_time", *[F.col(c).cast(t).alias(c) for c, t in cells.items()], *[F.round(F.col(c).cast("double"), 4).alias(c) for c in ("volume", "agg_base_volume")])
+
+
+@query(f"""WITH {fx.WHOLE_DAYS} SELECT 'um' AS market, 'ABC' AS symbol, '1h' AS "interval", 'passed' AS status, count(*) AS rows, count(*) AS expected_rows, min(open_ms) AS first_open_ms, max(open_ms) AS last_open_ms,
+count(DISTINCT open_ms // {fx.DAY}) AS sources, 24 AS least_rows, 24 AS most_rows FROM days""")
+def candle_range_report(spark, sf_dir):
+    """The report that a run publishes beside its file, as JSON, read again."""
+    _, at = _extracted(spark, sf_dir, ("klines",))
+    rows = F.transform("sources", lambda x: x["rows"])
+    return spark.read.option("multiLine", "true").json(at).select("market", "symbol", "interval", "status", "rows", "expected_rows", "first_open_ms", "last_open_ms", F.size("sources").cast("long").alias("sources"), F.array_min(rows).cast("int").alias("least_rows"), F.array_max(rows).cast("int").alias("most_rows"))
+
+
+@query(f"""WITH {fx.WHOLE_DAYS}, d AS (SELECT DISTINCT make_timestamp(open_ms * 1000)::DATE AS day FROM days), p AS (SELECT (day - (SELECT min(day) FROM d)) % 3 AS n FROM d)
+SELECT CASE n WHEN 1 THEN 'mismatch' WHEN 2 THEN 'no checksum' ELSE 'ok' END AS status, count(*) AS files FROM p GROUP BY n UNION ALL SELECT 'missing', 1""")
+def manifest_totals(spark, sf_dir):
+    """Files of a range by status."""
+    return manifest.totals(archive_manifest(spark, sf_dir).withColumn("bytes", F.lit(0).cast("long"))).select("status", "files")
+
+
+@query(f"""WITH {fx.candles_sql(fx.EVENT_TICKS, "event_type", 900_000)}, l AS (SELECT symbol, end_ms - lag(end_ms) OVER (PARTITION BY symbol ORDER BY end_ms) AS d FROM candles)
+SELECT symbol, count(*) AS rows, count(*) FILTER (d < {fx.HOUR}) AS closer FROM l GROUP BY symbol""")
+def close_candles(spark, sf_dir):
+    """Candles closer to the one before than a step, found from blocks of time."""
+    c = cd.from_ticks(fx.ticks(spark, sf_dir, True), KEYS, 900_000)
+    return order.summaries(c, KEYS, ["end_ms"], [order.apart("closer", "end_ms", fx.HOUR)], block=50 * fx.HOUR).select("symbol", "rows", "closer")
+
+
+@query(f"""WITH {_EVENTS} SELECT mode, count(*) AS rows, round(sum(close), 4) AS total, CASE mode WHEN 'error' THEN 1 ELSE 0 END AS refused FROM (SELECT CASE WHEN mode = 'overwrite' THEN close + 1 ELSE close END AS close, mode FROM candles, (VALUES ('ignore'), ('overwrite'), ('error')) m(mode)) GROUP BY mode""")
+def publish_modes(spark, sf_dir):
+    """A file published twice under each mode: kept, replaced, or refused."""
+    at, out = scratch.folder(spark, "modes"), None
+    c = fx.hourly(spark, sf_dir).select(F.timestamp_millis("open_ms").alias("open_time"), "close")
+    for mode in ("ignore", "overwrite", "error"):
+        path, refused = f"{at}/{mode}/a.parquet", 0
+        publish.parquet(c, path, ["open_time"])
+        try:
+            publish.parquet(c.withColumn("close", F.col("close") + 1), path, ["open_time"], mode)
+        except FileExistsError:
+            refused = 1
+        mine = spark.read.parquet(path).agg(F.count("*").alias("rows"), F.round(F.sum("close"), 4).alias("total")).select(F.lit(mode).alias("mode"), "rows", "total", F.lit(refused).alias("refused"))
+        out = mine if out is None else out.union(mine)
+    return out
+
+
 # Names and text --------------------------------------------------------------------------------------------------------------
 
 

@@ -72,6 +72,8 @@ def guard(keys: Sequence[str], source: Sequence[str], folder: str, then: Callabl
     return run
 
 
+#: The state store that steps() needs.
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: How much longer than `late` Spark's own watermark waits, so that a late tick reaches the check that fails instead of being dropped.
 GRACE_MS = 10 * 365 * 86_400_000
 _OPEN = "open_id long, open double, high double, low double, close_id long, close double, volume double, trade_count long, taker_buy_base_volume double"
