@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wickworks.functions import smoothing
 from wickworks.functions.catalogue import FAMILIES, NAMES
+from wickworks.functions.windows import finite
 from wickworks.operators import candles as cd
 from wickworks.operators import chunked, features, names, order, quality, segments, ticks, validate
 from wickworks.plans import feature_sql as fs
@@ -542,6 +543,62 @@ def tick_rule_violations(spark, sf_dir):
     return validate.tick_violations(rows, KEYS, ["line"], block=256)
 
 
+@query(f"""WITH {_BY_PRIORITY}, {fx.segmented_sql(fx.DAY)} SELECT symbol, segment_id, min(end_ms) AS first, max(end_ms) AS last, count(*) AS rows FROM s GROUP BY symbol, segment_id""")
+def segment_runs(spark, sf_dir):
+    """Gap-free runs, found in blocks of time and joined."""
+    return segments.runs(fx.daily(spark, sf_dir, True), KEYS, fx.DAY, block=60)
+
+
+@query(f"""WITH {_BY_PRIORITY}, {fx.segmented_sql(fx.DAY)}, p AS (SELECT symbol, segment_id, count(*) AS n FROM s GROUP BY ALL)
+SELECT symbol, CAST(sum(n) AS BIGINT) AS rows, count(*) - 1 AS gap_count, count(*) AS segments, max(n) AS longest_segment FROM p GROUP BY symbol""")
+def segment_summary_by_runs(spark, sf_dir):
+    return segments.summary_by_runs(fx.daily(spark, sf_dir, True), KEYS, fx.DAY, block=60)
+
+
+@query(f"""WITH {fx.WHOLE_DAYS}, d AS (SELECT DISTINCT open_ms // {fx.DAY} AS day FROM days), t AS (SELECT DISTINCT time_ms // {fx.DAY} AS day FROM ticks WHERE time_ms // {fx.DAY} % 4 <> 1),
+p AS (SELECT day, day % 3 <> 1 AS k, day IN (SELECT day FROM t) AS a FROM d)
+SELECT 'ABC' AS symbol, strftime(make_timestamp(day * {fx.DAY} * 1000), '%Y-%m-%d') AS day, k AS klines, a AS "aggTrades", k AND a AS paired FROM p""")
+def archive_pairing(spark, sf_dir):
+    """Days with archives of candles, of trades, of both or of neither."""
+    at = scratch.folder(spark, "pairing")
+    day = lambda c: F.floor(F.col(c) / fx.DAY)
+    whole = fx.whole_days(spark, sf_dir)
+    fx.zipped(fx.kline_cells(whole.where(F.pmod(day("open_ms"), F.lit(3)) != 1)), f"{at}/um/ABC/1h", "ABC", "1h")
+    fx.zipped(fx.trade_cells(fx.ticks(spark, sf_dir).where(F.pmod(day("time_ms"), F.lit(4)) != 1)), f"{at}/um/ABC/aggTrades", "ABC", "aggTrades", archives.TRADES)
+    publish.Store(spark, at).write_text(f"{at}/none.CHECKSUM", "\n")
+    lo, hi = whole.agg(F.min(day("open_ms")), F.max(day("open_ms"))).first()
+    planned = manifest.plan(spark, "um", ["ABC"], "1h", date(1970, 1, 1) + timedelta(days=lo), date(1970, 1, 1) + timedelta(days=hi), ["klines", "aggTrades"])
+    return manifest.pairing(manifest.verify(planned, at)).withColumn("day", F.col("day").cast("string"))
+
+
+@query("""WITH t AS (SELECT n_nationkey, CASE n_nationkey % 5 WHEN 1 THEN NULL WHEN 2 THEN '  ' ELSE n_name END AS symbol, CASE n_nationkey % 3 WHEN 1 THEN 'other' ELSE 'um' END AS product FROM nation)
+SELECT 'symbol not empty' AS rule, count(*) FILTER (symbol IS NULL OR trim(symbol) = '') AS violations FROM t UNION ALL SELECT 'product not empty', 0 UNION ALL SELECT 'known market', count(*) FILTER (product <> 'um') FROM t""")
+def key_rule_violations(spark, sf_dir):
+    """Series keys of which some are empty or unknown."""
+    k = F.col("n_nationkey")
+    rows = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.when(k % 5 == 2, "  ").when(k % 5 != 1, F.col("n_name")).alias("symbol"), F.when(k % 3 == 1, "other").otherwise("um").alias("product"))
+    return validate.violations(rows, validate.key_rules(["symbol", "product"]))
+
+
+@query(f"""WITH {_EVENTS} SELECT open_ms + {fx.HOUR} - 1 AS time_ms, end_ms, close FROM candles""")
+def generic_end_times(spark, sf_dir):
+    """A candle file whose times are a millisecond before the candles' ends, and whose candles are a step apart at least."""
+    at = f"{scratch.folder(spark, 'ends')}/a.tsv.csv"
+    publish.text_csv(fx.hourly(spark, sf_dir).select((F.col("end_ms") - 1).alias("close time"), "open", "high", "low", "close", "volume"), at, ["close time"])
+    back = spark.read.option("header", "true").csv(at)
+    tab = at.replace(".tsv.csv", ".tsv")
+    back.coalesce(1).write.option("header", "true").option("sep", "\t").csv(tab)
+    return tables.spaced(tables.ends(tables.read_generic(spark, tab, unit="ms"), fx.HOUR, "end", 1), fx.HOUR).select("time_ms", "end_ms", "close")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_totalprice > 0 AND o_totalprice / 100 < 700 THEN round(ln(exp(o_totalprice / 100)), 6) END AS scrubbed FROM orders WHERE NOT o_totalprice / 100 BETWEEN 700 AND 720")
+def infinite_values_scrubbed(spark, sf_dir):
+    """Values that overflow, and those that are no number, as nulls."""
+    x = F.col("o_totalprice") / 100
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").where(~x.between(700, 720))
+    return orders.select("o_orderkey", F.round(F.log(finite(F.when(F.col("o_totalprice") > 0, F.exp(x)).otherwise(F.lit(float("nan"))))), 6).alias("scrubbed"))
+
+
 # Streams and whole runs ------------------------------------------------------------------------------------------------------------
 
 

@@ -38,3 +38,9 @@ def verify(planned: DataFrame, folder: str) -> DataFrame:
 
 def totals(verified: DataFrame) -> DataFrame:
     return verified.groupBy("status").agg(F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
+
+
+def pairing(verified: DataFrame) -> DataFrame:
+    """(symbol, day, klines, aggTrades, paired): whether a day's archives of both kinds are at hand, as a combined run needs them."""
+    there = lambda d: F.coalesce(F.bool_or((F.col("dataset") == d) & (F.col("status") != "missing")), F.lit(False))
+    return verified.groupBy("symbol", "day").agg(there("klines").alias("klines"), there("aggTrades").alias("aggTrades")).withColumn("paired", F.col("klines") & F.col("aggTrades"))
