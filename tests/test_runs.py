@@ -11,6 +11,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from wickworks import cli
 from wickworks.operators import candles as cd
 from wickworks.operators import names, validate
 from wickworks.plans import runs
@@ -309,3 +310,95 @@ def test_long_series_are_computed_in_chunks(spark):
     df = spark.createDataFrame([(s, e, float(o), float(h), float(x), float(c), float(v), n, t) for s, e, o, h, x, c, v, n, t in rows], "symbol string, end_ms long, open double, high double, low double, close double, volume double, trade_count long, taker_buy_base_volume double")
     whole, cut = (runs.calculate(df, ["symbol"], HOUR, chunk_rows=n).select("end_ms", "segment_id", *[F.round(x, 6).alias(x) for x in ("ema_distance_160", "log_return_80", "relative_volume_20")]) for n in (16_384, 300))
     assert whole.exceptAll(cut).count() == cut.exceptAll(whole).count() == 0 and whole.count() == 900
+
+
+def test_fetch_by_executors(spark, tmp_path, server):
+    folder, troubles, url = server
+    for d in (1, 2, 3):
+        z = folder / f"klines/ABCUSDT/1h/ABCUSDT-1h-2024-01-0{d}.zip"
+        write_zip(z, day_rows(d - 1), member="other.csv" if d == 3 else None)
+        z.with_name(z.name + ".CHECKSUM").write_text(f"{hashlib.sha256(z.read_bytes()).hexdigest()}  {z.name}\n")
+    troubles |= {"/klines/ABCUSDT/1h/ABCUSDT-1h-2024-01-01.zip": ["busy", "short"], "/klines/ABCUSDT/1h/ABCUSDT-1h-2024-01-02.zip": ["wrong"]}
+    go = lambda first, last: fetch.fetch_table(manifest.plan(spark, "um", ["ABCUSDT"], "1h", date(2024, 1, first), date(2024, 1, last)), url, str(tmp_path / "raw"), 2, 3)
+    assert go(1, 1).count() == 1
+    got = go(1, 2)
+    assert sorted(r["path"][-14:-4] for r in got.collect()) == ["2024-01-01", "2024-01-02"]
+    assert all(hashlib.sha256(r["content"]).hexdigest() == r["sha256"] for r in got.collect())
+    lines = archives.unpacked(got.select("path", "content"), archives.KLINE)
+    assert archives.klines(lines, "um", "ABCUSDT", "1h").count() == 48
+    with pytest.raises(Exception, match="one plain member"):
+        go(1, 3)
+    assert spark.read.parquet(str(tmp_path / "raw")).count() == 2
+
+
+def test_run_modes_and_commands(spark, tmp_path, server, capsys):
+    folder, _, url = server
+    for d in (1, 2):
+        z = folder / f"klines/ABCUSDT/1h/ABCUSDT-1h-2024-01-0{d}.zip"
+        write_zip(z, day_rows(d - 1))
+        z.with_name(z.name + ".CHECKSUM").write_text(f"{hashlib.sha256(z.read_bytes()).hexdigest()}  {z.name}\n")
+    settings = f"market: um\ncoins: [abc]\ninterval: 1h\nstart_date: 2024-01-01\nend_date: 2024-01-02\noutput_format: csv\nbase_url: {url}\n"
+    (tmp_path / "c.yaml").write_text(settings)
+    run = lambda *args: cli.main([str(a) for a in args])
+    assert run("extract", "--config", tmp_path / "c.yaml", "--process-only") == 1  # nothing is there yet
+    assert run("extract", "--config", tmp_path / "c.yaml", "--download-only") == 0 and not (tmp_path / "data/pre_processed").exists()
+    assert run("extract", "--config", tmp_path / "c.yaml", "--process-only") == 0
+    assert len(list((tmp_path / "data/pre_processed").rglob("*klines.csv"))) == 1
+    assert run("daily", "--input", tmp_path / "data/raw", "--output", tmp_path / "daily") == 0 and len(list((tmp_path / "daily").glob("*.csv"))) == 2
+    for kind in ("csv", "parquet"):
+        assert run("yearly", "--input", tmp_path / "daily", "--output", tmp_path / "yearly", "--format", kind) == 0
+    assert spark.read.parquet(str(tmp_path / "yearly/ABCUSDT-1h-2024.parquet")).count() == 48 and (tmp_path / "yearly/ABCUSDT-1h-2024.csv").exists()
+    assert run("download", "--base-url", url, "--symbol", "ABCUSDT", "--start", "2024-01-01", "--end", "2024-01-01", "--output", tmp_path / "raw2", "--extract") == 0
+    assert (tmp_path / "raw2/um/ABCUSDT/1h/ABCUSDT-1h-2024-01-01.csv").exists()
+    assert run("download", "--base-url", "ftp://x", "--symbol", "ABCUSDT", "--start", "2024-01-01", "--end", "2024-01-01") == 2
+    with pytest.raises(ValueError, match="exclude"):
+        runs.run_extractor(spark, cfg(tmp_path), True, True)
+    assert "2 archives" in capsys.readouterr().out
+
+
+def test_archive_member_faults(spark, tmp_path):
+    def one(name, *members, cut=None):
+        path = tmp_path / "in" / f"{name}.zip"
+        path.parent.mkdir(exist_ok=True)
+        with zipfile.ZipFile(path, "w") as z:
+            for member, text, mode in members:
+                info = zipfile.ZipInfo(member)
+                info.external_attr = mode << 16
+                z.writestr(info, text)
+        if cut:
+            path.write_bytes(path.read_bytes()[:cut])
+
+    plain = 0o100644
+    one("sound", ("sound.csv", "1,2\n", plain))
+    one("two", ("two.csv", "1", plain), ("b.csv", "1", plain))
+    one("folder", ("folder.csv/", "", 0o040755))
+    one("link", ("link.csv", "/etc/passwd", 0o120777))
+    one("name", ("other.csv", "1", plain))
+    one("empty", ("empty.csv", "", plain))
+    one("none", ("none.csv", "1", plain), cut=10)
+    one("locked", ("locked.csv", "1", plain))
+    path = tmp_path / "in/locked.zip"
+    body = bytearray(path.read_bytes())
+    at = body.index(b"PK\x01\x02")
+    body[at + 8] |= 1
+    path.write_bytes(bytes(body))
+    got = {r["file"]: r["fault"] for r in archives.faults(spark, str(tmp_path / "in")).collect()}
+    assert got == {"sound.zip": None, "two.zip": "2 members", "folder.zip": "a folder", "link.zip": "a symbolic link", "name.zip": "another name", "empty.zip": "empty", "none.zip": "no archive", "locked.zip": "encrypted"}
+    for name, fault in got.items():
+        if fault and fault != "no archive":
+            with pytest.raises(Exception, match=fault):
+                archives.read(spark, [str(tmp_path / "in" / name)], ["a", "b"]).collect()
+
+
+def test_features_of_a_generic_file(spark, tmp_path):
+    with (tmp_path / "a.csv").open("w") as f:
+        f.write("Date,open,high,low,close,volume\n")
+        for i in range(300):
+            t = datetime(2024, 1, 1) + timedelta(hours=i + 1 + (5 if i >= 200 else 0))
+            f.write(f"{t},{100 + i % 7},{110 + i % 7},{90},{100 + i % 5},{i % 9}\n")
+    out, report = runs.calculate_file(spark, str(tmp_path / "a.csv"), "1h", "end", zone="UTC")
+    assert (report["rows"], report["gap_count"], report["calculation_segments"], report["input_timestamp_role"]) == (300, 1, 2, "end") and out.columns[0] == "end_ms" and len(out.columns) == 129
+    _, other = runs.calculate_file(spark, str(tmp_path / "a.csv"), "1h", "end", "rows", zone="UTC", chunk_rows=200)
+    assert other["calculation_segments"] == 1 and any("across gaps" in n for n in other["notes"])
+    with pytest.raises(validate.ValidationError, match="step apart"):
+        runs.calculate_file(spark, str(tmp_path / "a.csv"), "2h", "end", zone="UTC")

@@ -2,6 +2,7 @@
 
 features --config FILE                                             features of a candle dataset
 extract --config FILE [--download-only | --process-only]          archives, fetched and made candles of
+download --base-url URL --symbol NAME --start DAY --end DAY        archives only, without a file of settings
 daily --input FOLDER --output FOLDER                               daily CSV files of archives
 yearly --input FOLDER --output FOLDER --format csv|parquet|xlsx    yearly files of daily ones
 """
@@ -22,6 +23,16 @@ from wickworks.sources import config as cf
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     commands = parser.add_subparsers(dest="run", required=True)
+    one = commands.add_parser("download")
+    for name in ("--base-url", "--symbol", "--start", "--end"):
+        one.add_argument(name, required=True)
+    one.add_argument("--market", default="um")
+    one.add_argument("--interval", default="1h")
+    one.add_argument("--datasets", nargs="+", default=["klines"], choices=("klines", "aggTrades"))
+    one.add_argument("--output", default="data/raw")
+    one.add_argument("--retries", type=int, default=3)
+    one.add_argument("--workers", type=int, default=4)
+    one.add_argument("--extract", action="store_true", help="write each archive's CSV beside it")
     for name in ("features", "extract", "daily", "yearly"):
         one = commands.add_parser(name)
         one.add_argument("--overwrite", action="store_true", help="replace files that are there")
@@ -54,6 +65,10 @@ def main(argv: list[str] | None = None) -> int:
         if args.run in ("features", "extract"):
             settings, base = cf.load_yaml(args.config), args.config.resolve().parent
             config = cf.feature_config(settings, base) if args.run == "features" else cf.extract_config(settings, base)
+        elif args.run == "download":
+            settings = {"market": args.market, "symbol": args.symbol, "interval": args.interval, "start_date": args.start, "end_date": args.end, "output_format": "csv", "datasets": args.datasets,
+                        "raw_folder": args.output, "base_url": args.base_url, "download_retries": args.retries, "download_workers": args.workers}
+            config = cf.extract_config(settings)
     except (OSError, ValueError) as e:
         print(f"Configuration error: {e}", file=sys.stderr)
         return 2
@@ -64,6 +79,9 @@ def main(argv: list[str] | None = None) -> int:
         elif args.run == "extract":
             for r in runs.run_extractor(spark, config, args.download_only, args.process_only, args.overwrite):
                 print(f"{r['symbol']}: {r['status']}, " + (f"{r['rows']} rows" if "rows" in r else f"{r['archives']} archives"))
+        elif args.run == "download":
+            for r in runs.download(spark, config, args.extract):
+                print(f"{r['symbol']}: {r['status']}, {r['archives']} archives")
         elif args.run == "daily":
             print(f"{len(legacy.daily_csv(spark, args.input, args.output, 'overwrite' if args.overwrite else 'ignore'))} daily files")
         else:

@@ -732,6 +732,16 @@ def publish_modes(spark, sf_dir):
     return out
 
 
+@query(f"""WITH {_EVENTS}, {fx.segmented_sql(fx.HOUR)} SELECT end_ms, {", ".join(f"round({fs.columns('log_return')[n]}, 6) + 0.0 AS {n}" for n in FAMILIES["log_return"])}, {", ".join(f"round({fs.columns('sma_distance')[n]}, 6) + 0.0 AS {n}" for n in FAMILIES["sma_distance"])} FROM c""")
+def generic_file_features(spark, sf_dir):
+    """A candle file of other names, with local times of its candles' ends, to features."""
+    at = f"{scratch.folder(spark, 'calculated')}/a.csv"
+    c = fx.hourly(spark, sf_dir)
+    publish.text_csv(c.select(F.regexp_replace(cd.utc_text(F.col("end_ms")), "[TZ]", " ").alias("Date"), "open", "high", "low", "close", F.col("volume").alias("Base Volume")), at, ["Date"])
+    out, _ = runs.calculate_file(spark, at, "1h", "end", zone="UTC")
+    return out.select("end_ms", *[r6(n).alias(n) for n in (*FAMILIES["log_return"], *FAMILIES["sma_distance"])])
+
+
 # Names and text --------------------------------------------------------------------------------------------------------------
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from wickworks.functions.catalogue import NAMES
 from wickworks.operators import candles as cd
 from wickworks.operators import chunked, features, names, quality, segments, ticks
-from wickworks.sinks import publish
+from wickworks.sinks import publish, scratch
 from wickworks.sources import archives, fetch, manifest, tables
 from wickworks.sources.config import ExtractConfig, FeatureConfig
 
@@ -44,6 +44,24 @@ def series_reports(computed: DataFrame, candles: DataFrame, keys: Sequence[str],
     return out
 
 
+def calculate_file(
+    spark: SparkSession, path: str, interval: str, timestamp_role: str, gap_policy: str = "reset", end_offset_ms: int = 0, timestamp: str | None = None, unit: str | None = None, zone: str | None = None, chunk_rows: int = 16_384
+) -> tuple[DataFrame, dict]:
+    """(end_ms and the 128 features, report) of one instrument's candles in a file of any layout; the meaning of its times is given, not guessed.
+
+    The features are written once, in the shared folder, and the report is over what was written.
+    """
+    step, keys = cd.interval_ms(interval), ["series"]
+    rows = tables.ends(tables.read_generic(spark, path, timestamp, unit, zone), step, timestamp_role, end_offset_ms)
+    rows = tables.spaced(rows.withColumn("series", F.lit(path)), step, keys)
+    computed = scratch.table(calculate(rows, keys, step, gap_policy, chunk_rows), "calculated")
+    (report,) = series_reports(computed, rows, keys, step, gap_policy)
+    notes = ["Features use a completed candle and those before it only.", "Warm-up and undefined values stay missing."]
+    notes += ["Windows of observed rows reach across gaps."] * (gap_policy == "rows") + ["Times of day can be constant at this interval."] * (step >= cd.DAY_MS)
+    notes += ["No row has all features that the inputs allow."] * (not report["rows_complete_for_supported_features"])
+    return computed.drop("series", "segment_id"), report | {"input_timestamp_role": timestamp_role, "end_offset_ms": end_offset_ms, "notes": notes}
+
+
 def generate_dataset(spark: SparkSession, config: FeatureConfig, shard_ms: int | None = None) -> dict:
     """Checks, computes, reports and publishes; returns the summary. The features are computed once: the report reads the staged files."""
     if publish.Store(spark, config.output).exists(publish.journal_of(config.output)):
@@ -66,8 +84,9 @@ def generate_dataset(spark: SparkSession, config: FeatureConfig, shard_ms: int |
     return json.loads(publish.Store(spark, config.output).read_text(f"{config.output.rstrip('/')}/summary.json"))
 
 
-def download(spark: SparkSession, config: ExtractConfig) -> list[dict]:
-    """Fetches the archives of every symbol and dataset from base_url into raw_folder; one manifest a symbol, as JSON beside its archives."""
+def download(spark: SparkSession, config: ExtractConfig, unpack: bool = False) -> list[dict]:
+    """Fetches the archives of every symbol and dataset from base_url into raw_folder; one manifest a symbol, as JSON beside its archives.
+    unpack: each archive's CSV beside it."""
     if not config.base_url:
         raise ValueError("a download needs the setting base_url")
     out = []
@@ -75,6 +94,8 @@ def download(spark: SparkSession, config: ExtractConfig) -> list[dict]:
         planned = manifest.plan(spark, config.market, [symbol], config.interval, config.start_date, config.end_date, config.datasets)
         at = f"{config.raw_folder}/{config.market}/{symbol}/{symbol}-{config.interval}-{config.start_date}-{config.end_date}.manifest.json"
         done = fetch.fetch(spark, planned, config.base_url, config.raw_folder, at, config.download_workers, config.download_retries + 1)
+        for found in done["objects"] if unpack else ():
+            archives.unpack(spark, found["path"])
         out.append({"symbol": symbol, "status": done["status"], "archives": done["expected_objects"], "downloaded": done["downloaded"], "skipped": done["skipped"], "manifest": at})
     return out
 

@@ -111,6 +111,11 @@ def _lines(path: str, content: bytes, columns: Sequence[str], header: str, exact
 def read(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], header: str = "exact", exact_member: bool = True) -> DataFrame:
     """(file, line, columns as text) of ZIP archives. header: aliases, exact, or first (only the first cell decides)."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.zip").load(paths if isinstance(paths, str) else list(paths))
+    return unpacked(files, columns, header, exact_member)
+
+
+def unpacked(files: DataFrame, columns: Sequence[str], header: str = "exact", exact_member: bool = True) -> DataFrame:
+    """read() of archives that are rows of a table: (path, content)."""
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["file", "line", *columns]
