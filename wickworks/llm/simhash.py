@@ -345,7 +345,8 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, near: Near = Near()) -> DataFrame:
-    """The rows of docs that come first in their group of near-duplicates, with their own columns; of rows repeated whole, one stays."""
+    """The rows of docs that come first in their group of near-duplicates, with their own columns. Of rows that share id and text
+    one stays, whatever their other columns (a missing id or text is one of its own kind)."""
     members, _ = table(near_duplicates(docs, near), "members")
     later = members.where("id <> first_id or text_hash <> first_hash").select("id", "text_hash").distinct()
     keyed = docs.select(F.struct("*").alias("row")).select("row", F.coalesce("row.doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64(F.coalesce("row.text", F.lit(""))).alias("text_hash"))
