@@ -735,7 +735,7 @@ def test_queries_match_their_sql(spark, name):
 @have_tables
 def test_every_operator_has_its_query(spark):
     names = queries.queries()
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")} == set(range(1, 11)) and "pipeline" in names
-    for n in ("op1_quality", "op2_compression_bands", "op4_bpe", "op5_simhash", "op6_toxicity", "op9_pii"):
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")} == set(range(1, 14)) and "pipeline" in names
+    for n in ("op1_quality", "op2_compression_bands", "op4_bpe", "op5_simhash", "op6_toxicity", "op9_pii", "op12_licenses"):
         out = names[n](spark, SMALL)
         assert out.columns[0] == "doc_id" and out.count() == spark.read.parquet(f"{SMALL}/documents.parquet").count()
