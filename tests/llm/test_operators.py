@@ -708,6 +708,69 @@ def test_blocks_counted_as_arrays_equal_those_counted_in_rows(spark):
     assert one == other and sum("n_dropped=1" in r for r in one) > 4
 
 
+def families(rng, n_leaves, n_families, size, places, changed):
+    """{(leaf, whole): (family, tokens)}: leaves of several families of lines, each line with so many places of its family's changed."""
+    lines = {}
+    for leaf in range(n_leaves):
+        for f in range(n_families):
+            base = prose(rng, places).split()
+            for _ in range(size):
+                at = set(rng.sample(range(places), changed))
+                lines[leaf, len(lines)] = ((leaf, f), [prose(rng, 1) if i in at else w for i, w in enumerate(base)])
+    return lines
+
+
+def frame(spark, lines):
+    rows = [(leaf, whole, tokens) for (leaf, whole), (_, tokens) in lines.items()]
+    return spark.createDataFrame(rows, "leaf long, whole long, rest array<string>")
+
+
+@pytest.mark.parametrize("places", [30, 150])
+def test_further_templates_recall_against_brute_force(spark, places):
+    """Of the lines that agree with another at enough places (all pairs looked at), at least 0.9 are found, and no template mixes families."""
+    rng, tree = random.Random(places), templates.Tree()
+    lines = families(rng, 12, 5, 4, places, round(places * 0.14))
+    lines |= {(leaf, 10_000 + whole): (None, prose(rng, places).split()) for leaf in range(12) for whole in range(10)}
+    df = frame(spark, lines)
+    got = {(r["leaf"], r["whole"]): r["joint"] for r in templates._further(df, df.limit(0).select("leaf", "whole"), tree)[0].collect()}
+    alike = lambda a, b: sum(x == y for x, y in zip(a, b, strict=True)) >= tree.similarity * places
+    want = {k for k, (_, a) in lines.items() if any(k != j and k[0] == j[0] and alike(a, b) for j, (_, b) in lines.items())}
+    assert len(want) > 200 and len(want & got.keys()) >= 0.9 * len(want)
+    by_joint = {}
+    for k, joint in got.items():
+        by_joint.setdefault(joint, set()).add(lines[k][0])
+    assert all(len(f) == 1 and f != {None} for f in by_joint.values())
+
+
+def test_what_is_compared_grows_with_the_length_of_a_line(spark):
+    """Places compared in blocks: in proportion to a line's places from the probe's size on, and to the lines."""
+    tree = templates.Tree()
+
+    def compared(size, places):
+        df = frame(spark, families(random.Random(1), 1, 2, size, places, round(places * 0.2)))
+        asked = templates._shared(templates._blocks(df, tree), tree).join(templates._probes(df, tree), ["leaf", "whole"])
+        return asked.agg(F.sum(F.size("rest"))).first()[0] + 2 * size * places
+
+    lengths = [compared(11, n) for n in (100, 200, 400, 800)]
+    counts = [compared(n, 200) for n in (10, 50)]
+    print("places compared by length 100, 200, 400, 800:", lengths, "by lines 20, 100:", counts)
+    assert all(b <= 2.3 * a for a, b in zip(lengths, lengths[1:], strict=False)) and counts[1] <= 6 * counts[0]
+
+
+def test_long_lines_agree_whole_and_blocks_in_rows_give_the_same(spark):
+    """Lines that agree at the probed places but not whole are no template; a block too large for a task is counted in rows."""
+    rng = random.Random(6)
+    tree = templates.Tree()
+    probed = templates._probes(spark.createDataFrame([(0, 0, [str(i) for i in range(400)])], "leaf long, whole long, rest array<string>"), tree).first()["rest"]
+    assert len(set(probed)) == tree.probe
+    keep, base = set(map(int, probed)), prose(rng, 400).split()
+    lines = {(0, w): (None, [x if i in keep or i < 60 else prose(rng, 1) for i, x in enumerate(base)]) for w in range(5)}
+    lines |= {(1, 100 + w): v for (_, w), v in families(rng, 1, 2, 6, 400, 60).items()}
+    df = frame(spark, lines)
+    one, other = ({tuple(r) for r in templates._further(df, df.limit(0).select("leaf", "whole"), templates.Tree(together=n))[0].collect()} for n in (tree.together, 1000))
+    assert one == other and {leaf for leaf, *_ in one} == {1} and len(one) == 12
+
+
 def test_line_templates_on_odd_tables(spark):
     docs = nasty(spark)
     out = templates.clean(docs)

@@ -9,8 +9,13 @@ A leaf can hold further templates. Its lines that the first one leaves are dealt
 two lines that agree at enough places share a block, as there are more blocks than places to differ at. Blocks that the same lines
 share are one. Each block's lines have their own commonest tokens, a line that agrees with several blocks' goes where most lines
 agree, and leaves where that found a template are looked through again until none is found; then lines are templates by themselves.
-A line is in as many blocks as it shares, up to 0.3 x places + 1, which grows with the leaf until all are shared. So a block's tokens are
-counted in one task, as arrays, and rows are made of lines and blocks only; a block too large for that is counted in rows of tokens.
+A line is in as many blocks as it shares, up to 0.3 x places + 1, which grows with the leaf until all are shared. In each of them only
+`probe` of its places are compared, the same ones of all lines of a leaf. Lines with fewer places are compared whole that way. Longer
+ones that agree there, or fall short by three deviations of such a sample at most, go to the block where most do, and are compared
+whole with the lines that went there too. So what is compared grows with the length of a line, not with its square. Further templates
+are made of 64-bit hashes of tokens, of equal counts the greatest hash, so what a task holds is bounded whatever the tokens' lengths.
+A block's places are counted in one task, as arrays, and rows are made of lines and blocks only; a block of more than `together` places
+is counted in rows of tokens, with the same result.
 The SQL below knows only a leaf's first template, and gives the same where no leaf holds a second.
 
 A template that recurs in enough documents is dropped, but for its first occurrence (the least doc_id, then line): Tree.first_stays
@@ -43,6 +48,7 @@ class Tree:
     similarity: float = 0.7  # of the places after the lead
     first_stays: bool = True
     together: int = 1 << 17  # tokens (lines x places) of a block that one task counts at once; larger blocks are counted in rows
+    probe: int = 64  # places of a line that are compared in each block that it shares
 
 
 #: A word with a digit, where words are parted by blanks only.
@@ -76,18 +82,26 @@ def _hashed_lines(docs: DataFrame, tree: Tree) -> DataFrame:
     return _keyed(docs).select("id", "text_hash", F.inline(F.filter(F.transform(_lines_of(F.col("text")), one), lambda x: x["n"] >= least)))
 
 
-def _agreeing(lines: DataFrame, group: str, tree: Tree) -> DataFrame:
+def _least(tree: Tree, loose: bool) -> Column:
+    """The share of places of rest that must agree; loose: lines of probed places may fall short by three deviations of a sample."""
+    if not loose:
+        return F.lit(tree.similarity)
+    below = 3 * (tree.similarity * (1 - tree.similarity) / tree.probe) ** 0.5
+    return F.when(F.size("rest") < tree.probe, tree.similarity).otherwise(tree.similarity - below)
+
+
+def _agreeing(lines: DataFrame, group: str, tree: Tree, loose: bool = False) -> DataFrame:
     """lines (group, rest: array of tokens, and what else) that agree with their group's commonest tokens at enough places."""
     counts = lines.select(group, F.posexplode("rest").alias("place", "token")).groupBy(group, "place", "token").count()
     most = counts.groupBy(group, "place").agg(F.max(F.struct("count", "token")).alias("most"))
     modes = most.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "most.token"))), lambda x: x["token"]).alias("mode"))
     same = F.size(F.filter(F.zip_with("rest", "mode", lambda a, b: a == b), lambda x: x))
-    return lines.join(modes, group).where(same / F.size("rest") >= tree.similarity).drop("mode")
+    return lines.join(modes, group).where(same / F.size("rest") >= _least(tree, loose)).drop("mode")
 
 
-def _commonest(words: Column) -> Column:
-    """The commonest of an array's words, of equal counts the greatest."""
-    start = F.struct(F.lit("").alias("word"), F.lit(0).alias("run"), F.lit("").alias("most"), F.lit(0).alias("count"))
+def _commonest(words: Column, some: Column) -> Column:
+    """The commonest of an array's words, of equal counts the greatest; some is any value of their type."""
+    start = F.struct(some.alias("word"), F.lit(0).alias("run"), some.alias("most"), F.lit(0).alias("count"))
 
     def step(seen: Column, word: Column) -> Column:
         run = F.when(word == seen["word"], seen["run"] + 1).otherwise(1)
@@ -97,43 +111,73 @@ def _commonest(words: Column) -> Column:
     return F.aggregate(F.sort_array(words), start, step, lambda seen: seen["most"])
 
 
-def _agreeing_together(lines: DataFrame, group: str, tree: Tree) -> DataFrame:
+def _agreeing_together(lines: DataFrame, group: str, tree: Tree, loose: bool = False) -> DataFrame:
     """(group, leaf, whole) of the rows that _agreeing gives, each group as one row of arrays."""
-    held = lines.groupBy(group).agg(F.collect_list(F.struct("leaf", "whole", "rest")).alias("held"))
+    held = lines.groupBy(group).agg(F.collect_list(F.struct("leaf", "whole", "rest", _least(tree, loose).alias("least"))).alias("held"))
     places = F.sequence(F.lit(0), F.size(F.col("held")[0]["rest"]) - 1)
-    modes = F.transform(places, lambda place: _commonest(F.transform("held", lambda line: line["rest"][place])))
+    modes = F.transform(places, lambda place: _commonest(F.transform("held", lambda line: line["rest"][place]), F.col("held")[0]["rest"][0]))
 
     def agrees(line: Column, mode: Column) -> Column:
-        return F.size(F.filter(F.zip_with(line["rest"], mode, lambda a, b: a == b), lambda x: x)) / F.size(line["rest"]) >= tree.similarity
+        return F.size(F.filter(F.zip_with(line["rest"], mode, lambda a, b: a == b), lambda x: x)) / F.size(line["rest"]) >= line["least"]
 
     # As an element of an array the modes are made once, whatever reads them.
     agree = F.transform(F.array(modes), lambda mode: F.filter("held", lambda line: agrees(line, mode)))[0]
     return held.select(group, F.explode(F.transform(agree, lambda line: F.struct(line["leaf"], line["whole"]))).alias("a")).select(group, "a.leaf", "a.whole")
 
 
+def _agreeing_by_size(lines: DataFrame, tree: Tree, loose: bool) -> DataFrame:
+    """(sub, leaf, whole) of the lines (sub, leaf, whole, rest, small: whether the block's rests are few enough for a task) that agree."""
+    large = _agreeing(lines.where(~F.col("small")), "sub", tree, loose).select("sub", "leaf", "whole")
+    return _agreeing_together(lines.where("small"), "sub", tree, loose).union(large)
+
+
+def _blocks(rest: DataFrame, tree: Tree) -> DataFrame:
+    """(leaf, whole, places, sub) of each block of places of the lines (leaf, whole, rest)."""
+    n = F.floor(F.size("rest") * (1 - tree.similarity) + 1e-9).cast("int") + 1
+    cut = lambda i, n: F.ceil(i * F.size("rest") / n).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), n - 1), lambda b: F.xxhash64(F.col("leaf"), b, F.slice("rest", cut(b, n) + 1, cut(b + 1, n) - cut(b, n))))
+    return rest.select("leaf", "whole", F.size("rest").alias("places"), F.explode(blocks).alias("sub"))
+
+
+def _probes(rest: DataFrame, tree: Tree) -> DataFrame:
+    """(leaf, whole, rest) with `probe` of the places at most: those with the least hashes, which are the same for all lines of a leaf."""
+    order = F.array_sort(F.transform(F.sequence(F.lit(0), F.size("rest") - 1), lambda i: F.struct(F.xxhash64(i).alias("h"), i.alias("i"))))
+    some = F.transform(F.slice(order, 1, tree.probe), lambda x: F.col("rest")[x["i"]])
+    return rest.select("leaf", "whole", F.when(F.size("rest") <= tree.probe, F.col("rest")).otherwise(some).alias("rest"))
+
+
+def _shared(left: DataFrame, tree: Tree) -> DataFrame:
+    """(sub, small, leaf, whole) of the lines of left (leaf, whole, places, sub) in blocks of several lines, those of the same lines once."""
+    shared = left.groupBy("sub").agg(F.count("*").alias("n"), F.min("leaf").alias("leaf"), F.max("places").alias("most"), F.bit_xor(F.xxhash64("whole")).alias("which")).where("n > 1")
+    shared = shared.groupBy("leaf", "n", "which").agg(F.min("sub").alias("sub"), F.max("most").alias("most"))
+    small = F.col("n") * F.least("most", F.lit(tree.probe)) <= tree.together
+    return left.join(shared.select("sub", small.alias("small")), "sub").select("sub", "small", "leaf", "whole")
+
+
 def _further(lines: DataFrame, members: DataFrame, tree: Tree) -> tuple[DataFrame, list[str]]:
     """(leaf, whole, joint: the template) of the lines in the further templates of leaves, and the tables behind it.
 
     lines has (leaf, whole, rest); a leaf's only member counts as not admitted.
     """
     first = members.join(members.groupBy("leaf").count().where("count > 1").select("leaf"), "leaf")
-    n = F.floor(F.size("rest") * (1 - tree.similarity) + 1e-9).cast("int") + 1
-    cut = lambda i, n: F.ceil(i * F.size("rest") / n).cast("int")
-    blocks = F.transform(F.sequence(F.lit(0), n - 1), lambda b: F.xxhash64(F.col("leaf"), b, F.slice("rest", cut(b, n) + 1, cut(b + 1, n) - cut(b, n))))
-    left, left_at = table(lines.join(first, ["leaf", "whole"], "left_anti").where(F.size("rest") > 0).select("leaf", "whole", F.size("rest").alias("places"), F.explode(blocks).alias("sub")), "blocks")
-    out, made = None, [left_at]
+    rest = lines.join(first, ["leaf", "whole"], "left_anti").where(F.size("rest") > 0).select("leaf", "whole", F.transform("rest", lambda t: F.xxhash64(t)).alias("rest"))
+    rest, rest_at = table(rest, "rest")
+    probes, probes_at = table(_probes(rest, tree), "probes")
+    left, left_at = table(_blocks(rest, tree), "blocks")
+    out, made = None, [rest_at, probes_at, left_at]
     while True:
-        shared = left.groupBy("sub").agg(F.count("*").alias("n"), F.min("leaf").alias("leaf"), F.max("places").alias("most"), F.bit_xor(F.xxhash64("whole")).alias("which")).where("n > 1")
-        shared = shared.groupBy("leaf", "n", "which").agg(F.min("sub").alias("sub"), F.max("most").alias("most")).select("sub", (F.col("n") * F.col("most") <= tree.together).alias("small"))
-        asked, asked_at = table(left.join(shared, "sub"), "shared")
-        small, large = (asked.where(which).join(lines, ["leaf", "whole"]) for which in (F.col("small"), ~F.col("small")))
-        agree, agree_at = table(_agreeing_together(small, "sub", tree).union(_agreeing(large, "sub", tree).select("sub", "leaf", "whole")), "agreeing")
+        asked, asked_at = table(_shared(left, tree), "shared")
+        agree, agree_at = table(_agreeing_by_size(asked.join(probes, ["leaf", "whole"]), tree, True), "agreeing")
         sizes = agree.groupBy("sub").count().where("count > 1")
         best = agree.join(sizes, "sub").groupBy("leaf", "whole").agg(F.max(F.struct("count", "sub")).alias("best")).select("leaf", "whole", F.col("best.sub").alias("sub"))
-        best, best_at = table(best, "best")
+        best, best_at = table(best.join(rest.select("leaf", "whole", F.size("rest").alias("places")), ["leaf", "whole"]), "best")
+        long = best.where(F.col("places") >= tree.probe)
+        small = long.groupBy("sub").agg((F.count("*") * F.max("places") <= tree.together).alias("small"))
+        whole = _agreeing_by_size(long.join(small, "sub").join(rest, ["leaf", "whole"]), tree, False)
+        best, whole_at = table(best.where(F.col("places") < tree.probe).select("sub", "leaf", "whole").union(whole), "whole")
         several = best.groupBy("sub").count().where("count > 1").select("sub")
         found, found_at = table(best.join(several, "sub").select("leaf", "whole", F.xxhash64(F.lit("sub"), "sub").alias("joint")), "further")
-        made += [asked_at, agree_at, best_at, found_at]
+        made += [asked_at, agree_at, best_at, whole_at, found_at]
         out = found if out is None else out.union(found)
         if found.isEmpty():
             return out, made
